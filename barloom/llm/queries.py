@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import embedding_dedup, ngram_join, packing, token_store
+import corpus_pipeline
+from barloom.llm import chat_format, embedding_dedup, language_model, nearest, ngram_join, packing, piece_codec, secret_scan, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +15,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": ngram_join.op1,
         "op2_packing": packing.op2,
         "op3_token_store": token_store.op3,
+        "op4_chat_format": chat_format.op4,
         "op5_embedding_near_dedup": embedding_dedup.op5,
+        "op6_language_model": language_model.op6,
+        "op7_toxicity": toxicity.op7,
+        "op8_secret_scan": secret_scan.op8,
+        "op9_sentencepiece": piece_codec.op9,
+        "op10_nearest_neighbours": nearest.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_format": chat_format.ORACLE}
