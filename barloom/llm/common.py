@@ -4,10 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _OWN_FOLDER: list[str] = []
+_SHIPPED: dict[str, bool] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python may not have it on its path."""
+    if _SHIPPED.get(spark.sparkContext.applicationId):
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="spark-package-")) / "barloom_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted((root / "barloom").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED[spark.sparkContext.applicationId] = True
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

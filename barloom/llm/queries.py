@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from barloom.llm import chat_format, embedding_dedup, language_model, nearest, ngram_join, packing, piece_codec, secret_scan, token_store, toxicity
+from barloom.llm.common import ship
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_ngram_jaccard_join": ngram_join.op1,
         "op2_packing": packing.op2,
         "op3_token_store": token_store.op3,
@@ -24,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_nearest_neighbours": nearest.op10,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,7 +27,7 @@ from barloom.llm.words import mix, word_hashes
 
 BITS = 20
 SKIPS = (1, 2, 3)
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
 EPOCHS, SHARD_ROWS = 3, 16_384
 THRESHOLD = 0.3
 HELD_OUT, FOLDS = 2, 4
