@@ -4,8 +4,10 @@ Features of a text are its words, pairs of neighbours, and pairs with one or two
 them, hashed into ``2**BITS`` places; each counts once in a text.  Every coordinate has its own
 learning rate, and L1 keeps only coordinates that pull.
 
-Learning is spread over Spark: labelled rows are dealt out in shards of about ``SHARD_ROWS`` rows, each
-shard is one learner (``EPOCHS`` passes in a fixed order), and the learners' weights are averaged.
+Learning takes a sample of the labelled rows, by a hash of doc_id, of ``MOST_ROWS`` rows on average
+if there are more (so the list of learned doc_ids that is broadcast is bounded too).  It is spread
+over Spark: the rows are dealt out in shards of about ``SHARD_ROWS`` rows, each shard is one learner
+(``EPOCHS`` passes in a fixed order), and the learners' weights are averaged.
 What is broadcast for scoring are the averaged weights that are not zero: at most ``2**BITS`` of them, 12 bytes each.
 
 Cases: a null text is an empty one; a text without words gets the intercept's score; labelled
@@ -28,7 +30,7 @@ from barloom.llm.words import mix, word_hashes
 BITS = 20
 SKIPS = (1, 2, 3)
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
-EPOCHS, SHARD_ROWS = 3, 16_384
+EPOCHS, SHARD_ROWS, MOST_ROWS = 3, 8_192, 40_000
 THRESHOLD = 0.3
 HELD_OUT, FOLDS = 2, 4
 
@@ -100,40 +102,72 @@ def _learners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights of the averaged model (the intercept's place is ``2**BITS``), from all rows of ``labels`` (doc_id, label)."""
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of the averaged model (the intercept's place is ``2**BITS``), from ``labels`` (doc_id, label)."""
     labels = labels.where("doc_id is not null and label is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
-    shards = max(1, -(-labels.count() // SHARD_ROWS))
+    n = labels.count()
+    if n > most_rows:
+        labels = labels.where(F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(n)) < most_rows)
+    shards = max(1, -(-min(n, most_rows) // SHARD_ROWS))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(labels, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    rows = texts.join(F.broadcast(labels), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id", "text", "label").select("shard", "text", "label")
     learned = rows.mapInArrow(_learners, "place long, weight double")
     mean = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).where("weight <> 0").orderBy("place").collect()
     return np.array([r.place for r in mean], np.int64), np.array([r.weight for r in mean], np.float64)
 
 
+def _scores(texts: pa.Array, table: np.ndarray, known: bool) -> np.ndarray:
+    """Scores of a column of texts; ``table`` has the weights by place."""
+    out = np.zeros(len(texts))
+    for lo, hi in text_slices(texts) if known else ():
+        at, doc = features(texts.slice(lo, hi - lo))
+        pulls = np.flatnonzero(table[at])
+        both = np.unique(doc[pulls] << (BITS + 1) | at[pulls])
+        total = np.bincount(both >> (BITS + 1), table[both & ((1 << BITS + 1) - 1)].astype(np.float64), hi - lo) + table[1 << BITS]
+        out[lo:hi] = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+    return out
+
+
+def _sent(spark: SparkSession, model: tuple[np.ndarray, np.ndarray]):
+    """A function for tasks that gives the table of weights from what is broadcast."""
+    held = spark.sparkContext.broadcast((model[0].astype(np.int32), model[1].astype(np.float32)))
+
+    def table() -> np.ndarray:
+        out = np.zeros((1 << BITS) + 1, np.float32)
+        out[held.value[0]] = held.value[1]
+        return out
+
+    return table
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id and score (0 to 1) of every document."""
-    places, weights = model[0].astype(np.int32), model[1].astype(np.float32)
-    sent = docs.sparkSession.sparkContext.broadcast((places, weights))
+    weights, known = _sent(docs.sparkSession, model), len(model[0]) > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((1 << BITS) + 1, np.float32)
-        table[sent.value[0]] = sent.value[1]
+        table = weights()
         for batch in batches:
-            texts = batch.column("text")
-            for lo, hi in text_slices(texts):
-                at, doc = features(texts.slice(lo, hi - lo))
-                pulls = np.flatnonzero(table[at])
-                both = np.unique(doc[pulls] << (BITS + 1) | at[pulls])
-                total = np.bincount(both >> (BITS + 1), table[both & ((1 << BITS + 1) - 1)].astype(np.float64), hi - lo) + table[1 << BITS]
-                value = 1 / (1 + np.exp(-np.clip(total, -35, 35))) if len(places) else np.zeros(hi - lo)
-                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), pa.array(value)], names=["doc_id", "score"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(_scores(batch.column("text"), table, known))], names=["doc_id", "score"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, score double")
 
 
+def clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose score is below the threshold, or not above that of
+    an empty text (nothing in them speaks for toxicity); rows are judged one by one, so a doc_id may be null or repeated."""
+    weights, known = _sent(docs.sparkSession, model), len(model[0]) > 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = weights()
+        for batch in batches:
+            found = _scores(batch.column("text"), table, known)
+            yield batch.filter(pa.array((found < threshold) | (found <= _scores(pa.array([""]), table, known)[0])))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit_on_folds(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     known = labels.select("doc_id", F.col("toxic").alias("label")).where(remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
     return fit(docs, known)
