@@ -110,3 +110,18 @@ def failure_events(failures: DataFrame) -> DataFrame:
 
     rows = failures.where(records_quality_event(F.col("error_code"))).select("run_id", F.explode("keys").alias("instrument_key"), "error_code")
     return rows.select("run_id", "instrument_key", F.lit("ERROR").alias("severity"), F.lit("OPEN").alias("status"), F.col("error_code").alias("rule_id"))
+
+
+def supersede_legacy(status: DataFrame, runs: DataFrame, raw: DataFrame) -> DataFrame:
+    """HISTORICAL reviews by the rule before run scopes: a single-series refetch supersedes the earlier failures of its one instrument, a
+    full normal run all earlier ones.
+
+    ``runs``: PASS runs as run_id, trigger_kind (refetch or normal), successful_series, all_series; ``raw``: run_id, instrument_key.
+    """
+    open_ = status.where(F.col("status").isin(*OPEN) & F.col("applicability").isin("CURRENT", "UNKNOWN") & (F.col("rule_id") == "atomic_run_gate")).withColumnRenamed("run_id", "event_run")
+    single = raw.groupBy("run_id").agg(F.count_distinct("instrument_key").alias("n"), F.min("instrument_key").alias("instrument_key")).where("n = 1").select("run_id", "instrument_key")
+    refetch = runs.where("trigger_kind = 'refetch' and successful_series = 1").select("run_id").join(single, "run_id")
+    own = open_.join(refetch, "instrument_key").where("event_run < run_id").select("event_id", "run_id")
+    normal = runs.where("trigger_kind = 'normal' and successful_series = all_series").agg(F.collect_set("run_id").alias("passes"))  # full runs are few
+    every = open_.crossJoin(F.broadcast(normal)).select("event_id", "event_run", F.explode("passes").alias("run_id")).where("event_run < run_id").select("event_id", "run_id")
+    return own.union(every).distinct().select("event_id", F.lit("HISTORICAL").alias("applicability"), F.col("run_id").alias("superseded_by"))

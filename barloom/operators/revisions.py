@@ -141,3 +141,44 @@ def simulate_sessions(provider: DataFrame, stored: DataFrame, slots: DataFrame)
     done = F.coalesce("p", "s", F.lit(False))
     return joined.groupBy("instrument_key", "session_date").agg(F.count("*").alias("expected_slots"), F.count_if(done).alias("complete_slots")).withColumn(
         "would_be", F.when(F.col("expected_slots") == F.col("complete_slots"), "PASS").otherwise("WARN"))
+
+
+def record_warnings(events: DataFrame, steps: DataFrame, detections: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A first event for each (instrument_key, new_version) without an open one, and a step for each detection.
+
+    ``events``: event_id, instrument_key, new_version, event_status; ``steps``: event_id, step_number, step_result; ``detections``: instrument_key, new_version,
+    detected_utc, step_result.  Gives all events and all steps; step numbers go on from the greatest of their event.
+    """
+    open_ = events.where("event_status = 'REVIEW_PENDING'").groupBy("instrument_key", "new_version").agg(F.max("event_id").alias("event_id"))
+    keys = detections.select("instrument_key", "new_version").distinct()
+    top = events.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("top"))
+    fresh = keys.join(open_, ["instrument_key", "new_version"], "left_anti").crossJoin(F.broadcast(top))
+    number = F.row_number().over(Window.partitionBy("top").orderBy("instrument_key", "new_version"))
+    new = fresh.select((F.col("top") + number).alias("event_id"), "instrument_key", "new_version", F.lit("REVIEW_PENDING").alias("event_status"))
+    owner = open_.select("event_id", "instrument_key", "new_version").unionByName(new.select("event_id", "instrument_key", "new_version"))
+    last = steps.groupBy("event_id").agg(F.max("step_number").alias("last"))
+    found = detections.join(owner, ["instrument_key", "new_version"]).join(last, "event_id", "left")
+    order = F.row_number().over(Window.partitionBy("event_id").orderBy("detected_utc", "step_result"))
+    added = found.select("event_id", (F.coalesce("last", F.lit(0)) + order).cast("long").alias("step_number"), "step_result")
+    return events.unionByName(new), steps.unionByName(added)
+
+
+def review(events: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events after KEEP_CURRENT and APPROVE_APPLY decisions on pending ones, and the decisions that are refused.
+
+    ``events``: event_id, event_status, review_status; ``decisions``: event_id, decision, reviewer, note (both between 1 and 128, 2000 characters).
+    """
+    joined = decisions.join(events.select("event_id", "event_status", "review_status"), "event_id", "left")
+    named = F.length(F.trim("reviewer")).between(1, 128) & F.length(F.trim("note")).between(1, 2000)
+    ok = F.coalesce(F.col("decision").isin("KEEP_CURRENT", "APPROVE_APPLY") & named & (F.col("event_status") == "REVIEW_PENDING") & F.col("review_status").isin("PENDING_REVIEW", "REVIEWED_KEEP_CURRENT"), F.lit(False))
+    made = joined.where(ok).groupBy("event_id").agg(F.min(F.when(F.col("decision") == "KEEP_CURRENT", "REVIEWED_KEEP_CURRENT").otherwise("APPLY_APPROVED")).alias("made"))
+    return events.join(made, "event_id", "left").withColumn("review_status", F.coalesce("made", "review_status")).drop("made"), joined.where(~ok).select(*decisions.columns)
+
+
+def audit_recorded(recorded: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """Whether the recorded counts of each series equal the recomputed ones."""
+    names = ["provider_rows", "content_difference_rows", "version_only_rows", "new_rows", "removed_rows"]
+    a, b = recorded.alias("a"), recomputed.alias("b")
+    joined = a.join(b, F.col("a.instrument_key") == F.col("b.instrument_key"), "left")
+    same = F.forall(F.array(*[F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]), lambda x: x)
+    return joined.select(F.col("a.instrument_key").alias("instrument_key"), same.alias("counts_match"))

@@ -111,3 +111,19 @@ def windows_inside(requests: DataFrame, contract: DataFrame) -> DataFrame:
     joined = requests.join(contract, "ticker", "left")
     inside = (F.col("start_date") >= F.col("window_start")) & (F.col("end_date") <= F.col("window_end")) & (F.col("start_date") < F.col("end_date"))
     return joined.select(*requests.columns, F.coalesce(inside, F.lit(False)).alias("inside"))
+
+
+def full_history(rows: DataFrame, contract: DataFrame) -> DataFrame:
+    """Rows inside each ticker's contract window, checked: status PASS or the first rule that fails, and a digest of the ordered content.
+
+    ``contract``: ticker, window_start, window_end, expected_rows, expected_warn.  A price or index that isn't positive fails the quality, a count,
+    bound or repeated date the coverage.
+    """
+    inside = rows.join(contract, "ticker").where("date between window_start and window_end")
+    item = F.struct("date", F.col("adjusted_close").cast("string").alias("value"), "quality_status")
+    found = inside.groupBy("ticker", "window_start", "window_end", "expected_rows", "expected_warn").agg(
+        F.count("*").alias("row_count"), F.count_distinct("date").alias("dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count_if(F.col("quality_status") == "WARN").alias("warn_rows"),
+        F.count_if(~F.coalesce(F.col("adjusted_close") > 0, F.lit(False))).alias("bad_rows"), F.sha2(F.to_json(F.array_sort(F.collect_list(item))), 256).alias("content_sha256"))
+    covered = (F.col("row_count") == F.col("expected_rows")) & (F.col("dates") == F.col("row_count")) & (F.col("first_date") == F.col("window_start")) & (F.col("last_date") == F.col("window_end"))
+    status = F.when(F.col("bad_rows") > 0, "QUALITY_FAILED").when(~covered, "COVERAGE_FAILED").when(F.col("warn_rows") != F.col("expected_warn"), "QUALITY_FAILED").otherwise("PASS")
+    return found.select("ticker", "row_count", "first_date", "last_date", "warn_rows", status.alias("history_status"), "content_sha256")
