@@ -364,9 +364,10 @@ def t03(spark, folder):
     return tr.revision_keys(rows, changed, ["adjusted_close", "dividend_cash"])
 
 
-@query("t04_total_return_index", f"WITH {_TR} SELECT ticker, date, round(CAST(adjusted_close AS DOUBLE) / CAST(first_value(adjusted_close) OVER (PARTITION BY ticker ORDER BY date) AS DOUBLE) * 100, 3) AS index_rounded FROM trr")
+# The index in millionths, rounded half up, from whole cents.
+@query("t04_total_return_index", f"WITH {_TR}, c AS (SELECT ticker, date, CAST(adjusted_close * 100 AS HUGEINT) AS a, CAST(first_value(adjusted_close) OVER (PARTITION BY ticker ORDER BY date) * 100 AS HUGEINT) AS f FROM trr) SELECT ticker, date, CAST((a * 200000000 + f) // (2 * f) AS BIGINT) AS index_millionths FROM c")
 def t04(spark, folder):
-    return tr.total_return_index(_tr(spark, folder)).select("ticker", "date", F.round(F.col("total_return_index").cast("double"), 3).alias("index_rounded"))
+    return tr.total_return_index(_tr(spark, folder)).select("ticker", "date", (F.col("total_return_index") * 1000000).cast("long").alias("index_millionths"))
 
 
 @query("t05_corporate_actions", f"""WITH {_TR}, d AS (SELECT o_orderpriority AS ticker, CAST(o_orderdate AS DATE) AS date, CAST(sum(o_custkey) AS BIGINT) AS dividend_cash FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1, 2), s AS (SELECT o_orderpriority AS ticker, CAST(o_orderdate AS DATE) AS date, arg_max(o_custkey % 7 + 2, o_orderkey) AS split_factor FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1, 2)
