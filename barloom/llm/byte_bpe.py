@@ -1,8 +1,9 @@
 """Byte-level BPE over Arrow text columns.
 
 The pre-tokenizer of byte-level BPE starts a new piece at every ASCII white-space byte that
-follows a visible character, so a text may be cut there and each *distinct* segment encoded once
-per batch; ids of the whole text are then gathered with numpy.  The ids are those that the
+follows a visible character, at punctuation after a letter or digit, and after a single line break.
+So a text may be cut there and each *distinct* segment encoded once per batch; ids of the whole
+text are then gathered with numpy.  The ids are those that the
 ``tokenizers`` library gives for the whole text (tests compare both).
 """
 
@@ -15,11 +16,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from barloom.llm.words import flat_bytes
+from barloom.llm.words import flat_bytes, span_hashes
 
-#: Distinct segments that a Python worker remembers; beyond it the memory is emptied.
+#: Distinct segments that a Python worker remembers; beyond it, those not met again are forgotten.
 CACHE_SEGMENTS = 600_000
-
+#: Text that is encoded at a time.
+ENCODE_BYTES = 1_500_000
+
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_PUNCTUATION = _VISIBLE & ~_ALNUM
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -28,7 +36,9 @@ def segment_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Byte positions at which a text may be cut without changing its pre-tokens.
 
     A cut is made before white space whose predecessor is visible: printable ASCII, or the last
-    byte of a character that cannot be one of Unicode's white-space characters.
+    byte of a character that cannot be one of Unicode's white-space characters; before ASCII
+    punctuation that follows an ASCII letter or digit; and after a line break between two visible
+    ASCII characters (of which the second may be one of Latin-1's letters).
     """
     n = len(data)
     cut = np.zeros(n + 1, bool)
@@ -41,7 +51,9 @@ def segment_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             third = np.concatenate([[0, 0], data[:-3]]) if n > 3 else np.zeros(n - 1, np.uint8)
             maybe_space = ((second == 0xC2) & ((before == 0x85) | (before == 0xA0))) | (third == 0xE1) | (third == 0xE2) | (third == 0xE3)
             visible |= high & ~maybe_space
-        cut[1:n] = _SPACE[data[1:]] & visible
+        cut[1:n] = (_SPACE[data[1:]] & visible) | (_ALNUM[before] & _PUNCTUATION[data[1:]])
+        if n > 2:
+            cut[2:n] |= (data[1:-1] == 0x0A) & _VISIBLE[data[:-2]] & (_VISIBLE[data[2:]] | (data[2:] == 0xC3))
     cut[offsets[:-1]] = True
     cut[n] = False
     return np.flatnonzero(cut)
@@ -64,45 +76,66 @@ def ragged_gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tu
     return flat[at], ends
 
 
+def hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each word; none may be empty."""
+    data, at = flat_bytes(words)
+    return span_hashes(data, at[:-1], at[1:]), span_hashes(data, at[:-1], at[1:], second=True)
+
+
 class SegmentTable:
-    """Ids of remembered segments, by slot; ``encode`` gives the ids of new ones and how many each has."""
+    """Ids of remembered segments, found by two 64-bit hashes.  Over ``limit`` segments, those
+    that have not been asked for since the last clearing are forgotten.
+    """
 
-    def __init__(self, encode, limit: int = CACHE_SEGMENTS):
-        self.encode, self.limit = encode, limit
+    def __init__(self, limit: int = CACHE_SEGMENTS):
+        self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, np.int64)
-        self.length = np.zeros(1 << 14, np.int64)
-
-    def lookup(self, words: pa.Array) -> np.ndarray:
-        if len(self.slots) > self.limit:
-            self.clear()
-        keys, get = words.to_pylist(), self.slots.get
-        out = np.array([get(k, -1) for k in keys], np.int64)
-        missing = np.flatnonzero(out < 0)
+        self.key, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.asked = np.zeros(0, bool)
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def _forget(self) -> None:
+        keep = self.asked if 2 * self.asked.sum() < self.limit else np.zeros(len(self.asked), bool)
+        flat, ends = ragged_gather(self.flat, self.start[keep], self.length[keep])
+        self.key, self.other, self.length = self.key[keep], self.other[keep], self.length[keep]
+        self.start, self.asked = ends[:-1], np.zeros(len(self.key), bool)
+        self.flat, self.used = np.concatenate([flat, np.zeros(1 << 16, np.int32)]), len(flat)
+
+    def lookup(self, key: np.ndarray, other: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each segment start in ``flat``, and how many there are.
+
+        key, other: hashes of different segments.  encode: from indices of segments to all their ids and how many each has.
+        """
+        if len(self.key) > self.limit:
+            self._forget()
+        place = np.searchsorted(self.key, key)
+        found = np.zeros(len(key), bool)
+        if len(self.key):
+            near = np.minimum(place, len(self.key) - 1)
+            taken = self.key[near] == key
+            found = taken & (self.other[near] == other)
+            self.asked[near[found]] = True
+        start, length = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        start[found], length[found] = self.start[place[found]], self.length[place[found]]
+        missing = np.flatnonzero(~found)
         for lo in range(0, len(missing), 8192):
             part = missing[lo : lo + 8192]
-            self._add([keys[i] for i in part.tolist()], words.take(pa.array(part)), part, out)
-        return out
-
-    def _add(self, keys: list, words: pa.Array, where: np.ndarray, out: np.ndarray) -> None:
-        ids, lengths = self.encode(words)
-        total, first = len(ids), len(self.slots)
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(keys) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.used : self.used + total] = ids
-        self.start[first : first + len(keys)] = self.used + np.cumsum(lengths) - lengths
-        self.length[first : first + len(keys)] = lengths
-        self.used += total
-        self.slots.update(zip(keys, range(first, first + len(keys))))
-        out[where] = np.arange(first, first + len(keys))
+            ids, length[part] = encode(part)
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            start[part] = self.used + np.cumsum(length[part]) - length[part]
+            self.used += len(ids)
+        if len(missing):
+            new = missing[np.unique(key[missing], return_index=True)[1]]
+            if len(self.key):
+                new = new[~taken[new]]  # equal first hashes: the newcomer isn't remembered
+            for name, values in (("key", key), ("other", other), ("start", start), ("length", length), ("asked", np.zeros(len(key), bool))):
+                setattr(self, name, np.insert(getattr(self, name), place[new], values[new]))
+        return start, length
 
 
 class ByteBpe:
@@ -117,34 +150,45 @@ class ByteBpe:
         size = self.tokenizer.get_vocab_size()
         # Byte-level tokens are spelled with one character for each byte.
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.table = SegmentTable(self.encode_segments)
+        self.table = SegmentTable()
 
     def encode_segments(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments, one after another, and how many each has.
 
         Segments that start with white space and end visibly are encoded joined together: the
-        joints are cuts that the pre-tokenizer makes itself.
+        joints are cuts that the pre-tokenizer makes itself.  So are those that start with a letter
+        or digit, with line breaks between them.
         """
         data, offsets = flat_bytes(words)
         size = np.diff(offsets)
-        full = size > 1
-        last = data[offsets[1:] - 1]
-        joined = full & _SPACE[data[np.minimum(offsets[:-1], len(data) - 1)]] & (last > 0x20) & (last < 0x7F)
-        if joined.all():
-            ids = np.array(self._ids(data.tobytes().decode()), np.int32)
-            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), offsets[1:]) + 1
-            return ids, np.diff(ends, prepend=0)
+        first, last = data[np.minimum(offsets[:-1], len(data) - 1)], data[offsets[1:] - 1]
+        closed = (size > 0) & _VISIBLE[last]
+        spaced, bare = closed & (size > 1) & _SPACE[first], closed & _ALNUM[first]
         lengths = np.zeros(len(words), np.int64)
         parts: list = [None] * len(words)
-        at, rest = np.flatnonzero(joined), np.flatnonzero(~joined)
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast(words.take(pa.array(rest)).to_pylist(), add_special_tokens=False)):
+        for some, mark in ((spaced, ""), (bare, "\n")):
+            at = np.flatnonzero(some)
+            if not len(at):
+                continue
+            chosen = words if len(at) == len(words) else words.take(pa.array(at))
+            if mark:  # a visible character first, so that each line break is a piece of its own
+                text = "." + mark + mark.join(chosen.to_pylist())
+                ids = np.array(self._ids(text), np.int32)
+                stops = np.cumsum(size[at] + 1) + 1
+            else:
+                ids = np.array(self._ids(flat_bytes(chosen)[0].tobytes().decode()), np.int32)
+                stops = np.cumsum(size[at])
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), stops) + 1
+            begins = np.concatenate([[1], ends[:-1]]) + 1 if mark else np.concatenate([[0], ends[:-1]])
+            lengths[at] = ends - begins
+            if len(at) == len(words) and not mark:
+                return ids, lengths
+            for i, lo, hi in zip(at.tolist(), begins.tolist(), ends.tolist()):
+                parts[i] = ids[lo:hi]
+        rest = np.flatnonzero(~(spaced | bare))
+        for i, e in zip(rest.tolist(), self.tokenizer.encode_batch_fast(words.take(pa.array(rest)).to_pylist(), add_special_tokens=False)):
             parts[i] = np.array(e.ids, np.int32)
             lengths[i] = len(parts[i])
-        if len(at):
-            ids, lengths[at] = self.encode_segments(words.take(pa.array(at)))
-            ends = np.cumsum(lengths[at])
-            for i, lo, hi in zip(at.tolist(), (ends - lengths[at]).tolist(), ends.tolist()):
-                parts[i] = ids[lo:hi]
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), lengths
 
     def _ids(self, text: str) -> list[int]:
@@ -157,8 +201,8 @@ class ByteBpe:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts = segment_starts(data, offsets)
         index, words = distinct_segments(data, starts)
-        slots = self.table.lookup(words)[index]
-        ids, ends = ragged_gather(self.table.flat, self.table.start[slots], self.table.length[slots])
+        start, length = self.table.lookup(*hashes(words), lambda at: self.encode_segments(words.take(pa.array(at))))
+        ids, ends = ragged_gather(self.table.flat, start[index], length[index])
         return ids, ends[np.searchsorted(starts, offsets)]
 
     def sentence_ends(self) -> np.ndarray:
@@ -177,7 +221,7 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def text_slices(column: pa.Array, most_bytes: int = 4_000_000):
+def text_slices(column: pa.Array, most_bytes: int = 2_000_000):
     """(first, last) row ranges of a column that hold about most_bytes of text each, one row at least."""
     sizes = np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(float))
     ends = np.cumsum(sizes)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm.byte_bpe import byte_bpe, text_slices
+from barloom.llm.byte_bpe import ENCODE_BYTES, byte_bpe, text_slices
 from barloom.llm.common import parts_for, table, text_bytes
 
 WINDOW = 2048
@@ -142,7 +142,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
         end = np.array([end_id], np.int32)
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for lo, hi in text_slices(texts):
+            for lo, hi in text_slices(texts, ENCODE_BYTES):
                 ids, at = bpe.encode(texts.slice(lo, hi - lo))
                 for i in range(lo, hi):
                     runner.add(doc_ids[i], np.concatenate([ids[at[i - lo] : at[i - lo + 1]], end]))

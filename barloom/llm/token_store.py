@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from barloom.llm.byte_bpe import byte_bpe, text_slices
+from barloom.llm.byte_bpe import ENCODE_BYTES, byte_bpe, text_slices
 from barloom.llm.common import new_path, parts_for, table, text_bytes
 from barloom.llm.words import mix
 
@@ -71,7 +71,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
         bpe, seen = byte_bpe(tokenizer_path), set()
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for lo, hi in text_slices(texts):
+            for lo, hi in text_slices(texts, ENCODE_BYTES):
                 ids, at = bpe.encode(texts.slice(lo, hi - lo))
                 n = hi - lo
                 full = np.insert(ids, at[1:], end_id)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+_BYTE, _OTHER_BYTE = (np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) for seed in (20240229, 7))
 
 #: Bytes of words in the two senses used here.
 NOT_SPACE = np.ones(256, bool)
@@ -61,6 +61,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
+    """64-bit hashes of the spans [start, end) of some bytes; none may be empty.  ``second``: another hash."""
+    sums = (_OTHER_BYTE if second else _BYTE)[data]
+    sums *= _powers("up", _BASE, len(data))
+    np.cumsum(sums, out=sums)
+    total = sums[end - 1]
+    total -= np.where(start > 0, sums[start - 1], np.uint64(0))
+    total *= _powers("down", _INVERSE, len(data))[start]
+    return mix(total)
+
+
 def word_hashes(texts: pa.Array, word_bytes: np.ndarray = LETTERS, unicode_lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column in order, and each text's offsets in them.
 
@@ -83,13 +94,7 @@ def word_hashes(texts: pa.Array, word_bytes: np.ndarray = LETTERS, unicode_lower
     last = offsets[1:][offsets[1:] > 0] - 1
     tail[last] = inside[last]
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
-    sums = _BYTE[data]
-    sums *= _powers("up", _BASE, len(data))
-    np.cumsum(sums, out=sums)
-    total = sums[end - 1]
-    total -= np.where(start > 0, sums[start - 1], np.uint64(0))
-    total *= _powers("down", _INVERSE, len(data))[start]
-    return mix(total), np.searchsorted(start, offsets)
+    return span_hashes(data, start, end), np.searchsorted(start, offsets)
 
 
 def ngram_hashes(words: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
