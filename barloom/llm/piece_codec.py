@@ -5,13 +5,14 @@ text gets a space in front (the model's dummy prefix), spaces become ``▁``, an
 merged, best-scored pair first, leftmost first among equals.  Symbols without a piece become bytes.
 
 **Merge-dropout.**  A merge that comes up on the agenda is skipped when a hash keyed by (seed,
-variant, the word, the merge's place, the merge's piece) falls below the dropout probability; it comes up again only when a
-neighbour's merge renews the pair.  A word's occurrences use one of ``VARIANTS`` keys, chosen by a hash of seed,
-document and place, so equal words are cut differently within and across documents, yet the same
+variant, the segment, the merge's place, the merge's piece) falls below the dropout probability; it comes up again only when a
+neighbour's merge renews the pair.  A segment's occurrences use one of ``VARIANTS`` keys, chosen by a hash of seed,
+document and place, so equal segments are cut differently within and across documents, yet the same
 seed always gives the same ids.  With dropout 0 the ids are those of the library.
 
-No piece has ``▁`` after another character, so merges never cross the start of a word and each
-different (word, variant) is processed once while remembered.  A ``▁`` in the text itself is written
+No piece has ``▁`` after another character, and many pairs of ASCII characters stand together in no
+piece, so no merge crosses such places: texts are cut there, and each different (segment, variant) is
+processed once while remembered.  A ``▁`` in the text itself is written
 as its bytes, so decoding gives every text back.
 
 Cases: null and empty texts have no ids and decode to an empty text; repeated rows are encoded
@@ -24,19 +25,20 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm.byte_bpe import ragged_gather, text_slices
+from barloom.llm.byte_bpe import SegmentTable, distinct_segments, hashes, ragged_gather, text_slices
 from barloom.llm.common import table
 from barloom.llm.words import flat_bytes, mix
 
 DROPOUT, SEED, VARIANTS = 0.1, 1, 4
-#: Different (word, variant) that a worker remembers.
-CACHE_WORDS = 500_000
+#: Different (segment, variant) that a worker remembers.
+CACHE_WORDS = 600_000
 #: Symbols of a word from which on its agenda is a heap.
 LONG_WORD = 64
 SPACE = "▁"
@@ -153,53 +155,52 @@ class PieceEncoder:
     def __init__(self, path: str, dropout: float, seed: int):
         self.model, self.dropout, self.seed = PieceModel(path), dropout, seed
         self.keys = [int(x) for x in mix(np.arange(1, VARIANTS + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 20))]
-        self.clear()
-
-    def clear(self) -> None:
-        self.slots: dict = {}
-        self.ids: list[list[int]] = []
+        self.table = SegmentTable(CACHE_WORDS)
+        # Neighbouring ASCII characters that stand together in some piece; between others no merge is possible.
+        self.together = np.ones((256, 256), bool)
+        self.together[:128, :128] = False
+        for piece in self.model.rank:
+            text = piece.replace(SPACE, " ")
+            for a, b in zip(text, text[1:]):
+                if a < "\x80" and b < "\x80":
+                    self.together[ord(a), ord(b)] = True
+
+    def _new(self, words: pa.Array, index: np.ndarray, variant: np.ndarray):
+        def run(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            texts = words.take(pa.array(index[at])).to_pylist()
+            found = [self.model.word_ids(t.replace(SPACE, OWN_SPACE).replace(" ", SPACE), self.dropout, self.keys[v]) for t, v in zip(texts, variant[at].tolist())]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+
+        return run
 
     def encode(self, texts: pa.Array, doc_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and each text's offsets in them; doc_keys: a number for each text."""
+        texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise("", texts, " "))  # a space in front, if there is a text
         data, offsets = flat_bytes(texts)
         n = len(data)
         if not n:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        space = data == 0x20
         head = np.zeros(n, bool)
-        head[1:] = space[1:] & ~space[:-1]
-        first = offsets[:-1][np.diff(offsets) > 0]
-        head[first] = True
+        head[1:] = ~self.together[data[:-1], data[1:]] | ((data[1:] == 0x20) & (data[:-1] != 0x20))
+        head[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(head)
-        opens = np.zeros(n, bool)
-        opens[first] = True
-        opens = opens[starts]  # a text's first word has the space in front
-        ends = np.append(starts, n).astype(np.int32)
-        coded = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        doc = np.searchsorted(offsets, starts, "right") - 1
+        index, words = distinct_segments(data, starts)
+        index = index.astype(np.int64)
         variant = np.zeros(len(starts), np.int64)
         if self.dropout:
+            doc = np.searchsorted(offsets, starts, "right") - 1
             place = np.arange(len(starts)) - np.searchsorted(starts, offsets)[doc]
             variant = (mix(doc_keys[doc].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) + np.uint64(self.seed)) >> np.uint64(32)).astype(np.int64) % VARIANTS
-        wanted, back = np.unique((index * VARIANTS + variant) * 2 + opens, return_inverse=True)
-        if len(self.slots) > CACHE_WORDS:
-            self.clear()
-        words, slots, kept = coded.dictionary.to_pylist(), self.slots, self.ids
-        found = np.empty(len(wanted), np.int64)
-        for k, code in enumerate(wanted.tolist()):
-            name = (words[code // (2 * VARIANTS)], code % (2 * VARIANTS))
-            slot = slots.get(name)
-            if slot is None:
-                slot = slots[name] = len(kept)
-                word = name[0].replace(SPACE, OWN_SPACE).replace(" ", SPACE)
-                kept.append(self.model.word_ids(SPACE + word if code & 1 else word, self.dropout, self.keys[(code >> 1) % VARIANTS]))
-            found[k] = slot
-        used = [kept[s] for s in found.tolist()]
-        lengths = np.fromiter(map(len, used), np.int64, len(used))
-        flat = np.fromiter((x for one in used for x in one), np.int32, int(lengths.sum()))
-        begin = np.cumsum(lengths) - lengths
-        ids, at = ragged_gather(flat, begin[back], lengths[back])
+        code = index * VARIANTS + variant
+        used = np.zeros(len(words) * VARIANTS, bool)
+        used[code] = True
+        wanted = np.flatnonzero(used)
+        back = (np.cumsum(used) - 1)[code]
+        word, of = wanted // VARIANTS, wanted % VARIANTS
+        key, other = (mix(h[word] + of.astype(np.uint64)) for h in hashes(words))
+        start, length = self.table.lookup(key, other, self._new(words, word, of))
+        ids, at = ragged_gather(self.table.flat, start[back], length[back])
         return ids, at[np.searchsorted(starts, offsets)]
 
 
