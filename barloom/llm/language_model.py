@@ -33,7 +33,7 @@ from barloom.llm.common import parts_for, remainder, table, text_bytes
 from barloom.llm.words import NOT_SPACE, mix, word_hashes
 
 MU = 20.0
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 FOLDS, HELD_OUT = 10, 0
 
 #: The lowest two bits of a key tell what it counts.
