@@ -13,8 +13,14 @@ _OWN_FOLDER: list[str] = []
 _SHIPPED: dict[str, bool] = {}
 
 
+#: Rows of an Arrow batch, unless the session has a value of its own: texts may be long.
+BATCH_ROWS = "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, whose Python may not have it on its path."""
+    """Send this package to the executors, whose Python may not have it on its path, and keep Arrow batches of texts small."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if _SHIPPED.get(spark.sparkContext.applicationId):
         return
     root = Path(__file__).resolve().parents[2]
