@@ -240,3 +240,18 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, n: int = N) ->
 
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(table(spark, folder, "documents"))
+
+
+#: The links by counting shared n-grams, the components by a recursive walk.
+ORACLE = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9A-Za-z_\x{80}-\x{10FFFF}]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b, k = x.n AND k = y.n AS equal FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 9 * k >= 4 * (x.n + y.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+whole AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n_links, count(*) FILTER (equal) AS copies, min(b) FILTER (equal) AS first_copy FROM links GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(first_copy, doc_id)) AS class_id, coalesce(copies, 0) + 1 AS n_copies, coalesce(n_links, 0) AS n_links, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN counted ON counted.a = doc_id JOIN whole ON whole.a = doc_id
+"""

@@ -39,4 +39,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat_format.ORACLE}
+    return {
+        "op1_ngram_jaccard_join": ngram_join.ORACLE,
+        "op4_chat_format": chat_format.ORACLE,
+        "op5_embedding_near_dedup": embedding_dedup.ORACLE,
+        "op8_secret_scan": secret_scan.ORACLE,
+    }
