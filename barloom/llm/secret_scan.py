@@ -115,20 +115,49 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     """The documents with every owner-specific, live-looking secret replaced by ``[SECRET]``.
 
-    Values are replaced by text, longest first, so a secret goes wherever it stands in its document.
+    Values are replaced by text, longest first, so a secret goes wherever it stands in its document;
+    documents without a doc_id share theirs.
     """
     names = docs.columns
     scanned = scan(docs, owner).select("doc_id", F.filter("spans", lambda x: x["verdict"] == "owned").alias("spans")).where(F.size("spans") > 0)
     values = scanned.select("doc_id", F.explode("spans.value").alias("value")).distinct().groupBy("doc_id").agg(F.collect_set("value").alias("values"))
     longest = F.reverse(F.array_sort(F.transform("values", lambda v: F.struct(F.length(v).alias("n"), v.alias("value")))))
-    joined = docs.join(values.select(F.col("doc_id").alias("secret_of"), longest.alias("secret_values")), F.col("doc_id") == F.col("secret_of"), "left")
-    clean = F.when(F.col("secret_values").isNull(), F.col("text")).otherwise(
-        F.aggregate("secret_values", F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]"))))
+    values = values.select(F.col("doc_id").alias("__secret_of"), longest.alias("__secret_values"))
+    joined = docs.join(values, docs["doc_id"].cast("long").eqNullSafe(values["__secret_of"]), "left")
+    none = F.col("__secret_values").isNull()
+    clean = F.when(none, F.col("text")).otherwise(F.aggregate("__secret_values", F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]"))))
     out = joined.withColumn("text", clean)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("secret_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(none, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*names)
 
 
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return digest(scan(table(spark, folder, "documents")))
+
+
+def _oracle() -> str:
+    patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, OPAQUE)))
+    quoted = {k: p.replace("'", "''") for k, p in patterns.items()}
+    live = "(regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(regexp_extract_all(value, '.'))) >= 8 AND NOT regexp_matches(lower(value), 'example|sample|changeme|dummy|placeholder|xxxx|12345'))"
+    good = {"assign": "length(value) >= 6", "access": "length(value) >= 20", "hex": "length(value) >= 24", "opaque": live}
+    parts = []
+    for order, (kind, p) in enumerate(quoted.items()):
+        value = f"regexp_extract(found, '{p}', 2)" if kind == "assign" else "found"
+        parts.append(f"""SELECT doc_id, owner, {order} AS ord, '{kind}' AS kind, z - length(found) AS a, z AS e, value FROM (
+  SELECT *, {value} AS value FROM (SELECT doc_id, owner, found, sum(length(gap) + length(found)) OVER (PARTITION BY doc_id ORDER BY i) AS z FROM (
+    SELECT doc_id, owner, i, all_gaps[i] AS gap, all_found[i] AS found FROM (SELECT doc_id, owner, string_split_regex(t, '{p}') AS all_gaps, regexp_extract_all(t, '{p}', 0) AS all_found, unnest(range(1, len(regexp_extract_all(t, '{p}', 0)) + 1)) AS i FROM docs)))) WHERE {good[kind]}""")
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+found AS ({' UNION ALL '.join(parts)}),
+judged AS (SELECT f.*, CASE WHEN owners >= {COPIED_OWNERS} THEN 'copied' WHEN {live.replace('value', 'f.value')} THEN 'owned' ELSE 'plain' END AS verdict FROM found f JOIN (SELECT value, count(DISTINCT owner) AS owners FROM found GROUP BY value) o ON o.value = f.value),
+kept AS (SELECT * FROM judged j WHERE ord < 3 OR (verdict = 'owned' AND NOT EXISTS (SELECT 1 FROM judged b WHERE b.doc_id = j.doc_id AND b.ord < 3 AND b.a < j.e AND j.a < b.e)))
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, ord) FILTER (ord < 3), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, ord), '') AS spans,
+  count(*) FILTER (verdict = 'owned') AS n_owned, count(*) FILTER (verdict = 'copied') AS n_copied
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLE = _oracle()
