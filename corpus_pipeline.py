@@ -4,7 +4,7 @@ secrets are cut out, and what is left is packed into token sequences.
 Each stage is a function ``(spark, docs, folder) -> DataFrame`` on all documents that the one before
 kept; ``run`` writes each stage's result as Parquet in the shared folder and reads it for the next.
 
-Cases: each stage takes null and empty texts (neither toxic nor duplicates), repeated rows (one stays),
+Cases: each stage takes null and empty texts (neither toxic nor duplicates), repeated rows (those of one doc_id stay or go together),
 empty tables and extra columns, which it keeps; all stages but the last return the columns they got.
 """
 
@@ -14,9 +14,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import ngram_join, packing, secret_scan, toxicity
-from barloom.llm.common import table, written
+from barloom.llm.common import ship, table, written
 
 ORACLE_SQL = None
+#: A name that no document column has.
+_GONE = "__gone_doc_id"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -24,16 +26,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
     The model learns from the labelled rows of the learning folds, over all ``documents`` of the folder.
     """
+    ship(spark)
     model = toxicity.fit_on_folds(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    rejected = toxicity.score(docs, model).where(F.col("score") >= toxicity.THRESHOLD).select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(rejected, docs["doc_id"] == F.col("rejected_id"), "left_anti")
+    return toxicity.clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest doc_id of each group linked by n-gram similarity stays; so do documents without a doc_id."""
+    ship(spark)
     joined = ngram_join.jaccard_join(docs)
-    gone = joined.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone = joined.where("not kept and doc_id is not null").select(F.col("doc_id").alias(_GONE)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[_GONE], "left_anti")
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -43,6 +46,7 @@ def cut_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of token sequences, with the digests of their ids."""
+    ship(spark)
     return packing.digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
