@@ -49,7 +49,7 @@ def classify_gap(evidence: DataFrame) -> DataFrame:
     cause = (
         F.when(F.col("quarantine_event_id").isNotNull(), "QUARANTINED_VALUE_ANOMALY").when(current | flag("curated_rejected"), "RAW_PRESENT_CURATED_REJECTED")
         .when(flag("calendar_false_positive"), "CALENDAR_EXPECTATION_FALSE_POSITIVE").when(flag("closed_session"), "WEEKEND_OR_HOLIDAY_CLOSURE")
-        .when(flag("maintenance_boundary"), "DAILY_MAINTENANCE_BOUNDARY").when(F.col("covering_run_id").isNotNull(), "SAXO_RAW_NO_SAMPLE").otherwise("ACQUISITION_RUN_MISSED"))
+        .when(flag("maintenance_boundary"), "DAILY_MAINTENANCE_BOUNDARY").when(F.col("covering_run_id").isNotNull(), "PROVIDER_RAW_NO_SAMPLE").otherwise("ACQUISITION_RUN_MISSED"))
     return evidence.withColumn("cause", F.when(F.col("slot_utc").isNull(), "UNCLASSIFIED").otherwise(cause))
 
 

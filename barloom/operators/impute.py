@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from barloom.operators.calendar import terminal_slot
 
 MAX_CONSECUTIVE, MAX_PER_SESSION = 2, 2
-IMPUTED, ACCEPTED = "IMPUTED_PREVIOUS_VALID", "SAXO_ACCEPTED"  # fixed values
+IMPUTED, ACCEPTED = "IMPUTED_PREVIOUS_VALID", "PROVIDER_ACCEPTED"  # fixed values
 SESSION = ["instrument_key", "session_date"]
 
 

@@ -381,7 +381,7 @@ def g05(spark, folder):
 
 _GAPS = f"""{_MISSING}, {_COVER}, ev AS (SELECT m.*, (SELECT max(run_id) FROM revisions r WHERE r.instrument_key = m.instrument_key AND r.time_utc = m.slot_utc) AS raw_run_id, (SELECT max(event_id) FROM errs e WHERE e.instrument_key = m.instrument_key AND e.time_utc = m.slot_utc) AS quarantine_event_id,
   (SELECT max(run_id) FROM bounds r WHERE r.instrument_key = m.instrument_key AND m.slot_utc BETWEEN a AND z) AS covering_run_id FROM miss m),
-gaps AS (SELECT *, CASE WHEN quarantine_event_id IS NOT NULL THEN 'QUARANTINED_VALUE_ANOMALY' WHEN raw_run_id IS NOT NULL AND (covering_run_id IS NULL OR raw_run_id >= covering_run_id) THEN 'RAW_PRESENT_CURATED_REJECTED' WHEN covering_run_id IS NOT NULL THEN 'SAXO_RAW_NO_SAMPLE' ELSE 'ACQUISITION_RUN_MISSED' END AS cause FROM ev),
+gaps AS (SELECT *, CASE WHEN quarantine_event_id IS NOT NULL THEN 'QUARANTINED_VALUE_ANOMALY' WHEN raw_run_id IS NOT NULL AND (covering_run_id IS NULL OR raw_run_id >= covering_run_id) THEN 'RAW_PRESENT_CURATED_REJECTED' WHEN covering_run_id IS NOT NULL THEN 'PROVIDER_RAW_NO_SAMPLE' ELSE 'ACQUISITION_RUN_MISSED' END AS cause FROM ev),
 rich AS (SELECT instrument_key, session_date, slot_utc, cause, slot_utc - INTERVAL 5 HOUR AS ny_time, year(slot_utc) AS year, month(slot_utc) AS month, isodow(slot_utc) - 1 AS weekday, hour(slot_utc) AS utc_hour, hour(slot_utc - INTERVAL 5 HOUR) AS ny_hour, cause IN ('ACQUISITION_RUN_MISSED', 'RAW_PRESENT_CURATED_REJECTED') AS blocking FROM gaps)"""
 
 

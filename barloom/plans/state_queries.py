@@ -31,7 +31,7 @@ plan AS (SELECT instrument_key, session_date, expected_slots, actual_slots, miss
     WHEN longest > 2 THEN 'BLOCKED_CONSECUTIVE_MISSING_LIMIT' WHEN coalesce(n, 0) < missing_slots THEN 'BLOCKED_ACTUAL_ANCHOR_MISSING' ELSE 'PASS_WITH_IMPUTATION_WARNING' END AS plan_status
   FROM profile JOIN instruments USING (instrument_key) LEFT JOIN (SELECT instrument_key, session_date, max(gap_count) AS longest FROM islands GROUP BY 1, 2) USING (instrument_key, session_date) LEFT JOIN (SELECT instrument_key, session_date, count(*) AS n FROM fills GROUP BY 1, 2) USING (instrument_key, session_date)),
 overlay AS (SELECT fills.* FROM fills JOIN plan USING (instrument_key, session_date) WHERE plan_status = 'PASS_WITH_IMPUTATION_WARNING'),
-overlaid AS (SELECT instrument_key, time_utc, close, 'SAXO_ACCEPTED' AS source_kind, run_id FROM bars WHERE is_complete UNION ALL SELECT instrument_key, slot_utc, close, 'IMPUTED_PREVIOUS_VALID', NULL FROM overlay)"""
+overlaid AS (SELECT instrument_key, time_utc, close, 'PROVIDER_ACCEPTED' AS source_kind, run_id FROM bars WHERE is_complete UNION ALL SELECT instrument_key, slot_utc, close, 'IMPUTED_PREVIOUS_VALID', NULL FROM overlay)"""
 
 
 def _states(spark, folder):
@@ -100,7 +100,7 @@ def i08(spark, folder):
 
 
 @query("i09_daily_close", sql(f"""WITH {_STATES}, g AS (SELECT s.instrument_key, s.session_date, s.verification_status, CAST(ceil((epoch(close_utc) - epoch(open_utc)) / 3600) AS BIGINT) AS expected_slots, count(DISTINCT o.time_utc) AS observed_slots, count(*) FILTER (source_kind = 'IMPUTED_PREVIOUS_VALID') AS imputed_bars,
-  bool_or(o.time_utc = open_utc + INTERVAL (CAST(floor((epoch(close_utc) - epoch(open_utc) - 1) / 3600) AS BIGINT)) HOUR AND source_kind = 'SAXO_ACCEPTED') AS terminal_present, max(o.close) FILTER (o.time_utc = open_utc + INTERVAL (CAST(floor((epoch(close_utc) - epoch(open_utc) - 1) / 3600) AS BIGINT)) HOUR AND source_kind = 'SAXO_ACCEPTED') AS close
+  bool_or(o.time_utc = open_utc + INTERVAL (CAST(floor((epoch(close_utc) - epoch(open_utc) - 1) / 3600) AS BIGINT)) HOUR AND source_kind = 'PROVIDER_ACCEPTED') AS terminal_present, max(o.close) FILTER (o.time_utc = open_utc + INTERVAL (CAST(floor((epoch(close_utc) - epoch(open_utc) - 1) / 3600) AS BIGINT)) HOUR AND source_kind = 'PROVIDER_ACCEPTED') AS close
   FROM own_sessions s LEFT JOIN overlaid o ON o.instrument_key = s.instrument_key AND o.time_utc >= open_utc AND o.time_utc < close_utc GROUP BY ALL)
 SELECT instrument_key, session_date, close, expected_slots, observed_slots, imputed_bars, terminal_present, CASE WHEN verification_status <> 'VERIFIED' THEN 'BLOCKED_CALENDAR_NOT_VERIFIED' WHEN NOT terminal_present THEN 'BLOCKED_DAILY_CLOSE_SOURCE_MISSING' WHEN observed_slots <> expected_slots THEN 'BLOCKED_SESSION_COVERAGE' WHEN imputed_bars > 0 THEN 'PASS_WITH_IMPUTATION_WARNING' ELSE 'PASS' END AS derivation_status FROM g"""))
 def i09(spark, folder):

@@ -70,7 +70,7 @@ GAPS = "instrument_key string, slot_utc timestamp_ntz, quarantine_event_id long,
 
 
 @pytest.mark.parametrize("quarantine,raw,covering,curated,cause", [
-    (1, 5, 9, True, "QUARANTINED_VALUE_ANOMALY"), (None, 9, 5, False, "RAW_PRESENT_CURATED_REJECTED"), (None, 5, 9, False, "SAXO_RAW_NO_SAMPLE"),
+    (1, 5, 9, True, "QUARANTINED_VALUE_ANOMALY"), (None, 9, 5, False, "RAW_PRESENT_CURATED_REJECTED"), (None, 5, 9, False, "PROVIDER_RAW_NO_SAMPLE"),
     (None, 5, None, False, "RAW_PRESENT_CURATED_REJECTED"), (None, None, None, True, "RAW_PRESENT_CURATED_REJECTED"), (None, None, None, False, "ACQUISITION_RUN_MISSED")])
 def test_gap_causes(spark, quarantine, raw, covering, curated, cause):
     rows = spark.createDataFrame([("a", at("2024-01-02 10:00:00"), quarantine, raw, covering, curated)], GAPS)
