@@ -221,7 +221,7 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def text_slices(column: pa.Array, most_bytes: int = 2_000_000):
+def text_slices(column: pa.Array, most_bytes: int = 1_000_000):
     """(first, last) row ranges of a column that hold about most_bytes of text each, one row at least."""
     sizes = np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(float))
     ends = np.cumsum(sizes)

@@ -96,8 +96,8 @@ def _learners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield result()
                     held = []
                 shard = shards[lo + i]
-                own = np.unique(places[edge[i] : edge[i + 1]])
-                held.append((np.append(own, 1 << BITS), float(labels[lo + i])))
+                own = np.unique(places[edge[i] : edge[i + 1]]).astype(np.int32)
+                held.append((np.append(own, np.int32(1 << BITS)), float(labels[lo + i])))
     if held:
         yield result()
 
