@@ -45,8 +45,8 @@ def easter(year: str) -> Column:
     return F.expr(f"date_add(make_date({y}, 3, 28), cast({i} - {j} as int))")
 
 
-def equity_holidays(years: DataFrame) -> DataFrame:
-    """holiday_date of every rule for the distinct values of ``year``; a New Year's Day may be observed in the year before."""
+def _closed() -> Column:
+    """Holiday dates of all rules for the column ``year``."""
     y = F.col("year")
     rules = [
         _observed(F.make_date(y, F.lit(1), F.lit(1))), _nth(y, 1, 0, 3), _nth(y, 2, 0, 3), F.date_sub(easter("year"), 2), _last(y, 5, 0),
@@ -54,18 +54,28 @@ def equity_holidays(years: DataFrame) -> DataFrame:
         _nth(y, 9, 0, 1), _nth(y, 11, 3, 4), _observed(F.make_date(y, F.lit(12), F.lit(25))),
     ]
     extra = [F.when(F.year(F.lit(d).cast("date")) == y, F.lit(d).cast("date")) for d in EXCEPTIONAL_CLOSURES]
-    return years.select(F.col("year").cast("int")).distinct().select(F.explode(F.array_compact(F.array(*rules, *extra))).alias("holiday_date")).distinct()
+    return F.array_compact(F.array(*rules, *extra))
+
+
+def equity_holidays(years: DataFrame) -> DataFrame:
+    """holiday_date of every rule for the distinct values of ``year``; a New Year's Day may be observed in the year before."""
+    return years.select(F.col("year").cast("int")).distinct().select(F.explode(_closed()).alias("holiday_date")).distinct()
 
 
 def _weekday_before(d: Column) -> Column:
     return F.date_sub(d, F.when(_weekday(d) == 0, 3).when(_weekday(d) == 6, 2).otherwise(1))
 
 
+def _short() -> Column:
+    """Candidates of short days for the column ``year``; weekends and holidays among them don't count."""
+    y = F.col("year")
+    return F.array(F.date_add(_nth(y, 11, 3, 4), 1), *[_weekday_before(_observed(F.make_date(y, F.lit(m), F.lit(d)))) for m, d in ((12, 25), (7, 4))])
+
+
 def equity_short_sessions(years: DataFrame) -> DataFrame:
     """short_date: the day after Thanksgiving and the weekdays before observed Christmas and Independence Day, unless holidays."""
     y = F.col("year")
-    days = F.array(F.date_add(_nth(y, 11, 3, 4), 1), *[_weekday_before(_observed(F.make_date(y, F.lit(m), F.lit(d)))) for m, d in ((12, 25), (7, 4))])
-    wanted = years.select(F.col("year").cast("int")).distinct().select(F.explode(days).alias("short_date")).distinct()
+    wanted = years.select(F.col("year").cast("int")).distinct().select(F.explode(_short()).alias("short_date")).distinct()
     around = years.select(F.explode(F.array(y - 1, y, y + 1)).alias("year"))
     return wanted.where(_weekday(F.col("short_date")) < 5).join(equity_holidays(around), F.col("short_date") == F.col("holiday_date"), "left_anti")
 
@@ -81,14 +91,13 @@ def _at(d: Column, hour: int, minute: int = 0) -> Column:
 
 
 def equity_sessions(bounds: DataFrame) -> DataFrame:
-    """Sessions 09:30-16:00 in New York (13:00 on short days) for the weekdays of ``bounds``."""
-    days = weekdays(bounds)
-    years = days.select(F.explode(F.array(*[F.year("session_date") + k for k in (-1, 0, 1)])).alias("year"))
-    closed = equity_holidays(years)
-    short = equity_short_sessions(days.select(F.year("session_date").alias("year")))
+    """Sessions 09:30-16:00 in New York (13:00 on short days) for the weekdays of ``bounds`` (one row)."""
+    years = bounds.select(F.explode(F.sequence(F.year("first_date") - 1, F.year("last_date") + 1)).alias("year"))
+    rules = years.select(_closed().alias("c"), _short().alias("s")).agg(F.flatten(F.collect_list("c")).alias("closed"), F.flatten(F.collect_list("s")).alias("short"))
+    marked = weekdays(bounds).crossJoin(F.broadcast(rules))  # one row: the dates of a few years
     d = F.col("session_date")
-    marked = days.join(closed, d == F.col("holiday_date"), "left").join(short, d == F.col("short_date"), "left")
-    holiday, early = F.col("holiday_date").isNotNull(), F.col("short_date").isNotNull()
+    holiday = F.array_contains("closed", d)
+    early = F.array_contains("short", d) & ~holiday
     return marked.select(
         F.lit(EQUITY).alias("calendar_id"), d, F.when(~holiday, _at(d, 9, 30)).alias("open_utc"),
         F.when(~holiday, F.when(early, _at(d, 13)).otherwise(_at(d, 16))).alias("close_utc"),
