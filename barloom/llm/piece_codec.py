@@ -4,15 +4,17 @@ The vocabulary comes from a SentencePiece model of merge (BPE) type without text
 text gets a space in front (the model's dummy prefix), spaces become ``▁``, and adjacent symbols are
 merged, best-scored pair first, leftmost first among equals.  Symbols without a piece become bytes.
 
-**Merge-dropout.**  A merge that comes up on the agenda is skipped when a hash keyed by (seed,
-variant, the segment, the merge's place, the merge's piece) falls below the dropout probability; it comes up again only when a
-neighbour's merge renews the pair.  A segment's occurrences use one of ``VARIANTS`` keys, chosen by a hash of seed,
-document and place, so equal segments are cut differently within and across documents, yet the same
+**Merge-dropout.**  A merge that comes up on the agenda is skipped when a hash of the occurrence's key and
+the merge's place in the segment falls below the dropout probability; it comes up again only when a
+neighbour's merge renews the pair.  Every occurrence of a segment has a key of its own, a hash of seed, document and
+place, so equal segments are cut independently within and across documents, yet the same
 seed always gives the same ids.  With dropout 0 the ids are those of the library.
 
 No piece has ``▁`` after another character, and many pairs of ASCII characters stand together in no
-piece, so no merge crosses such places: texts are cut there, and each different (segment, variant) is
-processed once while remembered.  A ``▁`` in the text itself is written
+piece, so no merge crosses such places: texts are cut there.  What an agenda leaves depends only on which of its
+merges are skipped.  So (segment, first ``SKIPS`` or fewer skipped merges) is processed once while remembered, with the merges
+that come up after them; an occurrence whose key skips none of these takes the remembered ids.  Occurrences with more skips,
+and long segments, have an agenda of their own.  A ``▁`` in the text itself is written
 as its bytes, so decoding gives every text back.
 
 Cases: null and empty texts have no ids and decode to an empty text; repeated rows are encoded
@@ -21,11 +23,9 @@ alike; null doc_ids are allowed; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +36,30 @@ from barloom.llm.byte_bpe import SegmentTable, distinct_segments, hashes, ragged
 from barloom.llm.common import table
 from barloom.llm.words import flat_bytes, mix
 
-DROPOUT, SEED, VARIANTS = 0.1, 1, 4
-#: Different (segment, variant) that a worker remembers.
-CACHE_WORDS = 600_000
+DROPOUT, SEED = 0.1, 1
+#: Different (segment, skipped merges) that a worker remembers, and the most skipped merges of a remembered one.
+CACHE_WORDS, SKIPS = 600_000, 2
 #: Symbols of a word from which on its agenda is a heap.
 LONG_WORD = 64
 SPACE = "▁"
 #: Stands for a ``▁`` of the text itself while a word is processed (a code point that no text has).
 OWN_SPACE = "\ud800"
 NEVER = float("inf")
-#: Random numbers for the places of merges.
-_PLACES = [int(x) for x in mix(np.arange(4096, dtype=np.uint64) + np.uint64(99)) >> np.uint64(32)]
+#: A merge's place: its first symbol's position times this, plus the characters of its piece.
+PLACE = 1 << 16
+_STEP, _64 = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def skipped(key: int, place: int, level: int) -> bool:
+    """Whether an occurrence's key skips the merge at a place; level: the dropout probability times 2**32.  The same as ``all_skipped``."""
+    x = key + place * _STEP & _64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _64
+    return (x ^ x >> 31) >> 32 < level
+
+
+def all_skipped(keys: np.ndarray, places: np.ndarray, level: int) -> np.ndarray:
+    return mix(keys + places.astype(np.uint64) * np.uint64(_STEP)) >> np.uint64(32) < np.uint64(level)
 
 
 class PieceModel:
@@ -72,35 +85,35 @@ class PieceModel:
         """
         if len(word) > LONG_WORD:
             return self._merged_by_heap(word, skip, key)
-        symbols = list(word)
+        return self._merged_by_list(word, skip, key)[0]
+
+    def _merged_by_list(self, word: str, skip: float = 0.0, key: int = 0, without: tuple[int, ...] = ()) -> tuple[list[str], list[int]]:
+        """The symbols, and the places of all merges that came up after the last of ``without``: numbers of merges, as they come up, that are skipped."""
+        symbols, places = list(word), []
         rank = self.rank.get
         agenda = [rank(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        if not agenda:
-            return symbols
         level = int(skip * 4294967296)
-        salt = zlib.crc32(word.encode("utf-8", "surrogatepass"), key & 0xFFFFFFFF) if level else 0
         begin = list(range(len(symbols)))
         while agenda and (best := min(agenda)) != NEVER:
             i = agenda.index(best)
             joined = symbols[i] + symbols[i + 1]
-            if level:
-                x = (salt ^ _PLACES[(begin[i] * 31 + len(joined)) & 4095]) * 0x846CA68B & 0xFFFFFFFF
-                if (x ^ x >> 15) * 0x7FEB352D & 0xFFFFFFFF < level:
-                    agenda[i] = NEVER  # until a neighbour's merge renews the pair
-                    continue
+            place = begin[i] * PLACE + len(joined)
+            places.append(place)
+            if len(places) - 1 in without or level and skipped(key, place, level):
+                agenda[i] = NEVER  # until a neighbour's merge renews the pair
+                continue
             symbols[i] = joined
             del symbols[i + 1], begin[i + 1], agenda[i]
             if i < len(agenda):
                 agenda[i] = rank(joined + symbols[i + 1], NEVER)
             if i:
                 agenda[i - 1] = rank(symbols[i - 1] + joined, NEVER)
-        return symbols
+        return symbols, places[without[-1] + 1 :] if without else places
 
     def _merged_by_heap(self, word: str, skip: float, key: int) -> list[str]:
         symbols, n = list(word), len(word)
         rank = self.rank.get
         level = int(skip * 4294967296)
-        salt = zlib.crc32(word.encode("utf-8", "surrogatepass"), key & 0xFFFFFFFF) if level else 0
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = [(r, i, a + b) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (r := rank(a + b)) is not None]
         heapify(agenda)
@@ -109,10 +122,8 @@ class PieceModel:
             j = after[i]
             if symbols[i] is None or j >= n or symbols[i] + symbols[j] != joined:
                 continue  # one of the two has been merged since
-            if level:
-                x = (salt ^ _PLACES[(i * 31 + len(joined)) & 4095]) * 0x846CA68B & 0xFFFFFFFF
-                if (x ^ x >> 15) * 0x7FEB352D & 0xFFFFFFFF < level:
-                    continue
+            if level and skipped(key, i * PLACE + len(joined), level):
+                continue
             symbols[i], symbols[j] = joined, None
             after[i] = k = after[j]
             if k < n:
@@ -124,8 +135,11 @@ class PieceModel:
         return [s for s in symbols if s is not None]
 
     def word_ids(self, word: str, skip: float, key: int) -> list[int]:
+        return self.symbol_ids(self.merged(word, skip, key))
+
+    def symbol_ids(self, symbols: list[str]) -> list[int]:
         ids, known = [], self.pieces.get
-        for symbol in self.merged(word, skip, key):
+        for symbol in symbols:
             i = known(symbol)
             if i is not None:
                 ids.append(i)
@@ -154,7 +168,7 @@ class PieceModel:
 class PieceEncoder:
     def __init__(self, path: str, dropout: float, seed: int):
         self.model, self.dropout, self.seed = PieceModel(path), dropout, seed
-        self.keys = [int(x) for x in mix(np.arange(1, VARIANTS + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 20))]
+        self.level = int(dropout * 4294967296)
         self.table = SegmentTable(CACHE_WORDS)
         # Neighbouring ASCII characters that stand together in some piece; between others no merge is possible.
         self.together = np.ones((256, 256), bool)
@@ -165,15 +179,87 @@ class PieceEncoder:
                 if a < "\x80" and b < "\x80":
                     self.together[ord(a), ord(b)] = True
 
-    def _new(self, words: pa.Array, index: np.ndarray, variant: np.ndarray):
+    def _new(self, words: list[str | None], index: np.ndarray, without: np.ndarray):
+        """Rows of the table: how many ids, the ids, the places of merges that a key may still skip."""
+
         def run(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            texts = words.take(pa.array(index[at])).to_pylist()
-            found = [self.model.word_ids(t.replace(SPACE, OWN_SPACE).replace(" ", SPACE), self.dropout, self.keys[v]) for t, v in zip(texts, variant[at].tolist())]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+            rows, lengths = [], np.zeros(len(at), np.int64)
+            for k, (i, steps) in enumerate(zip(index[at].tolist(), without[at].tolist())):
+                word = words[i]
+                if len(word) <= LONG_WORD:
+                    symbols, places = self.model._merged_by_list(word, without=tuple(steps))
+                else:
+                    symbols, places = self.model.merged(word), []
+                ids = self.model.symbol_ids(symbols)
+                rows.append(len(ids))
+                rows += ids
+                if self.level:
+                    rows += places
+                    lengths[k] = 1 + len(ids) + len(places)
+                else:
+                    lengths[k] = 1 + len(ids)
+            return np.array(rows, np.int32), lengths
 
         return run
 
+    def occurrence_keys(self, doc_keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """A key for each occurrence: a hash of seed, document and place."""
+        seed = mix(np.array([self.seed], np.int64).astype(np.uint64) + np.uint64(1))
+        return mix(mix(doc_keys.astype(np.uint64) + seed) + place.astype(np.uint64))
+
+    def _cut(self, words: pa.Array, index: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each occurrence start and how many they are; index: each occurrence's word, keys: its key."""
+        texts = [t.replace(SPACE, OWN_SPACE).replace(" ", SPACE) for t in words.to_pylist()]
+        start, length = np.zeros(len(index), np.int64), np.zeros(len(index), np.int64)
+        parts, used = [], 0
+
+        def keep(at: np.ndarray, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+            nonlocal used
+            start[at], length[at] = first + used, count
+            parts.append(ids)
+            used += len(ids)
+
+        def alone(at: np.ndarray) -> None:
+            found = [self.model.word_ids(texts[i], self.dropout, k) for i, k in zip(index[at].tolist(), keys[at].tolist())]
+            count = np.fromiter(map(len, found), np.int64, len(found))
+            keep(at, np.fromiter((i for f in found for i in f), np.int32, int(count.sum())), np.cumsum(count) - count, count)
+
+        left = np.arange(len(index))
+        if self.level:
+            long = np.fromiter((len(t) > LONG_WORD for t in texts), bool, len(texts))[index]
+            alone(left[long])
+            left = left[~long]
+        # Nodes: words with the numbers of their skipped merges; node: that of each occurrence left.
+        some, node = np.unique(index[left], return_inverse=True)
+        word, without = some, np.zeros((len(some), 0), np.int64)
+        key, other = (h[some] for h in hashes(words))
+        while len(left):
+            first, size = self.table.lookup(key, other, self._new(texts, word, without))
+            n_ids = self.table.flat[first].astype(np.int64)
+            ids, ends = ragged_gather(self.table.flat, first + 1, n_ids)
+            n_places = size - 1 - n_ids
+            places, at = ragged_gather(self.table.flat, (first + 1 + n_ids)[node], n_places[node])
+            owner = np.repeat(np.arange(len(left)), n_places[node])
+            skip = np.flatnonzero(all_skipped(keys[left][owner], places, self.level)) if self.level else np.zeros(0, np.int64)
+            again = owner[skip]
+            once = np.ones(len(again), bool)
+            once[1:] = again[1:] != again[:-1]
+            skip, again = skip[once], again[once]  # the first merge that each occurrence's key skips
+            done = np.ones(len(left), bool)
+            done[again] = False
+            keep(left[done], ids, ends[:-1][node[done]], n_ids[node[done]])
+            if without.shape[1] == SKIPS:
+                alone(left[again])
+                break
+            past = without[:, -1] + 1 if without.shape[1] else np.zeros(len(word), np.int64)
+            step = skip - at[again] + past[node[again]]
+            code, inverse = np.unique(node[again] * (4 * LONG_WORD) + step, return_inverse=True)
+            parent, step = code // (4 * LONG_WORD), code % (4 * LONG_WORD)
+            word, without = word[parent], np.column_stack([without[parent], step])
+            key, other = (mix(h[parent] + step.astype(np.uint64) + np.uint64(1)) for h in (key, other))
+            left, node = left[again], inverse
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, length
+
     def encode(self, texts: pa.Array, doc_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and each text's offsets in them; doc_keys: a number for each text."""
         texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise("", texts, " "))  # a space in front, if there is a text
@@ -187,20 +273,10 @@ class PieceEncoder:
         starts = np.flatnonzero(head)
         index, words = distinct_segments(data, starts)
         index = index.astype(np.int64)
-        variant = np.zeros(len(starts), np.int64)
-        if self.dropout:
-            doc = np.searchsorted(offsets, starts, "right") - 1
-            place = np.arange(len(starts)) - np.searchsorted(starts, offsets)[doc]
-            variant = (mix(doc_keys[doc].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) + np.uint64(self.seed)) >> np.uint64(32)).astype(np.int64) % VARIANTS
-        code = index * VARIANTS + variant
-        used = np.zeros(len(words) * VARIANTS, bool)
-        used[code] = True
-        wanted = np.flatnonzero(used)
-        back = (np.cumsum(used) - 1)[code]
-        word, of = wanted // VARIANTS, wanted % VARIANTS
-        key, other = (mix(h[word] + of.astype(np.uint64)) for h in hashes(words))
-        start, length = self.table.lookup(key, other, self._new(words, word, of))
-        ids, at = ragged_gather(self.table.flat, start[back], length[back])
+        doc = np.searchsorted(offsets, starts, "right") - 1
+        place = np.arange(len(starts)) - np.searchsorted(starts, offsets)[doc]
+        flat, start, length = self._cut(words, index, self.occurrence_keys(doc_keys[doc], place))
+        ids, at = ragged_gather(flat, start, length)
         return ids, at[np.searchsorted(starts, offsets)]
 
 

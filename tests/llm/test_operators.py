@@ -447,6 +447,28 @@ def test_long_words_go_by_heap_alike():
     assert model.merged(word) == model._merged_by_heap(word, 0.0, 0) == model.library.encode_as_pieces(word[1:])
 
 
+def test_every_occurrence_has_its_own_dropout():
+    encoder, n = piece_codec.PieceEncoder(PIECES, 0.1, 1), 20_000
+    model = encoder.model
+    assert len(model._merged_by_list("▁a")[1]) == 1
+    for texts, docs in ((pa.array(["a"] * n), np.arange(n)), (pa.array([" ".join("a" * n)]), np.array([7]))):
+        ids, at = encoder.encode(texts, docs)
+        assert 0.09 < 1 - (ids == model.pieces["▁a"]).sum() / n < 0.11
+    word = "internationalization"
+    ids, at = encoder.encode(pa.array([word] * n), np.arange(n))
+    assert len({tuple(ids[a:b]) for a, b in zip(at, at[1:])}) > 50
+
+
+def test_remembered_cuts_are_those_of_each_occurrences_agenda():
+    encoder = piece_codec.PieceEncoder(PIECES, 0.3, 5)
+    words = ["internationalization", "understanding", "the", "a", "responsibilities", "日本語", "internationalization" * 5]
+    texts = [w for w in words for _ in range(400)]
+    ids, at = encoder.encode(pa.array(texts), np.arange(len(texts)))
+    keys = encoder.occurrence_keys(np.arange(len(texts)), np.zeros(len(texts), np.int64)).tolist()
+    for k, w in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == encoder.model.word_ids("▁" + w, 0.3, keys[k])
+
+
 # --- all ----------------------------------------------------------------------------------------
 
 def test_every_number_has_a_query():
