@@ -117,8 +117,20 @@ def slot_lag(slots: DataFrame, arrived: DataFrame, now: Column) -> DataFrame:
 
 
 def stream_forward_append(stream: DataFrame, folder: str, checkpoint: str) -> None:
-    """Append complete 60-minute samples once: repeats of a key within two days of event time are dropped."""
-    rows = stream.where("horizon_minutes = 60 and is_complete").withColumn("event_time", F.col("time_utc").cast("timestamp"))
-    once = rows.withWatermark("event_time", "2 days").dropDuplicatesWithinWatermark(["run_id", "instrument_key", "time_utc", "price_basis"])
-    query = once.drop("event_time").writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Append complete 60-minute samples once: repeats of a key are dropped, however late they or first arrivals come.
+
+    Each micro-batch writes its new rows as a version; all versions under ``folder`` together are the table.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    key = ["run_id", "instrument_key", "time_utc", "price_basis"]
+
+    def step(batch: DataFrame, n: int) -> None:
+        rows = batch.where("horizon_minutes = 60 and is_complete").dropDuplicates(key)
+        if n:
+            # The versions before this one: a batch that is run again doesn't meet its own rows.
+            stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.LongType())])).parquet(folder).where(F.col("v") < n).select(*key).alias("s")
+            same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key]
+            rows = rows.alias("r").join(stored, same, "left_anti")
+        rows.write.mode("overwrite").parquet(version_path(folder, n))
+
+    _run(stream, step, checkpoint)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import calendar as cal, events as ev, gaps, impute, merge, normalize as nz, publish, receipts, reports, revisions, total_return
 from barloom.sources import files
+from barloom.streaming import bars as st
 
 
 def at(text):
@@ -198,3 +199,17 @@ def test_page_by_page_equals_the_whole(spark):
             break
         after = (str(page[9].time_utc), page[9].instrument_key)
     assert seen == rows.orderBy("time_utc", "instrument_key").collect()
+
+
+def test_forward_append_keeps_late_first_arrivals(spark, tmp_path):
+    schema = "run_id bigint, instrument_key string, time_utc timestamp_ntz, price_basis string, horizon_minutes int, is_complete boolean, close int"
+    def row(day, close, complete=True, horizon=60):
+        return (1, "a", at(f"2024-01-{day:02} 10:00:00"), None, horizon, complete, close)
+    out = str(tmp_path / "rows")
+    # The newest time comes first; first arrivals weeks behind it stay, repeats of any age don't.
+    for k, rows in enumerate([[row(30, 1), row(30, 1)], [row(2, 2), row(29, 3), row(30, 9), row(3, 9, False), row(4, 9, horizon=240)], [row(1, 4), row(2, 9)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        st.stream_forward_append(stream, out, str(tmp_path / "checkpoint"))
+        assert spark.read.schema(schema).parquet(out).count() == [1, 3, 4][k]
+    assert sorted(r.close for r in spark.read.schema(schema).parquet(out).collect()) == [1, 2, 3, 4]
