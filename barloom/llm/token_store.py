@@ -15,7 +15,8 @@ that a third of all documents share costs one row for each task.
 
 Cases: a null text is an empty one; an empty document has its end id alone; null doc_ids come
 first; repeated rows give one recipe each; an empty table gives an empty store; other columns are
-ignored.  Reading raises an error if a chunk is missing or differs from its digest.
+ignored.  Reading raises an error if a chunk is missing or differs from its digest, or if the recipes
+differ from their leaves or from the manifest's documents, ids and Merkle roots.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SPAN, MEAN_CHUNK, MAX_CHUNK = 8, 256, 2048
 DIGEST_BYTES = 16
 #: Text for each partition of chunks and each range of recipes; digests that a task remembers.
 CHUNK_BYTES, RECIPE_BYTES, SEEN = 8 << 20, 64 << 20, 2_000_000
+RECIPES = "doc_id long, n_tokens long, recipe binary, leaf binary, range_id long, row long, start_in_range long"
+MANIFEST = "range_id long, first_doc long, last_doc long, documents long, tokens long, root string, tokens_before long"
 
 
 def chunk_ends(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -133,16 +136,47 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
             ], names=["doc_id", "n_tokens", "recipe", "leaf", "range_id", "row", "start_in_range"])
             before, row = int(ends[-1]) if len(n) else before, row + len(n)
 
-    ordered.mapInArrow(place, "doc_id long, n_tokens long, recipe binary, leaf binary, range_id long, row long, start_in_range long").write.parquet(f"{path}/recipes")
-    recipes = spark.read.parquet(f"{path}/recipes")
+    ordered.mapInArrow(place, RECIPES).write.parquet(f"{path}/recipes")
+    ranges = range_roots(spark.read.schema(RECIPES).parquet(f"{path}/recipes"))
+    earlier = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
+    ranges.withColumn("tokens_before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).coalesce(1).write.parquet(f"{path}/manifest")
+
+
+def range_roots(recipes: DataFrame) -> DataFrame:
+    """range_id, first_doc, last_doc, documents, tokens and the Merkle root of the leaves of each range."""
     ranges = recipes.groupBy("range_id").agg(
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens"),
         F.array_sort(F.collect_list(F.struct("row", "leaf"))).alias("leaves"),  # a range's size is bounded
     )
     root = F.sha2(F.concat_ws(",", F.transform("leaves", lambda x: F.hex(x["leaf"]))), 256)
-    earlier = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("range_id", "first_doc", "last_doc", "documents", "tokens", root.alias("root"))
-    ranges.withColumn("tokens_before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).coalesce(1).write.parquet(f"{path}/manifest")
+    return ranges.select("range_id", "first_doc", "last_doc", "documents", "tokens", root.alias("root"))
+
+
+def check_recipes(spark: SparkSession, path: str) -> None:
+    """Raise an error if the recipes aren't those that the manifest was made of.  A job of its own: no later plan can leave it out.
+
+    Leaves are computed anew from the recipes, so a changed recipe, leaf or number of ids, a lost file and a
+    range that the manifest doesn't know are all found."""
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [digest_of(x) for x in batch.column("recipe").to_pylist()]
+            if found != batch.column("stored").to_pylist():
+                raise ValueError("a recipe differs from its leaf")
+            yield pa.record_batch([*(batch.column(c) for c in ("range_id", "row", "doc_id", "n_tokens")), pa.array(found, pa.binary())], names=["range_id", "row", "doc_id", "n_tokens", "leaf"])
+
+    read = recipes.select("range_id", "row", "doc_id", "n_tokens", "recipe", F.col("leaf").alias("stored"))
+    read = read.mapInArrow(leaves, "range_id long, row long, doc_id long, n_tokens long, leaf binary")
+    columns = ["first_doc", "last_doc", "documents", "tokens", "root"]
+    found = range_roots(read).select("range_id", F.struct(*columns).alias("found"))
+    w = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    told = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").withColumn("sum_before", F.coalesce(F.sum("tokens").over(w), F.lit(0)))
+    told = told.select("range_id", "tokens_before", "sum_before", F.struct(*columns).alias("told"))
+    good = F.col("found").eqNullSafe(F.col("told")) & F.col("tokens_before").eqNullSafe(F.col("sum_before"))
+    bad = told.join(found, "range_id", "full_outer").where(~good).select("range_id").limit(1).collect()
+    if bad:
+        raise ValueError(f"recipes of range {bad[0].range_id} differ from the manifest")
 
 
 @lru_cache(maxsize=8192)
@@ -208,6 +242,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     Every chunk is read and checked once; a document's crc32 is joined from those of its chunks in
     the order of its recipe, so ids aren't moved once for each document that holds them."""
+    check_recipes(spark, path)
     parts = exploded_recipes(spark, path).join(read_chunks(spark, path), "digest", "left")
     folded = parts.groupBy("range_id", "row").agg(F.array_sort(F.collect_list(F.struct("part", "n", "crc"))).alias("parts"))
 
@@ -226,17 +261,27 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.record_batch([batch.column("range_id"), batch.column("row"), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["range_id", "row", "read_tokens", "ids_crc32"])
 
     folded = folded.mapInArrow(fold, "range_id long, row long, read_tokens long, ids_crc32 long")
-    recipes = spark.read.parquet(f"{path}/recipes").select("doc_id", "range_id", "row", "start_in_range")
+    recipes = spark.read.parquet(f"{path}/recipes").select("doc_id", "range_id", "row", "start_in_range", F.col("n_tokens").alias("told_tokens"))
     ranges = spark.read.parquet(f"{path}/manifest").select("range_id", "tokens_before")
+    n_tokens = F.when(F.col("read_tokens") == F.col("told_tokens"), F.col("read_tokens")).otherwise(F.raise_error(F.lit("a recipe's number of ids is wrong")).cast("long"))
     return recipes.join(folded, ["range_id", "row"]).join(ranges, "range_id").select(
-        "doc_id", (F.col("tokens_before") + F.col("start_in_range")).alias("start"), F.col("read_tokens").alias("n_tokens"), "ids_crc32")
+        "doc_id", (F.col("tokens_before") + F.col("start_in_range")).alias("start"), n_tokens.alias("n_tokens"), "ids_crc32")
 
 
 def read_documents(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """doc_id and ids (array) of every document, rebuilt from its chunks."""
-    chunks = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/loose").where(F.col("kind") == "chunks").select("digest", "ids")
+    """doc_id and ids (array) of every document, rebuilt from its chunks, each checked."""
+    check_recipes(spark, path)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, body in zip(batch.column("digest").to_pylist(), batch.column("ids").to_pylist()):
+                if digest_of(body) != d:
+                    raise ValueError(f"chunk {d.hex()} is damaged")
+            yield batch
+
+    chunks = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/loose").where(F.col("kind") == "chunks").select("digest", "ids").mapInArrow(check, "digest binary, ids binary")
     parts = exploded_recipes(spark, path).join(chunks, "digest", "left")
-    whole = parts.groupBy("range_id", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"]).alias("bodies"))
+    whole = parts.groupBy("range_id", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: F.coalesce(x["ids"], F.raise_error(F.lit("a chunk is missing")).cast("binary"))).alias("bodies"))
     whole = whole.withColumn("body", F.expr("aggregate(bodies, cast('' as binary), (a, b) -> concat(a, b))"))
     raw = F.expr("transform(sequence(0, length(body) div {w} - 1), i -> cast(conv(concat({parts}), 16, 10) as int))".format(
         w=width, parts=", ".join(f"hex(substring(body, i * {width} + {k}, 1))" for k in range(width, 0, -1))))

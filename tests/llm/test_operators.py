@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import shutil
 import zlib
 from collections import Counter, defaultdict
 
@@ -221,6 +222,29 @@ def test_damage_is_found(spark, edge_docs):
         token_store.read_chunks(spark, other).count()
 
 
+def test_changed_and_missing_recipes_are_found(spark, edge_docs, tmp_path):
+    path = new_path(spark, "store")
+    token_store.write_store(edge_docs, path, BPE)
+    recipes = spark.read.parquet(f"{path}/recipes")
+    # A document with the recipe of another: its chunks are all there.
+    swapped = recipes.withColumn("recipe", F.when(F.col("doc_id") == 4, F.lit(recipes.where("doc_id = 5").first().recipe)).otherwise(F.col("recipe")))
+    relabelled = swapped.withColumn("leaf", F.when(F.col("doc_id") == 4, F.lit(recipes.where("doc_id = 5").first().leaf)).otherwise(F.col("leaf")))
+    cases = {"leaf": swapped, "manifest": relabelled, "range": recipes.where("doc_id <> 9 or doc_id is null"), "range 0": recipes.where("false")}
+    for k, (match, frame) in enumerate(cases.items()):
+        other = str(tmp_path / f"store{k}")
+        shutil.copytree(path, other, ignore=shutil.ignore_patterns("recipes"))
+        frame.write.parquet(f"{other}/recipes")
+        for read in (token_store.read_digests, token_store.read_documents):
+            with pytest.raises(Exception, match=match):
+                read(spark, other).collect()
+    other = str(tmp_path / "chunks")
+    shutil.copytree(path, other, ignore=shutil.ignore_patterns("loose"))
+    loose = spark.read.parquet(f"{path}/loose")
+    loose.withColumn("ids", F.when(F.col("kind") == "chunks", F.concat("ids", F.lit(b"\x01\x00")))).write.partitionBy("kind").parquet(f"{other}/loose")
+    with pytest.raises(Exception, match="damaged"):
+        token_store.read_documents(spark, other).collect()
+
+
 def test_joined_crc():
     a, b = b"some bytes", b"and more of them"
     assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
