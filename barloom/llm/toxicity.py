@@ -155,15 +155,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
 
 
 def clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, with all their columns, whose score is below the threshold, or not above that of
-    an empty text (nothing in them speaks for toxicity); rows are judged one by one, so a doc_id may be null or repeated."""
+    """The documents, with all their columns, whose score is below the threshold, as op7 predicts, or that have
+    no words at all; rows are judged one by one, so a doc_id may be null or repeated."""
     weights, known = _sent(docs.sparkSession, model), len(model[0]) > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = weights()
         for batch in batches:
-            found = _scores(batch.column("text"), table, known)
-            yield batch.filter(pa.array((found < threshold) | (found <= _scores(pa.array([""]), table, known)[0])))
+            keep = _scores(batch.column("text"), table, known) < threshold
+            high = np.flatnonzero(~keep)
+            for lo, hi in text_slices(texts := batch.column("text").take(pa.array(high))):
+                keep[high[lo:hi]] = np.diff(word_hashes(texts.slice(lo, hi - lo))[1]) == 0
+            yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
 

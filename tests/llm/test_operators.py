@@ -400,6 +400,13 @@ def test_toxicity_cases(spark, edge_docs, no_docs):
     assert {r.doc_id for r in toxicity.clean(probe, model).collect()} == {2, 3, 4}
 
 
+def test_clean_rejects_what_is_predicted_toxic(spark):
+    model = (np.array([1 << toxicity.BITS]), np.array([0.5]))  # the intercept alone is above the threshold
+    probe = spark.createDataFrame([(1, "plain words"), (2, ""), (3, None), (4, "!!! ..."), (None, "more words")], "doc_id long, text string")
+    assert toxicity.score(probe, model).where(F.col("score") >= toxicity.THRESHOLD).count() == 5
+    assert {r.doc_id for r in toxicity.clean(probe, model).collect()} == {2, 3, 4}
+
+
 # --- 8: secrets ---------------------------------------------------------------------------------
 
 BASE = [
