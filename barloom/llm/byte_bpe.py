@@ -20,6 +20,8 @@ from barloom.llm.words import flat_bytes, span_hashes
 
 #: Distinct segments that a Python worker remembers; beyond it, those not met again are forgotten.
 CACHE_SEGMENTS = 600_000
+#: Bytes of remembered segments and their ids.
+CACHE_BYTES = 32 << 20
 #: Text that is encoded at a time.
 ENCODE_BYTES = 1_500_000
 
@@ -76,47 +78,57 @@ def ragged_gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tu
     return flat[at], ends
 
 
-def hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each word; none may be empty."""
-    data, at = flat_bytes(words)
-    return span_hashes(data, at[:-1], at[1:]), span_hashes(data, at[:-1], at[1:], second=True)
+def same_spans(left: np.ndarray, left_start: np.ndarray, right: np.ndarray, right_start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether each pair of spans of one length has equal bytes; no length may be 0."""
+    if not len(length):
+        return np.zeros(0, bool)
+    a, ends = ragged_gather(left, left_start, length)
+    b, _ = ragged_gather(right, right_start, length)
+    return np.logical_and.reduceat(a == b, ends[:-1])
 
 
 class SegmentTable:
-    """Ids of remembered segments, found by two 64-bit hashes.  Over ``limit`` segments, those
-    that have not been asked for since the last clearing are forgotten.
+    """Ids of remembered segments.  A 64-bit hash finds a segment and its bytes are compared, so that a segment never gets another's ids.
+
+    Over ``limit`` segments or ``most_bytes`` of them and their ids, those that have not been asked for since the last clearing are forgotten.
     """
 
-    def __init__(self, limit: int = CACHE_SEGMENTS):
-        self.limit = limit
+    def __init__(self, limit: int = CACHE_SEGMENTS, most_bytes: int = CACHE_BYTES):
+        self.limit, self.most_bytes = limit, most_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.key = np.zeros(0, np.uint64)
+        self.start, self.length, self.name, self.size = (np.zeros(0, np.int32) for _ in range(4))
         self.asked = np.zeros(0, bool)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.names, self.named = np.zeros(1 << 16, np.uint8), 0
 
     def _forget(self) -> None:
-        keep = self.asked if 2 * self.asked.sum() < self.limit else np.zeros(len(self.asked), bool)
+        full = 4 * self.used + self.named > self.most_bytes
+        keep = self.asked if 2 * self.asked.sum() < self.limit and not (full and 2 * self.asked.sum() > len(self.asked)) else np.zeros(len(self.asked), bool)
         flat, ends = ragged_gather(self.flat, self.start[keep], self.length[keep])
-        self.key, self.other, self.length = self.key[keep], self.other[keep], self.length[keep]
-        self.start, self.asked = ends[:-1], np.zeros(len(self.key), bool)
+        names, name_ends = ragged_gather(self.names, self.name[keep], self.size[keep])
+        self.key, self.length, self.size = self.key[keep], self.length[keep], self.size[keep]
+        self.start, self.name, self.asked = ends[:-1].astype(np.int32), name_ends[:-1].astype(np.int32), np.zeros(len(self.key), bool)
         self.flat, self.used = np.concatenate([flat, np.zeros(1 << 16, np.int32)]), len(flat)
+        self.names, self.named = np.concatenate([names, np.zeros(1 << 16, np.uint8)]), len(names)
 
-    def lookup(self, key: np.ndarray, other: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+    def lookup(self, data: np.ndarray, at: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each segment start in ``flat``, and how many there are.
 
-        key, other: hashes of different segments.  encode: from indices of segments to all their ids and how many each has.
+        data, at: the bytes of different segments one after another, none empty, and their offsets.  encode: from indices of segments to all their ids and how many each has.
         """
-        if len(self.key) > self.limit:
+        if len(self.key) > self.limit or 4 * self.used + self.named > self.most_bytes:
             self._forget()
+        key, size = span_hashes(data, at[:-1], at[1:]) if len(at) > 1 else np.zeros(0, np.uint64), np.diff(at)
         place = np.searchsorted(self.key, key)
-        found = np.zeros(len(key), bool)
+        found, taken = np.zeros(len(key), bool), np.zeros(len(key), bool)
         if len(self.key):
             near = np.minimum(place, len(self.key) - 1)
             taken = self.key[near] == key
-            found = taken & (self.other[near] == other)
+            maybe = np.flatnonzero(taken & (self.size[near] == size))
+            found[maybe] = same_spans(data, at[maybe], self.names, self.name[near[maybe]], size[maybe])
             self.asked[near[found]] = True
         start, length = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
         start[found], length[found] = self.start[place[found]], self.length[place[found]]
@@ -131,10 +143,14 @@ class SegmentTable:
             self.used += len(ids)
         if len(missing):
             new = missing[np.unique(key[missing], return_index=True)[1]]
-            if len(self.key):
-                new = new[~taken[new]]  # equal first hashes: the newcomer isn't remembered
-            for name, values in (("key", key), ("other", other), ("start", start), ("length", length), ("asked", np.zeros(len(key), bool))):
-                setattr(self, name, np.insert(getattr(self, name), place[new], values[new]))
+            new = new[~taken[new]]  # equal hashes: the newcomer isn't remembered
+            names, ends = ragged_gather(data, at[new], size[new])
+            while self.named + len(names) > len(self.names):
+                self.names = np.concatenate([self.names, np.zeros_like(self.names)])
+            self.names[self.named : self.named + len(names)] = names
+            for column, values in (("key", key[new]), ("start", start[new]), ("length", length[new]), ("name", ends[:-1] + self.named), ("size", size[new]), ("asked", np.zeros(len(new), bool))):
+                setattr(self, column, np.insert(getattr(self, column), place[new], values))
+            self.named += len(names)
         return start, length
 
 
@@ -201,7 +217,7 @@ class ByteBpe:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts = segment_starts(data, offsets)
         index, words = distinct_segments(data, starts)
-        start, length = self.table.lookup(*hashes(words), lambda at: self.encode_segments(words.take(pa.array(at))))
+        start, length = self.table.lookup(*flat_bytes(words), lambda at: self.encode_segments(words.take(pa.array(at))))
         ids, ends = ragged_gather(self.table.flat, start[index], length[index])
         return ids, ends[np.searchsorted(starts, offsets)]
 

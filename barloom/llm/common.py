@@ -37,10 +37,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one where it is unset, as in tests."""
+    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one where it is unset and all run on one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append(tempfile.mkdtemp(prefix="spark-shared-"))
     return _OWN_FOLDER[0]
@@ -62,10 +64,35 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+#: What a row counts beside its text where partitions are sized: rows without text are work too.
+ROW_BYTES = 64
+#: A key with more than one in HEAVY of all rows is heavy: there are fewer than HEAVY such keys, whatever the data.
+HEAVY = 1000
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
-    """Bytes of text in the table: how many partitions a job gets follows from it."""
-    return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    """Bytes of text in the table and ``ROW_BYTES`` for each row: how many partitions a job gets follows from it."""
+    return docs.agg(F.sum(F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(ROW_BYTES).cast("long"))).first()[0] or 0
 
 
 def parts_for(total_bytes: int, each: int, least: int = 1) -> int:
     return max(least, -(-total_bytes // each))
+
+
+def in_order(docs: DataFrame, parts: int) -> DataFrame:
+    """Documents (doc_id, text) in consecutive ranges of doc_id, null ones first.  Rows of one doc_id, or without one, may fill many
+    ranges: they go by a hash of their text, and equal rows as they come."""
+    tied = docs.withColumn("of_text", F.xxhash64("text")).withColumn("tie", F.monotonically_increasing_id())
+    return tied.repartitionByRange(parts, "doc_id", "of_text", "tie").sortWithinPartitions("doc_id", "of_text", "text").drop("of_text", "tie")
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: Column, total: Column | int) -> DataFrame:
+    """Inner join of many ``rows`` with a ``table`` that has each key once, and tells by ``weight`` how many of ``total`` rows have it.
+
+    Heavy keys, fewer than ``HEAVY``, are broadcast, so that their rows stay where they are; the others have a share of the rows that
+    suits a task and are shuffled.
+    """
+    heavy = (weight * HEAVY > total) if isinstance(total, Column) else (weight > total // HEAVY + 1)
+    few = F.broadcast(table.where(heavy))
+    rest = rows.join(F.broadcast(table.where(heavy).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(rest.join(table.where(~heavy), keys))

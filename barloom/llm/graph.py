@@ -8,27 +8,33 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.common import written
+from barloom.llm.common import spread_join, written
 
 #: Rows of a group that meet in one task; a larger group is dealt out as pairs of such blocks.
 BLOCK = 512
 
 
-def blocked(rows: DataFrame, key: str, node: str, block: int = BLOCK) -> DataFrame:
+def blocked(rows: DataFrame, key: str, node: str, counts: DataFrame, block: int = BLOCK) -> DataFrame:
     """Rows of all groups with two rows or more, each group dealt out as pairs of blocks.
 
+    ``counts`` (key, in_group) tells how many rows each group has; groups it doesn't name have one.
     Adds ``lo`` and ``hi`` (the blocks that meet) and ``side`` (0: the row is of block lo).  Every
     two rows of a group meet exactly once: inside their block, or where their blocks meet.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("in_group")).where("in_group > 1")
+    total = counts.agg(F.sum("in_group")).first()[0] or 0
     n = F.ceil(F.col("in_group") / block)
-    rows = rows.join(counts, key).withColumn("own", F.pmod(F.xxhash64(node, F.lit(7)), n))
+    rows = spread_join(rows, counts, [key], F.col("in_group"), total).withColumn("own", F.pmod(F.xxhash64(node, F.lit(7)), n))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
     return rows.select(
         *[c for c in rows.columns if c not in ("own", "other", "in_group")],
         F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
+def group_counts(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """key and in_group of all groups with two rows or more, as a table."""
+    return written(rows.groupBy(key).agg(F.count("*").alias("in_group")).where("in_group > 1"), name)
+
+
 def met(rows: DataFrame, key: str, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``kernel`` to batches of whole groups (key, lo, hi) of ``blocked`` rows; the batch has their number in ``group``."""
     dealt = rows.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi", "side")
@@ -102,7 +108,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """node, component: the smallest node reachable, for every node of the edges (a, b).
 
     Large-star and small-star steps in turn (Kiveris et al., 2014) until nothing changes; after
-    each round the edges, never more than at first, are a table in the shared folder.
+    each round the edges, never more than at first, are a table in the shared folder.  A hub's edges stay
+    where they are: the least neighbours of hubs are sent to them.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, f"{name}-edges")
@@ -111,22 +118,26 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
-        seen = mark
+        seen, n = mark, 2 * mark[0]
         both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = spread_join(both, low, ["a"], F.col("n"), n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = spread_join(large, low, ["a"], F.col("n"), n).select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         edges = written(small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct(), f"{name}-edges")
 
 
 def link_report(nodes: DataFrame, partial: DataFrame, name: str) -> DataFrame:
-    """node, copies, first_id, n_links and component_id, from ``nodes`` (node, copies, first_id) and
+    """All columns of ``nodes`` (node, copies, first, ...) with n_links and ``least`` (the least ``first`` of the nodes reachable), from
     partial results (node, label: a node linked to it, links: rows linked to it that were counted)."""
     partial = written(partial, f"{name}-links")
     group = components(partial.select(F.col("node").alias("a"), F.col("label").alias("b")), name)
     links = partial.groupBy("node").agg(F.sum("links").alias("links"))
     joined = nodes.join(links, "node", "left").join(group, "node", "left").select(
-        "node", "copies", "first_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
-    least = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return joined.join(least, "component").drop("component")
+        *nodes.columns, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    joined = written(joined, f"{name}-report")
+    least = joined.groupBy("component").agg(F.min("first").alias("least"), F.count("*").alias("in_component"))
+    alone = joined.join(least.where("in_component = 1"), "component", "left_semi").withColumn("least", F.col("first"))
+    more = least.where("in_component > 1")
+    total = more.agg(F.sum("in_component")).first()[0] or 0
+    return written(spread_join(joined, more, ["component"], F.col("in_component"), total).drop("in_component").unionByName(alone).drop("component"), f"{name}-least")

@@ -1,19 +1,19 @@
 """N-gram Jaccard join: documents whose sets of five-word runs overlap by 0.8 or more.
 
 1. Each document becomes its set of n-gram hashes (52 bits), its MinHash signature and its bands.
-   Documents with equal sets are one *node*; copies cost no pairs.
+   Documents with equal sets (told by 128 bits) are one *node*; copies cost no pairs.
 2. Nodes that share a band hash meet.  24 bands of 5 rows find a pair of similarity 0.8 with
    probability 1 - (1 - 0.8**5)**24 = 0.9999, more similar ones more surely.  Where they meet, the
    signatures' agreement must reach ``ESTIMATE`` (four standard deviations below 0.8), so that
    documents that merely share a passage don't chain.  What meets and agrees is joined into
    candidate groups by connected components; each bucket gives a spanning forest, not its pairs.
-3. The full n-gram sets of a candidate group, read anew from the texts, are compared pair by pair
+3. The full n-gram sets of a candidate group, read anew from its texts alone, are compared pair by pair
    in blocks.  Tasks return counts and spanning links, so a large group gives few rows.
 
 Words are runs of letters, digits and underscores (any character beyond ASCII counts as a letter),
 in lower case.  Cases: a text of one to four words has one n-gram, of all its words; null texts,
 empty ones and ones without words link with nothing; a doc_id that occurs twice counts as two
-documents; a document whose doc_id is null is only matched by equal n-grams; an empty table gives no rows; other columns are ignored.
+documents; documents without a doc_id are linked like others, and count after all others where the smallest is asked for; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm.byte_bpe import text_slices
-from barloom.llm.common import table, written
-from barloom.llm.graph import blocked, components, link_report, local_labels, met, pair_chunks
+from barloom.llm.common import spread_join, table, written
+from barloom.llm.graph import blocked, components, group_counts, link_report, local_labels, met, pair_chunks
 from barloom.llm.words import mix, ngram_hashes, word_hashes
 
 N, SIMILARITY = 5, 0.8
@@ -76,34 +76,34 @@ def signatures(grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return signature, bands
 
 
-def node_of(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each text's set (texts must have n-grams)."""
-    return mix(np.add.reduceat(mix(grams + np.uint64(0x9E3779B97F4A7C15)), offsets[:-1])).view(np.int64)
+def set_names(grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit name of each text's set, as two numbers (texts must have n-grams)."""
+    first, second = (mix(np.add.reduceat(mix(grams + np.uint64(salt)), offsets[:-1])).view(np.int64) for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+    return first, second
 
 
 def sketch(docs: DataFrame, n: int = N) -> DataFrame:
-    """doc_id, node (null without words), bands, signature of every document."""
+    """doc_id, row, the name of the set (name, other: null without words), bands, signature of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             for lo, hi in text_slices(texts):
                 grams, offsets = gram_sets(texts.slice(lo, hi - lo), n)
                 have = np.flatnonzero(np.diff(offsets))
-                node = pa.nulls(hi - lo, pa.int64())
-                bands = pa.nulls(hi - lo, pa.binary())
-                sign = bands
+                name = other = pa.nulls(hi - lo, pa.int64())
+                bands = sign = pa.nulls(hi - lo, pa.binary())
                 if len(have):
                     inner = np.append(offsets[have], offsets[-1])
                     signature, band = signatures(grams, inner)
                     place = np.full(hi - lo, -1)
                     place[have] = np.arange(len(have))
                     take = pa.array(place, mask=place < 0)
-                    node = pa.array(node_of(grams, inner)).take(take)
+                    name, other = (pa.array(x).take(take) for x in set_names(grams, inner))
                     bands = pa.array([x.tobytes() for x in band], pa.binary()).take(take)
                     sign = pa.array([x.tobytes() for x in signature], pa.binary()).take(take)
-                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), node, bands, sign], names=["doc_id", "node", "bands", "signature"])
+                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), batch.column("row").slice(lo, hi - lo), name, other, bands, sign], names=["doc_id", "row", "name", "other", "bands", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, bands binary, signature binary")
+    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, name long, other long, bands binary, signature binary")
 
 
 def _band_rows(nodes: DataFrame) -> DataFrame:
@@ -191,51 +191,81 @@ def _verified(similarity: float):
     return kernel
 
 
-def _gram_rows(docs: DataFrame, n: int) -> DataFrame:
-    """The n-gram sets of the given texts: component, node, copies, grams.  A row whose text isn't its node's is dropped (a doc_id with two texts)."""
+def _gram_rows(texts: DataFrame, n: int) -> DataFrame:
+    """The n-gram sets of texts (that have words): name, other, grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            for lo, hi in text_slices(texts):
-                part = batch.slice(lo, hi - lo)
-                grams, offsets = gram_sets(part.column("text"), n)
+            column = batch.column("text")
+            for lo, hi in text_slices(column):
+                grams, offsets = gram_sets(column.slice(lo, hi - lo), n)
                 have = np.flatnonzero(np.diff(offsets))
                 if not len(have):
                     continue
-                node = node_of(grams, np.append(offsets[have], offsets[-1]))
-                same = have[node == part.column("node").to_numpy()[have]]
-                bodies = [grams[offsets[i] : offsets[i + 1]].tobytes() for i in same.tolist()]
-                take = pa.array(same)
-                yield pa.record_batch([*(part.column(c).take(take) for c in ("component", "node", "copies")), pa.array(bodies, pa.binary())], names=["component", "node", "copies", "grams"])
+                name, other = set_names(grams, np.append(offsets[have], offsets[-1]))
+                bodies = [grams[offsets[i] : offsets[i + 1]].tobytes() for i in have.tolist()]
+                yield pa.record_batch([pa.array(name), pa.array(other), pa.array(bodies, pa.binary())], names=["name", "other", "grams"])
+
+    return texts.mapInArrow(run, "name long, other long, grams binary")
 
-    return docs.mapInArrow(run, "component long, node long, copies long, grams binary")
 
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id may be one of ``ids`` (doc_id): all of those, and few others.
 
-def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, n: int = N) -> DataFrame:
+    A bitmap of 2**26 hashed ids, 8 MB however many there are, is broadcast; where it fills up, more documents pass.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 26)) + 1
+    bits = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return docs.join(F.broadcast(bits), F.bitmap_bucket_number(place) == F.col("__bucket")).where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+
+
+def _wanted_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """component, node, copies and grams of the wanted nodes (with name, other and ``first``).  A node's text is that of its first document; where none of its
+    documents has a doc_id, those without one are read."""
+    named = wanted.where("first.doc_id is not null")
+    texts = _among(docs.where("doc_id is not null"), named.select("first.doc_id"))
+    sets = _gram_rows(texts.join(named.select(F.col("first.doc_id").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")), n)
+    unnamed = wanted.where("first.doc_id is null")
+    if not unnamed.isEmpty():
+        sets = sets.unionByName(_gram_rows(docs.where("doc_id is null").groupBy(F.xxhash64("text")).agg(F.first("text").alias("text")), n))
+    sets = sets.join(wanted.select("name", "other", "component", "node", "copies"), ["name", "other"])
+    return sets.groupBy("component", "node", "copies").agg(F.first("grams").alias("grams"))  # a doc_id may have several texts with one set
+
+
+def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, n: int = N, row: str | None = None) -> DataFrame:
     """A row for each document: doc_id, class_id (the smallest doc_id with the same n-grams),
     n_copies (documents of that class), n_links (other documents at the similarity or above),
     component_id (smallest doc_id reachable by links), kept (doc_id = component_id).
 
+    ``row`` names a column of different numbers that tells repeated and null doc_ids apart: it is returned too (as ``row``), and ``kept`` is true for one
+    row of each component then, the one with the smallest doc_id and, among these, the smallest number.
+
     Both steps find links above 0.8; for lower values of ``similarity`` the constants must be changed.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = F.col(row).cast("long") if row else F.lit(None).cast("long")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("row"), F.col("text").cast("string").alias("text"))
     sketched = written(sketch(docs, n), "ngram-sketch")
-    nodes = sketched.where("node is not null").groupBy("node").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    nodes = written(nodes, "ngram-nodes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    nodes = sketched.where("name is not null").groupBy("name", "other").agg(F.count("*").alias("copies"), first, F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     in_buckets = _band_rows(nodes)
-    counts = in_buckets.groupBy("bucket").agg(F.count("*").alias("meeting")).where("meeting > 1").drop("meeting")
-    meeting = in_buckets.join(counts, "bucket").join(nodes.select("node", "signature"), "node")
-    edges = met(blocked(meeting, "bucket", "node"), "bucket", _agreeing, "a long, b long")
+    counts = group_counts(in_buckets, "bucket", "ngram-buckets")
+    met_in = blocked(in_buckets, "bucket", "node", counts).join(nodes.select("node", "signature"), "node")
+    edges = met(met_in, "bucket", _agreeing, "a long, b long")
     group = components(edges, "ngram-candidates")
-    wanted = group.join(nodes.select("node", "copies", "first_id"), "node").where("first_id is not null")
-    texts = docs.join(wanted, docs.doc_id == wanted.first_id).select("component", "node", "copies", "text")
-    partial = met(blocked(_gram_rows(texts, n), "component", "node"), "component", _verified(similarity), "node long, label long, links long")
-    report = link_report(nodes.select("node", "copies", "first_id"), partial, "ngram")
-    found = sketched.select("doc_id", "node").where("node is not null").join(report, "node")
-    out = found.select("doc_id", F.col("first_id").alias("class_id"), F.col("copies").alias("n_copies"), "n_links", "component_id")
-    alone = sketched.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
-    return out.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    wanted = written(group.join(nodes.select("node", "name", "other", "copies", "first"), "node"), "ngram-wanted")
+    sets = written(_wanted_sets(docs, wanted, n), "ngram-sets")
+    partial = met(blocked(sets, "component", "node", group_counts(wanted, "component", "ngram-groups")), "component", _verified(similarity), "node long, label long, links long")
+    report = link_report(nodes.select("node", "name", "other", "copies", "first"), partial, "ngram")
+    total = nodes.agg(F.sum("copies")).first()[0] or 0
+    found = spread_join(sketched.select("doc_id", "row", "name", "other").where("name is not null"), report, ["name", "other"], F.col("copies"), total)
+    kept = (F.col("row") == F.col("least.row")) if row else F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+    out = found.select("doc_id", "row", F.col("first.doc_id").alias("class_id"), F.col("copies").alias("n_copies"), "n_links", F.col("least.doc_id").alias("component_id"), kept.alias("kept"))
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    alone = sketched.where("name is null").select("doc_id", "row", F.col("doc_id").alias("class_id"), one.alias("n_copies"), zero.alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    out = out.unionByName(alone)
+    return out if row else out.drop("row")
 
 
 def op1(spark: SparkSession, folder: str) -> DataFrame:

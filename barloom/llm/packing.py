@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm.byte_bpe import ENCODE_BYTES, byte_bpe, text_slices
-from barloom.llm.common import parts_for, table, text_bytes
+from barloom.llm.common import in_order, parts_for, table, text_bytes
 
 WINDOW = 2048
 #: Penalties, in ids: a cut after a sentence inside a document, and one inside a sentence.
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
     (little-endian unsigned 32-bit).  Documents keep the order of doc_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = parts_for(text_bytes(docs), range_bytes)
-    ordered = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = in_order(docs, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer_path)

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm.byte_bpe import SegmentTable, distinct_segments, hashes, ragged_gather, text_slices
+from barloom.llm.byte_bpe import SegmentTable, distinct_segments, ragged_gather, text_slices
 from barloom.llm.common import table
 from barloom.llm.words import flat_bytes, mix
 
@@ -202,6 +202,22 @@ class PieceEncoder:
 
         return run
 
+    @staticmethod
+    def _names(data: np.ndarray, at: np.ndarray, word: np.ndarray, without: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that name (word, skipped merges), and their offsets: those of the word, then a byte that no text has and one for each step (below 256)."""
+        size, steps = at[word + 1] - at[word], without.shape[1]
+        body, ends = ragged_gather(data, at[word], size)
+        if not steps:
+            return body, ends
+        whole = np.zeros(len(body) + len(word) * (1 + steps), np.uint8)
+        ends = ends + np.arange(len(word) + 1) * (1 + steps)
+        tail = (ends[1:, None] - np.arange(1 + steps, 0, -1)).ravel()
+        whole[tail] = np.column_stack([np.full(len(word), 0xFF), without]).ravel()
+        inside = np.ones(len(whole), bool)
+        inside[tail] = False
+        whole[inside] = body
+        return whole, ends
+
     def occurrence_keys(self, doc_keys: np.ndarray, place: np.ndarray) -> np.ndarray:
         """A key for each occurrence: a hash of seed, document and place."""
         seed = mix(np.array([self.seed], np.int64).astype(np.uint64) + np.uint64(1))
@@ -232,9 +248,9 @@ class PieceEncoder:
         # Nodes: words with the numbers of their skipped merges; node: that of each occurrence left.
         some, node = np.unique(index[left], return_inverse=True)
         word, without = some, np.zeros((len(some), 0), np.int64)
-        key, other = (h[some] for h in hashes(words))
+        data, data_at = flat_bytes(words)
         while len(left):
-            first, size = self.table.lookup(key, other, self._new(texts, word, without))
+            first, size = self.table.lookup(*self._names(data, data_at, word, without), self._new(texts, word, without))
             n_ids = self.table.flat[first].astype(np.int64)
             ids, ends = ragged_gather(self.table.flat, first + 1, n_ids)
             n_places = size - 1 - n_ids
@@ -256,7 +272,6 @@ class PieceEncoder:
             code, inverse = np.unique(node[again] * (4 * LONG_WORD) + step, return_inverse=True)
             parent, step = code // (4 * LONG_WORD), code % (4 * LONG_WORD)
             word, without = word[parent], np.column_stack([without[parent], step])
-            key, other = (mix(h[parent] + step.astype(np.uint64) + np.uint64(1)) for h in (key, other))
             left, node = left[again], inverse
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, length
 

@@ -3,20 +3,25 @@
 A document's ids are cut into chunks where a rolling hash of the last ``SPAN`` ids hits a mask, so
 equal passages give equal chunks wherever they stand.  A store is a folder with
 
-* ``chunks/``: one row for each *different* chunk: its digest and its ids (little-endian, 2 bytes
-  each, or 4 for vocabularies over 65,536 ids);
+* ``objects/``: one row for each *different* chunk: its digest and its ids (little-endian, 2 bytes
+  each, or 4 for vocabularies over 65,536 ids); and the documents' recipes as they were cut;
 * ``recipes/``: one row for each document, in ascending order of doc_id: the digests of its chunks,
-  its number of ids and the hash of its recipe (a Merkle leaf); files hold consecutive ranges;
-* ``manifest/``: one row for each range: its documents, its ids, the ids of all ranges before it
-  and the Merkle root of its leaves.
+  its number of ids, the crc32 of its ids and the hash of all of these (a leaf); files hold consecutive ranges;
+* ``manifest/``: the Merkle tree over the leaves.  Each node has at most ``FANOUT`` children and is the hash of theirs:
+  levels 1 to 3 inside a range (the third is the range's root), the later ones over the ranges, up to one root;
+* ``ranges/``: the documents and ids of each range, and the ids of all ranges before it.
 
-Chunks go to partitions by digest; each task first drops the repeats it sees itself, so a chunk
-that a third of all documents share costs one row for each task.
+Chunks go to partitions by digest; each task first drops the repeats that it remembers, so a chunk
+that a third of all documents share costs one row for each task, and partitions are sorted, so the rest of the repeats
+stand together.
+
+Reading verifies the store and what is rebuilt from it: every chunk against its digest, every recipe against its leaf, all leaves
+against the tree up to its root, and every document's ids, put together from the chunks of its recipe, against the number and
+the crc32 that were taken before it was cut.
 
 Cases: a null text is an empty one; an empty document has its end id alone; null doc_ids come
 first; repeated rows give one recipe each; an empty table gives an empty store; other columns are
-ignored.  Reading raises an error if a chunk is missing or differs from its digest, or if the recipes
-differ from their leaves or from the manifest's documents, ids and Merkle roots.
+ignored.  Reading raises an error at the first difference.
 """
 
 from __future__ import annotations
@@ -28,20 +33,26 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barloom.llm.byte_bpe import ENCODE_BYTES, byte_bpe, text_slices
-from barloom.llm.common import new_path, parts_for, table, text_bytes
+from barloom.llm.common import HEAVY, in_order, new_path, parts_for, table, text_bytes, written
 from barloom.llm.words import mix
 
 #: Ids that the rolling hash covers; mean and greatest length of a chunk.
 SPAN, MEAN_CHUNK, MAX_CHUNK = 8, 256, 2048
 DIGEST_BYTES = 16
 #: Text for each partition of chunks and each range of recipes; digests that a task remembers.
-CHUNK_BYTES, RECIPE_BYTES, SEEN = 8 << 20, 64 << 20, 2_000_000
-RECIPES = "doc_id long, n_tokens long, recipe binary, leaf binary, range_id long, row long, start_in_range long"
-MANIFEST = "range_id long, first_doc long, last_doc long, documents long, tokens long, root string, tokens_before long"
+CHUNK_BYTES, RECIPE_BYTES, SEEN = 8 << 20, 64 << 20, 100_000
+#: Children of a node of the tree.
+FANOUT = 256
+OBJECTS = "kind int, digest binary, ids binary, doc_id long, n_tokens long, crc long"
+RECIPES = "doc_id long, n_tokens long, crc long, recipe binary, leaf binary, range_id long, row long, start_in_range long"
+NODES = "level int, range_id long, node long, digest string, documents long, tokens long"
+RANGES = "range_id long, first_doc long, last_doc long, documents long, tokens long, tokens_before long"
+_CHUNK, _RECIPE = 0, 1
 
 
 def chunk_ends(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -65,6 +76,10 @@ def digest_of(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=DIGEST_BYTES).digest()
 
 
+def leaf_of(recipe: bytes, doc_id: int | None, n_tokens: int, crc: int) -> bytes:
+    return digest_of(f"{doc_id}/{n_tokens}/{crc}/".encode() + recipe)
+
+
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, width: int = 2) -> None:
     """Encode all documents and write the store to ``path``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -73,14 +88,14 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, seen = byte_bpe(tokenizer_path), set()
         for batch in batches:
-            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            texts, doc_ids = batch.column("text"), batch.column("doc_id")
             for lo, hi in text_slices(texts, ENCODE_BYTES):
                 ids, at = bpe.encode(texts.slice(lo, hi - lo))
                 n = hi - lo
                 full = np.insert(ids, at[1:], end_id)
                 at = at + np.arange(n + 1)
                 ends = chunk_ends(full, at[1:])
-                raw = full.astype(f"<u{width}").tobytes()
+                raw, wide = full.astype(f"<u{width}").tobytes(), memoryview(full.astype("<u4").tobytes())
                 cuts = [0, *(ends * width).tolist()]
                 digests, keys, bodies = [], [], []
                 for a, b in zip(cuts, cuts[1:]):
@@ -95,93 +110,137 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
                 edge = np.searchsorted(ends, at[1:]) + 1
                 first = [0, *edge.tolist()]
                 recipes = [b"".join(digests[a:b]) for a, b in zip(first, first[1:])]
+                wide_at = (at * 4).tolist()
+                crcs = [zlib.crc32(wide[a:b]) for a, b in zip(wide_at, wide_at[1:])]
                 m = len(keys)
                 yield pa.record_batch([
-                    pa.array(["chunks"] * m + ["recipes"] * n, pa.string()),
-                    pa.array(keys + recipes, pa.binary()),
-                    pa.array(bodies + [None] * n, pa.binary()),
-                    pa.array([None] * m + doc_ids[lo:hi], pa.int64()),
-                    pa.array([None] * m + np.diff(at).tolist(), pa.int64()),
-                ], names=["kind", "digest", "ids", "doc_id", "n_tokens"])
+                    pa.array(np.repeat([_CHUNK, _RECIPE], [m, n]), pa.int32()), pa.array(keys + recipes, pa.binary()), pa.array(bodies + [None] * n, pa.binary()),
+                    pa.concat_arrays([pa.nulls(m, pa.int64()), doc_ids.slice(lo, n)]), pa.array([None] * m + np.diff(at).tolist(), pa.int64()), pa.array([None] * m + crcs, pa.int64()),
+                ], names=["kind", "digest", "ids", "doc_id", "n_tokens", "crc"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()  # a partition's different digests
+        before = None  # equal chunks stand together
         for batch in batches:
-            keep = []
-            for kind, d in zip(batch.column("kind").to_pylist(), batch.column("digest").to_pylist()):
-                keep.append(kind != "chunks" or d not in seen)
-                if kind == "chunks":
-                    seen.add(d)
-            yield batch.filter(pa.array(keep))
-
-    schema = "kind string, digest binary, ids binary, doc_id long, n_tokens long"
-    rows = docs.mapInArrow(cut, schema)
-    spread = F.when(F.col("kind") == "chunks", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "digest"))
-    rows = rows.repartition(parts_for(total, CHUNK_BYTES), spread).mapInArrow(once, schema)
-    rows.write.partitionBy("kind").parquet(f"{path}/loose")
+            if not batch.num_rows:
+                continue
+            kind, digest = batch.column("kind").to_numpy(), batch.column("digest")
+            keep = np.ones(batch.num_rows, bool)
+            keep[1:] = pc.not_equal(digest.slice(1), digest.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            keep[0] = digest[0].as_py() != before
+            before = digest[batch.num_rows - 1].as_py() if kind[-1] == _CHUNK else None
+            yield batch.filter(pa.array(keep | (kind == _RECIPE)))
+
+    rows = docs.mapInArrow(cut, OBJECTS).withColumn("tie", F.monotonically_increasing_id())
+    rows = rows.repartition(parts_for(total, CHUNK_BYTES), F.when(F.col("kind") == _CHUNK, F.xxhash64("digest")).otherwise(F.xxhash64("tie"))).drop("tie")
+    rows.sortWithinPartitions("kind", "digest").mapInArrow(once, OBJECTS).write.parquet(f"{path}/objects")
 
     spark = docs.sparkSession
-    loose = spark.read.schema(schema).parquet(f"{path}/loose").where(F.col("kind") == "recipes")
-    ordered = loose.select("doc_id", "n_tokens", F.col("digest").alias("recipe")).repartitionByRange(parts_for(total, RECIPE_BYTES), "doc_id").sortWithinPartitions("doc_id", "recipe")
+    loose = spark.read.schema(OBJECTS).parquet(f"{path}/objects").where(F.col("kind") == _RECIPE).select("doc_id", "n_tokens", "crc", F.col("digest").alias("text"))
+    ordered = in_order(loose, parts_for(total, RECIPE_BYTES))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, row, part = 0, 0, TaskContext.get().partitionId()
         for batch in batches:
             n = batch.column("n_tokens").to_numpy()
             ends = before + np.cumsum(n)
-            leaves = [digest_of(x) for x in batch.column("recipe").to_pylist()]
+            leaves = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "doc_id", "n_tokens", "crc")))]
             yield pa.record_batch([
-                batch.column("doc_id"), batch.column("n_tokens"), batch.column("recipe"), pa.array(leaves, pa.binary()),
+                *(batch.column(c) for c in ("doc_id", "n_tokens", "crc", "text")), pa.array(leaves, pa.binary()),
                 pa.array(np.full(len(n), part)), pa.array(np.arange(row, row + len(n))), pa.array(ends - n),
-            ], names=["doc_id", "n_tokens", "recipe", "leaf", "range_id", "row", "start_in_range"])
+            ], names=["doc_id", "n_tokens", "crc", "recipe", "leaf", "range_id", "row", "start_in_range"])
             before, row = int(ends[-1]) if len(n) else before, row + len(n)
 
     ordered.mapInArrow(place, RECIPES).write.parquet(f"{path}/recipes")
-    ranges = range_roots(spark.read.schema(RECIPES).parquet(f"{path}/recipes"))
-    earlier = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    ranges.withColumn("tokens_before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).coalesce(1).write.parquet(f"{path}/manifest")
-
-
-def range_roots(recipes: DataFrame) -> DataFrame:
-    """range_id, first_doc, last_doc, documents, tokens and the Merkle root of the leaves of each range."""
-    ranges = recipes.groupBy("range_id").agg(
-        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens"),
-        F.array_sort(F.collect_list(F.struct("row", "leaf"))).alias("leaves"),  # a range's size is bounded
-    )
-    root = F.sha2(F.concat_ws(",", F.transform("leaves", lambda x: F.hex(x["leaf"]))), 256)
-    return ranges.select("range_id", "first_doc", "last_doc", "documents", "tokens", root.alias("root"))
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
+    write_tree(recipes.select("range_id", "row", F.hex("leaf").alias("digest"), "n_tokens"), f"{path}/manifest")
+    ranges = recipes.groupBy("range_id").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens"))
+    with_sums_before(ranges, "range_id", "tokens").withColumnRenamed("before", "tokens_before").write.parquet(f"{path}/ranges")
+
+
+def with_sums_before(rows: DataFrame, at: str, value: str) -> DataFrame:
+    """Adds ``before``: the sum of the value over all rows with a smaller number ``at``.  Numbers are dense; sums are taken by groups of neighbours and then over the groups, so no task
+    meets more than its group."""
+    top = rows.agg(F.max(at)).first()[0] or 0
+
+    def before(rows: DataFrame, top: int) -> DataFrame:
+        group = F.floor(F.col(at) / (16 * FANOUT))
+        inner = F.coalesce(F.sum(value).over(Window.partitionBy(group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rows = rows.withColumn("before", inner)
+        if top < 16 * FANOUT:
+            return rows
+        groups = before(rows.groupBy(group.alias(at)).agg(F.sum(value).alias(value)), top // (16 * FANOUT)).select(F.col(at).alias("__group"), F.col("before").alias("__before"))
+        return rows.withColumn("__group", group).join(groups, "__group").withColumn("before", F.col("before") + F.col("__before")).drop("__group", "__before")
+
+    return before(rows, top)
+
+
+def _parents(nodes: DataFrame, level: int, range_id, node) -> DataFrame:
+    """The nodes above: each the hash of its children's digests, in order."""
+    children = F.array_sort(F.collect_list(F.struct("range_id", "node", "digest")))  # FANOUT of them at most
+    grouped = nodes.groupBy(range_id.cast("long").alias("r"), node.cast("long").alias("n")).agg(children.alias("c"), F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    digest = F.sha2(F.concat_ws(",", F.lit("node"), F.transform("c", lambda x: x["digest"])), 256)
+    return grouped.select(F.lit(level).alias("level"), F.col("r").alias("range_id"), F.col("n").alias("node"), digest.alias("digest"), "documents", "tokens")
+
+
+def _inner_tree(leaves: DataFrame) -> list[DataFrame]:
+    """Levels 1 to 3 from leaves (range_id, row, digest, n_tokens): a range has at most ``FANOUT ** 3`` of them, as its size is bounded."""
+    nodes = leaves.select("range_id", F.col("row").alias("node"), "digest", F.lit(1).cast("long").alias("documents"), F.col("n_tokens").alias("tokens"))
+    own, above = F.col("range_id"), F.floor(F.col("node") / FANOUT)
+    first = _parents(nodes, 1, own, above)
+    second = _parents(first, 2, own, above)
+    return [first, second, _parents(second, 3, own, F.lit(0))]
+
+
+def write_tree(leaves: DataFrame, path: str) -> None:
+    """All nodes of the tree.  Each level is read back for the next, so none is made twice."""
+    spark = leaves.sparkSession
+    levels = _inner_tree(leaves)
+    levels[0].unionByName(levels[1]).unionByName(levels[2]).write.parquet(f"{path}/of=ranges")
+    ranges, level = spark.read.schema(NODES).parquet(f"{path}/of=ranges").where("level = 3"), 3
+    while True:
+        level += 1
+        _parents(ranges, level, F.floor(F.col("range_id") / FANOUT), F.lit(0)).write.parquet(f"{path}/of=level{level}")
+        ranges = spark.read.schema(NODES).parquet(f"{path}/of=level{level}")
+        if ranges.count() <= 1:
+            return
 
 
 def check_recipes(spark: SparkSession, path: str) -> None:
-    """Raise an error if the recipes aren't those that the manifest was made of.  A job of its own: no later plan can leave it out.
+    """Raise an error if the recipes aren't those that the tree was made of.  A job of its own: no later plan can leave it out.
 
-    Leaves are computed anew from the recipes, so a changed recipe, leaf or number of ids, a lost file and a
+    Leaves are computed anew from the recipes, and nodes from leaves, so a changed recipe, leaf or number of ids, a lost file, a changed node and a
     range that the manifest doesn't know are all found."""
     recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [digest_of(x) for x in batch.column("recipe").to_pylist()]
-            if found != batch.column("stored").to_pylist():
+            found = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("recipe", "doc_id", "n_tokens", "crc")))]
+            if found != batch.column("leaf").to_pylist():
                 raise ValueError("a recipe differs from its leaf")
-            yield pa.record_batch([*(batch.column(c) for c in ("range_id", "row", "doc_id", "n_tokens")), pa.array(found, pa.binary())], names=["range_id", "row", "doc_id", "n_tokens", "leaf"])
-
-    read = recipes.select("range_id", "row", "doc_id", "n_tokens", "recipe", F.col("leaf").alias("stored"))
-    read = read.mapInArrow(leaves, "range_id long, row long, doc_id long, n_tokens long, leaf binary")
-    columns = ["first_doc", "last_doc", "documents", "tokens", "root"]
-    found = range_roots(read).select("range_id", F.struct(*columns).alias("found"))
-    w = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    told = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").withColumn("sum_before", F.coalesce(F.sum("tokens").over(w), F.lit(0)))
-    told = told.select("range_id", "tokens_before", "sum_before", F.struct(*columns).alias("told"))
-    good = F.col("found").eqNullSafe(F.col("told")) & F.col("tokens_before").eqNullSafe(F.col("sum_before"))
-    bad = told.join(found, "range_id", "full_outer").where(~good).select("range_id").limit(1).collect()
+            yield pa.record_batch([*(batch.column(c) for c in ("range_id", "row", "n_tokens")), pa.array([x.hex().upper() for x in found])], names=["range_id", "row", "n_tokens", "digest"])
+
+    read = recipes.mapInArrow(leaves, "range_id long, row long, n_tokens long, digest string")
+    told = spark.read.schema(NODES).parquet(f"{path}/manifest")
+    top = told.agg(F.max("level")).first()[0] or 3
+    first, _, _ = _inner_tree(read)
+    stored = lambda level: told.where(F.col("level") == level)
+    own, above = F.col("range_id"), F.floor(F.col("node") / FANOUT)
+    # Each level from the stored one below it: together, all levels hold or one of them differs.
+    found = first.unionByName(_parents(stored(1), 2, own, above)).unionByName(_parents(stored(2), 3, own, F.lit(0)))
+    for level in range(4, top + 1):
+        found = found.unionByName(_parents(stored(level - 1), level, F.floor(own / FANOUT), F.lit(0)))
+    key, rest = ["level", "range_id", "node"], ["digest", "documents", "tokens"]
+    both = told.select(*key, F.struct(*rest).alias("told")).join(found.select(*key, F.struct(*rest).alias("found")), key, "full_outer")
+    bad = both.where(~F.col("found").eqNullSafe(F.col("told"))).select(*key).limit(1).collect()
     if bad:
-        raise ValueError(f"recipes of range {bad[0].range_id} differ from the manifest")
+        raise ValueError(f"recipes of range {bad[0].range_id} differ from the manifest (node {bad[0].node} of level {bad[0].level})")
+    if told.where(F.col("level") == top).count() > 1:
+        raise ValueError("the manifest has no root")
 
 
 @lru_cache(maxsize=8192)
-def _shift(n_bytes: int) -> tuple:
-    """Tables that carry a crc32 past n_bytes zero bytes: four lists of 256 numbers."""
+def _shift(n_bytes: int) -> np.ndarray:
+    """Tables that carry a crc32 past n_bytes zero bytes: 4 rows of 256 numbers, one for each byte of the crc."""
     def times(m, v):
         out = 0
         for i in range(32):
@@ -197,96 +256,117 @@ def _shift(n_bytes: int) -> tuple:
             result = [times(power, x) for x in result]
         power = [times(power, x) for x in power]
         n >>= 1
-    tables = []
+    tables = np.zeros((4, 256), np.uint32)
     for k in range(4):
         line = [0]
         for bit in range(8):
             line += [x ^ result[8 * k + bit] for x in line]
-        tables.append(line)
-    return tuple(tables)
+        tables[k] = line
+    return tables
+
 
+def joined_crcs(crc: np.ndarray, n_bytes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """crc32 of each run [at[i], at[i + 1]) of byte strings joined, from their own crc32 and lengths."""
+    sizes, which = np.unique(n_bytes, return_inverse=True)
+    tables = np.stack([_shift(int(x)) for x in sizes]) if len(sizes) else np.zeros((0, 4, 256), np.uint32)
+    count = np.diff(at)
+    out = np.zeros(len(count), np.uint32)
+    for k in range(int(count.max(initial=0))):
+        run = np.flatnonzero(count > k)
+        i, now = at[run] + k, out[run]
+        t = which[i]
+        out[run] = tables[t, 0, now & 255] ^ tables[t, 1, now >> 8 & 255] ^ tables[t, 2, now >> 16 & 255] ^ tables[t, 3, now >> 24] ^ crc[i].astype(np.uint32)
+    return out
 
-def joined_crc(first: int, second: int, second_bytes: int) -> int:
-    """crc32 of two byte strings joined, from their own."""
-    a, b, c, d = _shift(second_bytes)
-    return a[first & 255] ^ b[first >> 8 & 255] ^ c[first >> 16 & 255] ^ d[first >> 24] ^ second
 
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(OBJECTS).parquet(f"{path}/objects").where(F.col("kind") == _CHUNK).select("digest", "ids")
 
-def read_chunks(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """digest, ids (as stored), n and ids_crc32 (of the ids as unsigned 32-bit integers) of all chunks, each checked."""
-    stored = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/loose").where(F.col("kind") == "chunks")
 
+def _checked(batch: pa.RecordBatch) -> list[bytes]:
+    bodies = batch.column("ids").to_pylist()
+    for d, body in zip(batch.column("digest").to_pylist(), bodies):
+        if digest_of(body) != d:
+            raise ValueError(f"chunk {d.hex()} is damaged")
+    return bodies
+
+
+def summed(chunks: DataFrame, width: int = 2) -> DataFrame:
+    """digest, n and crc (crc32 of the ids as unsigned 32-bit integers) of chunks, each checked."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, bodies = batch.column("digest").to_pylist(), batch.column("ids").to_pylist()
-            crcs, counts = [], []
-            for d, body in zip(digests, bodies):
-                if digest_of(body) != d:
-                    raise ValueError(f"chunk {d.hex()} is damaged")
-                crcs.append(zlib.crc32(np.frombuffer(body, f"<u{width}").astype("<u4").tobytes()))
-                counts.append(len(body) // width)
-            yield pa.record_batch([batch.column("digest"), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["digest", "n", "crc"])
+            bodies = _checked(batch)
+            crcs = [zlib.crc32(np.frombuffer(body, f"<u{width}").astype("<u4")) for body in bodies]
+            yield pa.record_batch([batch.column("digest"), pa.array([len(body) // width for body in bodies], pa.int64()), pa.array(crcs, pa.int64())], names=["digest", "n", "crc"])
 
-    return stored.select("digest", "ids").mapInArrow(check, "digest binary, n long, crc long")
+    return chunks.mapInArrow(check, "digest binary, n long, crc long")
 
 
 def exploded_recipes(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each chunk of each document: range_id, row, part (from 1), digest."""
-    recipes = spark.read.parquet(f"{path}/recipes")
+    """One row for each chunk of each document: range_id, row, part (from 0), digest."""
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
     digest = F.expr(f"transform(sequence(0, length(recipe) div {DIGEST_BYTES} - 1), i -> substring(recipe, i * {DIGEST_BYTES} + 1, {DIGEST_BYTES}))")
     return recipes.select("range_id", "row", F.posexplode(digest).alias("part", "digest"))
 
 
+def _parts(spark: SparkSession, path: str, checked) -> DataFrame:
+    """What ``checked`` gives of the chunks, for each chunk of each document; a chunk that very many hold doesn't gather them in one task."""
+    refs = exploded_recipes(spark, path)
+    n = (spark.read.schema(RECIPES).parquet(f"{path}/recipes").agg(F.sum(F.octet_length("recipe"))).first()[0] or 0) // DIGEST_BYTES
+    heavy = written(refs.groupBy("digest").agg(F.count("*").alias("uses")).where(F.col("uses") * HEAVY > n).select("digest"), "token-store-heavy")  # fewer than HEAVY
+    chunks = _chunks(spark, path)
+    few = checked(chunks.join(F.broadcast(heavy), "digest", "left_semi"))
+    return refs.join(F.broadcast(heavy), "digest", "left_anti").join(checked(chunks), "digest").unionByName(refs.join(F.broadcast(few), "digest"))
+
+
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the store's files.
 
     Every chunk is read and checked once; a document's crc32 is joined from those of its chunks in
-    the order of its recipe, so ids aren't moved once for each document that holds them."""
+    the order of its recipe, so ids aren't moved once for each document that holds them, and is compared with the one in its leaf."""
     check_recipes(spark, path)
-    parts = exploded_recipes(spark, path).join(read_chunks(spark, path), "digest", "left")
-    folded = parts.groupBy("range_id", "row").agg(F.array_sort(F.collect_list(F.struct("part", "n", "crc"))).alias("parts"))
+    folded = _parts(spark, path, summed).groupBy("range_id", "row").agg(F.array_sort(F.collect_list(F.struct("part", "n", "crc"))).alias("parts"))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            crcs, counts = [], []
-            for parts in batch.column("parts").to_pylist():
-                crc, n = 0, 0
-                for p in parts:
-                    if p["n"] is None:
-                        raise ValueError("a chunk is missing")
-                    crc = joined_crc(crc, p["crc"], 4 * p["n"])
-                    n += p["n"]
-                crcs.append(crc)
-                counts.append(n)
-            yield pa.record_batch([batch.column("range_id"), batch.column("row"), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["range_id", "row", "read_tokens", "ids_crc32"])
+            parts = batch.column("parts")
+            at = parts.offsets.to_numpy().astype(np.int64)
+            n, crc = (parts.values.field(name).to_numpy(zero_copy_only=False) for name in ("n", "crc"))
+            n, crc, at = n[at[0] : at[-1]], crc[at[0] : at[-1]], at - at[0]
+            ends = np.concatenate([[0], np.cumsum(n)])[at]
+            yield pa.record_batch([batch.column("range_id"), batch.column("row"), pa.array(np.diff(ends)), pa.array(joined_crcs(crc, 4 * n, at).astype(np.int64))], names=["range_id", "row", "read_tokens", "ids_crc32"])
 
     folded = folded.mapInArrow(fold, "range_id long, row long, read_tokens long, ids_crc32 long")
-    recipes = spark.read.parquet(f"{path}/recipes").select("doc_id", "range_id", "row", "start_in_range", F.col("n_tokens").alias("told_tokens"))
-    ranges = spark.read.parquet(f"{path}/manifest").select("range_id", "tokens_before")
-    n_tokens = F.when(F.col("read_tokens") == F.col("told_tokens"), F.col("read_tokens")).otherwise(F.raise_error(F.lit("a recipe's number of ids is wrong")).cast("long"))
-    return recipes.join(folded, ["range_id", "row"]).join(ranges, "range_id").select(
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes").select("doc_id", "range_id", "row", "start_in_range", "n_tokens", "crc")
+    ranges = spark.read.schema(RANGES).parquet(f"{path}/ranges").select("range_id", "tokens_before")
+    same = F.col("read_tokens").eqNullSafe(F.col("n_tokens")) & F.col("ids_crc32").eqNullSafe(F.col("crc"))
+    n_tokens = F.when(same, F.col("read_tokens")).otherwise(F.raise_error(F.lit("a document can't be rebuilt from its chunks")).cast("long"))
+    return recipes.join(folded, ["range_id", "row"], "left").join(ranges, "range_id").select(
         "doc_id", (F.col("tokens_before") + F.col("start_in_range")).alias("start"), n_tokens.alias("n_tokens"), "ids_crc32")
 
 
 def read_documents(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """doc_id and ids (array) of every document, rebuilt from its chunks, each checked."""
+    """doc_id and ids (array) of every document, rebuilt from its chunks, each checked, and compared with its number of ids and crc32."""
     check_recipes(spark, path)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, body in zip(batch.column("digest").to_pylist(), batch.column("ids").to_pylist()):
-                if digest_of(body) != d:
-                    raise ValueError(f"chunk {d.hex()} is damaged")
+            _checked(batch)
             yield batch
 
-    chunks = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/loose").where(F.col("kind") == "chunks").select("digest", "ids").mapInArrow(check, "digest binary, ids binary")
-    parts = exploded_recipes(spark, path).join(chunks, "digest", "left")
-    whole = parts.groupBy("range_id", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: F.coalesce(x["ids"], F.raise_error(F.lit("a chunk is missing")).cast("binary"))).alias("bodies"))
-    whole = whole.withColumn("body", F.expr("aggregate(bodies, cast('' as binary), (a, b) -> concat(a, b))"))
-    raw = F.expr("transform(sequence(0, length(body) div {w} - 1), i -> cast(conv(concat({parts}), 16, 10) as int))".format(
-        w=width, parts=", ".join(f"hex(substring(body, i * {width} + {k}, 1))" for k in range(width, 0, -1))))
-    recipes = spark.read.parquet(f"{path}/recipes").select("doc_id", "range_id", "row")
-    return recipes.join(whole.select("range_id", "row", raw.alias("ids")), ["range_id", "row"]).select("doc_id", "ids")
+    whole = _parts(spark, path, lambda chunks: chunks.mapInArrow(check, "digest binary, ids binary")).groupBy("range_id", "row").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("parts"))
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes").select("doc_id", "range_id", "row", "n_tokens", "crc")
+
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                doc_id, n, crc, parts = (batch.column(c)[k].as_py() for c in ("doc_id", "n_tokens", "crc", "parts"))
+                ids = np.frombuffer(b"".join(p["ids"] for p in parts or []), f"<u{width}")
+                if len(ids) != n or zlib.crc32(ids.astype("<u4")) != crc:
+                    raise ValueError("a document can't be rebuilt from its chunks")
+                yield pa.record_batch([pa.array([doc_id], pa.int64()), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    return recipes.join(whole, ["range_id", "row"], "left").drop("range_id", "row").mapInArrow(rebuild, "doc_id long, ids array<int>")
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:

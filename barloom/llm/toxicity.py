@@ -4,15 +4,15 @@ Features of a text are its words, pairs of neighbours, and pairs with one or two
 them, hashed into ``2**BITS`` places; each counts once in a text.  Every coordinate has its own
 learning rate, and L1 keeps only coordinates that pull.
 
-Learning takes a sample of the labelled rows, by a hash of doc_id, of ``MOST_ROWS`` rows on average
+Learning takes a sample of the different labelled doc_ids, by a hash, of ``MOST_ROWS`` on average
 if there are more (so the list of learned doc_ids that is broadcast is bounded too).  It is spread
 over Spark: the rows are dealt out in shards of about ``SHARD_ROWS`` rows, each shard is one learner
 (``EPOCHS`` passes in a fixed order), and the learners' weights are averaged.
 What is broadcast for scoring are the averaged weights that are not zero: at most ``2**BITS`` of them, 12 bytes each.
 
 Cases: a null text is an empty one; a text without words gets the intercept's score; labelled
-doc_ids without a document, and labels that are null, are ignored; repeated labels count each;
-without any labels all scores are 0; null doc_ids are scored; an empty table gives no rows; other columns are ignored.
+doc_ids without a document, and labels that are null, are ignored; a label that is given twice counts once, and of
+several texts of one doc_id the least is learned; without any labels all scores are 0; null doc_ids are scored; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,16 +105,20 @@ def _learners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Places and weights of the averaged model (the intercept's place is ``2**BITS``), from ``labels`` (doc_id, label)."""
     labels = labels.where("doc_id is not null and label is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    labels = labels.distinct()
     n = labels.count()
     if n > most_rows:
         labels = labels.where(F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(n)) < most_rows)
     shards = max(1, -(-min(n, most_rows) // SHARD_ROWS))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(labels), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    rows = texts.join(F.broadcast(labels), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id", "text", "label").select("shard", "text", "label")
     learned = rows.mapInArrow(_learners, "place long, weight double")
-    mean = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).where("weight <> 0").orderBy("place").collect()
-    return np.array([r.place for r in mean], np.int64), np.array([r.weight for r in mean], np.float64)
+    mean = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).where("weight <> 0").toArrow()
+    place, weight = mean["place"].to_numpy(), mean["weight"].to_numpy()
+    order = np.argsort(place)
+    return place[order].astype(np.int64), weight[order].astype(np.float64)
 
 
 def _scores(texts: pa.Array, table: np.ndarray, known: bool) -> np.ndarray:
@@ -132,11 +136,14 @@ def _scores(texts: pa.Array, table: np.ndarray, known: bool) -> np.ndarray:
 def _sent(spark: SparkSession, model: tuple[np.ndarray, np.ndarray]):
     """A function for tasks that gives the table of weights from what is broadcast."""
     held = spark.sparkContext.broadcast((model[0].astype(np.int32), model[1].astype(np.float32)))
+    made: list[np.ndarray] = []
 
     def table() -> np.ndarray:
-        out = np.zeros((1 << BITS) + 1, np.float32)
-        out[held.value[0]] = held.value[1]
-        return out
+        if not made:
+            out = np.zeros((1 << BITS) + 1, np.float32)
+            out[held.value[0]] = held.value[1]
+            made.append(out)
+        return made[0]
 
     return table
 
@@ -156,19 +163,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
 
 def clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, whose score is below the threshold, as op7 predicts, or that have
-    no words at all; rows are judged one by one, so a doc_id may be null or repeated."""
+    no words at all; rows are judged one by one, so a doc_id may be null or repeated.  Texts alone go to Python, and a boolean comes back."""
     weights, known = _sent(docs.sparkSession, model), len(model[0]) > 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = weights()
-        for batch in batches:
-            keep = _scores(batch.column("text"), table, known) < threshold
-            high = np.flatnonzero(~keep)
-            for lo, hi in text_slices(texts := batch.column("text").take(pa.array(high))):
-                keep[high[lo:hi]] = np.diff(word_hashes(texts.slice(lo, hi - lo))[1]) == 0
-            yield batch.filter(pa.array(keep))
+    @F.arrow_udf("boolean")
+    def passes(column: pa.Array) -> pa.Array:
+        keep = _scores(column, weights(), known) < threshold
+        high = np.flatnonzero(~keep)
+        for lo, hi in text_slices(texts := column.take(pa.array(high))):
+            keep[high[lo:hi]] = np.diff(word_hashes(texts.slice(lo, hi - lo))[1]) == 0
+        return pa.array(keep)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(passes(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
 def fit_on_folds(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:

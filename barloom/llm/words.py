@@ -1,11 +1,15 @@
 """Words of Arrow text columns as 64-bit hashes, whole columns at a time.
 
-A word is a maximal run of bytes of one class.  Its hash is a polynomial over its bytes modulo
-2**64, taken from prefix sums (the base is odd, so powers can be inverted), then mixed.
+A word is a maximal run of bytes of one class.  The hash of a short one is a polynomial over its bytes
+modulo 2**64, taken from prefix sums (the base is odd, so powers can be inverted), then mixed.  Long runs
+of two symbols can be built that collide under every such polynomial, so words over ``LONG`` bytes are
+hashed with BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +17,9 @@ import pyarrow.compute as pc
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
-_BYTE, _OTHER_BYTE = (np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) for seed in (20240229, 7))
+_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+#: Bytes of the longest word whose hash is a polynomial.
+LONG = 32
 
 #: Bytes of words in the two senses used here.
 NOT_SPACE = np.ones(256, bool)
@@ -61,15 +67,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of some bytes; none may be empty.  ``second``: another hash."""
-    sums = (_OTHER_BYTE if second else _BYTE)[data]
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans [start, end) of some bytes; none may be empty."""
+    sums = _BYTE[data]
     sums *= _powers("up", _BASE, len(data))
     np.cumsum(sums, out=sums)
     total = sums[end - 1]
     total -= np.where(start > 0, sums[start - 1], np.uint64(0))
     total *= _powers("down", _INVERSE, len(data))[start]
-    return mix(total)
+    out = mix(total)
+    for i in np.flatnonzero(end - start > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def word_hashes(texts: pa.Array, word_bytes: np.ndarray = LETTERS, unicode_lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

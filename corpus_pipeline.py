@@ -4,7 +4,7 @@ secrets are cut out, and what is left is packed into token sequences.
 Each stage is a function ``(spark, docs, folder) -> DataFrame`` on all documents that the one before
 kept; ``run`` writes each stage's result as Parquet in the shared folder and reads it for the next.
 
-Cases: each stage takes null and empty texts (neither toxic nor duplicates), repeated rows (those of one doc_id stay or go together),
+Cases: each stage takes null and empty texts (neither toxic nor duplicates), repeated rows and null doc_ids (each row is judged by itself),
 empty tables and extra columns, which it keeps; all stages but the last return the columns they got.
 """
 
@@ -18,11 +18,11 @@ from barloom.llm.common import ship, table, written
 
 ORACLE_SQL = None
 #: A name that no document column has.
-_GONE = "__gone_doc_id"
+_ROW = "__pipeline_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the toxicity model rejects (score at the threshold or above) go.
+    """Documents that the toxicity model rejects (score at the threshold or above) go; those without any words stay.
 
     The model learns from the labelled rows of the learning folds, over all ``documents`` of the folder.
     """
@@ -32,11 +32,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked by n-gram similarity stays; so do documents without a doc_id."""
+    """One row of each group linked by n-gram similarity stays, the one with the smallest doc_id (rows without a doc_id come after all others; repeated ones as they come)."""
     ship(spark)
-    joined = ngram_join.jaccard_join(docs)
-    gone = joined.where("not kept and doc_id is not null").select(F.col("doc_id").alias(_GONE)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[_GONE], "left_anti")
+    docs = written(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")  # the numbers stay the same
+    gone = ngram_join.jaccard_join(docs, row=_ROW).where("not kept").select(F.col("row").alias(_ROW))
+    return docs.join(gone, _ROW, "left_anti").drop(_ROW)
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

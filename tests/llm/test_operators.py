@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import byte_bpe, chat_format, embedding_dedup, graph, language_model, nearest, ngram_join, packing, piece_codec, secret_scan, token_store, toxicity
 from barloom.llm.common import new_path
+from barloom.llm.words import word_hashes
 from barloom.llm.queries import oracle_sql, queries
 from tests.conftest import SMALL
 
@@ -109,7 +110,8 @@ def test_blocks_meet_every_pair_once(spark):
         x, y = (np.concatenate([p[k] for p in a]) if a else np.zeros(0, int) for k in (0, 1))
         return pa.record_batch([pa.array(np.minimum(node[x], node[y])), pa.array(np.maximum(node[x], node[y]))], names=["a", "b"])
 
-    pairs = [tuple(r) for r in graph.met(graph.blocked(rows, "key", "node", block=16), "key", kernel, "a long, b long").collect()]
+    counts = graph.group_counts(rows, "key", "test-counts")
+    pairs = [tuple(r) for r in graph.met(graph.blocked(rows, "key", "node", counts, block=16), "key", kernel, "a long, b long").collect()]
     assert len(pairs) == len(set(pairs)) == 2 * (150 * 149 // 2)
     assert all(a % 2 == b % 2 for a, b in pairs)
 
@@ -192,6 +194,40 @@ def test_byte_bpe_is_the_library(edge_rows):
             assert ids[at[k] : at[k + 1]].tolist() == want
 
 
+def thue_morse(n=4096):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_texts_with_equal_polynomials_keep_their_own_ids():
+    """Such a word and its complement collide under every polynomial modulo 2**64."""
+    texts = [*thue_morse(), *thue_morse(1024)]
+    for encode in (byte_bpe.ByteBpe(BPE).encode, lambda t: piece_codec.PieceEncoder(PIECES, 0.0, 1).encode(t, np.arange(len(t)))):
+        got = []
+        for part in ([texts[0]], texts[1:], texts):
+            ids, at = encode(pa.array(part))
+            got += [ids[a:b].tolist() for a, b in zip(at, at[1:])]
+        assert got[:4] == got[4:] and got[0] != got[1] and got[2] != got[3]
+    assert got[0] == piece_codec.PieceModel(PIECES).library.encode(texts[0])
+    assert [byte_bpe.ByteBpe(BPE).encode(pa.array([t]))[0].tolist() for t in texts] == ids_of(texts)
+    words, _ = word_hashes(pa.array(texts))
+    assert len(set(words.tolist())) == 4
+
+
+def test_equal_hashes_dont_share_ids():
+    table = byte_bpe.SegmentTable()
+    old = byte_bpe.span_hashes
+    byte_bpe.span_hashes = lambda data, start, end: np.zeros(len(start), np.uint64)
+    try:
+        names = [b"one", b"two", b"six", b"seven"]
+        data, at = np.frombuffer(b"".join(names), np.uint8), np.cumsum([0, *map(len, names)])
+        for _ in range(2):
+            start, length = table.lookup(data, at, lambda i: (i.astype(np.int32) + 10, np.ones(len(i), np.int64)))
+            assert table.flat[start].tolist() == [10, 11, 12, 13] and length.tolist() == [1] * 4
+    finally:
+        byte_bpe.span_hashes = old
+
+
 def test_store_cases(spark, edge_docs, edge_rows, no_docs):
     path = new_path(spark, "store")
     token_store.write_store(edge_docs, path, BPE)
@@ -206,48 +242,51 @@ def test_store_cases(spark, edge_docs, edge_rows, no_docs):
         at += r.n_tokens
     rebuilt = {r.doc_id: r.ids for r in token_store.read_documents(spark, path).collect()}
     assert rebuilt[6] == rebuilt[7] == ids_of([edge_rows[5][1]])[0] + [2]
-    chunks = spark.read.parquet(f"{path}/loose").where("kind = 'chunks'")
+    chunks = spark.read.parquet(f"{path}/objects").where("kind = 0")
     assert chunks.count() == chunks.select("digest").distinct().count()
     empty = new_path(spark, "store")
     token_store.write_store(no_docs, empty, BPE)
     assert token_store.read_digests(spark, empty).count() == 0
 
 
-def test_damage_is_found(spark, edge_docs):
-    path, other = new_path(spark, "store"), new_path(spark, "store")
-    token_store.write_store(edge_docs, path, BPE)
-    loose = spark.read.parquet(f"{path}/loose")
-    loose.withColumn("ids", F.when(F.col("kind") == "chunks", F.concat("ids", F.lit(b"\x01\x00")))).write.partitionBy("kind").parquet(f"{other}/loose")
-    with pytest.raises(Exception, match="damaged"):
-        token_store.read_chunks(spark, other).count()
-
-
 def test_changed_and_missing_recipes_are_found(spark, edge_docs, tmp_path):
     path = new_path(spark, "store")
     token_store.write_store(edge_docs, path, BPE)
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes, objects, nodes = (spark.read.parquet(f"{path}/{name}") for name in ("recipes", "objects", "manifest"))
+    other_recipe = recipes.where("doc_id = 5").first()
     # A document with the recipe of another: its chunks are all there.
-    swapped = recipes.withColumn("recipe", F.when(F.col("doc_id") == 4, F.lit(recipes.where("doc_id = 5").first().recipe)).otherwise(F.col("recipe")))
-    relabelled = swapped.withColumn("leaf", F.when(F.col("doc_id") == 4, F.lit(recipes.where("doc_id = 5").first().leaf)).otherwise(F.col("leaf")))
-    cases = {"leaf": swapped, "manifest": relabelled, "range": recipes.where("doc_id <> 9 or doc_id is null"), "range 0": recipes.where("false")}
-    for k, (match, frame) in enumerate(cases.items()):
+    swapped = recipes.withColumn("recipe", F.when(F.col("doc_id") == 4, F.lit(other_recipe.recipe)).otherwise(F.col("recipe")))
+    relabelled = swapped.withColumn("leaf", F.when(F.col("doc_id") == 4, F.lit(token_store.leaf_of(other_recipe.recipe, 4, 2, recipes.where("doc_id = 4").first().crc))).otherwise(F.col("leaf")))
+    changed = F.when(F.col("kind") == 0, F.concat("ids", F.lit(b"\x01\x00")))
+    one = objects.where("kind = 0").first().digest
+    cases = [
+        ("leaf", "recipes", swapped), ("manifest", "recipes", relabelled), ("range", "recipes", recipes.where("doc_id <> 9 or doc_id is null")), ("range 0", "recipes", recipes.where("false")),
+        ("leaf", "recipes", recipes.withColumn("leaf", F.col("recipe"))), ("leaf", "recipes", recipes.withColumn("n_tokens", F.col("n_tokens") + 1)),
+        ("manifest", "manifest", nodes.withColumn("digest", F.when(F.col("level") == 1, F.reverse("digest")).otherwise(F.col("digest")))), ("manifest", "manifest", nodes.where("level < 4")),
+        ("damaged", "objects", objects.withColumn("ids", changed)), ("rebuilt", "objects", objects.where(F.col("digest") != F.lit(one))),
+    ]
+    for k, (match, name, frame) in enumerate(cases):
         other = str(tmp_path / f"store{k}")
-        shutil.copytree(path, other, ignore=shutil.ignore_patterns("recipes"))
-        frame.write.parquet(f"{other}/recipes")
+        shutil.copytree(path, other, ignore=shutil.ignore_patterns(name))
+        frame.drop("of").write.parquet(f"{other}/{name}")
         for read in (token_store.read_digests, token_store.read_documents):
             with pytest.raises(Exception, match=match):
                 read(spark, other).collect()
-    other = str(tmp_path / "chunks")
-    shutil.copytree(path, other, ignore=shutil.ignore_patterns("loose"))
-    loose = spark.read.parquet(f"{path}/loose")
-    loose.withColumn("ids", F.when(F.col("kind") == "chunks", F.concat("ids", F.lit(b"\x01\x00")))).write.partitionBy("kind").parquet(f"{other}/loose")
-    with pytest.raises(Exception, match="damaged"):
-        token_store.read_documents(spark, other).collect()
 
 
-def test_joined_crc():
-    a, b = b"some bytes", b"and more of them"
-    assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+def test_joined_crcs():
+    parts = [b"some bytes", b"and more of them", b"alone", b"x", b"y" * 300, b"z"]
+    got = token_store.joined_crcs(np.array([zlib.crc32(p) for p in parts]), np.array([len(p) for p in parts]), np.array([0, 2, 2, 3, 6]))
+    assert got.tolist() == [zlib.crc32(b"".join(p)) for p in (parts[:2], [], parts[2:3], parts[3:])]
+
+
+def test_sums_before(spark):
+    rows = spark.range(10_000).select("id", (F.col("id") % 7).alias("v"))
+    got = {r.id: r.before for r in token_store.with_sums_before(rows, "id", "v").collect()}
+    want = 0
+    for i in range(10_000):
+        assert got[i] == want
+        want += i % 7
 
 
 # --- 4: chat formatting -------------------------------------------------------------------------
