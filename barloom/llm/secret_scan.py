@@ -8,8 +8,8 @@ owner.  Spans of the base patterns always stay; an opaque token is added where i
 credential and overlaps no base span.
 
 Positions come without a user-defined function: splitting a text by a pattern gives the gaps between
-its matches, extracting gives the matches, and running sums of both lengths give starts and ends in
-code points.  Texts without a pattern's key letters skip it.
+its matches, extracting gives the matches, and running sums of both lengths, over a text's exploded matches, give starts and ends in
+code points; the work is linear in the matches of a text.  Texts without a pattern's key letters skip it.
 
 Cases: a null text is an empty one; texts without candidates have empty spans; null owners count as
 one owner; repeated rows count once for each doc_id and are reported each; null doc_ids are allowed; an empty table
@@ -18,9 +18,9 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from barloom.llm.common import table, written
+from barloom.llm.common import spread_join, table, written
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -30,20 +30,11 @@ KINDS = ("assign", "access", "hex", "opaque")
 COPIED_OWNERS = 3
 
 
-def _matches(kind: str, text: Column, pattern: str, good) -> Column:
-    """Array of (kind, start, end, value) of all matches of a pattern that ``good`` accepts."""
+def _matches(kind: str, text: Column, pattern: str) -> Column:
+    """Array of (order, gap, found) of all matches of a pattern: the code points between a match and the one before it, and the match."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    ends = F.aggregate(
-        F.zip_with(F.slice(gaps, F.lit(1), F.size(whole)), whole, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("found"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("all")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["found"])).alias("at"),
-            F.concat(a["all"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + F.length(x["found"])).alias("end"), x["found"].alias("found")))).alias("all")),
-        lambda a: a["all"])
-    value = (lambda x: F.regexp_extract(x["found"], ASSIGN, 2)) if kind == "assign" else (lambda x: x["found"])
-    made = F.transform(ends, lambda x: F.struct(F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), value(x).alias("value")))
-    return F.filter(made, lambda x: good(x["value"]))
+    gaps = F.slice(F.split(text, pattern), F.lit(1), F.size(whole))
+    return F.zip_with(gaps, whole, lambda g, m: F.struct(F.lit(KINDS.index(kind)).alias("order"), F.length(g).alias("gap"), m.alias("found")))
 
 
 def looks_live(value: Column) -> Column:
@@ -52,50 +43,60 @@ def looks_live(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different >= 8) & ~F.lower(value).rlike("example|sample|changeme|dummy|placeholder|xxxx|12345")
 
 
-_EMPTY = "array<struct<order:int,kind:string,start:int,end:int,value:string>>"
+_EMPTY = "array<struct<order:int,gap:int,found:string>>"
+_SPANS = "array<struct<start:bigint,order:int,kind:string,end:bigint,value:string,repositories:bigint,owners:bigint,verdict:string>>"
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, owner and found: all candidates of each text, by start and then kind."""
-    text = F.col("text")
-    none = F.array().cast(_EMPTY)
-    long = F.length
+def _texts(docs: DataFrame, owner: str) -> DataFrame:
+    """doc_id, of_text (a hash of the text), owner, row and matches of each document, as a table."""
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"))
+    text, none = F.col("text"), F.array().cast(_EMPTY)
     lists = [
-        F.when(text.rlike(r"(?i)(?:pass|secret|token|api_?key)[a-z]*[\"']?\x20*[:=]"), _matches("assign", text, ASSIGN, lambda v: long(v) >= 6)).otherwise(none),
-        F.when(text.contains("AKIA"), _matches("access", text, ACCESS, lambda v: long(v) >= 20)).otherwise(none),
-        F.when(text.rlike(HEX), _matches("hex", text, HEX, lambda v: long(v) >= 24)).otherwise(none),
-        F.when(text.rlike(OPAQUE), _matches("opaque", text, OPAQUE, lambda v: looks_live(v))).otherwise(none),
+        F.when(text.rlike(r"(?i)(?:pass|secret|token|api_?key)[a-z]*[\"']?\x20*[:=]"), _matches("assign", text, ASSIGN)).otherwise(none),
+        F.when(text.contains("AKIA"), _matches("access", text, ACCESS)).otherwise(none),
+        F.when(text.rlike(HEX), _matches("hex", text, HEX)).otherwise(none),
+        F.when(text.rlike(OPAQUE), _matches("opaque", text, OPAQUE)).otherwise(none),
     ]
-    found = F.array_sort(F.concat(*lists), lambda a, b: F.coalesce(
-        F.nullif(a["start"] - b["start"], F.lit(0)), a["order"] - b["order"]))
-    return docs.select("doc_id", "owner", "row", found.alias("found"))
+    return written(docs.select("doc_id", F.xxhash64("text").alias("of_text"), "owner", F.monotonically_increasing_id().alias("row"), F.concat(*lists).alias("matches")), "secret-texts")
 
 
-def _prepared(docs: DataFrame, owner: str) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.monotonically_increasing_id().alias("row"))
+def _candidates(texts: DataFrame) -> DataFrame:
+    """A row for each match that counts: doc_id, owner, row, order, kind, start, end, value and its hash, as a table.  Ends are running sums over a text's matches of a kind."""
+    rows = texts.where(F.size("matches") > 0).select("doc_id", "owner", "row", F.posexplode("matches").alias("i", "m")).select("doc_id", "owner", "row", "i", "m.*").repartition("row")
+    so_far = Window.partitionBy("row", "order").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    found, order, value = F.col("found"), F.col("order"), F.col("value")
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length(found)).over(so_far)).withColumn("start", F.col("end") - F.length(found))
+    rows = rows.withColumn("value", F.when(order == 0, F.regexp_extract(found, ASSIGN, 2)).otherwise(found))
+    long = F.length(value)
+    good = F.when(order == 0, long >= 6).when(order == 1, long >= 20).when(order == 2, long >= 24).otherwise(looks_live(value))
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), order + 1)
+    return written(rows.where(good).select("doc_id", "owner", "row", "order", kind.alias("kind"), "start", "end", "value", F.sha2("value", 256).alias("hash")), "secret-candidates")
 
 
 def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
-    """doc_id, row and spans: structs of kind, start, end, value, repositories, owners, verdict
+    """doc_id, row, of_text and spans: structs of start, order, kind, end, value, repositories, owners, verdict
     (``copied``: widely copied example, ``owned``: owner-specific and live-looking, ``plain``: neither).
 
-    ``row`` tells repeated rows of the result apart.
+    ``row`` tells repeated rows of the result apart; ``of_text`` is xxhash64 of the text.
     """
-    found = written(candidates(_prepared(docs, owner)), "secret-candidates")
-    rows = found.where(F.size("found") > 0).select("doc_id", "owner", "row", F.explode("found").alias("c")).select("doc_id", "owner", "row", "c.*", F.sha2("c.value", 256).alias("hash"))
+    texts = _texts(docs, owner)
+    rows = _candidates(texts)
     # Salted: a value that a third of all documents hold is counted in many tasks first.
-    per_owner = rows.groupBy("hash", "owner", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt")).agg(F.count_distinct("doc_id").alias("n"))
-    per_owner = per_owner.groupBy("hash", "owner").agg(F.sum("n").alias("n"))
-    known = per_owner.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
-    judged = rows.join(known, "hash").withColumn("verdict", F.when(F.col("owners") >= COPIED_OWNERS, "copied").when(looks_live(F.col("value")), "owned").otherwise("plain"))
+    per_owner = rows.groupBy("hash", "owner", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt")).agg(F.count_distinct("doc_id").alias("n"), F.count("*").alias("uses"))
+    per_owner = per_owner.groupBy("hash", "owner").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+    known = written(per_owner.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"), F.sum("uses").alias("uses")), "secret-values")
+    total = known.agg(F.sum("uses")).first()[0] or 0
+    verdict = F.when(F.col("owners") >= COPIED_OWNERS, "copied").when(looks_live(F.col("value")), "owned").otherwise("plain")
+    judged = spread_join(rows, known, ["hash"], F.col("uses"), total).withColumn("verdict", verdict)
+    # An opaque span overlaps a base span if, of those that start before its end, one reaches past its start.
+    base = F.col("order") < len(KINDS) - 1
+    before = Window.partitionBy("row").orderBy(F.when(base, F.col("start")).otherwise(F.col("end")), base).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.coalesce(F.max(F.when(base, F.col("end"))).over(before), F.lit(0))
+    kept = judged.repartition("row").withColumn("reach", reach).where(base | ((F.col("verdict") == "owned") & (F.col("reach") <= F.col("start"))))
     span = F.struct("start", "order", "kind", "end", "value", "repositories", "owners", "verdict")
-    spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))  # one text's spans
-    base = F.filter("spans", lambda x: x["order"] < 3)
-    kept = F.filter("spans", lambda x: (x["order"] < 3) | ((x["verdict"] == "owned") & ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))))
-    empty = F.array().cast("array<struct<start:int,order:int,kind:string,end:int,value:string,repositories:bigint,owners:bigint,verdict:string>>")
-    return found.select("doc_id", "row").join(spans.select("row", kept.alias("spans")), "row", "left").select("doc_id", "row", F.coalesce("spans", empty).alias("spans"))
+    spans = kept.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))  # one text's spans
+    return texts.select("doc_id", "row", "of_text").join(spans, "row", "left").select("doc_id", "row", "of_text", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -115,15 +116,16 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     """The documents with every owner-specific, live-looking secret replaced by ``[SECRET]``.
 
-    Values are replaced by text, longest first, so a secret goes wherever it stands in its document;
-    documents without a doc_id share theirs.
+    Values are replaced by text, longest first, so a secret goes wherever it stands in its document.  Documents find their secrets by doc_id
+    and text, so rows without a doc_id, or with one in common, have their own.
     """
     names = docs.columns
-    scanned = scan(docs, owner).select("doc_id", F.filter("spans", lambda x: x["verdict"] == "owned").alias("spans")).where(F.size("spans") > 0)
-    values = scanned.select("doc_id", F.explode("spans.value").alias("value")).distinct().groupBy("doc_id").agg(F.collect_set("value").alias("values"))
+    scanned = scan(docs, owner).select("doc_id", "of_text", F.filter("spans", lambda x: x["verdict"] == "owned").alias("spans")).where(F.size("spans") > 0)
+    values = scanned.select("doc_id", "of_text", F.explode("spans.value").alias("value")).distinct().groupBy("doc_id", "of_text").agg(F.collect_set("value").alias("values"))
     longest = F.reverse(F.array_sort(F.transform("values", lambda v: F.struct(F.length(v).alias("n"), v.alias("value")))))
-    values = values.select(F.col("doc_id").alias("__secret_of"), longest.alias("__secret_values"))
-    joined = docs.join(values, docs["doc_id"].cast("long").eqNullSafe(values["__secret_of"]), "left")
+    values = values.select(F.col("doc_id").alias("__secret_of"), F.col("of_text").alias("__secret_text"), longest.alias("__secret_values"))
+    of_text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    joined = docs.join(values, (of_text == values["__secret_text"]) & docs["doc_id"].cast("long").eqNullSafe(values["__secret_of"]), "left")
     none = F.col("__secret_values").isNull()
     clean = F.when(none, F.col("text")).otherwise(F.aggregate("__secret_values", F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit("[SECRET]"))))
     out = joined.withColumn("text", clean)

@@ -101,6 +101,41 @@ def test_jaccard_join_cases(spark, edge_docs, no_docs):
     assert ngram_join.jaccard_join(no_docs).count() == 0
 
 
+def test_near_copies_without_a_doc_id_and_large_groups(spark):
+    words = [f"w{i}" for i in range(120)]
+    near = [" ".join([*words[:60], f"x{k}", *words[61:]]) for k in range(1100)]  # more than two blocks
+    rows = [(None if k % 100 == 0 else k, t) for k, t in enumerate(near)] + [(None, "quite another text of six words"), (None, "quite another text of six words"), (5000, "and a last one of seven words here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.monotonically_increasing_id())
+    got = ngram_join.jaccard_join(frame, row="n").collect()
+    in_group = [r for r in got if r.component_id == 1]
+    assert len(in_group) == 1100 and {r.n_links for r in in_group} == {1099} and sum(r.kept for r in in_group) == 1
+    rest = [r for r in got if r.component_id != 1]
+    assert sorted(r.n_links for r in rest) == [0, 1, 1] and sum(r.kept for r in rest) == 2
+
+
+def test_recall_by_similarity(spark):
+    rng, sets, rows = np.random.default_rng(8), {}, []
+    for k in range(900):
+        words = [f"v{i}" for i in rng.integers(0, 30000, 400)]
+        other = list(words)
+        for i in rng.choice(400, int(rng.integers(1, 11)), replace=False):
+            other[i] = "changed"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = {i: grams(t) for i, t in rows}
+    got = {r.doc_id: r.n_links for r in ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, there = Counter(), Counter()
+    for k in range(900):
+        a, b = sets[2 * k], sets[2 * k + 1]
+        similar = len(a & b) / len(a | b)
+        if 9 * len(a & b) >= 4 * (len(a) + len(b)):
+            band = 0.8 if similar < 0.85 else 0.85 if similar < 0.9 else 0.9
+            there[band] += 1
+            found[band] += got[2 * k]
+        else:
+            assert got[2 * k] == 0
+    assert min(there.values()) > 50 and all(found[band] >= 0.99 * n for band, n in there.items())
+
+
 def test_blocks_meet_every_pair_once(spark):
     rows = spark.range(300).select((F.col("id") % 2).alias("key"), F.col("id").alias("node"))
 
@@ -483,6 +518,19 @@ def test_ownership_separates_examples_from_owned_secrets(spark):
     assert clean[10] == "mine: [SECRET]" and clean[0] == rows[0][1] and clean[11] == "password=plainword"
 
 
+def test_texts_with_thousands_of_secrets(spark):
+    text = "\n".join(f"token={i:06x} {i:032x} Zk9qP2mLx7Vt4RbN8sWy3HcJ6dFgQ1eT5{i}" for i in range(4000))
+    frame = spark.createDataFrame([(1, text, "a"), (2, text, "a")], "doc_id long, text string, source string")
+    got = secret_scan.digest(secret_scan.scan(frame)).collect()
+    assert {r.base_sha256 for r in got} == {hashlib.sha256(",".join(base_spans(text)).encode()).hexdigest()} and {r.n_owned for r in got} != {0}
+
+
+def test_secrets_of_rows_without_a_doc_id_are_their_own(spark):
+    rows = [(None, "mine: Qw7rT5yU9iO1pA3sD5fG7hJ9kL2zX4cV6bN8", "s1"), (None, "yours: Lw7rT5yU9iO1pA3sD5fG7hJ9kL2zX4cV6bN8", "s1"), (None, None, "s1")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.text for r in secret_scan.redacted(frame).collect()} == {"mine: [SECRET]", "yours: [SECRET]", None}
+
+
 # --- 9: SentencePiece ---------------------------------------------------------------------------
 
 def test_pieces_without_dropout_are_the_library(edge_rows):

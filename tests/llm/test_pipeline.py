@@ -20,6 +20,14 @@ def test_stages_keep_columns_and_work_on_edge_cases(spark, edge_docs, no_docs):
     assert {1, 2, 3, 4, 6, 8, None} <= left and not {5, 7, 9, 10} & left
 
 
+def test_copies_without_a_doc_id_go_too(spark):
+    words = "one of many words that stand in this text and in no other one at all so it is long enough to be told apart"
+    rows = [(None, words), (None, words), (3, words.upper()), (3, words), (None, words + " more"), (None, "a text of its own"), (None, None), (None, None)]
+    frame = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, frame, SMALL).collect()
+    assert sorted(r.text or "" for r in left) == sorted(["", "", "a text of its own", next(r.text for r in left if r.doc_id == 3)]) and len(left) == 4
+
+
 def test_run_equals_the_decisions_one_by_one(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = toxicity.fit_on_folds(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
