@@ -6,14 +6,16 @@ the pigeonhole principle, a pair within the whole budget is within the proportio
 ``(2 - 2s) * block / dimensions`` in one block at least, so the union of the blocks' range joins
 loses no pair.
 
-A block's range join is an equality join on the cells of a grid over its first three coordinates:
+A block's range join is an equality join on the cells of a grid over its first coordinates, three of them for
+labels of some thousand vectors and more for larger ones:
 a vector stands in its own cell, and visits those later cells that its range reaches, so two
-vectors meet once.  Where they meet, a pair is handled in the first block that admits it, and its
-cosine is computed from the original vectors in double precision.  Equal vectors are one node; cells with very many vectors are
+vectors meet once.  The blocks' coordinates alone travel to the cells.  Vectors that have another one within the block's budget there, few beside near-duplicates,
+follow and meet again: a pair is handled in the first block that admits it, and its
+cosine is computed from the original vectors in double precision.  Equal vectors (told by 128 bits) are one node; cells with very many vectors are
 dealt out in blocks.  Tasks return counts and spanning links instead of pairs.
 
 Cases: vectors that are null, zero or hold null or non-finite components, and those with a null
-label, link with nothing; vectors of different lengths don't link; a repeated vec_id counts as two
+label, link with nothing; components may be as large or small as doubles are; vectors of different lengths don't link; a repeated vec_id counts as two
 vectors; an empty table gives no rows; other columns are ignored.
 """
 
@@ -26,11 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm.common import table, written
-from barloom.llm.graph import blocked, link_report, local_labels, met
+from barloom.llm.common import spread_join, table, written
+from barloom.llm.graph import blocked, group_counts, link_report, local_labels, met
 
 SIMILARITY = 0.98
 BLOCK_DIMS, GRID_DIMS = 8, 3
+#: Vectors of a label from which on the grid has more coordinates, one for each time that the label is twice as large.
+GRID_LABEL = 8192
 #: Width of a cell in radii of a block's range.
 CELL = 2.5
 
@@ -52,64 +56,98 @@ def usable(column) -> F.Column:
     return F.coalesce(column.isNotNull() & (F.size(column) > 0) & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
+def grid_dims(largest: int) -> int:
+    """Coordinates of the grid, for the number of vectors of the largest label."""
+    return min(BLOCK_DIMS, GRID_DIMS + max(0, -(-largest // GRID_LABEL) - 1).bit_length())
+
+
 def _unit(raw: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors as doubles, and scaled to length 1."""
+    """Vectors as doubles, each times a power of two so that squares neither overflow nor vanish, and scaled to length 1."""
     x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
-    scaled = x / np.abs(x).max(1, keepdims=True)  # no overflow or underflow in the squares
-    return x, scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+    return x, x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _cells(similarity: float):
+def _cells(similarity: float, grid: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.column("size").to_numpy()
             for d in np.unique(size).tolist():
                 part = batch.filter(pa.array(size == d))
                 for lo in range(0, part.num_rows, 2048):
-                    yield _cell_rows(part.slice(lo, 2048), d, similarity)
+                    yield _cell_rows(part.slice(lo, 2048), d, similarity, grid)
 
     return run
 
 
-def _cell_rows(part: pa.RecordBatch, d: int, similarity: float) -> pa.RecordBatch:
+def _cell_rows(part: pa.RecordBatch, d: int, similarity: float, grid: int) -> pa.RecordBatch:
     x = part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-    raw = [v.tobytes() for v in x]
-    turned = _unit(raw, x.dtype)[1] @ rotation_of(d)
-    where, names, homes = [], [], []
+    turned = _unit([v.tobytes() for v in x], x.dtype)[1] @ rotation_of(d)
+    where, names, homes, places = [], [], [], []
     for b, (lo, hi) in enumerate(blocks_of(d)):
         radius = np.sqrt((2 - 2 * similarity) * (hi - lo) / d) * (1 + 1e-9) + 1e-12
         width = CELL * radius
-        grid = turned[:, lo : lo + min(GRID_DIMS, hi - lo)]
-        own = np.floor(grid / width).astype(np.int64)
-        first, last = np.floor((grid - radius) / width).astype(np.int64), np.floor((grid + radius) / width).astype(np.int64)
-        code = lambda cell: np.dot(cell + 4096, 8192 ** np.arange(cell.shape[1])[::-1])  # noqa: E731  ascending as tuples
+        at = turned[:, lo : lo + min(grid, hi - lo)]
+        own = np.floor(at / width).astype(np.int64)
+        first, last = np.floor((at - radius) / width).astype(np.int64), np.floor((at + radius) / width).astype(np.int64)
+        base = 2 * (int(1 / width) + 3)
+        code = lambda cell: np.dot(cell + base // 2, base ** np.arange(cell.shape[1])[::-1])  # noqa: B023, E731  ascending as tuples
         home = code(own)
-        for step in product((0, 1), repeat=grid.shape[1]):
+        block = turned[:, lo:hi].astype("<f4")
+        for step in product((0, 1), repeat=at.shape[1]):
             to = first + np.array(step)
-            at = code(to)
-            goes = (to <= last).all(1) & (at >= home)
-            where.append(np.flatnonzero(goes))
-            names.append(at[goes] * 1024 + b)
-            homes.append((at == home)[goes])
-    row = np.concatenate(where)
-    take = pa.array(row)
+            name = code(to)
+            goes = np.flatnonzero((to <= last).all(1) & (name >= home))
+            where.append(goes)
+            names.append(name[goes] * 1024 + b)
+            homes.append((name == home)[goes])
+            places += [v.tobytes() for v in block[goes]]
+    take = pa.array(np.concatenate(where))
     return pa.record_batch([
-        part.column("label").take(take), pa.array(np.full(len(row), d)), pa.array(np.concatenate(names)), pa.array(np.concatenate(homes)),
-        part.column("node").take(take), part.column("copies").take(take), pa.array([raw[i] for i in row.tolist()], pa.binary()),
-    ], names=["label", "size", "cell", "home", "node", "copies", "vector"])
+        part.column("label").take(take), pa.array(np.full(len(take), d)), pa.array(np.concatenate(names)), pa.array(np.concatenate(homes)), part.column("node").take(take), pa.array(places, pa.binary()),
+    ], names=["label", "size", "cell", "home", "node", "place"])
+
+
+def _edges(group: np.ndarray) -> list[tuple[int, int]]:
+    edge = np.append(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), len(group)).tolist()
+    return [(x, y) for x, y in zip(edge, edge[1:]) if y - x > 1]
+
+
+def _company(similarity: float):
+    """The rows that have another one in their block's range, with tolerance for single precision."""
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        group, home, cell, label, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "home", "cell", "label", "size"))
+        places = batch.column("place").to_pylist()
+        some = []
+        for x, y in _edges(group):
+            z = np.frombuffer(b"".join(places[x:y]), "<f4").reshape(y - x, -1).astype(np.float64)
+            budget = (2 - 2 * similarity) * z.shape[1] / size[x] + 1e-5
+            sq, here = (z * z).sum(1), np.zeros(y - x, bool)
+            for at in range(0, y - x, 256):
+                s = slice(at, at + 256)
+                near = (sq[s, None] + sq[None, :] - 2 * (z[s] @ z.T) <= budget) & (home[x:y][s, None] | home[x:y][None, :])
+                near &= (cell[x:y][s, None] == cell[x:y][None, :]) & (label[x:y][s, None] == label[x:y][None, :])
+                near[np.arange(near.shape[0]), at + np.arange(near.shape[0])] = False
+                here[s] |= near.any(1)
+                here |= near.any(0)
+            some.append(x + np.flatnonzero(here))
+        if not some:
+            return None
+        take = pa.array(np.concatenate(some))
+        return pa.record_batch([batch.column(c).take(take) for c in ("key", "label", "size", "cell", "home", "node")], names=["key", "label", "size", "cell", "home", "node"])
+
+    return kernel
 
 
 def _close(similarity: float, kind: str):
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        group, lo, hi, side, node, copies, home, cell, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "lo", "hi", "side", "node", "copies", "home", "cell", "size"))
-        vectors = batch.column("vector").to_pylist()
+        group, lo, hi, side, node, copies, home, cell, size, label_of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "lo", "hi", "side", "node", "copies", "home", "cell", "size", "label"))
+        vectors = batch.column("embedding")
         out: list[list] = [[], [], []]
-        edge = np.append(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), len(group)).tolist()
-        for x, y in zip(edge, edge[1:]):
-            if y - x < 2:
-                continue
+        for x, y in _edges(group):
             d, b = int(size[x]), int(cell[x] % 1024)
-            original, unit = _unit(vectors[x:y], kind)
+            flat = vectors.slice(x, y - x).flatten().to_numpy(zero_copy_only=False).astype(kind)
+            original, unit = _unit([flat.tobytes()] if y - x == 1 else [v.tobytes() for v in flat.reshape(y - x, -1)], kind)
             turned = unit @ rotation_of(d)
             spans = blocks_of(d)
             budget = [(2 - 2 * similarity) * (q - p) / d * (1 + 1e-9) + 1e-12 for p, q in spans]
@@ -120,6 +158,7 @@ def _close(similarity: float, kind: str):
             for at in range(0, y - x, 256):
                 near = sq[at : at + 256, None] + sq[None, :] - 2 * (z[at : at + 256] @ z.T) <= budget[b] + 1e-9
                 near &= home[x:y][at : at + 256, None] | home[x:y][None, :]
+                near &= (cell[x:y][at : at + 256, None] == cell[x:y][None, :]) & (label_of[x:y][at : at + 256, None] == label_of[x:y][None, :])
                 i, j = np.nonzero(near)
                 i = i + at
                 keep = (i < j) & (node[x:y][i] != node[x:y][j])
@@ -170,18 +209,23 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY) -> DataF
     """A row for each vector: vec_id, n_links, component_id (smallest vec_id reachable), kept."""
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"), F.col("label").cast("long").alias("label"))
-    named = F.when(usable(F.col("embedding")) & F.col("label").isNotNull(), F.xxhash64("label", "embedding"))
-    vectors = vectors.withColumn("node", named)
-    good = vectors.where("node is not null")
-    nodes = good.groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    nodes = written(nodes.withColumn("size", F.size("embedding").cast("long")), "vector-nodes")
-    cells = nodes.select("label", "size", "node", "copies", "embedding").mapInArrow(
-        _cells(similarity), "label long, size long, cell long, home boolean, node long, copies long, vector binary")
-    cells = cells.withColumn("key", F.xxhash64("label", "size", "cell")).drop("label")
-    partial = met(blocked(cells, "key", "node", 1024), "key", _close(similarity, "<f4" if kind == "float" else "<f8"), "node long, label long, links long")
-    report = link_report(nodes.select("node", "copies", "first_id"), partial, "vector")
-    found = vectors.select("vec_id", "node").where("node is not null").join(report, "node").select("vec_id", "n_links", "component_id")
-    alone = vectors.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    good = usable(F.col("embedding")) & F.col("label").isNotNull()
+    vectors = vectors.withColumn("name", F.when(good, F.xxhash64("label", "embedding"))).withColumn("other", F.when(good, F.xxhash64("embedding", F.lit(7), "label")))
+    first = F.min(F.struct(F.col("vec_id").isNull().alias("none"), "vec_id")).alias("first")
+    nodes = vectors.where("name is not null").groupBy("name", "other").agg(F.count("*").alias("copies"), first, F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    nodes = written(nodes.withColumn("size", F.size("embedding").cast("long")).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
+    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    cells = nodes.select("label", "size", "node", "embedding").mapInArrow(_cells(similarity, grid_dims(largest)), "label long, size long, cell long, home boolean, node long, place binary")
+    cells = cells.withColumn("key", F.xxhash64("label", "size", "cell"))
+    met_first = met(blocked(cells, "key", "node", group_counts(cells, "key", "vector-cells"), 1024), "key", _company(similarity), "key long, label long, size long, cell long, home boolean, node long")
+    company = written(met_first.distinct(), "vector-company")
+    whole = company.join(nodes.select("node", "copies", "embedding"), "node")
+    partial = met(blocked(whole, "key", "node", group_counts(company, "key", "vector-groups"), 1024), "key", _close(similarity, "<f4" if kind == "float" else "<f8"), "node long, label long, links long")
+    report = link_report(nodes.select("node", "name", "other", "copies", "first"), partial, "vector")
+    total = nodes.agg(F.sum("copies")).first()[0] or 0
+    found = spread_join(vectors.select("vec_id", "name", "other").where("name is not null"), report, ["name", "other"], F.col("copies"), total)
+    found = found.select("vec_id", "n_links", F.col("least.vec_id").alias("component_id"))
+    alone = vectors.where("name is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

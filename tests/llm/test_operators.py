@@ -404,6 +404,40 @@ def test_nearest_equals_brute_force(spark):
     assert len(few) == 3 and nearest.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_embeddings_of_any_size(spark):
+    rows = [(0, [3.0, 4.0], 1), (1, [1e200, 1.0], 1), (2, [2e200, 1.0], 1), (3, [3e200, 4.1e200], 1), (4, [1e-200, 0.0], 1), (5, [-1.7e308, 1.7e308], 1), (6, [1.7e308, -1.7e308], 1), (7, [1.0, 0.0], 2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = [(r.vec_id, r.score) for r in nearest.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert [i for i, _ in got] == [7, 4, 1, 2, 3, 5, 6] and got[2][1] == 1e200 and got[-1][1] == math.hypot(1.7e308 / 2, 1.7e308 / 2) * 2
+    links = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame).collect()}
+    assert links == {0: (1, 0), 3: (1, 0), 1: (2, 1), 2: (2, 1), 4: (2, 1), 5: (0, 5), 6: (0, 6), 7: (0, 7)}
+
+
+def test_products_of_long_vectors_are_exact():
+    a = np.full((2, 5000), 127, np.int8)
+    a[1] = -127
+    assert nearest._products(a, a).tolist() == [[127 * 127 * 5000.0, -127 * 127 * 5000.0], [-127 * 127 * 5000.0, 127 * 127 * 5000.0]]
+
+
+def test_large_groups_of_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = (np.ones(16) + 0.01 * rng.standard_normal((2300, 16))).astype(np.float32)  # more than two blocks in a cell
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = embedding_dedup.near_duplicates(frame).collect()
+    assert {r.n_links for r in got} == {2299} and {r.component_id for r in got} == {0}
+
+
+def test_finer_grids_find_the_same(spark):
+    x, frame = vectors(spark)
+    old, embedding_dedup.GRID_LABEL = embedding_dedup.GRID_LABEL, 8
+    try:
+        assert embedding_dedup.grid_dims(100) > 6
+        got = sorted(map(str, embedding_dedup.near_duplicates(frame).collect()))
+    finally:
+        embedding_dedup.GRID_LABEL = old
+    assert got == sorted(map(str, embedding_dedup.near_duplicates(frame).collect()))
+
+
 # --- 6: language model --------------------------------------------------------------------------
 
 def brute_scores(rows, mu=language_model.MU):
@@ -568,7 +602,7 @@ def test_long_words_go_by_heap_alike():
 def test_every_occurrence_has_its_own_dropout():
     encoder, n = piece_codec.PieceEncoder(PIECES, 0.1, 1), 20_000
     model = encoder.model
-    assert len(model._merged_by_list("▁a")[1]) == 1
+    assert model.merged("▁a") == ["▁a"]
     for texts, docs in ((pa.array(["a"] * n), np.arange(n)), (pa.array([" ".join("a" * n)]), np.array([7]))):
         ids, at = encoder.encode(texts, docs)
         assert 0.09 < 1 - (ids == model.pieces["▁a"]).sum() / n < 0.11
@@ -577,6 +611,31 @@ def test_every_occurrence_has_its_own_dropout():
     assert len({tuple(ids[a:b]) for a, b in zip(at, at[1:])}) > 50
 
 
+def test_lists_and_heaps_skip_alike():
+    model, rng = piece_codec.PieceModel(PIECES), np.random.default_rng(3)
+    for key in range(3000):
+        word = "▁" + "".join(rng.choice([*"abcehinorstu"], int(rng.integers(1, 20)))) + "internationalization" * int(rng.integers(0, 2))
+        assert model._merged_by_list(word, 0.3, key) == model._merged_by_heap(word, 0.3, key)
+
+
+def test_random_texts_with_dropout_equal_the_agenda_of_each_segment(edge_rows):
+    encoder, rng = piece_codec.PieceEncoder(PIECES, 0.25, 9), np.random.default_rng(2)
+    bits = [*"abtheinAB12.,'!? \n\t", " the", "ing", "é", "日本", "--", "▁", "x" * 70]
+    texts = [t or "" for _, t in edge_rows if len(t or "") < 10_000] + ["".join(rng.choice(bits, int(n))) for n in rng.integers(0, 30, 600)]
+    encoder.table.limit = 300
+    for lo in range(0, len(texts), 100):
+        part = texts[lo : lo + 100]
+        ids, at = encoder.encode(pa.array(part), np.arange(len(part)))
+        for k, t in enumerate(part):
+            want, where, data = [], 0, (" " + t if t else "").encode()
+            heads = [i for i in range(len(data)) if i == 0 or not encoder.together[data[i - 1], data[i]] or (data[i] == 0x20 and data[i - 1] != 0x20)]
+            for a, b in zip(heads, [*heads[1:], len(data)]):
+                key = int(encoder.occurrence_keys(np.array([k]), np.array([where]))[0])
+                want += encoder.model.word_ids(data[a:b].decode().replace("▁", piece_codec.OWN_SPACE).replace(" ", "▁"), 0.25, key)
+                where += 1
+            assert ids[at[k] : at[k + 1]].tolist() == want
+
+
 def test_remembered_cuts_are_those_of_each_occurrences_agenda():
     encoder = piece_codec.PieceEncoder(PIECES, 0.3, 5)
     words = ["internationalization", "understanding", "the", "a", "responsibilities", "日本語", "internationalization" * 5]
