@@ -11,10 +11,9 @@ place, so equal segments are cut independently within and across documents, yet
 seed always gives the same ids.  With dropout 0 the ids are those of the library.
 
 No piece has ``▁`` after another character, and many pairs of ASCII characters stand together in no
-piece, so no merge crosses such places: texts are cut there.  What an agenda leaves depends only on which of its
-merges are skipped.  So (segment, first ``SKIPS`` or fewer skipped merges) is processed once while remembered, with the merges
-that come up after them; an occurrence whose key skips none of these takes the remembered ids.  Occurrences with more skips,
-and long segments, have an agenda of their own.  A ``▁`` in the text itself is written
+piece, so no merge crosses such places: texts are cut there.  The agendas of many segments are worked off together, a merge of each at a time
+(``Agendas``).  A segment is first processed without dropout, once while remembered, with the places of the merges that come up; an
+occurrence whose key skips none of these takes the remembered ids, and every other one has an agenda of its own.  A ``▁`` in the text itself is written
 as its bytes, so decoding gives every text back.
 
 Cases: null and empty texts have no ids and decode to an empty text; repeated rows are encoded
@@ -37,8 +36,8 @@ from barloom.llm.common import table
 from barloom.llm.words import flat_bytes, mix
 
 DROPOUT, SEED = 0.1, 1
-#: Different (segment, skipped merges) that a worker remembers, and the most skipped merges of a remembered one.
-CACHE_WORDS, SKIPS = 600_000, 2
+#: Different segments that a worker remembers.
+CACHE_WORDS = 400_000
 #: Symbols of a word from which on its agenda is a heap.
 LONG_WORD = 64
 SPACE = "▁"
@@ -78,18 +77,15 @@ class PieceModel:
         self.rank = {p: -lib.get_score(i) for p, i in self.pieces.items() if len(p) > 1}
 
     def merged(self, word: str, skip: float = 0.0, key: int = 0) -> list[str]:
-        """The symbols that an agenda of merges leaves of a word.
+        """The symbols that an agenda of merges leaves of one word.
 
         The agenda of a word is short: a list with the rank of each adjacent pair, whose least
         entry is the next merge.  Words of many symbols have a heap instead.
         """
-        if len(word) > LONG_WORD:
-            return self._merged_by_heap(word, skip, key)
-        return self._merged_by_list(word, skip, key)[0]
+        return (self._merged_by_heap if len(word) > LONG_WORD else self._merged_by_list)(word, skip, key)
 
-    def _merged_by_list(self, word: str, skip: float = 0.0, key: int = 0, without: tuple[int, ...] = ()) -> tuple[list[str], list[int]]:
-        """The symbols, and the places of all merges that came up after the last of ``without``: numbers of merges, as they come up, that are skipped."""
-        symbols, places = list(word), []
+    def _merged_by_list(self, word: str, skip: float = 0.0, key: int = 0) -> list[str]:
+        symbols = list(word)
         rank = self.rank.get
         agenda = [rank(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
         level = int(skip * 4294967296)
@@ -97,9 +93,7 @@ class PieceModel:
         while agenda and (best := min(agenda)) != NEVER:
             i = agenda.index(best)
             joined = symbols[i] + symbols[i + 1]
-            place = begin[i] * PLACE + len(joined)
-            places.append(place)
-            if len(places) - 1 in without or level and skipped(key, place, level):
+            if level and skipped(key, begin[i] * PLACE + len(joined), level):
                 agenda[i] = NEVER  # until a neighbour's merge renews the pair
                 continue
             symbols[i] = joined
@@ -108,7 +102,7 @@ class PieceModel:
                 agenda[i] = rank(joined + symbols[i + 1], NEVER)
             if i:
                 agenda[i - 1] = rank(symbols[i - 1] + joined, NEVER)
-        return symbols, places[without[-1] + 1 :] if without else places
+        return symbols
 
     def _merged_by_heap(self, word: str, skip: float, key: int) -> list[str]:
         symbols, n = list(word), len(word)
@@ -165,9 +159,137 @@ class PieceModel:
         return "".join(out)[1:]
 
 
+class Agendas:
+    """Agendas of many words at once, with arrays: the same as ``PieceModel.merged``.
+
+    A symbol is a number: of a character its code point, of a longer piece ``MULTI`` and its id.
+    """
+
+    MULTI = 0x110000
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        number = lambda t: ord(t) if len(t) == 1 else self.MULTI + model.pieces[t]
+        order = {p: k for k, p in enumerate(sorted(model.rank, key=model.rank.get))}
+        scores = {score: k for k, score in enumerate(sorted(set(model.rank.values())))}
+        pairs = sorted(
+            (number(p[:k]) << 22 | number(p[k:]), order[p]) for p in order for k in range(1, len(p)) if (k == 1 or p[:k] in order) and (len(p) - k == 1 or p[k:] in order))
+        self.pair, merge = (np.array(x, np.int64) for x in zip(*pairs))
+        self.none, self.never = len(order), len(scores)
+        self.merge = np.append(merge, self.none).astype(np.int32)
+        self.rank = np.array([*(scores[model.rank[p]] for p in order), self.never], np.int32)
+        self.merged, self.size = np.array([number(p) for p in order], np.int32), np.array([len(p) for p in order])
+        self.chars: dict[int, list[int]] = {}
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Numbers of the merges of symbols a and b; ``none`` if there is none."""
+        key = a.astype(np.int64) << 22 | b
+        at = np.searchsorted(self.pair, key)
+        at[at == len(self.pair)] = 0
+        return self.merge[np.where((self.pair[at] == key) & (b >= 0), at, len(self.pair))]
+
+    def run(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray, keys: np.ndarray | None = None, level: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols left of the words codes[start : start + length], how many of each word, and, word by word in the order in which they came up, the places
+        of all merges and how many.  keys: each word's, if merges are skipped."""
+        rows, symbols, where, places = [], [], [], []
+        least = 0
+        for width in (4, 8, 16, 32, LONG_WORD):
+            some = np.flatnonzero((length > least) & (length <= width))
+            least = width
+            for lo in range(0, len(some), 16384):
+                self._batch(some[lo : lo + 16384], codes, start, length, width, keys, level, rows, symbols, where, places)
+        order, symbol = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, symbols))
+        by = np.argsort(order, kind="stable")
+        of_place, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (where, places))
+        by_place = np.argsort(of_place, kind="stable")
+        return symbol[by], np.bincount(order, minlength=len(length)), place[by_place], np.bincount(of_place, minlength=len(length))
+
+    def _batch(self, word, codes, start, length, width, keys, level, rows, symbols, where, places) -> None:
+        """A symbol stands where its first character was; ``after`` and ``before`` lead to its neighbours, over a last column that stays empty."""
+        n, column = len(word), np.arange(width + 1)
+        inside = column < length[word][:, None]
+        s = np.where(inside, codes[np.minimum(start[word][:, None] + column, len(codes) - 1)].astype(np.int32), np.int32(-1))
+        after = np.broadcast_to(np.minimum(column + 1, width).astype(np.int8), (n, width + 1)).copy()
+        before = np.broadcast_to((column - 1).astype(np.int8), (n, width + 1)).copy()
+        merge = self._find(s[:, :-1], s[:, 1:])
+        agenda = self.rank[merge]
+
+        def leave(some: np.ndarray) -> None:
+            at, col = np.nonzero(s[some] >= 0)
+            rows.append(word[some][at])
+            symbols.append(s[some][at, col])
+
+        while len(word):
+            i = agenda.argmin(1)
+            live = agenda[np.arange(len(word)), i] < self.never
+            if 2 * np.count_nonzero(live) <= len(word):
+                leave(~live)
+                word, s, after, before, merge, agenda, i = (x[live] for x in (word, s, after, before, merge, agenda, i))
+                row = np.arange(len(word))
+            else:
+                row = np.flatnonzero(live)
+                i = i[row]
+            if not len(row):
+                continue
+            m = merge[row, i]
+            place = i * PLACE + self.size[m]
+            where.append(word[row])
+            places.append(place)
+            if level:
+                skip = all_skipped(keys[word[row]], place, level)
+                agenda[row[skip], i[skip]] = self.never  # until a neighbour's merge renews the pair
+                row, i, m = row[~skip], i[~skip], m[~skip]
+            joined = self.merged[m]
+            j = after[row, i]
+            k = after[row, j]
+            s[row, i], s[row, j] = joined, -1
+            after[row, i], before[row, k] = k, i
+            agenda[row, j] = self.never
+            merge[row, i] = found = self._find(joined, s[row, k])
+            agenda[row, i] = self.rank[found]
+            h = before[row, i]
+            back = np.flatnonzero(h >= 0)
+            row, h = row[back], h[back]
+            merge[row, h] = found = self._find(s[row, h], joined[back])
+            agenda[row, h] = self.rank[found]
+
+    def ids(self, symbols: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbols (count of each word), bytes for characters without a piece, and how many ids each word has."""
+        size = np.ones(len(symbols), np.int64)
+        single = np.flatnonzero(symbols < self.MULTI)
+        different, which = np.unique(symbols[single], return_inverse=True)
+        lists = []
+        for c in different.tolist():
+            if c not in self.chars:
+                self.chars[c] = self.model.symbol_ids([chr(c)])
+            lists.append(self.chars[c])
+        sizes = np.array([len(x) for x in lists], np.int64)
+        size[single] = sizes[which]
+        flat = np.array([i for x in lists for i in x], np.int64)
+        own, _ = ragged_gather(flat, (np.cumsum(sizes) - sizes)[which], sizes[which])
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(ends[-1], np.int64)
+        many = np.zeros(len(symbols), bool)
+        many[single] = True
+        inner = np.repeat(many, size)
+        out[inner] = own
+        out[~inner] = symbols[~many] - self.MULTI
+        edge = np.concatenate([[0], np.cumsum(count)])
+        return out, np.diff(ends[edge])
+
+
+def code_points(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, with spaces and ``▁`` as words have them, and where those of each word (at: byte offsets) start."""
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).copy()
+    codes[codes == ord(SPACE)] = ord(OWN_SPACE)
+    codes[codes == 0x20] = ord(SPACE)
+    return codes, np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
+
+
 class PieceEncoder:
     def __init__(self, path: str, dropout: float, seed: int):
         self.model, self.dropout, self.seed = PieceModel(path), dropout, seed
+        self.agendas = Agendas(self.model)
         self.level = int(dropout * 4294967296)
         self.table = SegmentTable(CACHE_WORDS)
         # Neighbouring ASCII characters that stand together in some piece; between others no merge is possible.
@@ -179,45 +301,6 @@ class PieceEncoder:
                 if a < "\x80" and b < "\x80":
                     self.together[ord(a), ord(b)] = True
 
-    def _new(self, words: list[str | None], index: np.ndarray, without: np.ndarray):
-        """Rows of the table: how many ids, the ids, the places of merges that a key may still skip."""
-
-        def run(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            rows, lengths = [], np.zeros(len(at), np.int64)
-            for k, (i, steps) in enumerate(zip(index[at].tolist(), without[at].tolist())):
-                word = words[i]
-                if len(word) <= LONG_WORD:
-                    symbols, places = self.model._merged_by_list(word, without=tuple(steps))
-                else:
-                    symbols, places = self.model.merged(word), []
-                ids = self.model.symbol_ids(symbols)
-                rows.append(len(ids))
-                rows += ids
-                if self.level:
-                    rows += places
-                    lengths[k] = 1 + len(ids) + len(places)
-                else:
-                    lengths[k] = 1 + len(ids)
-            return np.array(rows, np.int32), lengths
-
-        return run
-
-    @staticmethod
-    def _names(data: np.ndarray, at: np.ndarray, word: np.ndarray, without: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes that name (word, skipped merges), and their offsets: those of the word, then a byte that no text has and one for each step (below 256)."""
-        size, steps = at[word + 1] - at[word], without.shape[1]
-        body, ends = ragged_gather(data, at[word], size)
-        if not steps:
-            return body, ends
-        whole = np.zeros(len(body) + len(word) * (1 + steps), np.uint8)
-        ends = ends + np.arange(len(word) + 1) * (1 + steps)
-        tail = (ends[1:, None] - np.arange(1 + steps, 0, -1)).ravel()
-        whole[tail] = np.column_stack([np.full(len(word), 0xFF), without]).ravel()
-        inside = np.ones(len(whole), bool)
-        inside[tail] = False
-        whole[inside] = body
-        return whole, ends
-
     def occurrence_keys(self, doc_keys: np.ndarray, place: np.ndarray) -> np.ndarray:
         """A key for each occurrence: a hash of seed, document and place."""
         seed = mix(np.array([self.seed], np.int64).astype(np.uint64) + np.uint64(1))
@@ -225,55 +308,55 @@ class PieceEncoder:
 
     def _cut(self, words: pa.Array, index: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where those of each occurrence start and how many they are; index: each occurrence's word, keys: its key."""
-        texts = [t.replace(SPACE, OWN_SPACE).replace(" ", SPACE) for t in words.to_pylist()]
+        data, at = flat_bytes(words)
+        codes, begin = code_points(data, at)
+        n_codes = np.diff(begin)
         start, length = np.zeros(len(index), np.int64), np.zeros(len(index), np.int64)
         parts, used = [], 0
 
-        def keep(at: np.ndarray, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+        def keep(which: np.ndarray, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
             nonlocal used
-            start[at], length[at] = first + used, count
+            start[which], length[which] = first + used, count
             parts.append(ids)
             used += len(ids)
 
-        def alone(at: np.ndarray) -> None:
-            found = [self.model.word_ids(texts[i], self.dropout, k) for i, k in zip(index[at].tolist(), keys[at].tolist())]
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            keep(at, np.fromiter((i for f in found for i in f), np.int32, int(count.sum())), np.cumsum(count) - count, count)
+        long = np.flatnonzero((n_codes > LONG_WORD)[index])
+        found = [self.model.word_ids("".join(map(chr, codes[begin[i] : begin[i + 1]].tolist())), self.dropout, k) for i, k in zip(index[long].tolist(), keys[long].tolist())]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        keep(long, np.fromiter((i for f in found for i in f), np.int32, int(count.sum())), np.cumsum(count) - count, count)
+        left = np.flatnonzero((n_codes <= LONG_WORD)[index])
+        some, node = np.unique(index[left], return_inverse=True)
 
-        left = np.arange(len(index))
+        def new(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rows of the table: how many ids, the ids, and the places of merges that a key may skip."""
+            symbols, n, places, n_places = self.agendas.run(codes, begin[some[which]], n_codes[some[which]])
+            ids, n_ids = self.agendas.ids(symbols, n)
+            if not self.level:
+                places, n_places = places[:0], n_places * 0
+            size = 1 + n_ids + n_places
+            head = np.cumsum(size) - size
+            rows = np.zeros(size.sum(), np.int32)
+            rows[head] = n_ids
+            rows[np.repeat(head + 1 - (np.cumsum(n_ids) - n_ids), n_ids) + np.arange(len(ids))] = ids
+            rows[np.repeat(head + 1 + n_ids - (np.cumsum(n_places) - n_places), n_places) + np.arange(len(places))] = places
+            return rows, size
+
+        named, names_at = ragged_gather(data, at[some], at[some + 1] - at[some])
+        first, size = self.table.lookup(named, names_at, new)
+        n_ids = self.table.flat[first].astype(np.int64)
+        ids, ends = ragged_gather(self.table.flat, first + 1, n_ids)
+        done = np.ones(len(left), bool)
         if self.level:
-            long = np.fromiter((len(t) > LONG_WORD for t in texts), bool, len(texts))[index]
-            alone(left[long])
-            left = left[~long]
-        # Nodes: words with the numbers of their skipped merges; node: that of each occurrence left.
-        some, node = np.unique(index[left], return_inverse=True)
-        word, without = some, np.zeros((len(some), 0), np.int64)
-        data, data_at = flat_bytes(words)
-        while len(left):
-            first, size = self.table.lookup(*self._names(data, data_at, word, without), self._new(texts, word, without))
-            n_ids = self.table.flat[first].astype(np.int64)
-            ids, ends = ragged_gather(self.table.flat, first + 1, n_ids)
             n_places = size - 1 - n_ids
-            places, at = ragged_gather(self.table.flat, (first + 1 + n_ids)[node], n_places[node])
+            places, _ = ragged_gather(self.table.flat, (first + 1 + n_ids)[node], n_places[node])
             owner = np.repeat(np.arange(len(left)), n_places[node])
-            skip = np.flatnonzero(all_skipped(keys[left][owner], places, self.level)) if self.level else np.zeros(0, np.int64)
-            again = owner[skip]
-            once = np.ones(len(again), bool)
-            once[1:] = again[1:] != again[:-1]
-            skip, again = skip[once], again[once]  # the first merge that each occurrence's key skips
-            done = np.ones(len(left), bool)
-            done[again] = False
-            keep(left[done], ids, ends[:-1][node[done]], n_ids[node[done]])
-            if without.shape[1] == SKIPS:
-                alone(left[again])
-                break
-            past = without[:, -1] + 1 if without.shape[1] else np.zeros(len(word), np.int64)
-            step = skip - at[again] + past[node[again]]
-            code, inverse = np.unique(node[again] * (4 * LONG_WORD) + step, return_inverse=True)
-            parent, step = code // (4 * LONG_WORD), code % (4 * LONG_WORD)
-            word, without = word[parent], np.column_stack([without[parent], step])
-            left, node = left[again], inverse
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, length
+            done[owner[all_skipped(keys[left][owner], places, self.level)]] = False
+        keep(left[done], ids, ends[:-1][node[done]], n_ids[node[done]])
+        again = left[~done]
+        symbols, n, _, _ = self.agendas.run(codes, begin[index[again]], n_codes[index[again]], keys[again], self.level)
+        ids, n_ids = self.agendas.ids(symbols, n)
+        keep(again, ids, np.cumsum(n_ids) - n_ids, n_ids)
+        return np.concatenate(parts).astype(np.int32), start, length
 
     def encode(self, texts: pa.Array, doc_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and each text's offsets in them; doc_keys: a number for each text."""
