@@ -122,6 +122,8 @@ def supersede_legacy(status: DataFrame, runs: DataFrame, raw: DataFrame) -> Data
     single = raw.groupBy("run_id").agg(F.count_distinct("instrument_key").alias("n"), F.min("instrument_key").alias("instrument_key")).where("n = 1").select("run_id", "instrument_key")
     refetch = runs.where("trigger_kind = 'refetch' and successful_series = 1").select("run_id").join(single, "run_id")
     own = open_.join(refetch, "instrument_key").where("event_run < run_id").select("event_id", "run_id")
-    normal = runs.where("trigger_kind = 'normal' and successful_series = all_series").agg(F.collect_set("run_id").alias("passes"))  # full runs are few
-    every = open_.crossJoin(F.broadcast(normal)).select("event_id", "event_run", F.explode("passes").alias("run_id")).where("event_run < run_id").select("event_id", "run_id")
+    # Runs stay rows: the different runs of open events meet the later full ones first, and events follow by their run.
+    normal = runs.where("trigger_kind = 'normal' and successful_series = all_series").select("run_id").distinct()
+    later = open_.select("event_run").distinct().join(normal, F.col("event_run") < F.col("run_id"))
+    every = open_.select("event_id", "event_run").join(later, "event_run").select("event_id", "run_id")
     return own.union(every).distinct().select("event_id", F.lit("HISTORICAL").alias("applicability"), F.col("run_id").alias("superseded_by"))

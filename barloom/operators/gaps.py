@@ -31,8 +31,15 @@ def latest_quarantine(missing: DataFrame, events: DataFrame) -> DataFrame:
 def covering_run(missing: DataFrame, raw: DataFrame, runs: DataFrame) -> DataFrame:
     """The newest PASS run whose raw rows of the instrument reach from before the slot to after it."""
     bounds = raw.join(runs.where("run_status = 'PASS'").select("run_id").distinct(), "run_id").groupBy("instrument_key", "run_id").agg(F.min("time_utc").alias("first"), F.max("time_utc").alias("last"))
-    covering = missing.select(*SLOT).join(bounds, "instrument_key").where("slot_utc between first and last").groupBy(*SLOT).agg(F.max("run_id").alias("covering_run_id"))
-    return missing.join(covering, SLOT, "left")
+    # By day: of the runs that reach over a whole day the newest is enough; those that begin or end on it are compared one by one.
+    day = F.col("day")
+    days = bounds.withColumn("day", F.explode(F.sequence(F.to_date("first"), F.to_date("last"))))
+    whole = (day > F.to_date("first")) & (day < F.to_date("last"))
+    over = days.where(whole).groupBy("instrument_key", "day").agg(F.max("run_id").alias("over"))
+    slots = missing.select(*SLOT).withColumn("day", F.to_date("slot_utc"))
+    edge = slots.join(days.where(~whole), ["instrument_key", "day"]).where("slot_utc between first and last").groupBy(*SLOT).agg(F.max("run_id").alias("edge"))
+    covering = slots.join(over, ["instrument_key", "day"], "left").join(edge, SLOT, "left").select(*SLOT, F.greatest("over", "edge").alias("covering_run_id"))
+    return missing.join(covering.distinct(), SLOT, "left")
 
 
 def curated_present(missing: DataFrame, bars: DataFrame) -> DataFrame:

@@ -110,12 +110,16 @@ def daily_close(sessions: DataFrame, overlaid: DataFrame, expected) -> DataFrame
     A session without any overlay row has no terminal flag at all (null), so it is BLOCKED_SESSION_COVERAGE.  ``sessions``: instrument_key,
     session_date, open_utc, close_utc, verification_status; ``expected``: the column of expected slots.
     """
-    rows = overlaid.withColumnRenamed("close", "bar_close")
-    joined = sessions.alias("s").join(rows.alias("o"), (F.col("s.instrument_key") == F.col("o.instrument_key")) & (F.col("o.time_utc") >= F.col("s.open_utc")) & (F.col("o.time_utc") < F.col("s.close_utc")), "left")
-    joined = joined.withColumn("expected_slots", expected).withColumn("terminal", (F.col("o.time_utc") == terminal_slot()) & (F.col("o.source_kind") == ACCEPTED))
-    out = joined.groupBy(F.col("s.instrument_key").alias("instrument_key"), "session_date", "verification_status", "expected_slots").agg(
-        F.count_distinct("o.time_utc").alias("observed_slots"), F.count_if(F.col("o.source_kind") == IMPUTED).alias("imputed_bars"), F.bool_or("terminal").alias("terminal_present"),
+    key = ["instrument_key", "session_date"]
+    rows = overlaid.select("instrument_key", "time_utc", "source_kind", F.col("close").alias("bar_close"), F.to_date("time_utc").alias("day"))
+    days = sessions.withColumn("day", F.explode(F.sequence(F.to_date("open_utc"), F.to_date("close_utc"))))  # the few days that a session touches
+    inside = days.join(rows, ["instrument_key", "day"]).where("time_utc >= open_utc and time_utc < close_utc")
+    inside = inside.withColumn("terminal", (F.col("time_utc") == terminal_slot()) & (F.col("source_kind") == ACCEPTED))
+    found = inside.groupBy(*key).agg(
+        F.count_distinct("time_utc").alias("observed_slots"), F.count_if(F.col("source_kind") == IMPUTED).alias("imputed_bars"), F.bool_or("terminal").alias("terminal_present"),
         F.max(F.when(F.col("terminal"), F.col("bar_close"))).alias("close"))
+    zero = F.lit(0).cast("long")
+    out = sessions.withColumn("expected_slots", expected).join(found, key, "left").withColumns({c: F.coalesce(c, zero) for c in ("observed_slots", "imputed_bars")})
     status = (
         F.when(F.col("verification_status") != "VERIFIED", "BLOCKED_CALENDAR_NOT_VERIFIED").when(~F.col("terminal_present"), "BLOCKED_DAILY_CLOSE_SOURCE_MISSING")
         .when(F.col("observed_slots") != F.col("expected_slots"), "BLOCKED_SESSION_COVERAGE").when(F.col("imputed_bars") > 0, "PASS_WITH_IMPUTATION_WARNING").otherwise("PASS"))

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES = ["instrument_key", "price_basis"]
 KEY = ["instrument_key", "time_utc", "price_basis"]
-CONTENT = ["open", "high", "low", "close", "volume", "is_complete"]
+# What makes two bars of one time equal.
+CONTENT = ["open", "high", "low", "close", "open_bid", "high_bid", "low_bid", "close_bid", "open_ask", "high_ask", "low_ask", "close_ask", "volume", "market_trading_state", "is_complete"]
+
+
+def with_content(rows: DataFrame) -> DataFrame:
+    """The rows with all content columns; those that they lack are null."""
+    lacking = [c for c in CONTENT if c not in rows.columns]
+    return rows.withColumns({c: F.lit(None).cast("string" if c == "market_trading_state" else "decimal(24,12)") for c in lacking}) if lacking else rows
 
 
 def merge_pages(samples: DataFrame) -> DataFrame:
@@ -39,7 +46,7 @@ def _content(columns: list[str], side: str) -> Column:
 
 
 def _paired(staged: DataFrame, current: DataFrame, how: str) -> DataFrame:
-    return staged.alias("s").join(current.alias("c"), [F.col(f"s.{k}") == F.col(f"c.{k}") for k in KEY], how)
+    return with_content(staged).alias("s").join(with_content(current).alias("c"), [F.col(f"s.{k}") == F.col(f"c.{k}") for k in KEY], how)
 
 
 def diff_counts(staged: DataFrame, current: DataFrame) -> DataFrame:
@@ -154,3 +161,25 @@ def quarantine_events(rejected: DataFrame, policy: str) -> DataFrame:
     """A resolved WARN event with the violations of each rejected row."""
     fields = F.array_join(F.transform("violations", lambda v: v["field"]), ",")
     return rejected.select("instrument_key", "time_utc", F.lit("WARN").alias("severity"), F.lit("RESOLVED").alias("status"), F.lit(policy).alias("policy"), fields.alias("fields"))
+
+
+def numbered(rows: DataFrame, order: list[str], name: str, each: int = 100_000) -> DataFrame:
+    """Adds the number of each row, from 1, in the order of some columns.
+
+    Rows are cut into ranges of about ``each`` rows, at most 1,000 of them, by bounds taken from a sample; a range is numbered in one task and starts after the sizes of those before it.
+    """
+    n = rows.count()
+    parts = min(1000, n // each + 1)
+    key = F.struct(*order)
+    bounds = []
+    if parts > 1:
+        some = sorted(tuple(r) for r in rows.select(*order).sample(min(1.0, 20 * parts / n), seed=1).dropna().collect())  # about 20 for each range
+        bounds = [some[len(some) * k // parts] for k in range(1, parts)] if some else []
+    types = [rows.schema[c].dataType for c in order]
+    below = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, order)]) <= key for bound in bounds]
+    ranged = rows.withColumn("__range", sum((c.cast("int") for c in below), F.lit(0)))
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return ranged.join(F.broadcast(starts), "__range").withColumn(name, F.col("__start") + within).drop("__range", "__start")

@@ -25,8 +25,9 @@ def parse_utc(text: Column) -> tuple[Column, Column]:
 
 
 def validate_ohlc(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa: E741
-    """NONPOSITIVE_OHLC, OHLC_VIOLATION or null."""
-    return F.when(F.least(o, h, l, c) <= 0, "NONPOSITIVE_OHLC").when((h < F.greatest(o, l, c)) | (l > F.least(o, h, c)), "OHLC_VIOLATION")
+    """INVALID_OPEN, _HIGH, _LOW or _CLOSE for a missing price, NONPOSITIVE_OHLC, OHLC_VIOLATION or null."""
+    missing = F.coalesce(*[F.when(p.isNull(), f"INVALID_{f.upper()}") for p, f in zip((o, h, l, c), FIELDS)])
+    return F.when(missing.isNotNull(), missing).when(F.least(o, h, l, c) <= 0, "NONPOSITIVE_OHLC").when((h < F.greatest(o, l, c)) | (l > F.least(o, h, c)), "OHLC_VIOLATION")
 
 
 def fx_mid(samples: DataFrame) -> DataFrame:
@@ -104,14 +105,19 @@ def identity_drift(observed: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def select_instruments(registry: DataFrame, keys: list[str]) -> DataFrame:
-    """The registry's rows for the given keys, trimmed and in lower case; raises ValueError for none, repeats, or both canonical and candidate keys.
-
-    Unknown keys give no row; compare the counts to detect them.
-    """
+    """The registry's rows for the given keys, trimmed and in lower case; raises ValueError for none, repeats, unknown ones, or keys of both canonical and candidate
+    instruments (``registry_kind``, if the registry has that column)."""
     wanted = [k.strip().lower() for k in keys]
     if not wanted or "" in wanted or len(set(wanted)) != len(wanted):
         raise ValueError("keys must be non-empty and unique")
-    return registry.where(F.col("instrument_key").isin(wanted))
+    found = registry.where(F.col("instrument_key").isin(wanted))
+    kind = F.col("registry_kind") if "registry_kind" in registry.columns else F.lit(None).cast("string")
+    known = found.select("instrument_key", kind.alias("kind")).distinct().collect()  # as many as there are keys
+    if unknown := sorted(set(wanted) - {r.instrument_key for r in known}):
+        raise ValueError(f"unknown instruments: {', '.join(unknown)}")
+    if len({r.kind for r in known}) > 1:
+        raise ValueError("canonical and candidate instruments can't be chosen together")
+    return found
 
 
 def series_attributes(instruments: DataFrame) -> DataFrame:

@@ -35,11 +35,16 @@ def snapshot_integrity(bars: DataFrame, cutoff: Column, manifest: DataFrame) ->
     return joined.select("n", "rows", "rows_after", F.when(ok, "PASS").otherwise("FAIL").alias("integrity"))
 
 
-def ordered_hash(rows: DataFrame, group: str, order: list[str], columns: list[str]) -> DataFrame:
-    """SHA-256 of each bounded group's rows in order, as canonical JSON; hash the groups' hashes for a whole table."""
-    item = F.struct(*order, F.to_json(F.struct(*sorted(columns))).alias("row"))
+def ordered_hash(rows: DataFrame, group: str, order: list[str], columns: list[str], part: Column) -> DataFrame:
+    """SHA-256 of each group: of the hashes of its parts, in order, each of them of the part's rows in order as canonical JSON (values as text).
+
+    A part (a day of a series, say) must be of bounded size, and a group of a bounded number of parts.
+    """
+    item = F.struct(*order, F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(columns)])).alias("row"))
     listed = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["row"])
-    return rows.groupBy(group).agg(F.count("*").alias("rows"), F.sha2(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), 256).alias("content_sha256"))
+    parts = rows.groupBy(group, part.alias("part")).agg(F.count("*").alias("n"), F.sha2(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), 256).alias("digest"))
+    digests = F.transform(F.array_sort(F.collect_list(F.struct("part", "digest"))), lambda x: x["digest"])
+    return parts.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(digests, ","), 256).alias("content_sha256"))
 
 
 def chart_rows(bars: DataFrame, key: str, start: Column, end: Column, limit: int) -> DataFrame:
@@ -55,7 +60,7 @@ def chart_marks(open_events: DataFrame, key: str, start: Column, end: Column, li
 def list_series(series: DataFrame, text: str, offset: int, limit: int) -> DataFrame:
     """Series whose key contains the text (case-folded), worst status first, with an id hash and the total."""
     found = series.where(F.lower("series_id").contains(text.lower()))
-    rows = found.select(F.sha2(F.concat_ws("\u001f", "layer", "series_id"), 256).alias("id_hash"), "series_id", "layer", "status", F.count("*").over(Window.partitionBy(F.lit(1))).alias("total"))
+    rows = found.select(F.sha2(F.concat_ws("\u001f", "layer", "series_id"), 256).alias("id_hash"), "series_id", "layer", "status").crossJoin(F.broadcast(found.agg(F.count("*").alias("total"))))
     return rows.orderBy(status_priority(F.col("status")).desc_nulls_last(), "series_id").offset(offset).limit(limit)
 
 

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CONTENT = ["open", "high", "low", "close", "volume", "is_complete"]
+from barloom.operators.merge import CONTENT, numbered, with_content
+
 # The limits of a bounded revision.
 WINDOWS, ANCHOR_ROWS, MAX_REMOVED, MAX_AFFECTED, WHOLE_HISTORY_RATIO = (96, 384, 1200), 16, 64, 240, 0.80
 
@@ -16,39 +17,39 @@ def _content(side: str) -> Column:
     return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in CONTENT])
 
 
-def _paired(provider: DataFrame, stored: DataFrame) -> DataFrame:
-    """All rows of the provider and the stored rows inside the provider's range, with what happened to each."""
-    ends = provider.groupBy("instrument_key").agg(F.min("time_utc").alias("lower"), F.max("time_utc").alias("upper"))
-    inside = stored.join(ends, "instrument_key").where("time_utc between lower and upper").drop("lower", "upper")
-    p, s = provider.alias("p"), inside.alias("s")
-    joined = p.join(s, (F.col("p.instrument_key") == F.col("s.instrument_key")) & (F.col("p.time_utc") == F.col("s.time_utc")), "full")
+def _paired(provider: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of the provider and the stored rows inside the provider's range, with what happened to each, by ``keys`` of the provider."""
+    ends = provider.groupBy(*keys).agg(F.min("time_utc").alias("lower"), F.max("time_utc").alias("upper"))
+    inside = with_content(stored).join(ends, "instrument_key").where("time_utc between lower and upper").drop("lower", "upper")
+    p, s = with_content(provider).alias("p"), inside.alias("s")
+    joined = p.join(s, [F.col(f"p.{k}") == F.col(f"s.{k}") for k in (*keys, "time_utc")], "full")
     new, gone = F.col("s.time_utc").isNull(), F.col("p.time_utc").isNull()
     same = _content("p").eqNullSafe(_content("s"))
     kind = F.when(new, "new").when(gone, "removed").when(~same, "content").when(~F.col("p.data_version").eqNullSafe(F.col("s.data_version")), "version").otherwise("equal")
     return joined.select(
-        F.coalesce("p.instrument_key", "s.instrument_key").alias("instrument_key"), F.coalesce("p.time_utc", "s.time_utc").alias("time_utc"), kind.alias("kind"),
+        *[F.coalesce(f"p.{k}", f"s.{k}").alias(k) for k in (*keys, "time_utc")], kind.alias("kind"),
         F.coalesce("p.is_complete", F.lit(False)).alias("complete"), (~gone).alias("provided"))
 
 
 def compare_sample(provider: DataFrame, stored: DataFrame) -> DataFrame:
     """By series: rows of each kind and the provider's latest complete time."""
     kinds = [F.count_if(F.col("kind") == k).alias(f"{name}_rows") for k, name in (("content", "content_difference"), ("version", "version_only"), ("new", "new"), ("removed", "removed"))]
-    return _paired(provider, stored).groupBy("instrument_key").agg(
+    return _paired(provider, stored, ["instrument_key"]).groupBy("instrument_key").agg(
         F.count_if("provided").alias("provider_rows"), F.count_if(F.col("kind").isin("content", "version", "equal")).alias("matched_rows"), *kinds, F.max(F.when(F.col("complete"), F.col("time_utc"))).alias("latest_complete_utc"))
 
 
-def compare_window(provider: DataFrame, stored: DataFrame) -> DataFrame:
-    """The sample's counts with the affected range, the change ratio, the affected span and the stable anchor before the range."""
-    rows = _paired(provider, stored)
-    w = Window.partitionBy("instrument_key")
+def compare_window(provider: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ("instrument_key",)) -> DataFrame:
+    """The sample's counts with the affected range, the change ratio, the affected span and the stable anchor before the range, by ``keys`` of the provider."""
+    rows = _paired(provider, stored, list(keys))
+    w = Window.partitionBy(*keys)
     affected = F.col("kind").isin("content", "new", "removed")
     rows = rows.withColumn("affected_from", F.min(F.when(affected, F.col("time_utc"))).over(w)).withColumn("affected_to", F.max(F.when(affected, F.col("time_utc"))).over(w))
     before = F.col("provided") & (F.col("affected_from").isNull() | (F.col("time_utc") < F.col("affected_from")))
     stable = F.col("complete") & F.col("kind").isin("equal", "version")
-    order = Window.partitionBy("instrument_key", "before").orderBy(F.col("time_utc").desc())
+    order = Window.partitionBy(*keys, "before").orderBy(F.col("time_utc").desc())
     rows = rows.withColumn("before", before).withColumn("rank", F.row_number().over(order)).withColumn("breaks", F.when(F.col("before") & ~stable, F.col("rank")))
     matched = F.col("kind").isin("content", "version", "equal")
-    out = rows.groupBy("instrument_key", "affected_from", "affected_to").agg(
+    out = rows.groupBy(*keys, "affected_from", "affected_to").agg(
         F.count_if("provided").alias("provider_rows"), F.count_if(matched).alias("matched_rows"), F.count_if(matched & F.col("complete")).alias("matched_complete"),
         F.count_if(F.col("kind") == "content").alias("content_difference_rows"), F.count_if(F.col("kind") == "version").alias("version_only_rows"), F.count_if(F.col("kind") == "new").alias("new_rows"),
         F.count_if(F.col("kind") == "removed").alias("removed_rows"), F.count_if((F.col("kind") == "content") & F.col("complete")).alias("changed_complete"),
@@ -71,14 +72,10 @@ def decide(compared: DataFrame, requested: Column, maximum: int = WINDOWS[-1]) -
 def escalate_windows(provider: DataFrame, stored: DataFrame, counts: tuple[int, ...] = WINDOWS) -> DataFrame:
     """For each series the first window (of its newest rows) whose decision isn't EXPAND; all windows are compared in one job."""
     w = Window.partitionBy("instrument_key").orderBy(F.col("time_utc").desc())
-    ranked = provider.withColumn("rank", F.row_number().over(w)).withColumn("window", F.explode(F.array(*map(F.lit, counts)))).where("rank <= window")
-    name = F.concat_ws("|", "instrument_key", "window")
-    each = ranked.select(name.alias("instrument_key"), *[c for c in ("time_utc", "data_version", *CONTENT)])
-    windows = stored.withColumn("window", F.explode(F.array(*map(F.lit, counts))))
-    known = windows.select(name.alias("instrument_key"), *[c for c in ("time_utc", "data_version", *CONTENT)])
-    parts = F.split("instrument_key", "\\|")
-    compared = compare_window(each, known).withColumn("window", parts[1].cast("int"))
-    decided = decide(compared, F.col("window"), counts[-1]).withColumn("instrument_key", parts[0])
+    ranked = with_content(provider).withColumn("rank", F.row_number().over(w)).withColumn("window", F.explode(F.array(*map(F.lit, counts)))).where("rank <= window")
+    columns = ["instrument_key", "time_utc", "data_version", *CONTENT]
+    compared = compare_window(ranked.select(*columns, "window"), with_content(stored).select(*columns), ("instrument_key", "window"))
+    decided = decide(compared, F.col("window"), counts[-1])
     return decided.where("decision <> 'EXPAND'").groupBy("instrument_key").agg(F.min_by("decision", "window").alias("decision"), F.min("window").alias("window"))
 
 
@@ -92,7 +89,7 @@ def apply_bounded(current: DataFrame, staged: DataFrame, compared: DataFrame) ->
 
 def field_diff(provider: DataFrame, stored: DataFrame) -> DataFrame:
     """A row for each changed column of each matched bar."""
-    p, s = provider.alias("p"), stored.alias("s")
+    p, s = with_content(provider).alias("p"), with_content(stored).alias("s")
     joined = p.join(s, (F.col("p.instrument_key") == F.col("s.instrument_key")) & (F.col("p.time_utc") == F.col("s.time_utc")))
     each = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"s.{c}").cast("string").alias("accepted"), F.col(f"p.{c}").cast("string").alias("provider")) for c in CONTENT])
     changed = F.explode(F.filter(each, lambda x: ~x["accepted"].eqNullSafe(x["provider"])))
@@ -153,8 +150,7 @@ def record_warnings(events: DataFrame, steps: DataFrame, detections: DataFrame)
     keys = detections.select("instrument_key", "new_version").distinct()
     top = events.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("top"))
     fresh = keys.join(open_, ["instrument_key", "new_version"], "left_anti").crossJoin(F.broadcast(top))
-    number = F.row_number().over(Window.partitionBy("top").orderBy("instrument_key", "new_version"))
-    new = fresh.select((F.col("top") + number).alias("event_id"), "instrument_key", "new_version", F.lit("REVIEW_PENDING").alias("event_status"))
+    new = numbered(fresh, ["instrument_key", "new_version"], "number").select((F.col("top") + F.col("number")).alias("event_id"), "instrument_key", "new_version", F.lit("REVIEW_PENDING").alias("event_status"))
     owner = open_.select("event_id", "instrument_key", "new_version").unionByName(new.select("event_id", "instrument_key", "new_version"))
     last = steps.groupBy("event_id").agg(F.max("step_number").alias("last"))
     found = detections.join(owner, ["instrument_key", "new_version"]).join(last, "event_id", "left")

@@ -50,7 +50,10 @@ def c04(spark, folder):
     return cal.fx_sessions(b.bounds(spark, folder))
 
 
-@query("c05_calendar_digest")
+_SESSION = """'{"session_date":"' || CAST(session_date AS VARCHAR) || '"' || CASE WHEN open_utc IS NOT NULL THEN ',"open_utc":"' || strftime(open_utc, '%Y-%m-%dT%H:%M:%S.000') || '","close_utc":"' || strftime(close_utc, '%Y-%m-%dT%H:%M:%S.000') || '"' ELSE '' END || ',"status":"' || status || '"}'"""
+
+
+@query("c05_calendar_digest", sql(f"SELECT calendar_id, sha256('[' || string_agg({_SESSION}, ',' ORDER BY session_date) || ']') AS digest FROM sessions GROUP BY 1"))
 def c05(spark, folder):
     return cal.calendar_digest(b.sessions(spark, folder))
 

@@ -58,8 +58,15 @@ def bars(spark: SparkSession, folder: str, version: int = 1) -> DataFrame:
     fx = F.col("asset_type") == "FxSpot"
     joined = rows.join(newest, "instrument_key").join(instruments(spark, folder), "instrument_key")
     complete = F.col("time_utc") != F.col("newest")
+    cents = lambda n: F.lit(n).cast("decimal(4,2)")
+    spread, state = cents("0.01"), F.lit("Open")
+    if version == 2:
+        spread = F.when(F.col("last_event") % 7 == 0, cents("0.02")).otherwise(spread)  # the mid stays
+        state = F.when(F.col("last_event") % 13 == 0, "Closed").otherwise(state)
+    side = lambda f, s: F.when(fx, (F.col(f) - spread if s == "bid" else F.col(f) + spread).cast("decimal(24,12)")).alias(f"{f}_{s}")
+    quotes = [side(f, s) for s in ("bid", "ask") for f in ("open", "high", "low", "close")]
     return joined.select(
-        *[c for c in joined.columns if c != "newest"], F.when(fx, "bid_ask_mid").otherwise("native_ohlc").alias("price_basis"), F.lit(60).alias("horizon_minutes"),
+        *[c for c in joined.columns if c != "newest"], *quotes, state.alias("market_trading_state"), F.when(fx, "bid_ask_mid").otherwise("native_ohlc").alias("price_basis"), F.lit(60).alias("horizon_minutes"),
         complete.alias("is_complete"), F.when(complete, "PASS").otherwise("NOT_EVALUATED").alias("quality_status"))
 
 
@@ -78,8 +85,12 @@ def watermarks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("data_status", F.when(F.col("instrument_key") == "error", "STALE_DATA_VERSION").otherwise("ACTIVE"))
 
 
+def _quotes(spread: str) -> str:
+    return ", ".join(f"CASE WHEN asset_type = 'FxSpot' THEN CAST({f} {sign} {spread} AS DECIMAL(24,12)) END AS {f}_{s}" for s, sign in (("bid", "-"), ("ask", "+")) for f in ("open", "high", "low", "close"))
+
+
 # In SQL, January 2024 is five hours behind UTC in New York throughout.
-CTE = """
+CTE = f"""
 instruments AS (
   SELECT DISTINCT event_type AS instrument_key, CAST(length(event_type) AS BIGINT) AS instrument_id,
     CASE WHEN event_type IN ('click', 'view') THEN 'FxSpot' ELSE 'Etf' END AS asset_type,
@@ -103,12 +114,12 @@ hourly2 AS (
   FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN value + 1 ELSE value END AS v FROM hourly_events WHERE event_id % 101 <> 0)
   GROUP BY instrument_key, time_utc),
 bars AS (
-  SELECT h.*, i.* EXCLUDE (instrument_key), CASE WHEN asset_type = 'FxSpot' THEN 'bid_ask_mid' ELSE 'native_ohlc' END AS price_basis, 60 AS horizon_minutes,
+  SELECT h.*, i.* EXCLUDE (instrument_key), {_quotes("0.01")}, 'Open' AS market_trading_state, CASE WHEN asset_type = 'FxSpot' THEN 'bid_ask_mid' ELSE 'native_ohlc' END AS price_basis, 60 AS horizon_minutes,
     time_utc <> max(time_utc) OVER (PARTITION BY h.instrument_key) AS is_complete,
     CASE WHEN time_utc <> max(time_utc) OVER (PARTITION BY h.instrument_key) THEN 'PASS' ELSE 'NOT_EVALUATED' END AS quality_status
   FROM hourly h JOIN instruments i USING (instrument_key)),
 bars2 AS (
-  SELECT h.*, i.* EXCLUDE (instrument_key), CASE WHEN asset_type = 'FxSpot' THEN 'bid_ask_mid' ELSE 'native_ohlc' END AS price_basis, 60 AS horizon_minutes,
+  SELECT h.*, i.* EXCLUDE (instrument_key), {_quotes("CASE WHEN last_event % 7 = 0 THEN 0.02 ELSE 0.01 END")}, CASE WHEN last_event % 13 = 0 THEN 'Closed' ELSE 'Open' END AS market_trading_state, CASE WHEN asset_type = 'FxSpot' THEN 'bid_ask_mid' ELSE 'native_ohlc' END AS price_basis, 60 AS horizon_minutes,
     time_utc <> max(time_utc) OVER (PARTITION BY h.instrument_key) AS is_complete,
     CASE WHEN time_utc <> max(time_utc) OVER (PARTITION BY h.instrument_key) THEN 'PASS' ELSE 'NOT_EVALUATED' END AS quality_status
   FROM hourly2 h JOIN instruments i USING (instrument_key)),

@@ -34,11 +34,11 @@ def p02(spark, folder):
     return _texts(spark, folder).select("event_id", value.alias("time_utc"), code.alias("error_code"))
 
 
-@query("p03_validate_ohlc", sql("""SELECT instrument_key, time_utc, CASE WHEN least(open, h, l, close) <= 0 THEN 'NONPOSITIVE_OHLC' WHEN h < greatest(open, l, close) OR l > least(open, h, close) THEN 'OHLC_VIOLATION' END AS error_code
-  FROM (SELECT *, high - CASE WHEN last_event % 10 = 0 THEN 5 ELSE 0 END AS h, low - CASE WHEN last_event % 10 = 1 THEN 1 ELSE 0 END AS l FROM bars)"""))
+@query("p03_validate_ohlc", sql("""SELECT instrument_key, time_utc, CASE WHEN h IS NULL THEN 'INVALID_HIGH' WHEN least(open, h, l, close) <= 0 THEN 'NONPOSITIVE_OHLC' WHEN h < greatest(open, l, close) OR l > least(open, h, close) THEN 'OHLC_VIOLATION' END AS error_code
+  FROM (SELECT *, CASE WHEN last_event % 10 <> 2 THEN high END - CASE WHEN last_event % 10 = 0 THEN 5 ELSE 0 END AS h, low - CASE WHEN last_event % 10 = 1 THEN 1 ELSE 0 END AS l FROM bars)"""))
 def p03(spark, folder):
     e = F.col("last_event") % 10
-    rows = b.bars(spark, folder).withColumn("h", F.col("high") - F.when(e == 0, 5).otherwise(0)).withColumn("l", F.col("low") - F.when(e == 1, 1).otherwise(0))
+    rows = b.bars(spark, folder).withColumn("h", F.when(e != 2, F.col("high")) - F.when(e == 0, 5).otherwise(0)).withColumn("l", F.col("low") - F.when(e == 1, 1).otherwise(0))
     return rows.select("instrument_key", "time_utc", nz.validate_ohlc(F.col("open"), F.col("h"), F.col("l"), F.col("close")).alias("error_code"))
 
 
@@ -206,7 +206,7 @@ def m03(spark, folder):
     return m.overlap_start(b.bars(spark, folder), 20)
 
 
-_SAME = "s.open = c.open AND s.high = c.high AND s.low = c.low AND s.close = c.close AND s.volume = c.volume AND s.is_complete = c.is_complete"
+_SAME = " AND ".join(f"s.{c} IS NOT DISTINCT FROM c.{c}" for c in m.CONTENT)
 _STAGED = "staged AS (SELECT * FROM bars2 WHERE last_event % 4 <> 0), current AS (SELECT * FROM bars WHERE last_event % 5 <> 0)"
 
 
@@ -469,7 +469,25 @@ def r04(spark, folder):
     return rv.decide(r02(spark, folder), F.lit(96)).select("instrument_key", "decision")
 
 
-@query("r05_escalate_windows")
+_ESCALATE = f"""WITH wins AS (SELECT unnest([96, 384, 1200]) AS win),
+provider AS (SELECT p.*, win FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY time_utc DESC) AS newest FROM bars2) p JOIN wins ON newest <= win),
+ends AS (SELECT instrument_key, win, min(time_utc) AS lower, max(time_utc) AS upper FROM provider GROUP BY ALL),
+inside AS (SELECT s.*, win FROM bars s JOIN ends e ON e.instrument_key = s.instrument_key AND s.time_utc BETWEEN lower AND upper),
+pairs AS (SELECT coalesce(s.instrument_key, c.instrument_key) AS instrument_key, coalesce(s.win, c.win) AS win, coalesce(s.time_utc, c.time_utc) AS time_utc,
+  CASE WHEN c.time_utc IS NULL THEN 'new' WHEN s.time_utc IS NULL THEN 'removed' WHEN NOT ({_SAME}) THEN 'content' ELSE 'version' END AS kind, coalesce(s.is_complete, false) AS complete, s.time_utc IS NOT NULL AS provided
+  FROM provider s FULL JOIN inside c ON c.instrument_key = s.instrument_key AND c.time_utc = s.time_utc AND c.win = s.win),
+rng AS (SELECT instrument_key, win, min(time_utc) FILTER (kind <> 'version') AS a, max(time_utc) FILTER (kind <> 'version') AS z, min(time_utc) FILTER (provided) AS lower FROM pairs GROUP BY ALL),
+pre AS (SELECT p.*, row_number() OVER (PARTITION BY p.instrument_key, p.win ORDER BY time_utc DESC) AS n FROM pairs p JOIN rng r USING (instrument_key, win) WHERE provided AND (a IS NULL OR time_utc < a)),
+anchor AS (SELECT instrument_key, win, coalesce(min(n) FILTER (NOT complete OR kind <> 'version'), count(*) + 1) - 1 AS stable FROM pre GROUP BY ALL),
+cmp AS (SELECT p.instrument_key, p.win, count(*) FILTER (kind IN ('content', 'version') AND complete) AS matched, count(*) FILTER (kind = 'removed') AS removed, count(*) FILTER (kind = 'content' AND complete) AS changed,
+  count(*) FILTER (provided AND time_utc BETWEEN a AND z) + count(*) FILTER (kind = 'removed') AS span, coalesce(any_value(stable), 0) AS stable, coalesce(any_value(a = lower), false) AS edge
+  FROM pairs p JOIN rng r USING (instrument_key, win) LEFT JOIN anchor USING (instrument_key, win) GROUP BY ALL),
+decided AS (SELECT instrument_key, win, CASE WHEN removed > 64 OR span > 240 OR (matched >= 16 AND changed >= 0.8 * matched) THEN 'BLOCKED_FULL_REFETCH'
+  WHEN stable < 16 OR edge THEN CASE WHEN win < 1200 THEN 'EXPAND' ELSE 'BLOCKED_FULL_REFETCH' END ELSE 'READY_TO_APPLY' END AS decision FROM cmp)
+SELECT instrument_key, arg_min(decision, win) AS decision, CAST(min(win) AS INTEGER) AS "window" FROM decided WHERE decision <> 'EXPAND' GROUP BY 1"""
+
+
+@query("r05_escalate_windows", sql(_ESCALATE))
 def r05(spark, folder):
     return rv.escalate_windows(b.bars(spark, folder, 2), b.bars(spark, folder, 1))
 
@@ -525,7 +543,7 @@ def r14(spark, folder):
     return rv.stale_series(b.watermarks(spark, folder))
 
 
-@query("r15_field_diff", sql(f"WITH {_PROVIDER} " + " UNION ALL ".join(f"SELECT p.instrument_key, p.time_utc, '{f}' AS field, CAST(s.{f} AS VARCHAR) AS accepted, CAST(p.{f} AS VARCHAR) AS provider FROM provider p JOIN stored s ON s.instrument_key = p.instrument_key AND s.time_utc = p.time_utc WHERE s.{f} IS DISTINCT FROM p.{f}" for f in rv.CONTENT)))
+@query("r15_field_diff", sql(f"WITH {_PROVIDER} " + " UNION ALL ".join(f"SELECT p.instrument_key, p.time_utc, '{f}' AS field, CAST(s.{f} AS VARCHAR) AS accepted, CAST(p.{f} AS VARCHAR) AS provider FROM provider p JOIN stored s ON s.instrument_key = p.instrument_key AND s.time_utc = p.time_utc WHERE s.{f} IS DISTINCT FROM p.{f}" for f in m.CONTENT)))
 def r15(spark, folder):
     return rv.field_diff(*_revision_sides(spark, folder))
 

@@ -60,7 +60,12 @@ def c19(spark, folder):
     return sc.slot_sla(slots, runs)
 
 
-@query("c21_watermark_digest")
+_STATE = """CASE WHEN w.instrument_key IS NULL THEN '{"instrument_key":"' || i.instrument_key || '","missing":true}'
+  ELSE '{"data_status":"' || data_status || '","data_version":' || data_version || ',"instrument_key":"' || i.instrument_key || '","latest_complete_utc":' || coalesce('"' || strftime(latest_complete_utc, '%Y-%m-%dT%H:%M:%S.000') || '"', 'null') || ',"run_id":' || run_id || '}' END"""
+
+
+@query("c21_watermark_digest", sql(f"""SELECT count(*) AS keys, count(*) FILTER (w.instrument_key IS NULL) AS missing, sha256(string_agg({_STATE}, ',' ORDER BY i.instrument_key)) AS digest
+  FROM instruments i LEFT JOIN (SELECT * FROM watermarks WHERE instrument_key <> 'view') w ON w.instrument_key = i.instrument_key"""))
 def c21(spark, folder):
     keys = b.instruments(spark, folder).select("instrument_key")
     return sc.watermark_digest(keys, b.watermarks(spark, folder).where("instrument_key <> 'view'"))
@@ -90,27 +95,29 @@ def i14(spark, folder):
 
 
 @query("q06_supersede_legacy", sql(f"""WITH {_QE}, o AS (SELECT * FROM status WHERE status IN ('OPEN', 'ACKNOWLEDGED') AND applicability IN ('CURRENT', 'UNKNOWN') AND rule_id = 'atomic_run_gate')
-SELECT event_id, 'HISTORICAL' AS applicability, CAST(20 AS BIGINT) AS superseded_by FROM o WHERE run_id < 20 AND instrument_key = 'view' UNION SELECT event_id, 'HISTORICAL', CAST(12 AS BIGINT) FROM o WHERE run_id < 12"""))
+SELECT event_id, 'HISTORICAL' AS applicability, d.run_id AS superseded_by FROM o JOIN (SELECT DISTINCT CAST(day(ts) AS BIGINT) AS run_id FROM events) d ON o.run_id < d.run_id
+  WHERE d.run_id % 5 = 2 OR (d.run_id % 5 = 0 AND d.run_id % 2 = 0 AND instrument_key = 'view')"""))
 def q06(spark, folder):
     days = b.table(spark, folder, "events").select(F.dayofmonth("ts").cast("long").alias("run_id")).distinct()
-    runs = days.where("run_id in (12, 20, 25)").select("run_id", F.when(F.col("run_id") == 12, "normal").otherwise("refetch").alias("trigger_kind"), F.when(F.col("run_id") == 12, 13).otherwise(1).alias("successful_series"), F.lit(13).alias("all_series"))
-    raw = b.table(spark, folder, "events").select(F.dayofmonth("ts").cast("long").alias("run_id"), F.col("event_type").alias("instrument_key")).where("run_id <> 20 or instrument_key = 'view'")
+    normal = F.col("run_id") % 5 == 2
+    runs = days.where("run_id % 5 in (0, 2)").select("run_id", F.when(normal, "normal").otherwise("refetch").alias("trigger_kind"), F.when(normal, 13).otherwise(1).alias("successful_series"), F.lit(13).alias("all_series"))
+    raw = b.table(spark, folder, "events").select(F.dayofmonth("ts").cast("long").alias("run_id"), F.col("event_type").alias("instrument_key")).where("run_id % 10 <> 0 or instrument_key = 'view'")
     return ev.supersede_legacy(_status(spark, folder), runs, raw)
 
 
-_WARN = """old AS (SELECT event_id, event_type || user_id % 3 AS instrument_key, user_id % 2 AS new_version, CASE WHEN event_id % 2 = 0 THEN 'REVIEW_PENDING' ELSE 'APPLIED' END AS event_status FROM events WHERE event_id < 20),
-det AS (SELECT event_type || user_id % 3 AS instrument_key, user_id % 2 AS new_version, event_id FROM events WHERE event_id >= 20 AND event_id < 60),
+_WARN = """old AS (SELECT event_id, event_type || user_id % 30 AS instrument_key, user_id % 2 AS new_version, CASE WHEN event_id % 4 = 0 THEN 'REVIEW_PENDING' ELSE 'APPLIED' END AS event_status FROM events WHERE event_id % 7 = 0),
+det AS (SELECT event_type || user_id % 30 AS instrument_key, user_id % 2 AS new_version, event_id FROM events WHERE event_id % 7 <> 0),
 op AS (SELECT instrument_key, new_version, max(event_id) AS event_id FROM old WHERE event_status = 'REVIEW_PENDING' GROUP BY 1, 2),
 neu AS (SELECT (SELECT max(event_id) FROM old) + row_number() OVER (ORDER BY instrument_key, new_version) AS event_id, instrument_key, new_version FROM (SELECT DISTINCT instrument_key, new_version FROM det) d ANTI JOIN op USING (instrument_key, new_version)),
 own AS (SELECT event_id, instrument_key, new_version FROM op UNION ALL SELECT event_id, instrument_key, new_version FROM neu)"""
 
 
-@query("r11_record_warnings", f"WITH {_WARN} SELECT own.event_id, count(*) + coalesce(any_value(CASE WHEN own.event_id < 20 THEN 1 END), 0) AS last_step FROM det JOIN own USING (instrument_key, new_version) GROUP BY 1 UNION ALL SELECT event_id, 1 FROM old WHERE event_id NOT IN (SELECT own.event_id FROM det JOIN own USING (instrument_key, new_version))")
+@query("r11_record_warnings", f"WITH {_WARN} SELECT own.event_id, count(*) + coalesce(any_value(CASE WHEN own.event_id <= (SELECT max(event_id) FROM old) THEN 1 END), 0) AS last_step FROM det JOIN own USING (instrument_key, new_version) GROUP BY 1 UNION ALL SELECT event_id, 1 FROM old WHERE event_id NOT IN (SELECT own.event_id FROM det JOIN own USING (instrument_key, new_version))")
 def r11(spark, folder):
-    e = b.table(spark, folder, "events").select("event_id", F.concat("event_type", (F.col("user_id") % 3).cast("string")).alias("instrument_key"), (F.col("user_id") % 2).alias("new_version"), ntz(F.col("ts")).alias("detected_utc"))
-    old = e.where("event_id < 20").select("event_id", "instrument_key", "new_version", F.when(F.col("event_id") % 2 == 0, "REVIEW_PENDING").otherwise("APPLIED").alias("event_status"))
+    e = b.table(spark, folder, "events").select("event_id", F.concat("event_type", (F.col("user_id") % 30).cast("string")).alias("instrument_key"), (F.col("user_id") % 2).alias("new_version"), ntz(F.col("ts")).alias("detected_utc"))
+    old = e.where("event_id % 7 = 0").select("event_id", "instrument_key", "new_version", F.when(F.col("event_id") % 4 == 0, "REVIEW_PENDING").otherwise("APPLIED").alias("event_status"))
     steps = old.select("event_id", F.lit(1).cast("long").alias("step_number"), F.lit("DETECTED").alias("step_result"))
-    detections = e.where("event_id >= 20 and event_id < 60").select("instrument_key", "new_version", "detected_utc", F.lit("AGAIN").alias("step_result"))
+    detections = e.where("event_id % 7 <> 0").select("instrument_key", "new_version", "detected_utc", F.lit("AGAIN").alias("step_result"))
     return rv.record_warnings(old, steps, detections)[1].groupBy("event_id").agg(F.max("step_number").alias("last_step"))
 
 

@@ -22,6 +22,8 @@ def fresh_folder(spark, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, or a temporary one where that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN:
             _OWN.append(tempfile.mkdtemp(prefix="spark-bars-"))
         base = _OWN[0]
@@ -54,28 +56,37 @@ def s02(spark, folder):
     return fs.classify_files(rows).select("page_id", "file_class")
 
 
-@query("s03_verify_inventory")
+@query("s03_verify_inventory", """WITH f AS (SELECT page_id // 20 AS k, sha256(string_agg(html || chr(10), '' ORDER BY page_id)) AS sha256 FROM pages GROUP BY 1)
+SELECT 'k=' || k AS name, CASE k % 4 WHEN 0 THEN 'SIZE' WHEN 1 THEN 'DIGEST' ELSE 'OK' END AS file_state, sha256 FROM f UNION ALL SELECT 'k=' || k || '.gone', 'MISSING', sha256 FROM f""")
 def s03(spark, folder):
-    files = fs.file_digests(spark, _csv(spark, folder), "*.csv")
-    changed = F.when(F.col("bytes") % 2 == 0, F.col("bytes") + 1).otherwise(F.col("bytes"))
-    inventory = files.select("name", changed.alias("bytes"), "sha256").unionByName(files.select(F.concat("name", F.lit(".gone")).alias("name"), "bytes", "sha256"))
-    return fs.verify_inventory(files, inventory)
-
-
-@query("s04_load_reference", "SELECT event_id AS row_number, CASE WHEN event_id % 3 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS reference_key, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS observed_utc FROM events")
+    """Pages in files of 20, in a folder each; the inventory has wrong sizes, wrong digests and files that aren't there."""
+    path = fresh_folder(spark, "pages-text")
+    pages = b.table(spark, folder, "pages").select((F.col("page_id") / 20).cast("long").alias("k"), "page_id", "html")
+    pages.repartition("k").sortWithinPartitions("k", "page_id").drop("page_id").write.partitionBy("k").text(path)
+    files = fs.file_digests(spark, path, "*.txt").withColumn("name", F.col("folder"))
+    k = F.regexp_extract("folder", "[0-9]+", 0).cast("long") % 4
+    told = files.select("name", (F.col("bytes") + F.when(k == 0, 1).otherwise(0)).alias("bytes"), F.when(k == 1, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"), F.col("sha256").alias("own"))
+    inventory = told.unionByName(files.select(F.concat("name", F.lit(".gone")).alias("name"), "bytes", "sha256", F.col("sha256").alias("own")))
+    return fs.verify_inventory(files, inventory).join(inventory.select("name", F.col("own").alias("sha256")), "name")
+
+
+@query("s04_load_reference", "SELECT event_id AS row_number, CASE WHEN event_id % 3 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS reference_key, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS observed_utc, payload_json, sha256(payload_json) AS payload_sha256 FROM (SELECT *, '{\"date\":\"' || strftime(ts, '%Y-%m-%d') || '\",\"market_key\":\"' || CASE WHEN event_id % 3 = 0 THEN event_type ELSE '' END || '\",\"ticker\":\"' || user_id || '\"' || CASE WHEN event_id % 2 = 0 THEN ',\"time_utc\":\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '\"' ELSE '' END || '}' AS payload_json FROM events)")
 def s04(spark, folder):
     i = F.col("event_id")
     rows = b.table(spark, folder, "events").select("event_id", F.when(i % 3 == 0, F.col("event_type")).otherwise("").alias("market_key"), F.col("user_id").cast("string").alias("ticker"), F.when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("time_utc"), F.date_format("ts", "yyyy-MM-dd").alias("date"))
-    return fs.load_reference(rows, F.lit(1), i, ["market_key", "ticker", "time_utc", "date"]).select("row_number", "reference_key", "observed_utc")
+    return fs.load_reference(rows, F.lit(1), i, ["market_key", "ticker", "time_utc", "date"]).select("row_number", "reference_key", "observed_utc", "payload_json", "payload_sha256")
 
 
 @query("s05_grade_total_return", """WITH r AS (SELECT o_orderpriority AS ticker, CAST(o_orderdate AS DATE) AS date, CAST(max(o_totalprice) AS DECIMAL(18,2)) AS a, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS lo, count(*) AS n FROM orders GROUP BY 1, 2)
-SELECT ticker, date, CASE WHEN n % 5 = 0 THEN 'FAIL' WHEN abs(CAST(a AS DOUBLE) / CAST(lag(a) OVER (PARTITION BY ticker ORDER BY date) AS DOUBLE) - 1) > 0.25 THEN 'WARN' ELSE 'PASS' END AS quality_status FROM r""")
+SELECT ticker, date, CASE WHEN n % 7 = 3 THEN NULL WHEN lo < 2000 OR n % 5 = 0 THEN 'FAIL' WHEN a > 2 * lo THEN 'WARN' ELSE 'PASS' END AS quality_status, CASE WHEN n % 7 = 3 THEN 'INVALID_BOOLEAN' END AS error_code FROM r""")
 def s05(spark, folder):
     price = lambda c: c.cast("decimal(18,2)")
     rows = b.table(spark, folder, "orders").groupBy(F.col("o_orderpriority").alias("ticker"), F.col("o_orderdate").cast("date").alias("date")).agg(price(F.max("o_totalprice")).alias("hi"), price(F.min("o_totalprice")).alias("lo"), F.count("*").alias("n"))
-    rows = rows.select("ticker", "date", F.col("hi").cast("double").alias("adjusted_close"), F.col("lo").alias("open_unadjusted"), F.col("hi").alias("high_unadjusted"), F.col("lo").alias("low_unadjusted"), F.col("hi").alias("close_unadjusted"), F.when(F.col("n") % 5 != 0, 1).alias("split_factor"))
-    return fs.grade_total_return(rows).select("ticker", "date", "quality_status")
+    text = lambda c: c.cast("string")
+    rows = rows.select(
+        "ticker", "date", F.lit("orders").alias("source_dataset_id"), F.lit("false").alias("quality_missing_price"), text(F.col("lo") >= 2000).alias("quality_positive_price"),
+        F.when(F.col("n") % 7 == 3, "yes").otherwise("true").alias("quality_valid_ohlc"), text(F.col("n") % 5 != 0).alias("quality_valid_split"), text(F.col("hi") > 2 * F.col("lo")).alias("quality_return_outlier"))
+    return fs.grade_total_return(rows, "orders").select("ticker", "date", "quality_status", "error_code")
 
 
 def _json_pages(spark, folder):
@@ -85,12 +96,12 @@ def _json_pages(spark, folder):
     return pages.select("instrument_key", "page_number", F.to_json(F.struct(F.lit(1).alias("DataVersion"), info.alias("ChartInfo"), F.transform("rows", lambda x: x["d"]).alias("Data"))).alias("body"))
 
 
-@query("s06_explode_chart_pages", sql(f"WITH {_PAGES} SELECT instrument_key, page_number, CASE WHEN page_number <> 1 THEN time_utc END AS time_utc, CASE WHEN page_number <> 1 THEN open END AS open, CASE WHEN page_number <> 1 THEN close END AS close, CASE WHEN page_number = 1 THEN 'INVALID_HORIZON' END AS error_code FROM paged WHERE page_number <> 1 UNION ALL SELECT DISTINCT instrument_key, page_number, CAST(NULL AS TIMESTAMP), NULL, NULL, 'INVALID_HORIZON' FROM paged WHERE page_number = 1"))
+@query("s06_explode_chart_pages", sql(f"WITH {_PAGES} SELECT instrument_key, page_number, CASE WHEN page_number <> 1 THEN time_utc END AS time_utc, CASE WHEN page_number <> 1 THEN open END AS open, high, low, CASE WHEN page_number <> 1 THEN close END AS close, CAST(volume AS DECIMAL(30,8)) AS volume, CASE WHEN page_number = 1 THEN 'INVALID_HORIZON' END AS error_code FROM paged WHERE page_number <> 1 UNION ALL SELECT DISTINCT instrument_key, page_number, CAST(NULL AS TIMESTAMP), NULL, NULL, NULL, NULL, NULL, 'INVALID_HORIZON' FROM paged WHERE page_number = 1"))
 def s06(spark, folder):
-    return fs.explode_chart_pages(_json_pages(spark, folder)).select("instrument_key", "page_number", "time_utc", "open", "close", "error_code")
+    return fs.explode_chart_pages(_json_pages(spark, folder)).select("instrument_key", "page_number", "time_utc", "open", "high", "low", "close", "volume", "error_code")
 
 
-@query("s07_parse_column_chart", "WITH r AS (SELECT event_type AS ticker, CAST(epoch(date_trunc('day', ts) + INTERVAL 21 HOUR) AS BIGINT) AS t, arg_min(value, event_id) AS o, max(value) AS h FROM events GROUP BY 1, 2) SELECT ticker, CASE WHEN ticker = 'error' THEN NULL ELSE CAST(to_timestamp(t) AT TIME ZONE 'UTC' - INTERVAL 5 HOUR AS DATE) END AS date, CASE WHEN ticker <> 'error' THEN o END AS open, CASE WHEN ticker <> 'error' THEN h END AS high, CASE WHEN ticker = 'error' THEN 'COLUMN_LENGTHS' END AS error_code FROM r WHERE ticker <> 'error' UNION ALL SELECT 'error', NULL, NULL, NULL, 'COLUMN_LENGTHS'")
+@query("s07_parse_column_chart", "WITH r AS (SELECT event_type AS ticker, CAST(epoch(date_trunc('day', ts) + INTERVAL 21 HOUR) AS BIGINT) AS t, arg_min(value, event_id) AS o, max(value) AS h, count(*) AS n FROM events GROUP BY 1, 2) SELECT ticker, CASE WHEN ticker = 'error' THEN NULL ELSE CAST(to_timestamp(t) AT TIME ZONE 'UTC' - INTERVAL 5 HOUR AS DATE) END AS date, CASE WHEN ticker <> 'error' THEN o END AS open, CASE WHEN ticker <> 'error' THEN h END AS high, o AS low, o AS close, n AS volume, o AS adjclose, CASE WHEN ticker = 'error' THEN 'COLUMN_LENGTHS' END AS error_code FROM r WHERE ticker <> 'error' UNION ALL SELECT 'error', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'COLUMN_LENGTHS'")
 def s07(spark, folder):
     e = b.table(spark, folder, "events").withColumn("t", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.date_trunc("day", "ts").cast("timestamp_ntz")) + 21 * 3600)
     days = e.groupBy("event_type", "t").agg(F.min_by("value", "event_id").alias("o"), F.max("value").alias("h"), F.count("*").alias("n"))
@@ -98,7 +109,7 @@ def s07(spark, folder):
     each = lambda f: F.transform("r", lambda x: x[f])
     short = F.when(F.col("event_type") == "error", F.slice(each("h"), 1, 2)).otherwise(each("h"))
     body = F.to_json(F.struct(F.col("event_type").alias("ticker"), each("t").alias("timestamp"), each("o").alias("open"), short.alias("high"), each("o").alias("low"), each("o").alias("close"), each("n").alias("volume"), each("o").alias("adjclose")))
-    return fs.parse_column_chart(rows.select(body.alias("body"))).select("ticker", "date", "open", "high", "error_code")
+    return fs.parse_column_chart(rows.select(body.alias("body"))).select("ticker", "date", "open", "high", "low", "close", "volume", "adjclose", "error_code")
 
 
 @query("s08_export_bars", sql("SELECT 'view' AS instrument_key, '1h' AS layer, count(*) AS row_count, min(time_utc) AS min_time_utc, max(time_utc) AS max_time_utc FROM bars WHERE instrument_key = 'view'"))
@@ -106,11 +117,11 @@ def s08(spark, folder):
     return fs.export_bars(b.bars(spark, folder).where("instrument_key = 'view'"), fresh_folder(spark, "export"), "view", "1h")
 
 
-@query("s09_register_sources", "WITH p AS (SELECT page_id, 'raw/' || page_id AS relative_path, sha256(html) AS sha256, length(html) AS n FROM pages), old AS (SELECT *, page_id + 1 AS id FROM p WHERE page_id < 50), neu AS (SELECT *, 50 + row_number() OVER (ORDER BY relative_path, sha256) AS id FROM p WHERE page_id >= 50 AND page_id % 7 <> 0) SELECT relative_path, id AS source_file_id, CASE WHEN page_id % 7 <> 0 THEN n ELSE 0 END AS bytes FROM (SELECT * FROM old UNION ALL SELECT * FROM neu)")
+@query("s09_register_sources", "WITH p AS (SELECT page_id, 'raw/' || page_id AS relative_path, sha256(html) AS sha256, length(html) AS n FROM pages), old AS (SELECT *, page_id + 1 AS id FROM p WHERE page_id % 3 = 0), neu AS (SELECT *, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY relative_path, sha256) AS id FROM p WHERE page_id % 3 <> 0 AND page_id % 7 <> 0) SELECT relative_path, id AS source_file_id, CASE WHEN page_id % 7 <> 0 THEN n ELSE 0 END AS bytes FROM (SELECT * FROM old UNION ALL SELECT * FROM neu)")
 def s09(spark, folder):
     i = F.col("page_id")
     p = b.table(spark, folder, "pages").select("page_id", F.concat(F.lit("raw/"), i.cast("string")).alias("relative_path"), F.sha2("html", 256).alias("sha256"), F.length("html").cast("long").alias("bytes"), F.lit(1).alias("row_count"))
-    registry = p.where("page_id < 50").select("relative_path", "sha256", (i + 1).alias("source_file_id"), F.lit(0).cast("long").alias("bytes"), "row_count")
+    registry = p.where("page_id % 3 = 0").select("relative_path", "sha256", (i + 1).alias("source_file_id"), F.lit(0).cast("long").alias("bytes"), "row_count")
     seen = p.withColumn("relative_path", F.when(i % 7 == 0, F.concat(F.lit("/abs/"), i.cast("string"))).otherwise(F.col("relative_path"))).drop("page_id")
     return fs.register_sources(registry, seen).select("relative_path", "source_file_id", "bytes")
 
@@ -133,10 +144,11 @@ def s13(spark, folder):
     return fs.redact_json(rows, "body", "struct<user:struct<id:bigint,Access_Token:string>,items:array<struct<kind:string,PASSWORD:string>>,apiKey:string>")
 
 
-@query("s14_run_manifest", "SELECT page_id % 10 AS run_id, count(*) AS artifacts, CAST(sum(length(html)) AS BIGINT) AS bytes, count(*) AS rows FROM pages GROUP BY 1")
+@query("s14_run_manifest", """SELECT page_id % 10 AS run_id, count(*) AS artifacts, CAST(sum(length(html)) AS BIGINT) AS bytes, count(*) AS rows,
+  '[' || string_agg('{"relative_path":"page/' || page_id || '","sha256":"' || sha256(html) || '","bytes":' || length(html) || ',"row_count":1}', ',' ORDER BY 'page/' || page_id) || ']' AS artifacts_json FROM pages GROUP BY 1""")
 def s14(spark, folder):
-    rows = b.table(spark, folder, "pages").select((F.col("page_id") % 10).alias("run_id"), F.col("url").alias("relative_path"), F.sha2("html", 256).alias("sha256"), F.length("html").cast("long").alias("bytes"), F.lit(1).cast("long").alias("row_count"))
-    return fs.run_manifest(rows).drop("artifacts_json")
+    rows = b.table(spark, folder, "pages").select((F.col("page_id") % 10).alias("run_id"), F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("relative_path"), F.sha2("html", 256).alias("sha256"), F.length("html").cast("long").alias("bytes"), F.lit(1).cast("long").alias("row_count"))
+    return fs.run_manifest(rows)
 
 
 @query("s15_manifests", "SELECT 'dataset' AS kind, CAST(n_nationkey AS VARCHAR) AS item, row_number() OVER (ORDER BY n_nationkey) AS position FROM nation UNION ALL SELECT 'snapshot', d, row_number() OVER (ORDER BY f DESC, d DESC) FROM (SELECT CAST(day(ts) AS VARCHAR) AS d, max(ts) AS f FROM events GROUP BY 1)")
@@ -212,5 +224,5 @@ def x06(spark, folder):
 def x07(spark, folder):
     rows = b.bars(spark, folder)
     stream, out = _stream(spark, rows.unionByName(rows), 2), fresh_folder(spark, "forward")
-    st.stream_forward_append(stream, f"{out}/rows", f"{out}/checkpoint")
+    st.stream_forward_append(stream, f"{out}/rows", f"{out}/checkpoint", f"{out}/rejects")
     return spark.read.schema(stream.schema).parquet(f"{out}/rows").select("instrument_key", "time_utc", "close")

@@ -212,10 +212,10 @@ def q04(spark, folder):
 
 
 @query("q05_supersede", sql(f"""WITH {_QE}, o AS (SELECT * FROM status WHERE status IN ('OPEN', 'ACKNOWLEDGED') AND applicability IN ('CURRENT', 'UNKNOWN') AND rule_id = 'atomic_run_gate')
-SELECT DISTINCT event_id, 'HISTORICAL' AS applicability, s.run_id AS superseded_by FROM o JOIN rscope s ON s.run_id IN (12, 25) AND o.run_id < s.run_id AND (o.instrument_key = s.instrument_key OR (o.instrument_key IS NULL AND o.scope_kind = 'RUN' AND EXISTS (SELECT 1 FROM rscope r WHERE r.run_id = o.run_id AND r.instrument_key = s.instrument_key)))"""))
+SELECT DISTINCT event_id, 'HISTORICAL' AS applicability, s.run_id AS superseded_by FROM o JOIN rscope s ON s.run_id % 4 = 0 AND o.run_id < s.run_id AND (o.instrument_key = s.instrument_key OR (o.instrument_key IS NULL AND o.scope_kind = 'RUN' AND EXISTS (SELECT 1 FROM rscope r WHERE r.run_id = o.run_id AND r.instrument_key = s.instrument_key)))"""))
 def q05(spark, folder):
     scope = _rscope(spark, folder)
-    return ev.supersede(_status(spark, folder), scope, scope.where("run_id in (12, 25)").select("run_id").distinct())
+    return ev.supersede(_status(spark, folder), scope, scope.where("run_id % 4 = 0").select("run_id").distinct())
 
 
 @query("q07_event_run_scope", sql(f"WITH {_QE} SELECT event_id, CASE WHEN qe.instrument_key IS NOT NULL THEN 'INSTRUMENT' ELSE 'RUN' END AS scope_kind, coalesce(qe.instrument_key, k) AS instrument_keys FROM qe LEFT JOIN (SELECT run_id, string_agg(instrument_key, ',' ORDER BY instrument_key) AS k FROM rscope GROUP BY 1) USING (run_id)"))
@@ -351,10 +351,10 @@ def t01(spark, folder):
     return tr.validate_batch(rows, ["T0", "T1", "T2"]).groupBy("error_code").agg(F.count("*").alias("n"))
 
 
-@query("t02_completeness", f"WITH {_TR}, s AS (SELECT DISTINCT date AS session_date FROM trr WHERE year(date) = 1996) SELECT t.ticker, s.session_date FROM (SELECT DISTINCT ticker FROM trr) t, s WHERE NOT EXISTS (SELECT 1 FROM trr r WHERE r.ticker = t.ticker AND r.date = s.session_date)")
+@query("t02_completeness", f"WITH {_TR}, s AS (SELECT DISTINCT date AS session_date FROM trr) SELECT t.ticker, s.session_date FROM (SELECT DISTINCT ticker FROM trr) t, s WHERE NOT EXISTS (SELECT 1 FROM trr r WHERE r.ticker = t.ticker AND r.date = s.session_date)")
 def t02(spark, folder):
     rows = _tr(spark, folder)
-    return tr.completeness(rows, rows.where(F.year("date") == 1996).select(F.col("date").alias("session_date")))
+    return tr.completeness(rows, rows.select(F.col("date").alias("session_date")).distinct())
 
 
 @query("t03_revision_keys", f"WITH {_TR} SELECT ticker || ':' || CAST(date AS VARCHAR) AS revision_key FROM trr WHERE day(date) % 9 = 0")
@@ -470,9 +470,13 @@ def b04(spark, folder):
     return rd.snapshot_integrity(rows, _t("2024-01-30"), rows.agg(F.count("*").alias("rows"), F.min("time_utc").alias("min_time_utc"), F.max("time_utc").alias("max_time_utc")))
 
 
-@query("b05_ordered_hash")
+_DAY_ROW = "'{' || " + " || ',' || ".join(f"'\"{c}\":\"' || CAST({c} AS VARCHAR) || '\"'" for c in ("close", "high", "low", "open", "volume")) + " || '}'"
+
+
+@query("b05_ordered_hash", sql(f"""SELECT instrument_key, CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(digest, ',' ORDER BY day)) AS content_sha256
+  FROM (SELECT instrument_key, CAST(time_utc AS DATE) AS day, count(*) AS n, sha256('[' || string_agg({_DAY_ROW}, ',' ORDER BY time_utc) || ']') AS digest FROM bars GROUP BY 1, 2) GROUP BY 1"""))
 def b05(spark, folder):
-    return rd.ordered_hash(b.bars(spark, folder), "instrument_key", ["time_utc"], ["open", "high", "low", "close", "volume"])
+    return rd.ordered_hash(b.bars(spark, folder), "instrument_key", ["time_utc"], ["open", "high", "low", "close", "volume"], F.to_date("time_utc"))
 
 
 @query("b06_chart_rows", sql("SELECT time_utc, close FROM bars WHERE instrument_key = 'click' AND time_utc >= TIMESTAMP '2024-01-05' AND time_utc < TIMESTAMP '2024-01-25' ORDER BY time_utc DESC LIMIT 60"))

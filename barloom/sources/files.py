@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from barloom.functions.times import new_york
-from barloom.operators.normalize import PRICE, valid_digest, valid_path, validate_ohlc
+from barloom.operators.merge import numbered
+from barloom.operators.normalize import PRICE, valid_digest, valid_path
 
 BAR_COLUMNS = ["instrument_key", "uic", "asset_type", "category", "time_utc", "horizon_minutes", "price_basis", "open", "high", "low", "close", "volume", "is_complete"]
 #: Names of fields that never leave the engine, in lower case without underscores.
@@ -43,9 +44,9 @@ def classify_files(inventory: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """name, bytes and sha256 of the files of a folder."""
+    """name, folder (the last one on the path), bytes and sha256 of the files below a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.element_at(F.split("path", "/"), -2).alias("folder"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def verify_inventory(files: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -65,13 +66,17 @@ def load_reference(rows: DataFrame, file_id: Column, ordinal: Column, columns: l
     return rows.select(file_id.alias("source_file_id"), ordinal.alias("row_number"), key.alias("reference_key"), time.alias("observed_utc"), payload.alias("payload_json"), F.sha2(payload, 256).alias("payload_sha256"))
 
 
-def grade_total_return(rows: DataFrame, max_return: str = "0.25") -> DataFrame:
-    """quality_status of total-return rows: FAIL for a missing or non-positive price, invalid OHLC or split; WARN for an outlying return."""
-    o, h, l, c = (F.col(f"{f}_unadjusted") for f in ("open", "high", "low", "close"))  # noqa: E741
-    before = F.lag("adjusted_close").over(Window.partitionBy("ticker").orderBy("date"))
-    change = F.abs(F.col("adjusted_close") / F.nullif(before, F.lit(0)) - 1)
-    fail = F.col("adjusted_close").isNull() | (F.col("adjusted_close") <= 0) | validate_ohlc(o, h, l, c).isNotNull() | ~F.coalesce(F.col("split_factor") > 0, F.lit(False))
-    return rows.withColumn("quality_status", F.when(F.coalesce(fail, F.lit(True)), "FAIL").when(change > F.lit(max_return).cast("double"), "WARN").otherwise("PASS"))
+def grade_total_return(rows: DataFrame, dataset_id: str) -> DataFrame:
+    """quality_status of total-return rows by the file's flags (text, true or false): FAIL for a missing or non-positive price, invalid OHLC or split; WARN for an outlying
+    return.  ``error_code``: INVALID_BOOLEAN for a flag of another spelling.  A row of another dataset (source_dataset_id) raises an error."""
+    flag = lambda c: F.col(c) == "true"
+    flags = ["quality_missing_price", "quality_positive_price", "quality_valid_ohlc", "quality_valid_split", "quality_return_outlier"]
+    bad = F.exists(F.array(*[F.coalesce(F.col(c).isin("true", "false"), F.lit(False)) for c in flags]), lambda x: ~x)
+    failed = flag(flags[0]) | ~flag(flags[1]) | ~flag(flags[2]) | ~flag(flags[3])
+    grade = F.when(bad, F.lit(None)).when(failed, "FAIL").when(flag(flags[4]), "WARN").otherwise("PASS")
+    own = F.coalesce(F.col("source_dataset_id") == dataset_id, F.lit(False))
+    guarded = F.when(own, grade).otherwise(F.raise_error(F.lit("curated total-return source_dataset_id mismatch")).cast("string"))
+    return rows.withColumn("quality_status", guarded).withColumn("error_code", F.when(bad, "INVALID_BOOLEAN"))
 
 
 CHART = "struct<DataVersion:bigint,ChartInfo:struct<Horizon:int,DelayedByMinutes:int>,Data:array<struct<Time:string,Open:string,High:string,Low:string,Close:string,Volume:string>>>"
@@ -126,8 +131,9 @@ def register_sources(registry: DataFrame, files: DataFrame) -> DataFrame:
     r, f = registry.alias("r"), good.alias("f")
     joined = r.join(f, (F.col("r.relative_path") == F.col("f.relative_path")) & (F.col("r.sha256") == F.col("f.sha256")), "full").crossJoin(F.broadcast(registry.agg(F.coalesce(F.max("source_file_id"), F.lit(0)).alias("top"))))
     path, digest = F.coalesce("f.relative_path", "r.relative_path"), F.coalesce("f.sha256", "r.sha256")
-    new = F.row_number().over(Window.partitionBy(F.col("r.source_file_id").isNull()).orderBy(path, digest))
-    return joined.select(path.alias("relative_path"), digest.alias("sha256"), F.coalesce("r.source_file_id", F.col("top") + new).alias("source_file_id"), F.coalesce("f.bytes", "r.bytes").alias("bytes"), F.coalesce("f.row_count", "r.row_count").alias("row_count"))
+    rows = joined.select(path.alias("relative_path"), digest.alias("sha256"), "r.source_file_id", F.coalesce("f.bytes", "r.bytes").alias("bytes"), F.coalesce("f.row_count", "r.row_count").alias("row_count"), "top")
+    new = numbered(rows.where("source_file_id is null"), ["relative_path", "sha256"], "n").withColumn("source_file_id", F.col("top") + F.col("n")).drop("n")
+    return rows.where("source_file_id is not null").unionByName(new).drop("top")
 
 
 def invalid_sources(files: DataFrame) -> DataFrame:
@@ -184,8 +190,9 @@ def run_manifest(artifacts: DataFrame) -> DataFrame:
 
 def manifests(datasets: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Datasets by id and snapshots, newest first, as one listing with positions."""
-    d = datasets.select(F.lit("dataset").alias("kind"), F.col("dataset_id").cast("string").alias("item"), F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("dataset_id")).alias("position"))
-    s = snapshots.select(F.lit("snapshot").alias("kind"), F.col("snapshot_id").cast("string").alias("item"), F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("frozen_utc").desc(), F.col("snapshot_id").desc())).alias("position"))
+    d = numbered(datasets, ["dataset_id"], "position").select(F.lit("dataset").alias("kind"), F.col("dataset_id").cast("string").alias("item"), "position")
+    s = numbered(snapshots, ["frozen_utc", "snapshot_id"], "n").crossJoin(F.broadcast(snapshots.agg(F.count("*").alias("of"))))
+    s = s.select(F.lit("snapshot").alias("kind"), F.col("snapshot_id").cast("string").alias("item"), (F.col("of") - F.col("n") + 1).alias("position"))
     return d.unionByName(s).orderBy("kind", "position")
 
 

@@ -210,6 +210,45 @@ def test_forward_append_keeps_late_first_arrivals(spark, tmp_path):
     for k, rows in enumerate([[row(30, 1), row(30, 1)], [row(2, 2), row(29, 3), row(30, 9), row(3, 9, False), row(4, 9, horizon=240)], [row(1, 4), row(2, 9)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        st.stream_forward_append(stream, out, str(tmp_path / "checkpoint"))
+        st.stream_forward_append(stream, out, str(tmp_path / "checkpoint"), str(tmp_path / "rejects"))
         assert spark.read.schema(schema).parquet(out).count() == [1, 3, 4][k]
     assert sorted(r.close for r in spark.read.schema(schema).parquet(out).collect()) == [1, 2, 3, 4]
+    refused = spark.read.schema(schema + ", error_code string").parquet(str(tmp_path / "rejects"))
+    assert sorted(r.error_code for r in refused.collect()) == ["DUPLICATE_KEY"] * 3 + ["HORIZON_NOT_60", "INCOMPLETE_BAR"]
+
+
+def test_missing_prices_are_invalid(spark):
+    rows = spark.createDataFrame([(None, 2.0, 1.0, 1.5), (1.0, None, 1.0, 1.5), (1.0, 2.0, 1.0, None)], "o double, h double, l double, c double")
+    assert [r[0] for r in rows.select(nz.validate_ohlc(*map(F.col, "ohlc"))).collect()] == ["INVALID_OPEN", "INVALID_HIGH", "INVALID_CLOSE"]
+
+
+def test_selection_of_instruments(spark):
+    registry = spark.createDataFrame([("a", "canonical"), ("b", "canonical"), ("c", "candidate")], "instrument_key string, registry_kind string")
+    assert {r.instrument_key for r in nz.select_instruments(registry, [" A", "b"]).collect()} == {"a", "b"}
+    for keys, match in ((["a", "x"], "unknown"), (["a", "c"], "together"), (["a", "A"], "unique"), ([], "unique")):
+        with pytest.raises(ValueError, match=match):
+            nz.select_instruments(registry, keys)
+
+
+def test_quotes_are_content(spark):
+    schema = "instrument_key string, time_utc timestamp_ntz, price_basis string, data_version long, open_bid decimal(24,12), market_trading_state string"
+    from decimal import Decimal
+    one = lambda bid, state: spark.createDataFrame([("a", at("2024-01-02 10:00:00"), "mid", 1, Decimal(bid), state)], schema)
+    same, wider, closed = one("1.1", "Open"), one("1.2", "Open"), one("1.1", "Closed")
+    assert [merge.diff_counts(x, same).first().updated for x in (same, wider, closed)] == [0, 1, 1]
+    assert [r.field for x in (wider, closed) for r in revisions.field_diff(x, same).collect()] == ["open_bid", "market_trading_state"]
+
+
+def test_total_return_flags_and_dataset(spark):
+    flags = ["quality_missing_price", "quality_positive_price", "quality_valid_ohlc", "quality_valid_split", "quality_return_outlier"]
+    rows = [("d", "false", "true", "true", "true", "false"), ("d", "false", "true", "true", "true", "true"), ("d", "true", "true", "true", "true", "true"), ("d", "false", "true", "no", "true", "true")]
+    frame = spark.createDataFrame(rows, ["source_dataset_id", *flags])
+    assert [(r.quality_status, r.error_code) for r in files.grade_total_return(frame, "d").collect()] == [("PASS", None), ("WARN", None), ("FAIL", None), (None, "INVALID_BOOLEAN")]
+    with pytest.raises(Exception, match="mismatch"):
+        files.grade_total_return(frame, "other").collect()
+
+
+def test_numbers_of_ranges_follow_each_other(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") * 7919 % 5000).cast("string")).alias("k"), F.col("id").alias("v"))
+    got = sorted((r.k, r.n) for r in merge.numbered(rows, ["k"], "n", each=300).collect())
+    assert [n for _, n in got] == list(range(1, 5001))
