@@ -8,7 +8,9 @@ of words seen once (Good and Turing's estimate of what is new).  Weights of a st
 what the failure arc passes on, sum to 1.  A text is traversed once from left to right: each word
 follows its arc, or the failure arc and then the word's own.
 
-The automaton is never in one place.  Texts are dealt out in parts by doc_id.  Each part sends its
+The state after a word is known from the word alone, so all steps of a text are taken at once.
+
+The automaton is never in one place.  Texts are dealt out in parts by doc_id and text.  Each part sends its
 *different* words and bigrams, with its own training counts, to the buckets of their 64-bit hashes;
 a bucket adds the parts' counts up and answers each part with the totals of what it asked, in its order.  A
 part then knows all arcs and failure weights that its texts can use, and traverses them.  So every
@@ -186,7 +188,7 @@ def scores(docs: DataFrame, mu: float = MU, part_bytes: int = PART_BYTES) -> Dat
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = parts_for(text_bytes(docs), part_bytes)
-    dealt = docs.withColumn("held_out", remainder(F.col("doc_id"), FOLDS) == HELD_OUT).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    dealt = docs.withColumn("held_out", remainder(F.col("doc_id"), FOLDS) == HELD_OUT).withColumn("part", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(parts)))
     dealt = dealt.repartition(parts, "part")
     asked = dealt.sortWithinPartitions("part").mapInArrow(_ask(parts), "bucket long, part long, keys binary, counts binary")
     answered = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "part long, bucket long, counts binary, n long, tokens long, types long, once long")
