@@ -187,6 +187,26 @@ def test_packing_cases(spark, edge_docs, edge_rows, no_docs):
     assert packing.pack(no_docs, BPE).count() == 0
 
 
+def test_rows_without_doc_id_or_text_fill_several_ranges(spark):
+    rows = [(None, f"text number {k % 50}") for k in range(300)] + [(None, "")] * 300 + [(5, "same id")] * 300 + [(6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = defaultdict(list)
+    for i, t in rows:
+        texts[i].append(t)
+    packed = packing.pack(frame, BPE, range_bytes=4096)
+    assert packed.select((F.col("sequence_id") / 2**32).cast("int").alias("part")).distinct().count() > 8
+    got = packing.digest(packed).orderBy("sequence_id", "offset").collect()
+    assert [-1 if r.doc_id is None else r.doc_id for r in got] == sorted(-1 if r.doc_id is None else r.doc_id for r in got)
+    check_pieces(got, {5: texts[5], 6: texts[6]})
+    assert sum(r.length for r in got) == sum(len(i) + 1 for i in ids_of(t for _, t in rows))
+    path = new_path(spark, "store")
+    token_store.write_store(frame, path, BPE)
+    stored = sorted(token_store.read_digests(spark, path).collect(), key=lambda r: r.start)
+    assert len(stored) == len(rows) and all(a.start + a.n_tokens == b.start for a, b in zip(stored, stored[1:]))
+    lm = language_model.scores(frame, part_bytes=4096).collect()
+    assert len(lm) == len(rows) and len({round(r.score, 9) for r in lm if r.doc_id == 5}) == 1
+
+
 def test_packing_pads_little_and_keeps_order(spark, documents):
     rows = queries()["op2_packing"](spark, SMALL).collect()
     sequences = check_pieces(rows, {k: [t] for k, t in documents.items()})
@@ -342,6 +362,14 @@ def test_chats_equal_their_sql(spark, tmp_path):
     assert {tuple(r) for r in queries()["op4_chat_format"](spark, SMALL).collect()} == set(con.sql(oracle_sql()["op4_chat_format"]).fetchall())
 
 
+def test_long_conversations(spark):
+    rows = [(7, k, ("user", "assistant")[k % 2], f"turn {k} " + "word " * 40) for k in range(300)] + [(8, 0, "assistant", "x" * 200_000)]
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    learned = "".join(t for i, _, role, t in rows if i == 7 and role == "assistant")
+    assert got[7].n_turns == 300 and got[7].loss_chars == len(learned) and got[7].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+    assert got[8].loss_chars == 200_000
+
+
 def test_templates_that_rewrite_history_are_found():
     def render(messages, opening):
         cut = [m["text"] if k >= len(messages) - 2 else m["text"][:2] for k, m in enumerate(messages)]
@@ -508,6 +536,52 @@ def test_toxicity_cases(spark, edge_docs, no_docs):
     assert {r.doc_id for r in toxicity.clean(probe, model).collect()} == {2, 3, 4}
 
 
+def test_ftrl_equals_a_plain_loop():
+    """One coordinate at a time, as the paper has it, and features from plain word lists."""
+    rng, words = np.random.default_rng(12), [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 12)))) for _ in range(400)]
+    labels = [int("w3" in t.split() or "w4 w5" in t) for t in texts]
+    hashed = dict(zip(words, word_hashes(pa.array(words))[0].tolist()))
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    def places(text):
+        h = [hashed[w] for w in text.split()]
+        pairs = [mixed(a * 0x9E3779B97F4A7C15 + b + gap & mask) for gap in (1, 2, 3) for a, b in zip(h, h[gap:])]
+        return sorted({x >> 64 - toxicity.BITS for x in h + pairs}) + [1 << toxicity.BITS]
+
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        pull = 0.0 if i == 1 << toxicity.BITS else toxicity.L1
+        return 0.0 if abs(z[i]) <= pull else -(z[i] - math.copysign(pull, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    model = toxicity.Ftrl(1 << toxicity.BITS)
+    at, doc = toxicity.features(pa.array(texts))
+    for k, (text, label) in enumerate(zip(texts, labels)):
+        own = places(text)
+        assert sorted(set(at[doc == k].tolist())) == own[:-1]
+        model.learn(np.array(own), float(label))
+        p = 1 / (1 + math.exp(-sum(weight(i) for i in own)))
+        for i, w in [(i, weight(i)) for i in own]:
+            sigma = (math.sqrt(n[i] + (p - label) ** 2) - math.sqrt(n[i])) / toxicity.ALPHA
+            z[i] += p - label - sigma * w
+            n[i] += (p - label) ** 2
+    every = np.array(sorted(z))
+    assert np.allclose(model.weights(every), [weight(i) for i in every.tolist()], atol=1e-9) and np.count_nonzero(model.weights(every)) > 1
+
+
+def test_repeated_labels_and_texts_of_one_doc_id(spark):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["awful stupid thing", "a nice day"] * 60)] + [(0, "another text")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id long, label int")
+    one, two = toxicity.fit(texts, labels), toxicity.fit(texts, labels.union(labels).union(labels))
+    assert one[0].tolist() == two[0].tolist() and np.allclose(one[1], two[1])
+
+
 def test_clean_rejects_what_is_predicted_toxic(spark):
     model = (np.array([1 << toxicity.BITS]), np.array([0.5]))  # the intercept alone is above the threshold
     probe = spark.createDataFrame([(1, "plain words"), (2, ""), (3, None), (4, "!!! ..."), (None, "more words")], "doc_id long, text string")
