@@ -8,10 +8,10 @@ from barloom.functions.times import ntz
 from barloom.operators import calendar as cal, events as ev, impute as im, merge as m, revisions as rv, schedule as sc, total_return as tr
 from barloom.plans import bindings as b
 from barloom.plans.bindings import sql
-from barloom.plans.change_queries import _PAIRS, _revision_sides
+from barloom.plans.change_queries import _PAGES, _PAIRS, _revision_sides
 from barloom.plans.registry import query
 from barloom.plans.source_queries import _json_pages
-from barloom.plans.state_queries import _QE, _TR, _own_sessions, _status, _tr
+from barloom.plans.state_queries import _QE, _STATES, _TR, _own_sessions, _status, _tr
 from barloom.sources.files import explode_chart_pages
 
 _LANES = """lanes AS (SELECT CASE event_type WHEN 'click' THEN 'fx' WHEN 'view' THEN 'fx_candidate' WHEN 'error' THEN 'daily' ELSE 'equity' END AS kind, 'lane-' || event_type AS lane, event_type AS keys FROM (SELECT DISTINCT event_type FROM events)),
@@ -82,7 +82,11 @@ def c24(spark, folder):
     return sc.receipt_calendar(days)
 
 
-@query("i14_review_candidates")
+_CHART = """chart AS (SELECT *, time_utc < max(time_utc) OVER (PARTITION BY instrument_key) AS is_complete FROM (SELECT instrument_key, time_utc, close, 1 AS data_version, CAST(NULL AS BIGINT) AS run_id
+  FROM paged WHERE page_number <> 1 QUALIFY row_number() OVER (PARTITION BY instrument_key, time_utc ORDER BY page_number, position) = 1))"""
+
+
+@query("i14_review_candidates", sql(f"WITH {_PAGES}, {_CHART}, {_STATES.replace('FROM bars WHERE', 'FROM chart WHERE')} SELECT instrument_key, plan_status, count(*) AS sessions FROM plan GROUP BY 1, 2"))
 def i14(spark, folder):
     """The imputation plan of retained chart pages: explode, keep first seen, mark the newest, profile, plan."""
     samples = explode_chart_pages(_json_pages(spark, folder)).where("error_code is null")
