@@ -239,7 +239,7 @@ cov AS (SELECT instrument_key, price_basis, expected_rows, actual_rows, complete
   FROM act LEFT JOIN exp USING (instrument_key, price_basis) LEFT JOIN ali USING (instrument_key, price_basis))"""
 
 
-@query("a14_coverage", sql(COVERAGE + " SELECT * FROM cov"))
+@query("a14_coverage", sql(COVERAGE + " SELECT * FROM cov"), shared=True)
 def a14(spark, folder):
     return rep.coverage(b.bars(spark, folder), b.sessions(spark, folder))
 
@@ -286,17 +286,17 @@ def _series(spark, folder):
 _SERIES = _INVENTORY + """, series AS (SELECT split_part(series_key, '/', CASE WHEN layer = 'raw' THEN 2 ELSE 1 END) AS instrument_key, layer || '|' || series_key AS series_id, layer, CASE WHEN layer = 'raw' THEN 'source' ELSE 'analysis' END AS role, CASE WHEN layer = 'raw' THEN 2 ELSE 1 END AS role_order, row_count, freshness_status AS status, latest_utc FROM inv)"""
 
 
-@query("a19_overview", sql(_SERIES + " SELECT role, count(*) AS series, CAST(sum(row_count) AS BIGINT) AS rows, count(*) FILTER (status IN ('FAIL', 'STALE', 'WARN')) AS attention, count(DISTINCT instrument_key) AS instruments FROM series GROUP BY role"))
+@query("a19_overview", sql(_SERIES + " SELECT role, count(*) AS series, CAST(sum(row_count) AS BIGINT) AS rows, count(*) FILTER (status IN ('FAIL', 'STALE', 'WARN')) AS attention, count(DISTINCT instrument_key) AS instruments FROM series GROUP BY role"), shared=True)
 def a19(spark, folder):
     return rep.overview(_series(spark, folder))
 
 
-@query("a20_worst_status", sql(_SERIES + """ SELECT instrument_key, CASE max(CASE status WHEN 'FAIL' THEN 5 WHEN 'STALE' THEN 4 WHEN 'WARN' THEN 3 WHEN 'NOT_EVALUATED' THEN 2 WHEN 'PASS' THEN 1 END) WHEN 5 THEN 'FAIL' WHEN 4 THEN 'STALE' WHEN 3 THEN 'WARN' WHEN 2 THEN 'NOT_EVALUATED' WHEN 1 THEN 'PASS' END AS worst_status FROM series GROUP BY instrument_key"""))
+@query("a20_worst_status", sql(_SERIES + """ SELECT instrument_key, CASE max(CASE status WHEN 'FAIL' THEN 5 WHEN 'STALE' THEN 4 WHEN 'WARN' THEN 3 WHEN 'NOT_EVALUATED' THEN 2 WHEN 'PASS' THEN 1 END) WHEN 5 THEN 'FAIL' WHEN 4 THEN 'STALE' WHEN 3 THEN 'WARN' WHEN 2 THEN 'NOT_EVALUATED' WHEN 1 THEN 'PASS' END AS worst_status FROM series GROUP BY instrument_key"""), shared=True)
 def a20(spark, folder):
     return rep.worst_status(_series(spark, folder), ["instrument_key"], "status")
 
 
-@query("a21_series_summary", sql(_SERIES + """ SELECT instrument_key, string_agg(DISTINCT role, ',' ORDER BY role) AS roles, string_agg(DISTINCT layer, ',' ORDER BY layer) AS layers, count(*) AS series, min(latest_utc) AS earliest_utc, max(latest_utc) AS latest_utc, arg_min(series_id, (role_order, series_id)) AS default_series FROM series GROUP BY instrument_key"""))
+@query("a21_series_summary", sql(_SERIES + """ SELECT instrument_key, string_agg(DISTINCT role, ',' ORDER BY role) AS roles, string_agg(DISTINCT layer, ',' ORDER BY layer) AS layers, count(*) AS series, min(latest_utc) AS earliest_utc, max(latest_utc) AS latest_utc, arg_min(series_id, (role_order, series_id)) AS default_series FROM series GROUP BY instrument_key"""), shared=True)
 def a21(spark, folder):
     return rep.series_summary(_series(spark, folder))
 

@@ -7,6 +7,13 @@ hour, the others at half past, so that they fit their sessions.  ``NOW`` is a li
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.functions.times import hour_of, ntz
@@ -20,21 +27,72 @@ def now() -> Column:
     return F.lit(NOW).cast("timestamp_ntz")
 
 
+_OWN: list[str] = []
+_SHARED: ContextVar[dict | None] = ContextVar("shared", default=None)
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, or a temporary one where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="spark-bars-"))
+        base = _OWN[0]
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def shared_inputs() -> Iterator[None]:
+    """Within it each binding is written once, as Parquet, and read by all parts of a query that need it."""
+    token = _SHARED.set({})
+    try:
+        yield
+    finally:
+        _SHARED.reset(token)
+
+
+def _once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    @functools.wraps(build)
+    def rows(spark: SparkSession, folder: str, *args) -> DataFrame:
+        written = _SHARED.get()
+        if written is None:
+            return build(spark, folder, *args)
+        key = (build.__name__, folder, *args)
+        if key not in written:
+            frame, path = build(spark, folder, *args), fresh_folder(spark, build.__name__)
+            frame.write.parquet(path)
+            written[key] = frame.schema, path
+        schema, path = written[key]
+        return spark.read.schema(schema).parquet(path)
+
+    return rows
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def instruments(spark: SparkSession, folder: str) -> DataFrame:
-    """One instrument for each event type, numbered by name."""
-    keys = table(spark, folder, "events").select(F.col("event_type").alias("instrument_key")).distinct()
+def _attributes() -> dict[str, Column]:
+    """What an instrument's name tells of it."""
     fx = F.col("instrument_key").isin(*FX_KEYS)
-    return keys.select(
-        "instrument_key", F.length("instrument_key").cast("long").alias("instrument_id"), F.when(fx, "FxSpot").otherwise("Etf").alias("asset_type"),
-        F.when(fx, cal.FX).otherwise(cal.EQUITY).alias("calendar_id"), F.when(F.col("instrument_key") == "signup", "PENDING").otherwise("VERIFIED").alias("verification_status"))
+    return {
+        "instrument_id": F.length("instrument_key").cast("long"), "asset_type": F.when(fx, "FxSpot").otherwise("Etf"), "calendar_id": F.when(fx, cal.FX).otherwise(cal.EQUITY),
+        "verification_status": F.when(F.col("instrument_key") == "signup", "PENDING").otherwise("VERIFIED")}
 
 
-def hourly(spark: SparkSession, folder: str, version: int = 1) -> DataFrame:
-    """Bars without instrument attributes.  Version 2 has changed values and lacks some events."""
+def instruments(spark: SparkSession, folder: str) -> DataFrame:
+    """One instrument for each event type, numbered by name; where bars are written anyway, their names are those of the events."""
+    if _SHARED.get() is None:
+        keys = table(spark, folder, "events").select(F.col("event_type").alias("instrument_key"))
+    else:
+        keys = bars(spark, folder).select("instrument_key")
+    return keys.distinct().withColumns(_attributes())
+
+
+def _placed(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    """Events with the instrument and the hour of their bar.  Version 2 has changed values and lacks some events."""
     events = table(spark, folder, "events")
     value = F.col("value")
     if version == 2:
@@ -43,20 +101,24 @@ def hourly(spark: SparkSession, folder: str, version: int = 1) -> DataFrame:
     half = F.expr("interval 30 minutes")
     ts = ntz(F.col("ts"))
     at = F.when(F.col("event_type").isin(*FX_KEYS), hour_of(ts)).otherwise(hour_of(ts - half) + half)
+    return events.select(F.col("event_type").alias("instrument_key"), at.alias("time_utc"), value.alias("value"), "event_id", F.dayofmonth(ts).cast("long").alias("day"))
+
+
+def hourly(spark: SparkSession, folder: str, version: int = 1) -> DataFrame:
+    """Bars without instrument attributes."""
     price = lambda c: c.cast("decimal(24,12)")
-    rows = events.select(F.col("event_type").alias("instrument_key"), at.alias("time_utc"), value.alias("value"), "event_id", F.dayofmonth(ts).cast("long").alias("day"))
-    bars = rows.groupBy("instrument_key", "time_utc").agg(
+    bars = _placed(spark, folder, version).groupBy("instrument_key", "time_utc").agg(
         price(F.min_by("value", "event_id")).alias("open"), price(F.max("value")).alias("high"), price(F.min("value")).alias("low"), price(F.max_by("value", "event_id")).alias("close"),
         F.count("*").alias("volume"), F.min("day").alias("run_id"), F.max("event_id").alias("last_event"))
     return bars.withColumn("data_version", F.lit(version).cast("long"))
 
 
+@_once
 def bars(spark: SparkSession, folder: str, version: int = 1) -> DataFrame:
     """Curated bars: instrument attributes, basis, completeness (all but the newest of a series) and row status."""
-    rows = hourly(spark, folder, version)
-    newest = rows.groupBy("instrument_key").agg(F.max("time_utc").alias("newest"))
+    newest = _placed(spark, folder, version).groupBy("instrument_key").agg(F.max("time_utc").alias("newest"))
     fx = F.col("asset_type") == "FxSpot"
-    joined = rows.join(newest, "instrument_key").join(instruments(spark, folder), "instrument_key")
+    joined = hourly(spark, folder, version).join(newest, "instrument_key").withColumns(_attributes())
     complete = F.col("time_utc") != F.col("newest")
     cents = lambda n: F.lit(n).cast("decimal(4,2)")
     spread, state = cents("0.01"), F.lit("Open")
@@ -74,6 +136,7 @@ def bounds(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").agg(F.min("ts").cast("date").alias("first_date"), F.max("ts").cast("date").alias("last_date"))
 
 
+@_once
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
     days = bounds(spark, folder)
     return cal.equity_sessions(days).unionByName(cal.fx_sessions(days))

@@ -392,7 +392,7 @@ def _gaps(spark, folder):
     return g.classify_gap(g.curated_present(rows, b.bars(spark, folder)))
 
 
-@query("g06_classify_gap", sql(f"WITH {_GAPS} SELECT instrument_key, slot_utc, cause FROM gaps"))
+@query("g06_classify_gap", sql(f"WITH {_GAPS} SELECT instrument_key, slot_utc, cause FROM gaps"), shared=True)
 def g06(spark, folder):
     return _gaps(spark, folder).select("instrument_key", "slot_utc", "cause")
 
@@ -401,22 +401,22 @@ def _rich(spark, folder):
     return g.enrich_gaps(_gaps(spark, folder)).drop("raw_run_id", "quarantine_event_id", "covering_run_id", "curated_rejected")
 
 
-@query("g07_enrich_gaps", sql(f"WITH {_GAPS} SELECT * FROM rich"))
+@query("g07_enrich_gaps", sql(f"WITH {_GAPS} SELECT * FROM rich"), shared=True)
 def g07(spark, folder):
     return _rich(spark, folder)
 
 
-@query("g08_gap_histograms", sql(f"WITH {_GAPS} SELECT instrument_key, dimension, value, count(*) AS gaps FROM (" + " UNION ALL ".join(f"SELECT instrument_key, '{d}' AS dimension, CAST({d} AS VARCHAR) AS value FROM rich" for d in ("cause", "year", "month", "weekday", "utc_hour", "ny_hour")) + ") GROUP BY ALL"))
+@query("g08_gap_histograms", sql(f"WITH {_GAPS} SELECT instrument_key, dimension, value, count(*) AS gaps FROM (" + " UNION ALL ".join(f"SELECT instrument_key, '{d}' AS dimension, CAST({d} AS VARCHAR) AS value FROM rich" for d in ("cause", "year", "month", "weekday", "utc_hour", "ny_hour")) + ") GROUP BY ALL"), shared=True)
 def g08(spark, folder):
     return g.gap_histograms(_rich(spark, folder))
 
 
-@query("g09_gap_overlap", sql(f"WITH {_GAPS}, h AS (SELECT slot_utc, count(DISTINCT instrument_key) AS n, min(instrument_key) AS o FROM gaps WHERE instrument_key IN ('click', 'view') GROUP BY 1) SELECT CASE WHEN n = 2 THEN 'ALL' ELSE o END AS missing_in, count(*) AS slots FROM h GROUP BY 1"))
+@query("g09_gap_overlap", sql(f"WITH {_GAPS}, h AS (SELECT slot_utc, count(DISTINCT instrument_key) AS n, min(instrument_key) AS o FROM gaps WHERE instrument_key IN ('click', 'view') GROUP BY 1) SELECT CASE WHEN n = 2 THEN 'ALL' ELSE o END AS missing_in, count(*) AS slots FROM h GROUP BY 1"), shared=True)
 def g09(spark, folder):
     return g.gap_overlap(_gaps(spark, folder), ["click", "view"])
 
 
-@query("g10_gap_verdict", sql(f"WITH {_GAPS} SELECT count(*) AS gaps, count(*) FILTER (blocking) AS blocking, CAST(0 AS BIGINT) AS unclassified, CASE WHEN count(*) FILTER (blocking) = 0 THEN 'PASS' ELSE 'BLOCKED' END AS verdict FROM rich"))
+@query("g10_gap_verdict", sql(f"WITH {_GAPS} SELECT count(*) AS gaps, count(*) FILTER (blocking) AS blocking, CAST(0 AS BIGINT) AS unclassified, CASE WHEN count(*) FILTER (blocking) = 0 THEN 'PASS' ELSE 'BLOCKED' END AS verdict FROM rich"), shared=True)
 def g10(spark, folder):
     return g.gap_verdict(_rich(spark, folder))
 
@@ -454,7 +454,7 @@ cmp AS (SELECT p.instrument_key, affected_from, affected_to, count(*) FILTER (pr
   FROM pairs p JOIN rng r USING (instrument_key) LEFT JOIN anchor a USING (instrument_key) GROUP BY ALL)"""
 
 
-@query("r02_compare_window", sql(f"WITH {_WINDOW} SELECT * FROM cmp"))
+@query("r02_compare_window", sql(f"WITH {_WINDOW} SELECT * FROM cmp"), shared=True)
 def r02(spark, folder):
     return rv.compare_window(*_revision_sides(spark, folder))
 
@@ -487,7 +487,7 @@ decided AS (SELECT instrument_key, win, CASE WHEN removed > 64 OR span > 240 OR
 SELECT instrument_key, arg_min(decision, win) AS decision, CAST(min(win) AS INTEGER) AS "window" FROM decided WHERE decision <> 'EXPAND' GROUP BY 1"""
 
 
-@query("r05_escalate_windows", sql(_ESCALATE))
+@query("r05_escalate_windows", sql(_ESCALATE), shared=True)
 def r05(spark, folder):
     return rv.escalate_windows(b.bars(spark, folder, 2), b.bars(spark, folder, 1))
 

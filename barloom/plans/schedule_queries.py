@@ -86,7 +86,7 @@ _CHART = """chart AS (SELECT *, time_utc < max(time_utc) OVER (PARTITION BY inst
   FROM paged WHERE page_number <> 1 QUALIFY row_number() OVER (PARTITION BY instrument_key, time_utc ORDER BY page_number, position) = 1))"""
 
 
-@query("i14_review_candidates", sql(f"WITH {_PAGES}, {_CHART}, {_STATES.replace('FROM bars WHERE', 'FROM chart WHERE')} SELECT instrument_key, plan_status, count(*) AS sessions FROM plan GROUP BY 1, 2"))
+@query("i14_review_candidates", sql(f"WITH {_PAGES}, {_CHART}, {_STATES.replace('FROM bars WHERE', 'FROM chart WHERE')} SELECT instrument_key, plan_status, count(*) AS sessions FROM plan GROUP BY 1, 2"), shared=True)
 def i14(spark, folder):
     """The imputation plan of retained chart pages: explode, keep first seen, mark the newest, profile, plan."""
     samples = explode_chart_pages(_json_pages(spark, folder)).where("error_code is null")

@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from barloom.operators import calendar as cal
 from barloom.plans import bindings as b
-from barloom.plans.bindings import NOW, sql
+from barloom.plans.bindings import NOW, fresh_folder, sql
 from barloom.plans.change_queries import _PAGES, _pages
 from barloom.plans.registry import query
 from barloom.sources import files as fs
 from barloom.streaming import bars as st
 
-_OWN: list[str] = []
-
-
-def fresh_folder(spark, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, or a temporary one where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        if not _OWN:
-            _OWN.append(tempfile.mkdtemp(prefix="spark-bars-"))
-        base = _OWN[0]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _csv(spark, folder):
     """The bars as CSV text; one flag in 20 is spelled in a way that isn't allowed."""
     rows = b.bars(spark, folder)
