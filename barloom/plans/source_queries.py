@@ -158,7 +158,7 @@ def _stream(spark, rows, parts: int):
 def x01(spark, folder):
     stream, out = _stream(spark, _pages(spark, folder), 3), fresh_folder(spark, "ingest")
     st.stream_ingest(stream, out, f"{out}/checkpoint")
-    return st.newest(spark, f"{out}/bars", f"{out}/checkpoint", stream.schema).select("instrument_key", "time_utc", "open")
+    return st.newest_days(spark, f"{out}/bars", f"{out}/checkpoint", stream.schema).select("instrument_key", "time_utc", "open")
 
 
 @query("x02_with_lookback", sql("SELECT instrument_key, count(*) AS rows FROM (SELECT instrument_key FROM bars WHERE time_utc >= TIMESTAMP '2024-01-25' UNION ALL SELECT instrument_key FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY time_utc DESC) AS n FROM bars WHERE time_utc < TIMESTAMP '2024-01-25') WHERE n <= CASE WHEN asset_type = 'FxSpot' THEN 72 ELSE 20 END) GROUP BY 1"))
@@ -190,7 +190,7 @@ def x05(spark, folder):
     st.stream_derive(stream, sessions, out, f"{out}/checkpoint")
     from barloom.operators import bars as der
     schema = der.derive_4h(b.bars(spark, folder), sessions).schema
-    return st.newest(spark, f"{out}/bars_4h", f"{out}/checkpoint", schema)
+    return st.newest_days(spark, f"{out}/bars_4h", f"{out}/checkpoint", schema)
 
 
 @query("x06_stream_slot_lag", sql(f"SELECT s.instrument_key, count(*) AS due_slots, count(b.time_utc) AS delivered, CASE WHEN arg_max(b.time_utc IS NOT NULL, slot_utc) THEN 'READY' ELSE 'DATA_NOT_READY' END AS readiness FROM slots s LEFT JOIN (SELECT * FROM bars WHERE is_complete) b ON b.instrument_key = s.instrument_key AND b.time_utc = slot_utc WHERE slot_utc <= TIMESTAMP '{NOW}' GROUP BY 1"))

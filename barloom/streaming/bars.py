@@ -1,7 +1,8 @@
 """Streams of bars on Structured Streaming: versioned ingest, watermark states, derivation, lag, forward append.
 
-A table is a folder of versions ``v=<n>``.  A micro-batch of a stream reads the newest version, writes the next, and is idempotent: a
-batch that is run again after a failure overwrites the version it was writing.
+A table is a folder of versions ``v=<n>``.  A micro-batch of a stream reads what earlier ones left, writes version n, and is idempotent: a
+batch that is run again after a failure overwrites the version it was writing.  Tables of bars are divided by day and a version has
+only the days that its batch touched; ``<folder>-heads`` tells the newest version of each day, so a batch costs what its own days cost.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from barloom.operators import bars as der, merge as m
+from barloom.operators.calendar import session_date_of
 
+HEADS = "bar_day date, v bigint"
 MARKS = "instrument_key string, price_basis string, latest_seen_utc timestamp_ntz, latest_complete_utc timestamp_ntz, data_version bigint, run_id bigint"
 
 
@@ -26,6 +29,36 @@ def read_version(spark: SparkSession, folder: str, batch: int, schema: T.StructT
     return spark.read.schema(schema).parquet(version_path(folder, batch))
 
 
+def _dated(rows: DataFrame) -> DataFrame:
+    """Bars with the day of their time."""
+    return rows.withColumn("bar_day", F.coalesce(F.to_date("time_utc"), F.lit("1970-01-01").cast("date")))
+
+
+def _session_dated(rows: DataFrame) -> DataFrame:
+    """Bars, with asset_type, with the day of their session: all bars of a session share it."""
+    return rows.withColumn("bar_day", F.coalesce(session_date_of(F.col("time_utc")), F.lit("1970-01-01").cast("date")))
+
+
+def read_days(spark: SparkSession, folder: str, batch: int, schema: T.StructType, days: DataFrame | None = None) -> DataFrame:
+    """A table of bars as ``batch`` left it, or those of its ``days``; the join on partition columns prunes the scan."""
+    if batch < 0:
+        return spark.createDataFrame([], schema)
+    heads = read_version(spark, f"{folder}-heads", batch, HEADS)
+    if days is not None:
+        heads = heads.join(days, "bar_day", "left_semi")
+    stored = T.StructType([*schema.fields, T.StructField("v", T.LongType()), T.StructField("bar_day", T.DateType())])
+    return spark.read.schema(stored).parquet(folder).join(heads, ["v", "bar_day"], "left_semi").select(*schema.names)
+
+
+def write_days(rows: DataFrame, folder: str, batch: int, days: DataFrame) -> None:
+    """Replace ``days`` of a table by ``rows``, which have their bar_day."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy("bar_day").parquet(version_path(folder, batch))
+    others = read_version(spark, f"{folder}-heads", batch - 1, HEADS).join(days, "bar_day", "left_anti")
+    heads = others.unionByName(days.withColumn("v", F.lit(batch).cast("long")))
+    heads.write.mode("overwrite").parquet(version_path(f"{folder}-heads", batch))
+
+
 def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run a stream's available data through ``step`` to the end."""
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -52,15 +85,15 @@ def with_lookback(batch: DataFrame, current: DataFrame, attributes: DataFrame) -
 def stream_ingest(stream: DataFrame, folder: str, checkpoint: str) -> None:
     """Ingest pages of bars: first seen of repeated samples, stop at a version change, upsert, advance watermarks; a batch is all or nothing.
 
-    Leaves ``bars`` and ``marks`` (versions) and ``warnings`` (appended by batch) under ``folder``; the last version is read with ``newest``.
+    Leaves ``bars`` (by day), ``marks`` (versions) and ``warnings`` (appended by batch) under ``folder``; ``newest_days`` and ``newest`` read the last state.
     """
     spark, schema = stream.sparkSession, stream.schema
 
     def step(batch: DataFrame, n: int) -> None:
         marks = read_version(spark, f"{folder}/marks", n - 1, MARKS)
         good, stopped = split_version_change(m.merge_pages(batch).select(*batch.columns), marks)
-        current = read_version(spark, f"{folder}/bars", n - 1, schema)
-        m.upsert(current, good).write.mode("overwrite").parquet(version_path(f"{folder}/bars", n))
+        days = _dated(good).select("bar_day").distinct()
+        write_days(_dated(m.upsert(read_days(spark, f"{folder}/bars", n - 1, schema, days), good)), f"{folder}/bars", n, days)
         m.advance_watermarks(marks, good).write.mode("overwrite").parquet(version_path(f"{folder}/marks", n))
         stopped.write.mode("overwrite").parquet(version_path(f"{folder}/warnings", n))
 
@@ -80,19 +113,21 @@ def newest(spark: SparkSession, folder: str, checkpoint: str, schema: T.StructTy
     return read_version(spark, folder, last_batch(spark, checkpoint), schema)
 
 
+def newest_days(spark: SparkSession, folder: str, checkpoint: str, schema: T.StructType) -> DataFrame:
+    return read_days(spark, folder, last_batch(spark, checkpoint), schema)
+
+
 def stream_derive(stream: DataFrame, sessions: DataFrame, folder: str, checkpoint: str) -> None:
-    """Keep four-hour bars up to date: each batch upserts its hourly bars and derives the touched series anew (incomplete buckets come again)."""
+    """Keep four-hour bars up to date: each batch upserts its hourly bars and derives the days it touched anew (incomplete buckets come again)."""
     spark, schema = stream.sparkSession, stream.schema
-    derived = der.derive_4h(spark.createDataFrame([], schema), sessions).schema
 
     def step(batch: DataFrame, n: int) -> None:
-        hours = m.upsert(read_version(spark, f"{folder}/hours", n - 1, schema), batch)
-        hours.write.mode("overwrite").parquet(version_path(f"{folder}/hours", n))
-        stored = read_version(spark, f"{folder}/hours", n, schema)
-        touched = batch.select("instrument_key").distinct()
-        anew = der.derive_4h(stored.join(touched, "instrument_key", "left_semi"), sessions)
-        kept = read_version(spark, f"{folder}/bars_4h", n - 1, derived).join(touched, "instrument_key", "left_anti")
-        kept.unionByName(anew).write.mode("overwrite").parquet(version_path(f"{folder}/bars_4h", n))
+        days = _session_dated(batch).select("bar_day").distinct()
+        write_days(_session_dated(m.upsert(read_days(spark, f"{folder}/hours", n - 1, schema, days), batch)), f"{folder}/hours", n, days)
+        hours = read_days(spark, f"{folder}/hours", n, schema, days)
+        kinds = hours.groupBy("instrument_key").agg(F.min("asset_type").alias("asset_type"))
+        anew = _session_dated(der.derive_4h(hours, sessions).join(kinds, "instrument_key")).drop("asset_type")
+        write_days(anew, f"{folder}/bars_4h", n, days)
 
     _run(stream, step, checkpoint)
 

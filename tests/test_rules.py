@@ -252,3 +252,22 @@ def test_numbers_of_ranges_follow_each_other(spark):
     rows = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") * 7919 % 5000).cast("string")).alias("k"), F.col("id").alias("v"))
     got = sorted((r.k, r.n) for r in merge.numbered(rows, ["k"], "n", each=300).collect())
     assert [n for _, n in got] == list(range(1, 5001))
+
+
+def test_days_of_a_table_keep_their_newest_version(spark, tmp_path):
+    folder = str(tmp_path / "bars")
+    frame = lambda rows: st._dated(spark.createDataFrame(rows, "k string, time_utc timestamp_ntz"))
+    at = lambda day, hour: dt.datetime(2024, 1, day, hour)
+    days = lambda rows: rows.select("bar_day").distinct()
+    first, second = frame([("a", at(1, 9)), ("a", at(2, 9)), ("late", None)]), frame([("b", at(2, 9)), ("b", at(3, 9))])
+    schema = first.drop("bar_day").schema
+    got = lambda n, d=None: sorted((r.k, r.time_utc and r.time_utc.day) for r in st.read_days(spark, folder, n, schema, d).collect())
+    assert got(-1) == []
+    st.write_days(first, folder, 0, days(first))
+    st.write_days(second, folder, 1, days(second))
+    st.write_days(second, folder, 1, days(second))  # a batch that runs again
+    assert sorted(got(0), key=str) == [("a", 1), ("a", 2), ("late", None)]
+    assert sorted(got(1), key=str) == [("a", 1), ("b", 2), ("b", 3), ("late", None)]
+    assert got(1, days(second)) == [("b", 2), ("b", 3)]
+    st.write_days(second.where("false"), folder, 2, days(second))  # days whose bars are gone
+    assert sorted(got(2), key=str) == [("a", 1), ("late", None)]
