@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from barloom.llm import chat_format, embedding_dedup, importance, language_model, nearest, ngram_join, packing, piece_codec, secret_scan, token_store, toxicity
+from barloom.llm import chat_format, embedding_dedup, hard_negatives, importance, language_id, language_model, nearest, ngram_join, packing, piece_codec, secret_scan, token_store, toxicity
 from barloom.llm.common import ship
 
 
@@ -33,6 +33,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8,
         "op9_sentencepiece": piece_codec.op9,
         "op10_nearest_neighbours": nearest.op10,
+        "op11_hard_negatives": hard_negatives.op11,
+        "op12_language_id": language_id.op12,
         "op13_importance_resampling": importance.op13,
         "pipeline": corpus_pipeline.run,
     }
@@ -45,5 +47,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat_format": chat_format.ORACLE,
         "op5_embedding_near_dedup": embedding_dedup.ORACLE,
         "op8_secret_scan": secret_scan.ORACLE,
+        "op11_hard_negatives": hard_negatives.ORACLE,
         "op13_importance_resampling": importance.ORACLE,
     }
