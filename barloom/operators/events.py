@@ -46,15 +46,44 @@ def high_watermark(events: DataFrame) -> DataFrame:
     return events.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("high_watermark"))
 
 
+def first_later(points: DataFrame, marks: DataFrame, key: str, order: str, name: str, each: int = 4096) -> DataFrame:
+    """Each different point (key, order: a whole number) with the first mark of its key after it, as ``name``; points without one are left out.
+
+    An as-of join without pairs: both sides stand in blocks of ``each`` numbers, a window inside the block finds the next mark there, and one over
+    the key's blocks the first mark of the next block that has any.
+    """
+    block = F.floor(F.col(order) / each).alias("block")
+    points = points.select(F.col(key).alias("key"), F.col(order).cast("long").alias("at"), block, F.lit(None).cast("long").alias("mark")).distinct()
+    marks = marks.select(F.col(key).alias("key"), F.col(order).cast("long").alias("at"), block, F.col(order).cast("long").alias("mark")).distinct()
+    inside = Window.partitionBy("key", "block").orderBy("at").rangeBetween(1, Window.unboundedFollowing)
+    near = points.unionByName(marks).withColumn("near", F.min("mark").over(inside)).where("mark is null").drop("mark")
+    blocks = points.select("key", "block", "mark").unionByName(marks.select("key", "block", "mark")).groupBy("key", "block").agg(F.min("mark").alias("mark"))
+    beyond = Window.partitionBy("key").orderBy("block").rangeBetween(1, Window.unboundedFollowing)
+    far = blocks.select("key", "block", F.min("mark").over(beyond).alias("far"))
+    found = near.join(far, ["key", "block"]).select("key", "at", F.coalesce("near", "far").alias(name))
+    return found.where(F.col(name).isNotNull()).select(F.col("key").alias(key), F.col("at").alias(order), name)
+
+
+def _failures(status: DataFrame) -> DataFrame:
+    """Open atomic failures that count now."""
+    return status.where(F.col("status").isin(*OPEN) & F.col("applicability").isin("CURRENT", "UNKNOWN") & (F.col("rule_id") == "atomic_run_gate"))
+
+
+def _historical(found: DataFrame) -> DataFrame:
+    """One review for each event, by the first run that supersedes it."""
+    return found.groupBy("event_id").agg(F.min("pass_run").alias("superseded_by")).select("event_id", F.lit("HISTORICAL").alias("applicability"), "superseded_by")
+
+
 def supersede(status: DataFrame, run_scope: DataFrame, passed: DataFrame) -> DataFrame:
-    """HISTORICAL reviews for open atomic failures before a PASS run that shares an instrument, by the event's own or by a key of its run's scope."""
-    open_ = status.where(F.col("status").isin(*OPEN) & F.col("applicability").isin("CURRENT", "UNKNOWN") & (F.col("rule_id") == "atomic_run_gate"))
-    scope = passed.select(F.col("run_id").alias("pass_run")).join(run_scope.select(F.col("run_id").alias("pass_run"), "instrument_key"), "pass_run")
-    own = open_.where("instrument_key is not null").join(scope, "instrument_key")
-    of_run = run_scope.select("run_id", F.col("instrument_key").alias("key"))
-    shared = open_.where("instrument_key is null and scope_kind = 'RUN'").join(of_run, "run_id").join(scope, F.col("key") == scope["instrument_key"])
-    pairs = own.select("event_id", "run_id", "pass_run").union(shared.select("event_id", "run_id", "pass_run"))
-    return pairs.where("run_id < pass_run").select("event_id", F.lit("HISTORICAL").alias("applicability"), F.col("pass_run").alias("superseded_by")).distinct()
+    """HISTORICAL reviews for open atomic failures, by the first later PASS run that shares an instrument: with the event, or with its run's scope
+    where the event is of its RUN.  Runs follow each other by run_id; once reviewed an event isn't open to later runs any more."""
+    open_ = _failures(status)
+    scope = passed.select("run_id").distinct().join(run_scope.select("run_id", "instrument_key"), "run_id")
+    own = open_.where("instrument_key is not null").select("event_id", "run_id", "instrument_key")
+    of_run = open_.where("instrument_key is null and scope_kind = 'RUN'").select("event_id", "run_id").join(run_scope.select("run_id", "instrument_key").distinct(), "run_id")
+    asked = own.unionByName(of_run.select(*own.columns))
+    later = first_later(asked, scope, "instrument_key", "run_id", "pass_run")
+    return _historical(asked.join(later, ["instrument_key", "run_id"]))
 
 
 def event_run_scope(events: DataFrame, run_scope: DataFrame) -> DataFrame:
@@ -114,16 +143,16 @@ def failure_events(failures: DataFrame) -> DataFrame:
 
 def supersede_legacy(status: DataFrame, runs: DataFrame, raw: DataFrame) -> DataFrame:
     """HISTORICAL reviews by the rule before run scopes: a single-series refetch supersedes the earlier failures of its one instrument, a
-    full normal run all earlier ones.
+    full normal run all earlier ones; of several such runs the first one counts.
 
     ``runs``: PASS runs as run_id, trigger_kind (refetch or normal), successful_series, all_series; ``raw``: run_id, instrument_key.
     """
-    open_ = status.where(F.col("status").isin(*OPEN) & F.col("applicability").isin("CURRENT", "UNKNOWN") & (F.col("rule_id") == "atomic_run_gate")).withColumnRenamed("run_id", "event_run")
+    open_ = _failures(status).select("event_id", "run_id", "instrument_key")
     single = raw.groupBy("run_id").agg(F.count_distinct("instrument_key").alias("n"), F.min("instrument_key").alias("instrument_key")).where("n = 1").select("run_id", "instrument_key")
     refetch = runs.where("trigger_kind = 'refetch' and successful_series = 1").select("run_id").join(single, "run_id")
-    own = open_.join(refetch, "instrument_key").where("event_run < run_id").select("event_id", "run_id")
-    # Runs stay rows: the different runs of open events meet the later full ones first, and events follow by their run.
-    normal = runs.where("trigger_kind = 'normal' and successful_series = all_series").select("run_id").distinct()
-    later = open_.select("event_run").distinct().join(normal, F.col("event_run") < F.col("run_id"))
-    every = open_.select("event_id", "event_run").join(later, "event_run").select("event_id", "run_id")
-    return own.union(every).distinct().select("event_id", F.lit("HISTORICAL").alias("applicability"), F.col("run_id").alias("superseded_by"))
+    own = open_.where("instrument_key is not null")
+    own = own.join(first_later(own, refetch, "instrument_key", "run_id", "pass_run"), ["instrument_key", "run_id"])
+    normal = runs.where("trigger_kind = 'normal' and successful_series = all_series").select("run_id", F.lit(0).alias("every"))
+    every = open_.withColumn("every", F.lit(0))
+    every = every.join(first_later(every, normal, "every", "run_id", "pass_run"), ["every", "run_id"])
+    return _historical(own.select("event_id", "pass_run").union(every.select("event_id", "pass_run")))

@@ -38,6 +38,35 @@ def fx_mid(samples: DataFrame) -> DataFrame:
     return rows.withColumn("error_code", F.coalesce(check("bid_"), check("ask_"), check("")))
 
 
+def normalize_samples(samples: DataFrame, instruments: DataFrame) -> DataFrame:
+    """Samples of chart pages as bars: FX prices are the mid of bid and ask, others the native ones with null quotes.
+
+    ``error_code`` is that of the page, or the first failing rule of the sample: its time (TIME_NOT_UTC, INVALID_TIME), its instrument (UNKNOWN_INSTRUMENT), missing or
+    unreadable prices (INVALID_OPENBID ...), the bid, ask and mid rules of ``validate_ohlc``, its volume, and FX_BID_ABOVE_ASK with the
+    crossed fields in ``violations``.
+    """
+    known = instruments.select("instrument_key", "asset_type")
+    fx = F.col("asset_type") == "FxSpot"
+    mids = {f: F.when(fx, ((F.col(f"{f}_bid") + F.col(f"{f}_ask")) / 2).cast(PRICE)).otherwise(F.col(f)) for f in FIELDS}
+    quotes = {f"{f}_{side}": F.when(fx, F.col(f"{f}_{side}")) for side in ("bid", "ask") for f in FIELDS}
+    rows = samples.join(known, "instrument_key", "left").withColumns({**mids, **quotes})
+    time, time_code = parse_utc(F.col("time_text"))
+    side = lambda s: [F.col(f"{f}_{s}") for f in FIELDS]
+    lacking_quote = F.coalesce(*[F.when(F.col(f"{f}_{s}").isNull(), f"INVALID_{f.upper()}{s.upper()}") for f in FIELDS for s in ("bid", "ask")])
+    lacking = F.coalesce(*[F.when(F.col(f).isNull(), f"INVALID_{f.upper()}") for f in FIELDS])
+    crossed = F.filter(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_bid").alias("bid"), F.col(f"{f}_ask").alias("ask")) for f in FIELDS]), lambda x: x["bid"] > x["ask"])
+    rows = rows.withColumn("violations", F.when(fx, crossed))
+    own = F.coalesce(
+        time_code, F.when(F.col("asset_type").isNull(), "UNKNOWN_INSTRUMENT"), F.when(fx, lacking_quote).otherwise(lacking), F.when(fx, F.coalesce(validate_ohlc(*side("bid")), validate_ohlc(*side("ask")))),
+        validate_ohlc(*(F.col(f) for f in FIELDS)), F.when(F.col("volume_text").isNotNull() & F.col("volume").isNull(), "INVALID_VOLUME"), F.when(F.size("violations") > 0, "FX_BID_ABOVE_ASK"))
+    return rows.withColumns({"time_utc": time, "error_code": F.coalesce(F.col("error_code"), own), "price_basis": F.when(fx, "bid_ask_mid").otherwise("native_ohlc")}).drop("time_text", "volume_text")
+
+
+def quarantinable() -> Column:
+    """Whether a row of ``normalize_samples`` may be set aside: its high or low alone is crossed.  Crossed opens and closes are quotes of one moment and fail the series."""
+    return F.coalesce((F.col("error_code") == "FX_BID_ABOVE_ASK") & F.forall("violations", lambda v: v["field"].isin("high", "low")), F.lit(False))
+
+
 def crossed_quotes(rows: DataFrame) -> DataFrame:
     """Adds ``violations``: the fields whose bid is above the ask, with both values."""
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"bid_{f}").alias("bid"), F.col(f"ask_{f}").alias("ask")) for f in FIELDS])
@@ -59,13 +88,14 @@ def mark_incomplete(bars: DataFrame) -> DataFrame:
 
 
 def finalize_terminal(bars: DataFrame, sessions: DataFrame, retrieved: Column, delay_minutes: Column) -> DataFrame:
-    """The newest incomplete bar becomes complete if it is its session's terminal slot on a verified calendar and was retrieved after the close plus the delay.
+    """The newest incomplete bar of an ETF becomes complete if it is its session's terminal slot on a verified calendar and was retrieved after the
+    close plus the delay; other asset types, which trade on past a session's end, are left alone.
 
-    ``sessions``: calendar_id, session_date, open_utc, close_utc; bars carry calendar_id, session_date and verification_status.
+    ``sessions``: calendar_id, session_date, open_utc, close_utc; bars carry asset_type, calendar_id, session_date and verification_status.
     """
     joined = bars.join(sessions.where("status <> 'HOLIDAY'").select("calendar_id", "session_date", "open_utc", "close_utc"), ["calendar_id", "session_date"], "left")
     terminal = plus_hours(F.col("open_utc"), F.floor((seconds_between(F.col("open_utc"), F.col("close_utc")) - 1) / HOUR))
-    ripe = (F.col("time_utc") == terminal) & (delay_minutes >= 0) & (retrieved >= F.timestamp_add("MINUTE", delay_minutes, F.col("close_utc"))) & (F.col("verification_status") == "VERIFIED")
+    ripe = (F.col("asset_type") == "Etf") & (F.col("time_utc") == terminal) & (delay_minutes >= 0) & (retrieved >= F.timestamp_add("MINUTE", delay_minutes, F.col("close_utc"))) & (F.col("verification_status") == "VERIFIED")
     return joined.withColumn("is_complete", F.col("is_complete") | F.coalesce(ripe, F.lit(False))).drop("open_utc", "close_utc")
 
 

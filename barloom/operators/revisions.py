@@ -80,8 +80,11 @@ def escalate_windows(provider: DataFrame, stored: DataFrame, counts: tuple[int,
 
 
 def apply_bounded(current: DataFrame, staged: DataFrame, compared: DataFrame) -> DataFrame:
-    """The stored rows of each series' affected range replaced by the staged ones."""
-    ranges = compared.where("affected_from is not null").select("instrument_key", "affected_from", "affected_to")
+    """The stored rows of each series' affected range replaced by the staged ones; where versions alone differ, the range is the newest staged
+    time, so that one boundary row carries the new version."""
+    newest = staged.groupBy("instrument_key").agg(F.max("time_utc").alias("newest"))
+    ranges = compared.where("affected_from is not null or version_only_rows > 0").join(newest, "instrument_key", "left")
+    ranges = ranges.select("instrument_key", F.coalesce("affected_from", "newest").alias("affected_from"), F.coalesce("affected_to", "newest").alias("affected_to"))
     inside = "time_utc between affected_from and affected_to"
     kept = current.join(ranges, "instrument_key", "left").where(f"affected_from is null or not ({inside})").drop("affected_from", "affected_to")
     return kept.unionByName(staged.join(ranges, "instrument_key").where(inside).drop("affected_from", "affected_to"))

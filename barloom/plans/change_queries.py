@@ -87,7 +87,7 @@ def p07(spark, folder):
     return nz.mark_incomplete(b.hourly(spark, folder)).select("instrument_key", "time_utc", "is_complete")
 
 
-@query("p08_finalize_terminal", sql("""SELECT b.instrument_key, b.time_utc, b.is_complete OR coalesce(b.time_utc = s.open_utc + INTERVAL (CAST(floor((epoch(s.close_utc) - epoch(s.open_utc) - 1) / 3600) AS BIGINT)) HOUR AND verification_status = 'VERIFIED' AND TIMESTAMP '2024-01-20 00:00:00' >= s.close_utc + INTERVAL 5 MINUTE, false) AS is_complete
+@query("p08_finalize_terminal", sql("""SELECT b.instrument_key, b.time_utc, b.is_complete OR coalesce(b.time_utc = s.open_utc + INTERVAL (CAST(floor((epoch(s.close_utc) - epoch(s.open_utc) - 1) / 3600) AS BIGINT)) HOUR AND asset_type = 'Etf' AND verification_status = 'VERIFIED' AND TIMESTAMP '2024-01-20 00:00:00' >= s.close_utc + INTERVAL 5 MINUTE, false) AS is_complete
   FROM (SELECT * EXCLUDE (is_complete), time_utc <> max(time_utc) OVER (PARTITION BY instrument_key, session_date) AS is_complete FROM in_session) b LEFT JOIN open_sessions s USING (calendar_id, session_date)"""))
 def p08(spark, folder):
     from pyspark.sql import Window
@@ -492,9 +492,25 @@ def r05(spark, folder):
     return rv.escalate_windows(b.bars(spark, folder, 2), b.bars(spark, folder, 1))
 
 
-@query("r06_apply_bounded", sql(f"WITH {_WINDOW} SELECT {_OUT} FROM stored s WHERE NOT EXISTS (SELECT 1 FROM cmp c WHERE c.instrument_key = s.instrument_key AND s.time_utc BETWEEN affected_from AND affected_to) UNION ALL SELECT {_OUT} FROM provider p WHERE EXISTS (SELECT 1 FROM cmp c WHERE c.instrument_key = p.instrument_key AND p.time_utc BETWEEN affected_from AND affected_to)"))
+# In r06 the rows of 'purchase' differ in their version alone.
+_R06 = """src AS (SELECT * FROM bars WHERE last_event % 50 <> 0),
+stored AS (SELECT * FROM src),
+provider AS (
+  SELECT * FROM bars2 WHERE time_utc >= TIMESTAMP '2024-01-15' AND instrument_key <> 'purchase'
+  UNION ALL SELECT * REPLACE (CAST(2 AS BIGINT) AS data_version) FROM src WHERE time_utc >= TIMESTAMP '2024-01-15' AND instrument_key = 'purchase')"""
+_RANGES = """ranges AS (
+  SELECT instrument_key, coalesce(affected_from, upper) AS affected_from, coalesce(affected_to, upper) AS affected_to
+  FROM cmp JOIN (SELECT instrument_key, max(time_utc) AS upper FROM provider GROUP BY 1) USING (instrument_key) WHERE affected_from IS NOT NULL OR version_only_rows > 0)"""
+
+
+@query("r06_apply_bounded", sql(f"""WITH {_WINDOW.replace(_PROVIDER, _R06)}, {_RANGES}
+SELECT {_OUT} FROM stored s WHERE NOT EXISTS (SELECT 1 FROM ranges c WHERE c.instrument_key = s.instrument_key AND s.time_utc BETWEEN affected_from AND affected_to)
+UNION ALL SELECT {_OUT} FROM provider p WHERE EXISTS (SELECT 1 FROM ranges c WHERE c.instrument_key = p.instrument_key AND p.time_utc BETWEEN affected_from AND affected_to)"""))
 def r06(spark, folder):
     provider, stored = _revision_sides(spark, folder)
+    own = F.col("instrument_key") == "purchase"
+    versions = stored.where(own & (F.col("time_utc") >= F.lit("2024-01-15").cast("timestamp_ntz"))).withColumn("data_version", F.lit(2).cast("long"))
+    provider = provider.where(~own).unionByName(versions)
     return rv.apply_bounded(stored, provider, rv.compare_window(provider, stored)).select(*_OUT.split(", "))
 
 

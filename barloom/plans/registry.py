@@ -28,4 +28,4 @@ def query(name: str, oracle: str | None = None, shared: bool = False):
 
 
 def load() -> None:
-    from barloom.plans import bar_queries, change_queries, schedule_queries, source_queries, state_queries  # noqa: F401
+    from barloom.plans import bar_queries, change_queries, ingest_queries, schedule_queries, source_queries, state_queries  # noqa: F401

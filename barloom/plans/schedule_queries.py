@@ -90,6 +90,7 @@ _CHART = """chart AS (SELECT *, time_utc < max(time_utc) OVER (PARTITION BY inst
 def i14(spark, folder):
     """The imputation plan of retained chart pages: explode, keep first seen, mark the newest, profile, plan."""
     samples = explode_chart_pages(_json_pages(spark, folder)).where("error_code is null")
+    samples = samples.withColumn("close", F.coalesce("close", ((F.col("close_bid") + F.col("close_ask")) / 2).cast("decimal(24,12)")))
     merged = m.merge_pages(samples)
     newest = merged.groupBy("instrument_key").agg(F.max("time_utc").alias("newest"))
     bars = merged.join(newest, "instrument_key").withColumn("is_complete", F.col("time_utc") < F.col("newest"))
@@ -99,8 +100,8 @@ def i14(spark, folder):
 
 
 @query("q06_supersede_legacy", sql(f"""WITH {_QE}, o AS (SELECT * FROM status WHERE status IN ('OPEN', 'ACKNOWLEDGED') AND applicability IN ('CURRENT', 'UNKNOWN') AND rule_id = 'atomic_run_gate')
-SELECT event_id, 'HISTORICAL' AS applicability, d.run_id AS superseded_by FROM o JOIN (SELECT DISTINCT CAST(day(ts) AS BIGINT) AS run_id FROM events) d ON o.run_id < d.run_id
-  WHERE d.run_id % 5 = 2 OR (d.run_id % 5 = 0 AND d.run_id % 2 = 0 AND instrument_key = 'view')"""))
+SELECT event_id, 'HISTORICAL' AS applicability, min(d.run_id) AS superseded_by FROM o JOIN (SELECT DISTINCT CAST(day(ts) AS BIGINT) AS run_id FROM events) d ON o.run_id < d.run_id
+  WHERE d.run_id % 5 = 2 OR (d.run_id % 5 = 0 AND d.run_id % 2 = 0 AND instrument_key = 'view') GROUP BY event_id"""))
 def q06(spark, folder):
     days = b.table(spark, folder, "events").select(F.dayofmonth("ts").cast("long").alias("run_id")).distinct()
     normal = F.col("run_id") % 5 == 2

@@ -71,16 +71,34 @@ def s05(spark, folder):
     return fs.grade_total_return(rows, "orders").select("ticker", "date", "quality_status", "error_code")
 
 
+def chart_bodies(pages, horizon):
+    """Chart JSON of each (instrument_key, page_number) of some bars: FX samples have quotes, the others native prices."""
+    fx = F.col("asset_type") == "FxSpot"
+    text = lambda c, when: F.when(when, F.col(c)).cast("string")
+    native = [text(c, ~fx).alias(c.title()) for c in ("open", "high", "low", "close")]
+    quotes = [text(f"{c}_{s}", fx).alias(f"{c.title()}{s.title()}") for s in ("bid", "ask") for c in ("open", "high", "low", "close")]
+    d = F.struct(F.date_format("time_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Time"), *native, *quotes, F.col("volume").cast("string").alias("Volume"), F.col("market_trading_state").alias("MarketTradingState"))
+    keys = [c for c in ("part", "instrument_key", "page_number", "data_version") if c in pages.columns]
+    pages = pages.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("position", d.alias("d")))).alias("rows"))
+    info = F.struct(horizon.alias("Horizon"), F.lit(15).alias("DelayedByMinutes"))
+    body = F.to_json(F.struct(F.col("data_version").alias("DataVersion"), info.alias("ChartInfo"), F.transform("rows", lambda x: x["d"]).alias("Data")))
+    return pages.select(*[c for c in keys if c != "data_version"], body.alias("body"))
+
+
 def _json_pages(spark, folder):
-    d = F.struct(F.date_format("time_utc", "yyyy-MM-dd HH:mm:ss").alias("Time"), *[F.col(c).cast("string").alias(c.title()) for c in ("open", "high", "low", "close", "volume")])
-    pages = _pages(spark, folder).groupBy("instrument_key", "page_number").agg(F.array_sort(F.collect_list(F.struct("position", d.alias("d")))).alias("rows"))
-    info = F.struct(F.when(F.col("page_number") == 1, 1440).otherwise(60).alias("Horizon"), F.lit(15).alias("DelayedByMinutes"))
-    return pages.select("instrument_key", "page_number", F.to_json(F.struct(F.lit(1).alias("DataVersion"), info.alias("ChartInfo"), F.transform("rows", lambda x: x["d"]).alias("Data"))).alias("body"))
+    return chart_bodies(_pages(spark, folder), F.when(F.col("page_number") == 1, 1440).otherwise(60))
+
+
+_QUOTE_NAMES = [f"{f}_{s}" for s in ("bid", "ask") for f in ("open", "high", "low", "close")]
+_S06_NATIVE = ", ".join(f"CASE WHEN asset_type <> 'FxSpot' THEN {f} END AS {f}" for f in ("open", "high", "low", "close"))
 
 
-@query("s06_explode_chart_pages", sql(f"WITH {_PAGES} SELECT instrument_key, page_number, CASE WHEN page_number <> 1 THEN time_utc END AS time_utc, CASE WHEN page_number <> 1 THEN open END AS open, high, low, CASE WHEN page_number <> 1 THEN close END AS close, CAST(volume AS DECIMAL(30,8)) AS volume, CASE WHEN page_number = 1 THEN 'INVALID_HORIZON' END AS error_code FROM paged WHERE page_number <> 1 UNION ALL SELECT DISTINCT instrument_key, page_number, CAST(NULL AS TIMESTAMP), NULL, NULL, NULL, NULL, NULL, 'INVALID_HORIZON' FROM paged WHERE page_number = 1"))
+@query("s06_explode_chart_pages", sql(f"""WITH {_PAGES}
+SELECT instrument_key, page_number, time_utc, {_S06_NATIVE}, {", ".join(_QUOTE_NAMES)}, CAST(volume AS DECIMAL(30,8)) AS volume, market_trading_state, data_version, 15 AS delayed_by_minutes, CAST(NULL AS VARCHAR) AS error_code
+FROM paged WHERE page_number <> 1
+UNION ALL SELECT DISTINCT instrument_key, page_number, CAST(NULL AS TIMESTAMP), {", ".join(["NULL"] * 14)}, data_version, 15, 'INVALID_HORIZON' FROM paged WHERE page_number = 1"""))
 def s06(spark, folder):
-    return fs.explode_chart_pages(_json_pages(spark, folder)).select("instrument_key", "page_number", "time_utc", "open", "high", "low", "close", "volume", "error_code")
+    return fs.explode_chart_pages(_json_pages(spark, folder)).drop("position", "time_text", "volume_text")
 
 
 @query("s07_parse_column_chart", "WITH r AS (SELECT event_type AS ticker, CAST(epoch(date_trunc('day', ts) + INTERVAL 21 HOUR) AS BIGINT) AS t, arg_min(value, event_id) AS o, max(value) AS h, count(*) AS n FROM events GROUP BY 1, 2) SELECT ticker, CASE WHEN ticker = 'error' THEN NULL ELSE CAST(to_timestamp(t) AT TIME ZONE 'UTC' - INTERVAL 5 HOUR AS DATE) END AS date, CASE WHEN ticker <> 'error' THEN o END AS open, CASE WHEN ticker <> 'error' THEN h END AS high, o AS low, o AS close, n AS volume, o AS adjclose, CASE WHEN ticker = 'error' THEN 'COLUMN_LENGTHS' END AS error_code FROM r WHERE ticker <> 'error' UNION ALL SELECT 'error', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'COLUMN_LENGTHS'")
@@ -154,13 +172,6 @@ def _stream(spark, rows, parts: int):
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@query("x01_stream_ingest", sql(f"WITH {_PAGES} SELECT instrument_key, time_utc, open FROM paged GROUP BY ALL"))
-def x01(spark, folder):
-    stream, out = _stream(spark, _pages(spark, folder), 3), fresh_folder(spark, "ingest")
-    st.stream_ingest(stream, out, f"{out}/checkpoint")
-    return st.newest_days(spark, f"{out}/bars", f"{out}/checkpoint", stream.schema).select("instrument_key", "time_utc", "open")
-
-
 @query("x02_with_lookback", sql("SELECT instrument_key, count(*) AS rows FROM (SELECT instrument_key FROM bars WHERE time_utc >= TIMESTAMP '2024-01-25' UNION ALL SELECT instrument_key FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY time_utc DESC) AS n FROM bars WHERE time_utc < TIMESTAMP '2024-01-25') WHERE n <= CASE WHEN asset_type = 'FxSpot' THEN 72 ELSE 20 END) GROUP BY 1"))
 def x02(spark, folder):
     from barloom.operators.normalize import series_attributes

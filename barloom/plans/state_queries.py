@@ -212,7 +212,7 @@ def q04(spark, folder):
 
 
 @query("q05_supersede", sql(f"""WITH {_QE}, o AS (SELECT * FROM status WHERE status IN ('OPEN', 'ACKNOWLEDGED') AND applicability IN ('CURRENT', 'UNKNOWN') AND rule_id = 'atomic_run_gate')
-SELECT DISTINCT event_id, 'HISTORICAL' AS applicability, s.run_id AS superseded_by FROM o JOIN rscope s ON s.run_id % 4 = 0 AND o.run_id < s.run_id AND (o.instrument_key = s.instrument_key OR (o.instrument_key IS NULL AND o.scope_kind = 'RUN' AND EXISTS (SELECT 1 FROM rscope r WHERE r.run_id = o.run_id AND r.instrument_key = s.instrument_key)))"""))
+SELECT event_id, 'HISTORICAL' AS applicability, min(s.run_id) AS superseded_by FROM o JOIN rscope s ON s.run_id % 4 = 0 AND o.run_id < s.run_id AND (o.instrument_key = s.instrument_key OR (o.instrument_key IS NULL AND o.scope_kind = 'RUN' AND EXISTS (SELECT 1 FROM rscope r WHERE r.run_id = o.run_id AND r.instrument_key = s.instrument_key))) GROUP BY event_id"""))
 def q05(spark, folder):
     scope = _rscope(spark, folder)
     return ev.supersede(_status(spark, folder), scope, scope.where("run_id % 4 = 0").select("run_id").distinct())

@@ -79,18 +79,27 @@ def grade_total_return(rows: DataFrame, dataset_id: str) -> DataFrame:
     return rows.withColumn("quality_status", guarded).withColumn("error_code", F.when(bad, "INVALID_BOOLEAN"))
 
 
-CHART = "struct<DataVersion:bigint,ChartInfo:struct<Horizon:int,DelayedByMinutes:int>,Data:array<struct<Time:string,Open:string,High:string,Low:string,Close:string,Volume:string>>>"
+# Names of the fields of a chart sample.
+NATIVE = ("Open", "High", "Low", "Close")
+QUOTES = tuple(f"{name}{side}" for side in ("Bid", "Ask") for name in NATIVE)
+CHART = (
+    "struct<DataVersion:bigint,ChartInfo:struct<Horizon:int,DelayedByMinutes:int>,Data:array<struct<"
+    + ",".join(f"{name}:string" for name in ("Time", *NATIVE, *QUOTES, "Volume", "MarketTradingState")) + ">>>")
 
 
 def explode_chart_pages(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Samples of chart pages (instrument_key, page_number, JSON text).  A page whose horizon isn't 60 or that has no list gives one row with an error."""
+    """Samples of chart pages (instrument_key, page_number, JSON text), with native prices, bid and ask quotes (null where a sample has none), and the texts of
+    time and volume for checks; other columns of the pages stay.  A page whose horizon isn't 60 or that has no list gives one row with an error."""
     parsed = pages.withColumn("page", F.from_json(body, CHART))
     code = F.when(F.col("page.ChartInfo.Horizon").isNull() | (F.col("page.ChartInfo.Horizon") != 60), "INVALID_HORIZON").when(F.col("page.Data").isNull(), "INVALID_DATA")
     rows = parsed.withColumn("error_code", code).select("*", F.posexplode_outer(F.when(F.col("error_code").isNull(), F.col("page.Data"))).alias("position", "d"))
-    price = lambda c: F.col(f"d.{c}").try_cast(PRICE).alias(c.lower())
+    price = lambda c, name: F.col(f"d.{c}").try_cast(PRICE).alias(name)
+    others = [c for c in pages.columns if c not in ("instrument_key", "page_number", body)]
+    sides = [price(f"{name}{side}", f"{name}_{side}".lower()) for side in ("Bid", "Ask") for name in NATIVE]
     return rows.select(
-        "instrument_key", "page_number", "position", F.try_to_timestamp("d.Time").cast("timestamp_ntz").alias("time_utc"), price("Open"), price("High"), price("Low"), price("Close"), F.col("d.Volume").try_cast("decimal(30,8)").alias("volume"),
-        F.col("page.DataVersion").alias("data_version"), F.col("page.ChartInfo.DelayedByMinutes").alias("delayed_by_minutes"), "error_code")
+        "instrument_key", "page_number", "position", *others, F.try_to_timestamp("d.Time").cast("timestamp_ntz").alias("time_utc"), *[price(c, c.lower()) for c in NATIVE], *sides,
+        F.col("d.Volume").try_cast("decimal(30,8)").alias("volume"), F.col("d.MarketTradingState").alias("market_trading_state"), F.col("page.DataVersion").alias("data_version"),
+        F.col("page.ChartInfo.DelayedByMinutes").alias("delayed_by_minutes"), F.col("d.Time").alias("time_text"), F.col("d.Volume").alias("volume_text"), "error_code")
 
 
 COLUMNS = "struct<ticker:string,timestamp:array<bigint>,open:array<double>,high:array<double>,low:array<double>,close:array<double>,volume:array<bigint>,adjclose:array<double>>"

@@ -47,13 +47,14 @@ def read_days(spark: SparkSession, folder: str, batch: int, schema: T.StructType
     if days is not None:
         heads = heads.join(days, "bar_day", "left_semi")
     stored = T.StructType([*schema.fields, T.StructField("v", T.LongType()), T.StructField("bar_day", T.DateType())])
-    return spark.read.schema(stored).parquet(folder).join(heads, ["v", "bar_day"], "left_semi").select(*schema.names)
+    # Later versions, as of a batch that runs again, aren't even listed as input.
+    return spark.read.schema(stored).parquet(folder).where(F.col("v") <= batch).join(heads, ["v", "bar_day"], "left_semi").select(*schema.names)
 
 
 def write_days(rows: DataFrame, folder: str, batch: int, days: DataFrame) -> None:
     """Replace ``days`` of a table by ``rows``, which have their bar_day."""
     spark = rows.sparkSession
-    rows.write.mode("overwrite").partitionBy("bar_day").parquet(version_path(folder, batch))
+    rows.hint("rebalance", "bar_day").write.mode("overwrite").partitionBy("bar_day").parquet(version_path(folder, batch))  # few files for each day
     others = read_version(spark, f"{folder}-heads", batch - 1, HEADS).join(days, "bar_day", "left_anti")
     heads = others.unionByName(days.withColumn("v", F.lit(batch).cast("long")))
     heads.write.mode("overwrite").parquet(version_path(f"{folder}-heads", batch))
