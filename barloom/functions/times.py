@@ -17,6 +17,15 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", start, end)
 
 
+def micros_of(column: Column) -> Column:
+    """Microseconds since 1970 of a UTC time, whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", ntz(F.lit("1970-01-01")), column)
+
+
+def time_of(micros: Column) -> Column:
+    return ntz(F.timestamp_add("MICROSECOND", micros, ntz(F.lit("1970-01-01"))))
+
+
 def plus_seconds(column: Column, seconds: Column) -> Column:
     return ntz(F.timestamp_add("SECOND", seconds.cast("long"), column))
 

@@ -1,6 +1,6 @@
-"""The page ingest as a query: three batches of chart pages, derived from the given events, and all tables that they leave.
+"""Streams over the given events: the page ingest with all tables that it leaves, watermark states, slots against arrivals, forward samples.
 
-The first batch has the bars before T1.  The second goes on to T2; it sends the last twelve hours again with other closes and highs, very old
+The page ingest takes three batches.  The first batch has the bars before T1.  The second goes on to T2; it sends the last twelve hours again with other closes and highs, very old
 bars of one instrument, and FX lows that are crossed.  In the third, one instrument comes with another data version and one with a price of zero.
 """
 
@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom.functions.times import plus_hours, plus_seconds
+from barloom.operators import calendar as cal
 from barloom.plans import bindings as b
 from barloom.plans.bindings import NOW, fresh_folder, sql
 from barloom.plans.registry import query
 from barloom.plans.source_queries import chart_bodies
+from barloom.streaming import forward, slots as sl, states as st
 from barloom.streaming.ingest import PageIngest, feed
 
 T1, T2, OLD = "2024-01-16 21:00:00", "2024-01-24 21:00:00", "2024-01-05 00:00:00"
@@ -150,3 +153,110 @@ UNION ALL {_derived("bars_1d", "0", "CAST(session_date AS TIMESTAMP)", "slots")}
 @query("x01_stream_ingest", sql(_X01), shared=True)
 def x01(spark, folder):
     return tables(ingested(spark, folder))
+
+
+# --- watermark states ---------------------------------------------------------------------------
+
+_X03 = f"""WITH q AS (
+  SELECT 1 AS part, * FROM bars WHERE time_utc < TIMESTAMP '{T1}'
+  UNION ALL SELECT 2, * FROM bars WHERE (time_utc >= TIMESTAMP '{T1}' - INTERVAL 12 HOUR AND time_utc < TIMESTAMP '{T2}') OR (instrument_key = 'error' AND time_utc < TIMESTAMP '{OLD}')
+  UNION ALL SELECT 3, * FROM bars WHERE time_utc >= TIMESTAMP '{T2}' - INTERVAL 9 HOUR),
+bad AS (SELECT DISTINCT part, instrument_key FROM q WHERE part = 3 AND instrument_key = 'purchase' AND last_event % 10 = 3),
+good AS (SELECT * FROM q ANTI JOIN bad USING (part, instrument_key) WHERE part < 3 OR instrument_key <> 'view')
+SELECT instrument_key, price_basis, max(time_utc) AS latest_seen_utc, max(time_utc) FILTER (is_complete) AS latest_complete_utc, CAST(1 AS BIGINT) AS data_version, max(run_id) AS run_id,
+  CASE WHEN instrument_key = 'view' THEN 'STALE_DATA_VERSION' WHEN instrument_key IN (SELECT instrument_key FROM bad) THEN 'BLOCKED_QUALITY' ELSE 'ACTIVE' END AS data_status,
+  CASE WHEN instrument_key = 'view' THEN 'DATA_VERSION_CHANGED_REVIEW_PENDING' WHEN instrument_key IN (SELECT instrument_key FROM bad) THEN 'NONPOSITIVE_OHLC' END AS status_code
+FROM good GROUP BY 1, 2"""
+
+
+@query("x03_watermark_state", sql(_X03))
+def x03(spark, folder):
+    """The scenario's samples, a page's repeats apart; the stream starts anew from its checkpoint for each part."""
+    from barloom.operators.normalize import validate_ohlc
+    rows = scenario(spark, folder).where("page_number = page").withColumn("error_code", validate_ohlc(*(F.col(c) for c in ("open", "high", "low", "close"))))
+    rows = rows.select("part", "instrument_key", "price_basis", "time_utc", "is_complete", "data_version", "run_id", "error_code")
+    base = fresh_folder(spark, "states")
+    rows.write.parquet(f"{base}/all")
+    rows = spark.read.schema(rows.schema).parquet(f"{base}/all")
+    for _ in feed(rows, f"{base}/in", F.col("part"), [1, 2, 3]):
+        st.stream_states(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), f"{base}/states", f"{base}/checkpoint")
+    return st.latest_states(spark, f"{base}/states", f"{base}/checkpoint")
+
+
+# --- slots --------------------------------------------------------------------------------------
+
+#: The present at the end of each run.
+TICKS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-01-29 12:00:00"]
+_DELAY = "CASE WHEN asset_type = 'FxSpot' THEN 10 ELSE 3 END"
+_X06 = f"""WITH due AS (
+  SELECT s.instrument_key, slot_utc, slot_utc + INTERVAL 1 HOUR + INTERVAL ({_DELAY}) MINUTE AS ready_utc, slot_utc + INTERVAL 3 HOUR + INTERVAL ({_DELAY}) MINUTE AS deadline_utc FROM slots s JOIN instruments i USING (instrument_key)),
+arrived AS (
+  SELECT instrument_key, time_utc, time_utc + INTERVAL 1 HOUR + INTERVAL (CASE last_event % 5 WHEN 1 THEN 31 WHEN 2 THEN 241 ELSE 2 END) MINUTE AS arrived_utc, CASE WHEN last_event % 5 = 3 THEN 'FAILED' ELSE 'PASS' END AS run_status
+  FROM bars WHERE is_complete),
+clock AS (SELECT TIMESTAMP '{TICKS[-1]}' AS now),
+met AS (
+  SELECT d.*, a.run_status, a.arrived_utc, coalesce(a.arrived_utc <= ready_utc, false) AS ready, coalesce(a.arrived_utc <= deadline_utc, false) AS timely, now
+  FROM due d LEFT JOIN arrived a ON a.instrument_key = d.instrument_key AND a.time_utc = d.slot_utc AND arrived_utc < TIMESTAMP '{TICKS[-1]}', clock)
+SELECT instrument_key, slot_utc, CASE WHEN timely AND run_status = 'PASS' THEN 'PASS' WHEN timely THEN 'BLOCKED' WHEN deadline_utc < now THEN 'MISS' WHEN ready_utc < now THEN 'DATA_NOT_READY' ELSE 'PENDING' END AS sla_status,
+  NOT ready AND ready_utc < now AS not_ready_in_time, CASE WHEN timely THEN arrived_utc END AS arrived_utc FROM met"""
+
+
+@query("x06_slot_sla", sql(_X06))
+def x06_sla(spark, folder):
+    """Slots with their limits, and bars that arrive after 2, 31 or 241 minutes, some days at a time; the last run has ticks alone."""
+    delay = F.when(F.col("asset_type") == "FxSpot", 60 * cal.FX_DELAY_MINUTES).otherwise(60 * cal.EQUITY_DELAY_MINUTES)
+    kinds = b.instruments(spark, folder).select("instrument_key", "asset_type")
+    due = cal.complete_slots(b.instruments(spark, folder), b.sessions(spark, folder)).join(kinds, "instrument_key")
+    due = due.select("instrument_key", "slot_utc", plus_seconds(plus_hours(F.col("slot_utc"), 1), delay).alias("ready_utc"), plus_seconds(plus_hours(F.col("slot_utc"), 3), delay).alias("deadline_utc"))
+    e = F.col("last_event") % 5
+    after = F.when(e == 1, 31).when(e == 2, 241).otherwise(2) * 60
+    rows = b.bars(spark, folder).where("is_complete").select("instrument_key", "time_utc", plus_seconds(plus_hours(F.col("time_utc"), 1), after).alias("arrived_utc"), F.when(e == 3, "FAILED").otherwise("PASS").alias("run_status"))
+    base = fresh_folder(spark, "slots")
+    due.write.parquet(f"{base}/due")
+    rows.write.parquet(f"{base}/all")
+    rows = spark.read.schema(rows.schema).parquet(f"{base}/all")
+    time, clock = lambda text: F.lit(text).cast("timestamp_ntz"), F.lit(sl.TICK).alias("instrument_key")
+    for before, now in zip([None, *TICKS], [*TICKS, TICKS[-1]]):
+        arrived = rows.where((F.col("arrived_utc") < time(now)) & (F.lit(True) if before is None else F.col("arrived_utc") >= time(before)))
+        tick = spark.range(1)
+        arrived.unionByName(tick.select(clock, time(now).alias("time_utc"), time(now).alias("arrived_utc"), F.lit("PASS").alias("run_status"))).write.mode("append").parquet(f"{base}/in")
+        tick.select(clock, time(now).alias("slot_utc"), time(now).alias("ready_utc"), time(now).alias("deadline_utc")).write.mode("append").parquet(f"{base}/due")
+        sl.stream_slot_events(spark.readStream.schema(due.schema).parquet(f"{base}/due"), spark.readStream.schema(rows.schema).parquet(f"{base}/in"), f"{base}/events")
+    return sl.slot_states(spark.read.schema(due.schema).parquet(f"{base}/due").where(F.col("instrument_key") != sl.TICK), sl.slot_events(spark, f"{base}/events"))
+
+
+# --- forward samples ----------------------------------------------------------------------------
+
+_CODES = """CASE WHEN last_event % 23 = 4 THEN 'HORIZON_NOT_60' WHEN NOT is_complete THEN 'INCOMPLETE_BAR' WHEN last_event % 31 = 5 THEN 'INVALID_CLOSE' WHEN last_event % 37 = 6 THEN 'INVALID_VOLUME'
+  WHEN last_event % 41 = 7 THEN 'INVALID_PAYLOAD_SHA256' END"""
+_X07 = f"""WITH q AS (SELECT *, {_CODES} AS error_code FROM bars), ok AS (SELECT * FROM q WHERE error_code IS NULL),
+twice AS (SELECT * FROM ok WHERE last_event % 2 = 0 OR time_utc < TIMESTAMP '2024-01-20')
+SELECT instrument_key, time_utc, open, close, close_bid, CASE WHEN last_event % 11 <> 3 THEN CAST(volume AS DECIMAL(30,8)) END AS volume, data_version, CAST(NULL AS VARCHAR) AS error_code FROM ok
+UNION ALL SELECT instrument_key, time_utc, NULL, NULL, NULL, NULL, NULL, error_code FROM q WHERE error_code IS NOT NULL
+UNION ALL SELECT instrument_key, time_utc, NULL, NULL, NULL, NULL, NULL, error_code FROM q WHERE error_code IS NOT NULL AND (last_event % 2 = 0 OR time_utc < TIMESTAMP '2024-01-20')
+UNION ALL SELECT instrument_key, time_utc, NULL, NULL, NULL, NULL, NULL, 'DUPLICATE_KEY' FROM twice"""
+
+
+@query("x07_stream_forward_append", sql(_X07))
+def x07(spark, folder):
+    """Bars as JSON payloads: first those from the 20th on and then all earlier ones; half of the first come again in the second part, and the earlier ones in a third."""
+    rows, e = b.bars(spark, folder), F.col("last_event")
+    text = lambda c: F.col(c).cast("string").alias(c)
+    payload = F.struct(
+        F.col("is_complete").cast("string").alias("is_complete"), *[text(c) for c in ("open", "high", "low")], F.when(e % 31 == 5, "n/a").otherwise(F.col("close").cast("string")).alias("close"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in forward._QUOTES],
+        F.when(e % 37 == 6, "many").when(e % 11 == 3, "").otherwise(F.col("volume").cast("string")).alias("volume"), "market_trading_state", text("data_version"), F.lit("").alias("delayed_by_minutes"), F.lit("2024-02-01T00:00:00Z").alias("retrieved_at_utc"),
+        F.when(e % 41 == 7, "no digest").otherwise(F.sha2(e.cast("string"), 256)).alias("payload_sha256"))
+    late = F.col("time_utc") < F.lit("2024-01-20").cast("timestamp_ntz")
+    parts = F.when(late, F.array(F.lit(2), F.lit(3))).when(e % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = rows.select("run_id", F.lit(1).cast("long").alias("source_file_id"), "instrument_key", F.when(e % 23 == 4, 240).otherwise(60).alias("horizon_minutes"), "time_utc", "price_basis", F.to_json(payload).alias("payload"), F.explode(parts).alias("part"))
+    base = fresh_folder(spark, "forward")
+    rows.write.parquet(f"{base}/all")
+    rows = spark.read.schema(rows.schema).parquet(f"{base}/all")
+    for _ in feed(rows, f"{base}/in", F.col("part"), [1, 2, 3]):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in").drop("part")
+        forward.stream_forward_append(stream, f"{base}/rows", f"{base}/checkpoint", f"{base}/rejects")
+    columns = ["instrument_key", "time_utc", "open", "close", "close_bid", "volume", "data_version"]
+    types = "instrument_key string, time_utc timestamp_ntz, open decimal(24,12), close decimal(24,12), close_bid decimal(24,12), volume decimal(30,8), data_version bigint"
+    kept = forward.forward_rows(spark, f"{base}/rows", types).select(*columns, F.lit(None).cast("string").alias("error_code"))
+    refused = spark.read.schema("instrument_key string, time_utc timestamp_ntz, error_code string").parquet(f"{base}/rejects").drop("v")
+    return kept.unionByName(refused, allowMissingColumns=True)

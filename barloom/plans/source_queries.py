@@ -180,13 +180,6 @@ def x02(spark, folder):
     return st.with_lookback(late, rows.where("time_utc < timestamp_ntz '2024-01-25'"), series_attributes(b.instruments(spark, folder))).groupBy("instrument_key").agg(F.count("*").alias("rows"))
 
 
-@query("x03_watermark_state", sql("SELECT instrument_key, price_basis, latest_seen_utc, latest_complete_utc, data_version, run_id FROM watermarks"))
-def x03(spark, folder):
-    stream, out = _stream(spark, _pages(spark, folder), 3), fresh_folder(spark, "marks")
-    st.stream_ingest(stream, out, f"{out}/checkpoint")
-    return st.newest(spark, f"{out}/marks", f"{out}/checkpoint", st.MARKS)
-
-
 @query("x04_split_version_change", sql("SELECT instrument_key, price_basis, CAST(2 AS BIGINT) AS observed_version, CAST(1 AS BIGINT) AS known_version, count(*) AS rows FROM bars2 WHERE instrument_key IN ('view', 'error') GROUP BY 1, 2"))
 def x04(spark, folder):
     rows = b.bars(spark, folder, 2)
@@ -211,11 +204,3 @@ def x06(spark, folder):
     st.stream_slot_lag(stream, slots, b.now(), f"{out}/arrived", f"{out}/checkpoint")
     arrived = spark.read.schema("instrument_key string, time_utc timestamp_ntz").parquet(f"{out}/arrived")
     return st.slot_lag(slots, arrived, b.now())
-
-
-@query("x07_stream_forward_append", sql("SELECT instrument_key, time_utc, close FROM bars WHERE is_complete"))
-def x07(spark, folder):
-    rows = b.bars(spark, folder)
-    stream, out = _stream(spark, rows.unionByName(rows), 2), fresh_folder(spark, "forward")
-    st.stream_forward_append(stream, f"{out}/rows", f"{out}/checkpoint", f"{out}/rejects")
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows").select("instrument_key", "time_utc", "close")

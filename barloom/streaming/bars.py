@@ -1,4 +1,4 @@
-"""Streams of bars on Structured Streaming: versioned ingest, watermark states, derivation, lag, forward append.
+"""Streams of bars on Structured Streaming: versioned ingest, watermarks, derivation, lag.
 
 A table is a folder of versions ``v=<n>``.  A micro-batch of a stream reads what earlier ones left, writes version n, and is idempotent: a
 batch that is run again after a failure overwrites the version it was writing.  Tables of bars are divided by day and a version has
@@ -60,9 +60,9 @@ def write_days(rows: DataFrame, folder: str, batch: int, days: DataFrame) -> Non
     heads.write.mode("overwrite").parquet(version_path(f"{folder}-heads", batch))
 
 
-def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Run a stream's available data through ``step`` to the end."""
-    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -148,37 +148,3 @@ def slot_lag(slots: DataFrame, arrived: DataFrame, now: Column) -> DataFrame:
     joined = due.join(have, ["instrument_key", "slot_utc"], "left")
     ready = F.max_by(F.coalesce("here", F.lit(False)), "slot_utc")
     return joined.groupBy("instrument_key").agg(F.count("*").alias("due_slots"), F.count("here").alias("delivered"), F.when(ready, "READY").otherwise("DATA_NOT_READY").alias("readiness"))
-
-
-def stream_forward_append(stream: DataFrame, folder: str, checkpoint: str, rejects: str | None = None) -> None:
-    """Append complete 60-minute samples once, however late they come; empty texts become null.
-
-    Each micro-batch writes its new rows as a version; all versions under ``folder`` together are the table.  Under ``rejects`` each batch writes what it
-    refused with an ``error_code``: HORIZON_NOT_60 and INCOMPLETE_BAR, and DUPLICATE_KEY for a key that stands in the table or that came twice.  Without ``rejects``, rows of
-    other horizons and incomplete ones raise an error, and repeats are dropped.
-    """
-    spark, schema = stream.sparkSession, stream.schema
-    key = ["run_id", "instrument_key", "time_utc", "price_basis"]
-    blank = {f.name: F.nullif(F.col(f.name), F.lit("")) for f in schema.fields if isinstance(f.dataType, T.StringType)}
-    code = F.when(~F.coalesce(F.col("horizon_minutes") == 60, F.lit(False)), "HORIZON_NOT_60").when(~F.coalesce(F.col("is_complete"), F.lit(False)), "INCOMPLETE_BAR")
-
-    def step(batch: DataFrame, n: int) -> None:
-        batch = batch.withColumns(blank).withColumn("error_code", code)
-        if rejects is None:
-            batch = batch.withColumn("error_code", F.when(F.col("error_code").isNotNull(), F.raise_error(F.col("error_code")).cast("string")))
-        good = batch.where("error_code is null").drop("error_code")
-        first = Window.partitionBy(*key).orderBy(*[c for c, t in good.dtypes if c not in key and not t.startswith("map")] or [F.lit(1)])
-        ranked = good.withColumn("__rank", F.row_number().over(first))
-        rows, again = ranked.where("__rank = 1").drop("__rank"), ranked.where("__rank > 1").drop("__rank")
-        if n:
-            # The versions before this one: a batch that is run again doesn't meet its own rows.
-            stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.LongType())])).parquet(folder).where(F.col("v") < n).select(*key).alias("s")
-            same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key]
-            again = again.unionByName(rows.alias("r").join(stored, same, "left_semi"))
-            rows = rows.alias("r").join(stored, same, "left_anti")
-        if rejects is not None:
-            refused = batch.where("error_code is not null").unionByName(again.withColumn("error_code", F.lit("DUPLICATE_KEY")))
-            refused.write.mode("overwrite").parquet(version_path(rejects, n))
-        rows.write.mode("overwrite").parquet(version_path(folder, n))
-
-    _run(stream, step, checkpoint)

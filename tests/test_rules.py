@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import calendar as cal, events as ev, gaps, impute, merge, normalize as nz, publish, receipts, reports, revisions, total_return
 from barloom.sources import files
-from barloom.streaming import bars as st
+from barloom.streaming import bars as st, forward
 
 
 def at(text):
@@ -210,7 +210,7 @@ def test_forward_append_keeps_late_first_arrivals(spark, tmp_path):
     for k, rows in enumerate([[row(30, 1), row(30, 1)], [row(2, 2), row(29, 3), row(30, 9), row(3, 9, False), row(4, 9, horizon=240)], [row(1, 4), row(2, 9)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        st.stream_forward_append(stream, out, str(tmp_path / "checkpoint"), str(tmp_path / "rejects"))
+        forward.stream_forward_append(stream, out, str(tmp_path / "checkpoint"), str(tmp_path / "rejects"))
         assert spark.read.schema(schema).parquet(out).count() == [1, 3, 4][k]
     assert sorted(r.close for r in spark.read.schema(schema).parquet(out).collect()) == [1, 2, 3, 4]
     refused = spark.read.schema(schema + ", error_code string").parquet(str(tmp_path / "rejects"))
