@@ -6,7 +6,7 @@ equal passages give equal chunks wherever they stand.  A store is a folder with
 * ``objects/``: one row for each *different* chunk: its digest and its ids (little-endian, 2 bytes
   each, or 4 for vocabularies over 65,536 ids); and the documents' recipes as they were cut;
 * ``recipes/``: one row for each document, in ascending order of doc_id: the digests of its chunks,
-  its number of ids, the crc32 of its ids and the hash of all of these (a leaf); files hold consecutive ranges;
+  its number of ids, the crc32 of its ids, the ids before it in its range and the hash of all of these (a leaf); files hold consecutive ranges;
 * ``manifest/``: the Merkle tree over the leaves.  Each node has at most ``FANOUT`` children and is the hash of theirs:
   levels 1 to 3 inside a range (the third is the range's root), the later ones over the ranges, up to one root;
 * ``ranges/``: the documents and ids of each range, and the ids of all ranges before it.
@@ -16,8 +16,8 @@ that a third of all documents share costs one row for each task, and partitions
 stand together.
 
 Reading verifies the store and what is rebuilt from it: every chunk against its digest, every recipe against its leaf, all leaves
-against the tree up to its root, and every document's ids, put together from the chunks of its recipe, against the number and
-the crc32 that were taken before it was cut.
+against the tree up to its root, the ranges against the tree's, and every document against the number of ids and the crc32 that were taken before it was
+cut: ``read_documents`` puts its ids together from the chunks of its recipe, ``read_digests`` joins the checked chunks' crc32.
 
 Cases: a null text is an empty one; an empty document has its end id alone; null doc_ids come
 first; repeated rows give one recipe each; an empty table gives an empty store; other columns are
@@ -76,8 +76,8 @@ def digest_of(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=DIGEST_BYTES).digest()
 
 
-def leaf_of(recipe: bytes, doc_id: int | None, n_tokens: int, crc: int) -> bytes:
-    return digest_of(f"{doc_id}/{n_tokens}/{crc}/".encode() + recipe)
+def leaf_of(recipe: bytes, doc_id: int | None, n_tokens: int, crc: int, start_in_range: int) -> bytes:
+    return digest_of(f"{doc_id}/{n_tokens}/{crc}/{start_in_range}/".encode() + recipe)
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, width: int = 2) -> None:
@@ -143,7 +143,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
         for batch in batches:
             n = batch.column("n_tokens").to_numpy()
             ends = before + np.cumsum(n)
-            leaves = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "doc_id", "n_tokens", "crc")))]
+            leaves = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "doc_id", "n_tokens", "crc")), (ends - n).tolist())]
             yield pa.record_batch([
                 *(batch.column(c) for c in ("doc_id", "n_tokens", "crc", "text")), pa.array(leaves, pa.binary()),
                 pa.array(np.full(len(n), part)), pa.array(np.arange(row, row + len(n))), pa.array(ends - n),
@@ -209,12 +209,12 @@ def check_recipes(spark: SparkSession, path: str) -> None:
     """Raise an error if the recipes aren't those that the tree was made of.  A job of its own: no later plan can leave it out.
 
     Leaves are computed anew from the recipes, and nodes from leaves, so a changed recipe, leaf or number of ids, a lost file, a changed node and a
-    range that the manifest doesn't know are all found."""
+    range that the manifest doesn't know are all found; so are changed, repeated and missing rows of the ranges."""
     recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("recipe", "doc_id", "n_tokens", "crc")))]
+            found = [leaf_of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("recipe", "doc_id", "n_tokens", "crc", "start_in_range")))]
             if found != batch.column("leaf").to_pylist():
                 raise ValueError("a recipe differs from its leaf")
             yield pa.record_batch([*(batch.column(c) for c in ("range_id", "row", "n_tokens")), pa.array([x.hex().upper() for x in found])], names=["range_id", "row", "n_tokens", "digest"])
@@ -234,6 +234,13 @@ def check_recipes(spark: SparkSession, path: str) -> None:
     bad = both.where(~F.col("found").eqNullSafe(F.col("told"))).select(*key).limit(1).collect()
     if bad:
         raise ValueError(f"recipes of range {bad[0].range_id} differ from the manifest (node {bad[0].node} of level {bad[0].level})")
+    # Ranges: what stands before each follows from the tree's own numbers.
+    summed_up = with_sums_before(stored(3).select("range_id", "documents", "tokens"), "range_id", "tokens").select("range_id", F.struct("documents", "tokens", F.col("before").alias("tokens_before")).alias("found"))
+    ranges = spark.read.schema(RANGES).parquet(f"{path}/ranges").select("range_id", F.struct("documents", "tokens", "tokens_before").alias("told"))
+    ranges = ranges.groupBy("range_id").agg(F.min("told").alias("told"), F.count("*").alias("rows"))
+    bad = summed_up.join(ranges, "range_id", "full_outer").where(~F.col("found").eqNullSafe(F.col("told")) | (F.col("rows") > 1)).select("range_id").limit(1).collect()
+    if bad:
+        raise ValueError(f"range {bad[0].range_id} of the ranges differs from the manifest")
     if top and (top < 4 or told.where(F.col("level") == top).count() > 1):
         raise ValueError("the manifest has no root")
 
@@ -341,8 +348,9 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     ranges = spark.read.schema(RANGES).parquet(f"{path}/ranges").select("range_id", "tokens_before")
     same = F.col("read_tokens").eqNullSafe(F.col("n_tokens")) & F.col("ids_crc32").eqNullSafe(F.col("crc"))
     n_tokens = F.when(same, F.col("read_tokens")).otherwise(F.raise_error(F.lit("a document can't be rebuilt from its chunks")).cast("long"))
-    return recipes.join(folded, ["range_id", "row"], "left").join(ranges, "range_id").select(
-        "doc_id", (F.col("tokens_before") + F.col("start_in_range")).alias("start"), n_tokens.alias("n_tokens"), "ids_crc32")
+    before = F.coalesce("tokens_before", F.raise_error(F.lit("a document's range is unknown")).cast("long"))
+    return recipes.join(folded, ["range_id", "row"], "left").join(ranges, "range_id", "left").select(
+        "doc_id", (before + F.col("start_in_range")).alias("start"), n_tokens.alias("n_tokens"), "ids_crc32")
 
 
 def read_documents(spark: SparkSession, path: str, width: int = 2) -> DataFrame:

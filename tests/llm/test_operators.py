@@ -307,17 +307,20 @@ def test_store_cases(spark, edge_docs, edge_rows, no_docs):
 def test_changed_and_missing_recipes_are_found(spark, edge_docs, tmp_path):
     path = new_path(spark, "store")
     token_store.write_store(edge_docs, path, BPE)
-    recipes, objects, nodes = (spark.read.parquet(f"{path}/{name}") for name in ("recipes", "objects", "manifest"))
+    recipes, objects, nodes, ranges = (spark.read.parquet(f"{path}/{name}") for name in ("recipes", "objects", "manifest", "ranges"))
     other_recipe = recipes.where("doc_id = 5").first()
     # A document with the recipe of another: its chunks are all there.
     swapped = recipes.withColumn("recipe", F.when(F.col("doc_id") == 4, F.lit(other_recipe.recipe)).otherwise(F.col("recipe")))
-    relabelled = swapped.withColumn("leaf", F.when(F.col("doc_id") == 4, F.lit(token_store.leaf_of(other_recipe.recipe, 4, 2, recipes.where("doc_id = 4").first().crc))).otherwise(F.col("leaf")))
+    relabelled = swapped.withColumn("leaf", F.when(F.col("doc_id") == 4, F.lit(token_store.leaf_of(other_recipe.recipe, 4, 2, recipes.where("doc_id = 4").first().crc, recipes.where("doc_id = 4").first().start_in_range))).otherwise(F.col("leaf")))
     changed = F.when(F.col("kind") == 0, F.concat("ids", F.lit(b"\x01\x00")))
     one = objects.where("kind = 0").first().digest
     cases = [
         ("leaf", "recipes", swapped), ("manifest", "recipes", relabelled), ("range", "recipes", recipes.where("doc_id <> 9 or doc_id is null")), ("range 0", "recipes", recipes.where("false")),
         ("leaf", "recipes", recipes.withColumn("leaf", F.col("recipe"))), ("leaf", "recipes", recipes.withColumn("n_tokens", F.col("n_tokens") + 1)),
         ("manifest", "manifest", nodes.withColumn("digest", F.when(F.col("level") == 1, F.reverse("digest")).otherwise(F.col("digest")))), ("manifest", "manifest", nodes.where("level < 4")),
+        ("manifest", "manifest", nodes.withColumn("tokens", F.col("tokens") + 1)), ("manifest", "manifest", nodes.withColumn("documents", F.when(F.col("level") != 3, F.col("documents")).otherwise(0))),
+        ("leaf", "recipes", recipes.withColumn("start_in_range", F.col("start_in_range") + 1000)), ("ranges", "ranges", ranges.withColumn("tokens_before", F.col("tokens_before") + 1000)), ("ranges", "ranges", ranges.where("false")),
+        ("ranges", "ranges", ranges.union(ranges.withColumn("tokens_before", F.lit(5).cast("long")))), ("ranges", "ranges", ranges.withColumn("tokens", F.lit(0).cast("long"))), ("ranges", "ranges", ranges.union(ranges)),
         ("damaged", "objects", objects.withColumn("ids", changed)), ("rebuilt", "objects", objects.where(F.col("digest") != F.lit(one))),
     ]
     for k, (match, name, frame) in enumerate(cases):
