@@ -6,8 +6,8 @@ the pigeonhole principle, a pair within the whole budget is within the proportio
 ``(2 - 2s) * block / dimensions`` in one block at least, so the union of the blocks' range joins
 loses no pair.
 
-A block's range join is an equality join on the cells of a grid over its first coordinates, three of them for
-labels of some thousand vectors and more for larger ones:
+A block's range join is an equality join on the cells of a grid over its first coordinates, three of them and up to
+``MOST_GRID_DIMS`` in large labels, each label by its own size:
 a vector stands in its own cell, and visits those later cells that its range reaches, so two
 vectors meet once.  The blocks' coordinates alone travel to the cells.  Vectors that have another one within the block's budget there, few beside near-duplicates,
 follow and meet again: a pair is handled in the first block that admits it, and its
@@ -32,9 +32,11 @@ from barloom.llm.common import spread_join, table, written
 from barloom.llm.graph import blocked, group_counts, link_report, local_labels, met
 
 SIMILARITY = 0.98
-BLOCK_DIMS, GRID_DIMS = 8, 3
-#: Vectors of a label from which on the grid has more coordinates, one for each time that the label is twice as large.
-GRID_LABEL = 8192
+BLOCK_DIMS, GRID_DIMS, MOST_GRID_DIMS = 8, 3, 5
+#: Vectors of a label beyond which its grid has one coordinate more, and another for each time that it is four times as large.
+GRID_LABEL = 65_536
+#: Coordinates of a block that meet in one task; in larger cells blocks of them meet in pairs.
+CELL_ROWS = 8192
 #: Width of a cell in radii of a block's range.
 CELL = 2.5
 
@@ -56,9 +58,9 @@ def usable(column) -> F.Column:
     return F.coalesce(column.isNotNull() & (F.size(column) > 0) & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def grid_dims(largest: int) -> int:
-    """Coordinates of the grid, for the number of vectors of the largest label."""
-    return min(BLOCK_DIMS, GRID_DIMS + max(0, -(-largest // GRID_LABEL) - 1).bit_length())
+def grid_dims(n: F.Column) -> F.Column:
+    """Coordinates of the grid of a label with n vectors: they bound how many cells a vector visits, whatever its label's size."""
+    return sum(((n > GRID_LABEL * 4**k).cast("int") for k in range(MOST_GRID_DIMS - GRID_DIMS)), F.lit(GRID_DIMS))
 
 
 def _unit(raw: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
@@ -68,14 +70,14 @@ def _unit(raw: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
     return x, x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _cells(similarity: float, grid: int):
+def _cells(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = batch.column("size").to_numpy()
-            for d in np.unique(size).tolist():
-                part = batch.filter(pa.array(size == d))
+            size, grid = batch.column("size").to_numpy(), batch.column("grid").to_numpy()
+            for d, g in np.unique(np.stack([size, grid]), axis=1).T.tolist():
+                part = batch.filter(pa.array((size == d) & (grid == g)))
                 for lo in range(0, part.num_rows, 2048):
-                    yield _cell_rows(part.slice(lo, 2048), d, similarity, grid)
+                    yield _cell_rows(part.slice(lo, 2048), d, similarity, g)
 
     return run
 
@@ -83,7 +85,7 @@ def _cells(similarity: float, grid: int):
 def _cell_rows(part: pa.RecordBatch, d: int, similarity: float, grid: int) -> pa.RecordBatch:
     x = part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
     turned = _unit([v.tobytes() for v in x], x.dtype)[1] @ rotation_of(d)
-    where, names, homes, places = [], [], [], []
+    where, names, blocks, homes, places = [], [], [], [], []
     for b, (lo, hi) in enumerate(blocks_of(d)):
         radius = np.sqrt((2 - 2 * similarity) * (hi - lo) / d) * (1 + 1e-9) + 1e-12
         width = CELL * radius
@@ -99,13 +101,14 @@ def _cell_rows(part: pa.RecordBatch, d: int, similarity: float, grid: int) -> pa
             name = code(to)
             goes = np.flatnonzero((to <= last).all(1) & (name >= home))
             where.append(goes)
-            names.append(name[goes] * 1024 + b)
+            names.append(name[goes])
+            blocks.append(np.full(len(goes), b))
             homes.append((name == home)[goes])
             places += [v.tobytes() for v in block[goes]]
     take = pa.array(np.concatenate(where))
     return pa.record_batch([
-        part.column("label").take(take), pa.array(np.full(len(take), d)), pa.array(np.concatenate(names)), pa.array(np.concatenate(homes)), part.column("node").take(take), pa.array(places, pa.binary()),
-    ], names=["label", "size", "cell", "home", "node", "place"])
+        part.column("label").take(take), pa.array(np.full(len(take), d)), pa.array(np.concatenate(blocks)), pa.array(np.concatenate(names)), pa.array(np.concatenate(homes)), part.column("node").take(take), pa.array(places, pa.binary()),
+    ], names=["label", "size", "block", "cell", "home", "node", "place"])
 
 
 def _edges(group: np.ndarray) -> list[tuple[int, int]]:
@@ -113,10 +116,19 @@ def _edges(group: np.ndarray) -> list[tuple[int, int]]:
     return [(x, y) for x, y in zip(edge, edge[1:]) if y - x > 1]
 
 
+def _same(s: slice, *columns: np.ndarray) -> np.ndarray:
+    """Which rows of a slice agree with which of all rows; keys are hashes, so different cells may share one."""
+    out = np.ones((len(columns[0][s]), len(columns[0])), bool)
+    for c in columns:
+        if c[0] != c[-1] or (c != c[0]).any():
+            out &= c[s, None] == c[None, :]
+    return out
+
+
 def _company(similarity: float):
     """The rows that have another one in their block's range, with tolerance for single precision."""
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        group, home, cell, label, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "home", "cell", "label", "size"))
+        group, home, cell, block, label, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "home", "cell", "block", "label", "size"))
         places = batch.column("place").to_pylist()
         some = []
         for x, y in _edges(group):
@@ -126,7 +138,7 @@ def _company(similarity: float):
             for at in range(0, y - x, 256):
                 s = slice(at, at + 256)
                 near = (sq[s, None] + sq[None, :] - 2 * (z[s] @ z.T) <= budget) & (home[x:y][s, None] | home[x:y][None, :])
-                near &= (cell[x:y][s, None] == cell[x:y][None, :]) & (label[x:y][s, None] == label[x:y][None, :])
+                near &= _same(s, cell[x:y], block[x:y], label[x:y])
                 near[np.arange(near.shape[0]), at + np.arange(near.shape[0])] = False
                 here[s] |= near.any(1)
                 here |= near.any(0)
@@ -134,18 +146,20 @@ def _company(similarity: float):
         if not some:
             return None
         take = pa.array(np.concatenate(some))
-        return pa.record_batch([batch.column(c).take(take) for c in ("key", "label", "size", "cell", "home", "node")], names=["key", "label", "size", "cell", "home", "node"])
+        names = ["key", "label", "size", "block", "cell", "home", "node"]
+        return pa.record_batch([batch.column(c).take(take) for c in names], names=names)
 
     return kernel
 
 
 def _close(similarity: float, kind: str):
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        group, lo, hi, side, node, copies, home, cell, size, label_of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "lo", "hi", "side", "node", "copies", "home", "cell", "size", "label"))
+        names = ("group", "lo", "hi", "side", "node", "copies", "home", "cell", "block", "size", "label")
+        group, lo, hi, side, node, copies, home, cell, block, size, label_of = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
         vectors = batch.column("embedding")
         out: list[list] = [[], [], []]
         for x, y in _edges(group):
-            d, b = int(size[x]), int(cell[x] % 1024)
+            d, b = int(size[x]), int(block[x])
             flat = vectors.slice(x, y - x).flatten().to_numpy(zero_copy_only=False).astype(kind)
             original, unit = _unit([flat.tobytes()] if y - x == 1 else [v.tobytes() for v in flat.reshape(y - x, -1)], kind)
             turned = unit @ rotation_of(d)
@@ -158,7 +172,7 @@ def _close(similarity: float, kind: str):
             for at in range(0, y - x, 256):
                 near = sq[at : at + 256, None] + sq[None, :] - 2 * (z[at : at + 256] @ z.T) <= budget[b] + 1e-9
                 near &= home[x:y][at : at + 256, None] | home[x:y][None, :]
-                near &= (cell[x:y][at : at + 256, None] == cell[x:y][None, :]) & (label_of[x:y][at : at + 256, None] == label_of[x:y][None, :])
+                near &= _same(slice(at, at + 256), cell[x:y], block[x:y], label_of[x:y])
                 i, j = np.nonzero(near)
                 i = i + at
                 keep = (i < j) & (node[x:y][i] != node[x:y][j])
@@ -214,10 +228,12 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY) -> DataF
     first = F.min(F.struct(F.col("vec_id").isNull().alias("none"), "vec_id")).alias("first")
     nodes = vectors.where("name is not null").groupBy("name", "other").agg(F.count("*").alias("copies"), first, F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     nodes = written(nodes.withColumn("size", F.size("embedding").cast("long")).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
-    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    cells = nodes.select("label", "size", "node", "embedding").mapInArrow(_cells(similarity, grid_dims(largest)), "label long, size long, cell long, home boolean, node long, place binary")
-    cells = cells.withColumn("key", F.xxhash64("label", "size", "cell"))
-    met_first = met(blocked(cells, "key", "node", group_counts(cells, "key", "vector-cells"), 1024), "key", _company(similarity), "key long, label long, size long, cell long, home boolean, node long")
+    labels = nodes.groupBy("label").agg(F.count("*").alias("n")).withColumn("grid", grid_dims(F.col("n")).cast("long"))
+    placed = spread_join(nodes.select("label", "size", "node", "embedding"), labels, ["label"], F.col("n"), nodes.count())
+    cells = placed.select("label", "size", "node", "embedding", "grid").mapInArrow(_cells(similarity), "label long, size long, block long, cell long, home boolean, node long, place binary")
+    cells = cells.withColumn("key", F.xxhash64("label", "size", "block", "cell"))
+    pairs = blocked(cells, "key", "node", group_counts(cells, "key", "vector-cells"), CELL_ROWS)
+    met_first = met(pairs, "key", _company(similarity), "key long, label long, size long, block long, cell long, home boolean, node long")
     company = written(met_first.distinct(), "vector-company")
     whole = company.join(nodes.select("node", "copies", "embedding"), "node")
     partial = met(blocked(whole, "key", "node", group_counts(company, "key", "vector-groups"), 1024), "key", _close(similarity, "<f4" if kind == "float" else "<f8"), "node long, label long, links long")

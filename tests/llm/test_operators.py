@@ -450,7 +450,8 @@ def test_products_of_long_vectors_are_exact():
     assert nearest._products(a, a).tolist() == [[127 * 127 * 5000.0, -127 * 127 * 5000.0], [-127 * 127 * 5000.0, 127 * 127 * 5000.0]]
 
 
-def test_large_groups_of_vectors(spark):
+def test_large_groups_of_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 1024)
     rng = np.random.default_rng(4)
     x = (np.ones(16) + 0.01 * rng.standard_normal((2300, 16))).astype(np.float32)  # more than two blocks in a cell
     frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
@@ -458,15 +459,28 @@ def test_large_groups_of_vectors(spark):
     assert {r.n_links for r in got} == {2299} and {r.component_id for r in got} == {0}
 
 
-def test_finer_grids_find_the_same(spark):
+def test_finer_grids_find_the_same(spark, monkeypatch):
     x, frame = vectors(spark)
-    old, embedding_dedup.GRID_LABEL = embedding_dedup.GRID_LABEL, 8
-    try:
-        assert embedding_dedup.grid_dims(100) > 6
-        got = sorted(map(str, embedding_dedup.near_duplicates(frame).collect()))
-    finally:
-        embedding_dedup.GRID_LABEL = old
-    assert got == sorted(map(str, embedding_dedup.near_duplicates(frame).collect()))
+    plain = sorted(map(str, embedding_dedup.near_duplicates(frame).collect()))
+    monkeypatch.setattr(embedding_dedup, "GRID_LABEL", 8)
+    sizes = spark.createDataFrame([(8,), (9,), (33,), (10**9,)], "n long")
+    assert [r.g for r in sizes.select("n", embedding_dedup.grid_dims(F.col("n")).alias("g")).orderBy("n").collect()] == [3, 4, 5, 5]
+    assert sorted(map(str, embedding_dedup.near_duplicates(frame).collect())) == plain
+
+
+def test_vectors_of_more_than_1024_blocks(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((4, 8208)).astype(np.float32)
+    x[1] = x[0] + 0.02 * rng.standard_normal(8208).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame).collect()} == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
+
+
+@pytest.mark.parametrize("grid,most", [(3, 30), (4, 55), (5, 95)])
+def test_cells_that_a_vector_visits_are_bounded(grid, most):
+    x = np.random.default_rng(2).standard_normal((2000, 64)).astype(np.float32)
+    rows = pa.record_batch([pa.array(np.zeros(2000, np.int64)), pa.array(np.arange(2000)), pa.array(list(x), pa.list_(pa.float32()))], names=["label", "node", "embedding"])
+    assert embedding_dedup._cell_rows(rows, 64, 0.98, grid).num_rows < most * 2000
 
 
 # --- 6: language model --------------------------------------------------------------------------
