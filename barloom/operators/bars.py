@@ -52,3 +52,24 @@ def derive_1d(bars: DataFrame, sessions: DataFrame, keys: list[str] | None = Non
     return keyed.select(
         "instrument_key", "session_date", "price_basis", "open", "high", "low", "close", "volume", "actual_slots", F.col("session_slots").cast("long").alias("expected_slots"),
         (F.col("actual_slots") == F.col("session_slots")).alias("is_complete"), "first_run", "last_run", grade_derived(F.col("actual_slots"), F.col("session_slots")).alias("quality_status"))
+
+
+# --- derivation versions ------------------------------------------------------------------------
+# A folder holds derived bars of several derivation versions, divided by (derivation_version, instrument_key).
+
+def write_derivation(derived: DataFrame, path: str, version: str, keys: DataFrame | None = None) -> None:
+    """Put derived bars in place as ``version``; with ``keys`` (instrument_key) a scoped rebuild, which replaces those instruments' partitions alone, also where nothing is derived any more.
+
+    Dynamic partition overwrite replaces what gets rows, so each instrument of the scope gets a row without values, which readers leave out.
+    """
+    scope = (derived if keys is None else keys).select("instrument_key").distinct()
+    if keys is not None:
+        derived = derived.join(scope, "instrument_key", "left_semi")
+    marks = scope.select(*[(F.col(c) if c == "instrument_key" else F.lit(None).cast(t).alias(c)) for c, t in derived.dtypes])
+    rows = derived.withColumn("is_mark", F.lit(False)).unionByName(marks.withColumn("is_mark", F.lit(True))).withColumn("derivation_version", F.lit(version))
+    rows.hint("rebalance", "instrument_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("derivation_version", "instrument_key").parquet(path)
+
+
+def read_derivation(spark, path: str, version: str) -> DataFrame:
+    """The bars of one derivation version; other versions' partitions aren't read."""
+    return spark.read.parquet(path).where(F.col("derivation_version") == version).where("not is_mark").drop("is_mark", "derivation_version")

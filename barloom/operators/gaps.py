@@ -60,19 +60,39 @@ def classify_gap(evidence: DataFrame) -> DataFrame:
     return evidence.withColumn("cause", F.when(F.col("slot_utc").isNull(), "UNCLASSIFIED").otherwise(cause))
 
 
-def enrich_gaps(gaps: DataFrame) -> DataFrame:
-    """Local time in New York, calendar parts, and whether the gap blocks."""
+# Days of large market moves, as (label, first day, last day) in New York; labels never change a gap's cause.
+MARKET_EVENTS = [
+    ("SNB_EURCHF_FLOOR_REMOVAL", "2015-01-15", "2015-01-15"), ("BREXIT_REFERENDUM_RESULT", "2016-06-24", "2016-06-24"), ("COVID_MARKET_DISLOCATION", "2020-03-09", "2020-03-09"),
+    ("COVID_MARKET_DISLOCATION", "2020-03-12", "2020-03-12"), ("COVID_MARKET_DISLOCATION", "2020-03-16", "2020-03-16"), ("RUSSIA_UKRAINE_INVASION", "2022-02-24", "2022-02-24")]
+DIMENSIONS = ["cause", "year", "month", "weekday", "utc_hour", "ny_hour", "market_event"]
+
+
+def market_days(events: DataFrame) -> DataFrame:
+    """local_date and market_event: the labels of all events (label, first_day, last_day) that hold a day, in order, joined by commas."""
+    days = events.select("label", F.explode(F.sequence("first_day", "last_day")).alias("local_date"))
+    return days.groupBy("local_date").agg(F.array_join(F.array_sort(F.collect_set("label")), ",").alias("market_event"))
+
+
+def enrich_gaps(gaps: DataFrame, events: DataFrame) -> DataFrame:
+    """Local time in New York, calendar parts, the labels of market events on the local day, whether the gap blocks, whose it is, what evidence it
+    needs, and the run that supersedes an older raw sample.  ``events``: label, first_day, last_day."""
     local = new_york(F.col("slot_utc"))
-    return gaps.select(
+    blocking = F.col("cause").isin("ACQUISITION_RUN_MISSED", "RAW_PRESENT_CURATED_REJECTED", "UNCLASSIFIED")
+    rows = gaps.select(
         "*", local.alias("ny_time"), F.year("slot_utc").alias("year"), F.month("slot_utc").alias("month"), F.weekday("slot_utc").alias("weekday"), F.hour("slot_utc").alias("utc_hour"), F.hour(local).alias("ny_hour"),
-        F.col("cause").isin("ACQUISITION_RUN_MISSED", "RAW_PRESENT_CURATED_REJECTED", "UNCLASSIFIED").alias("blocking"))
+        blocking.alias("blocking"), F.when(blocking, "ENGINE").otherwise("PROVIDER").alias("owner"),
+        F.when(F.col("cause").isin("ACQUISITION_RUN_MISSED", "UNCLASSIFIED"), "PROVIDER_RESPONSE_OR_RUN_OVER_SLOT").alias("required_evidence"),
+        F.when(F.col("raw_run_id") < F.col("covering_run_id"), F.col("covering_run_id")).alias("superseding_run_id"), local.cast("date").alias("local_date"))
+    return rows.join(market_days(events), "local_date", "left").drop("local_date")
 
 
 def gap_histograms(gaps: DataFrame) -> DataFrame:
-    """Counts by instrument and each value of each dimension."""
-    dims = ["cause", "year", "month", "weekday", "utc_hour", "ny_hour"]
-    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dims]))
-    return gaps.select("instrument_key", each.alias("e")).groupBy("instrument_key", "e.dimension", "e.value").agg(F.count("*").alias("gaps"))
+    """Counts by instrument and each value of each dimension (gaps without a market event aren't counted there), and the ``total`` of missing, blocking and unclassified rows."""
+    dims = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), F.lit(1).alias("n")) for d in DIMENSIONS]
+    total = lambda name, when: F.struct(F.lit("total").alias("dimension"), F.lit(name).alias("value"), when.cast("int").alias("n"))
+    each = F.explode(F.array(*dims, total("missing_rows", F.lit(True)), total("blocking_rows", F.col("blocking")), total("unclassified_rows", F.col("cause") == "UNCLASSIFIED")))
+    rows = gaps.select("instrument_key", each.alias("e")).where("e.dimension <> 'market_event' or e.value is not null")
+    return rows.groupBy("instrument_key", "e.dimension", "e.value").agg(F.sum("e.n").alias("gaps"))
 
 
 def gap_overlap(gaps: DataFrame, keys: list[str]) -> DataFrame:

@@ -157,10 +157,41 @@ def quarantine_admission(accepted: DataFrame, rejected: DataFrame, max_rows: int
     return counted.where("rejected_times > 0").select("instrument_key", "rejected_times", "times", code.alias("error_code"))
 
 
+def quarantine_digest(rejected: DataFrame) -> DataFrame:
+    """Evidence of each series' rejected rows: how many times, which fields, the first and last time, and a digest of all violations that doesn't depend on their order."""
+    from barloom.operators.digests import multiset_digest
+
+    each = rejected.dropDuplicates(["instrument_key", "time_utc"]).select("instrument_key", "time_utc", F.explode("violations").alias("v"))
+    rows = each.select("instrument_key", "time_utc", "v.field", "v.bid", "v.ask")
+    return rows.groupBy("instrument_key").agg(
+        F.count_distinct("time_utc").alias("rejected_times"), F.array_join(F.array_sort(F.collect_set("field")), ",").alias("fields"), F.min("time_utc").alias("first_utc"), F.max("time_utc").alias("last_utc"),
+        multiset_digest(["time_utc", "field", "bid", "ask"]).alias("content_digest"))
+
+
+def approved_exceptions(evidence: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """The evidence (``quarantine_digest``) of series with an approved exception, and QUARANTINE_EXCEPTION_MISMATCH unless all of it is exactly what was approved.
+
+    ``exceptions``: instrument_key, unique_rows, allowed_fields (array), first_utc, last_utc, content_digest.  An exception without any rejected row doesn't match.  Series
+    with a matching exception aren't held to the limits of rows and rate.
+    """
+    e = exceptions.select("instrument_key", "unique_rows", "allowed_fields", F.col("first_utc").alias("approved_first"), F.col("last_utc").alias("approved_last"), F.col("content_digest").alias("approved_digest"))
+    joined = e.join(evidence, "instrument_key", "left")
+    fields = F.split("fields", ",")
+    same = (
+        (F.col("unique_rows") == F.col("rejected_times")) & (F.size(F.array_except(fields, F.col("allowed_fields"))) == 0) & (F.col("approved_first") == F.col("first_utc"))
+        & (F.col("approved_last") == F.col("last_utc")) & (F.col("approved_digest") == F.col("content_digest")))
+    return joined.select(*evidence.columns, F.when(~F.coalesce(same, F.lit(False)), "QUARANTINE_EXCEPTION_MISMATCH").alias("error_code"))
+
+
 def quarantine_events(rejected: DataFrame, policy: str) -> DataFrame:
-    """A resolved WARN event with the violations of each rejected row."""
+    """A resolved WARN event with the violations of each rejected row, as canonical JSON with its digest."""
+    from barloom.functions.canonical import json_text
+
     fields = F.array_join(F.transform("violations", lambda v: v["field"]), ",")
-    return rejected.select("instrument_key", "time_utc", F.lit("WARN").alias("severity"), F.lit("RESOLVED").alias("status"), F.lit(policy).alias("policy"), fields.alias("fields"))
+    text = lambda v, f: F.concat(F.lit(f'"{f}":'), json_text(v[f].cast("string")))
+    each = F.transform("violations", lambda v: F.concat(F.lit("{"), F.concat_ws(",", text(v, "ask"), text(v, "bid"), text(v, "field")), F.lit("}")))
+    listed = F.concat(F.lit("["), F.array_join(each, ","), F.lit("]"))
+    return rejected.select("instrument_key", "time_utc", F.lit("WARN").alias("severity"), F.lit("RESOLVED").alias("status"), F.lit(policy).alias("policy"), fields.alias("fields"), listed.alias("violations"), F.sha2(listed, 256).alias("content_sha256"))
 
 
 def numbered(rows: DataFrame, order: list[str], name: str, each: int = 100_000) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from barloom.operators.publish import published_only
 from barloom.operators.reports import status_priority
@@ -21,6 +21,44 @@ def keyset_page(rows: DataFrame, keys: list[str], after: tuple | None, limit: in
     return rows.orderBy(*keys).limit(limit + 1)
 
 
+def _after(rows: DataFrame, keys: list[str], after: tuple) -> Column:
+    return F.struct(*keys) > F.struct(*[F.lit(v).cast(rows.schema[k].dataType).alias(k) for k, v in zip(keys, after)])
+
+
+def paged(rows: DataFrame, keys: list[str], after: tuple | None, limit: int) -> DataFrame:
+    """A page of at most ``limit`` rows with ``truncated`` (more rows follow) and, if so, ``next_key``: the last row's key, from which the next page goes on."""
+    n = F.row_number().over(Window.orderBy(*keys))  # of limit + 1 rows
+    page = keyset_page(rows, keys, after, limit).withColumn("__n", n).withColumn("truncated", F.max("__n").over(Window.partitionBy()) > limit)
+    last = F.max(F.when(F.col("__n") == limit, F.struct(*keys))).over(Window.partitionBy())
+    return page.withColumn("next_key", F.when(F.col("truncated"), last)).where(F.col("__n") <= limit).drop("__n").orderBy(*keys)
+
+
+def write_clustered(rows: DataFrame, path: str, keys: list[str], range_rows: int = 1_000_000) -> None:
+    """Rows in ranges of their keys, each a folder ``range_id=<n>`` of its own, and under ``<path>-bounds`` the first and last key and the rows of each."""
+    parts = max(1, -(-rows.count() // range_rows))
+    ranged = rows.repartitionByRange(parts, *keys).withColumn("range_id", F.spark_partition_id())
+    ranged.sortWithinPartitions("range_id", *keys).write.partitionBy("range_id").parquet(path)
+    written = rows.sparkSession.read.schema(ranged.schema).parquet(path)
+    written.groupBy("range_id").agg(F.min(F.struct(*keys)).alias("first"), F.max(F.struct(*keys)).alias("last"), F.count("*").alias("rows")).write.parquet(f"{path}-bounds")
+
+
+def clustered_page(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], after: tuple | None, limit: int) -> DataFrame:
+    """``paged`` over a table that ``write_clustered`` wrote: only ranges that the page can reach into are read."""
+    bounds = spark.read.parquet(f"{path}-bounds")
+    if after is not None:
+        key = F.struct(*[F.lit(v).cast(schema[k].dataType).alias(k) for k, v in zip(keys, after)])
+        bounds = bounds.where(F.col("last") > key)
+    reached, ahead = [], 0
+    for r in bounds.orderBy("first").limit(limit + 2).collect():  # each has a row of the page at least
+        reached.append(r["range_id"])
+        ahead += r["rows"] if len(reached) > 1 or after is None else 1  # the first may lie before the key but for its last row
+        if ahead > limit:
+            break
+    paths = [f"{path}/range_id={k}" for k in reached]
+    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return paged(rows, keys, after, limit)
+
+
 def snapshot_bars(bars: DataFrame, snapshots: DataFrame, snapshot_id: str) -> DataFrame:
     """Bars not later than a snapshot's cutoff."""
     cutoff = snapshots.where(F.col("snapshot_id") == snapshot_id).select("cutoff_utc").limit(1)
@@ -35,18 +73,6 @@ def snapshot_integrity(bars: DataFrame, cutoff: Column, manifest: DataFrame) ->
     return joined.select("n", "rows", "rows_after", F.when(ok, "PASS").otherwise("FAIL").alias("integrity"))
 
 
-def ordered_hash(rows: DataFrame, group: str, order: list[str], columns: list[str], part: Column) -> DataFrame:
-    """SHA-256 of each group: of the hashes of its parts, in order, each of them of the part's rows in order as canonical JSON (values as text).
-
-    A part (a day of a series, say) must be of bounded size, and a group of a bounded number of parts.
-    """
-    item = F.struct(*order, F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(columns)])).alias("row"))
-    listed = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["row"])
-    parts = rows.groupBy(group, part.alias("part")).agg(F.count("*").alias("n"), F.sha2(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), 256).alias("digest"))
-    digests = F.transform(F.array_sort(F.collect_list(F.struct("part", "digest"))), lambda x: x["digest"])
-    return parts.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(digests, ","), 256).alias("content_sha256"))
-
-
 def chart_rows(bars: DataFrame, key: str, start: Column, end: Column, limit: int) -> DataFrame:
     """The newest bars of a range, in ascending order."""
     newest = bars.where((F.col("instrument_key") == key) & (F.col("time_utc") >= start) & (F.col("time_utc") < end)).orderBy(F.col("time_utc").desc()).limit(limit)

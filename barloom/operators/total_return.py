@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from barloom.operators.digests import ordered_hash
+from barloom.operators.reads import paged
+
 VALUES = ("close_unadjusted", "adjusted_close", "dividend_cash", "split_factor")
 
 
@@ -24,6 +27,12 @@ def validate_batch(rows: DataFrame, tickers: list[str]) -> DataFrame:
     return rows.withColumn("before", before).select("arrival", "ticker", F.explode(codes).alias("error_code"))
 
 
+def batch_content(rows: DataFrame) -> DataFrame:
+    """rows and content_sha256 of a whole batch, in order of ticker, date and arrival."""
+    columns = [c for c in ("ticker", "date", *VALUES) if c in rows.columns]
+    return ordered_hash(rows.withColumn("batch", F.lit("batch")), "batch", ["ticker", "date", "arrival"], columns).select("rows", "content_sha256")
+
+
 def completeness(rows: DataFrame, sessions: DataFrame) -> DataFrame:
     """Expected sessions (session_date) that each ticker of the rows lacks."""
     tickers = rows.select("ticker").distinct()
@@ -75,14 +84,12 @@ def candidates(mappings: DataFrame, datasets: DataFrame) -> DataFrame:
     return joined.select("instrument_key", "dataset_id", "external_key", F.count("*").over(best).alias("candidates"))
 
 
-def rows_page(rows: DataFrame, ticker: str, start, end, eligible: bool, after=None, limit: int = 100) -> DataFrame:
-    """A page of a ticker's rows in [start, end), after a date, PASS rows alone if ``eligible``; one row more than the limit shows a cut."""
-    out = rows.where((F.col("ticker") == ticker) & (F.col("date") >= start) & (F.col("date") < end))
+def rows_page(rows: DataFrame, ticker: str, start, end, eligible: bool, after: tuple | None = None, limit: int = 100) -> DataFrame:
+    """A page of a ticker's rows in [start, end), after a date (null dates come first), PASS rows alone if ``eligible``, with ``truncated`` and ``next_key``."""
+    out = rows.where((F.col("ticker") == ticker) & (F.col("date").isNull() | ((F.col("date") >= start) & (F.col("date") < end))))
     if eligible:
         out = out.where("quality_status = 'PASS'")
-    if after is not None:
-        out = out.where(F.col("date") > after)
-    return out.orderBy(F.col("date").asc_nulls_first()).limit(limit + 1)
+    return paged(out, ["date"], after, limit)
 
 
 def profile(rows: DataFrame) -> DataFrame:
@@ -113,17 +120,19 @@ def windows_inside(requests: DataFrame, contract: DataFrame) -> DataFrame:
     return joined.select(*requests.columns, F.coalesce(inside, F.lit(False)).alias("inside"))
 
 
-def full_history(rows: DataFrame, contract: DataFrame) -> DataFrame:
-    """Rows inside each ticker's contract window, checked: status PASS or the first rule that fails, and a digest of the ordered content.
+def full_history(rows: DataFrame, contract: DataFrame, after=None) -> DataFrame:
+    """Rows inside each ticker's contract window (after a date, if one is given), checked: status PASS or the first rule that fails, and the tree hash of their content in order.
 
     ``contract``: ticker, window_start, window_end, expected_rows, expected_warn.  A price or index that isn't positive fails the quality, a count,
     bound or repeated date the coverage.
     """
     inside = rows.join(contract, "ticker").where("date between window_start and window_end")
-    item = F.struct("date", F.col("adjusted_close").cast("string").alias("value"), "quality_status")
+    if after is not None:
+        inside = inside.where(F.col("date") > after)
     found = inside.groupBy("ticker", "window_start", "window_end", "expected_rows", "expected_warn").agg(
         F.count("*").alias("row_count"), F.count_distinct("date").alias("dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count_if(F.col("quality_status") == "WARN").alias("warn_rows"),
-        F.count_if(~F.coalesce(F.col("adjusted_close") > 0, F.lit(False))).alias("bad_rows"), F.sha2(F.to_json(F.array_sort(F.collect_list(item))), 256).alias("content_sha256"))
+        F.count_if(~F.coalesce(F.col("adjusted_close") > 0, F.lit(False))).alias("bad_rows"))
+    content = ordered_hash(inside, "ticker", ["date"], ["date", "adjusted_close", "quality_status"]).select("ticker", "content_sha256")
     covered = (F.col("row_count") == F.col("expected_rows")) & (F.col("dates") == F.col("row_count")) & (F.col("first_date") == F.col("window_start")) & (F.col("last_date") == F.col("window_end"))
     status = F.when(F.col("bad_rows") > 0, "QUALITY_FAILED").when(~covered, "COVERAGE_FAILED").when(F.col("warn_rows") != F.col("expected_warn"), "QUALITY_FAILED").otherwise("PASS")
-    return found.select("ticker", "row_count", "first_date", "last_date", "warn_rows", status.alias("history_status"), "content_sha256")
+    return found.join(content, "ticker").select("ticker", "row_count", "first_date", "last_date", "warn_rows", status.alias("history_status"), "content_sha256")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as der, calendar as cal, reports as rep
 from barloom.plans import bindings as b
-from barloom.plans.bindings import NOW, sql
+from barloom.plans.bindings import CTE, NOW, sql
 from barloom.plans.registry import query
 
 _YEARS = "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders"
@@ -143,6 +145,39 @@ def a04(spark, folder):
     return der.derive_4h(b.bars(spark, folder), b.sessions(spark, folder), ["view", "error"])
 
 
+# Bars of two derivation versions: v1 of all bars; v2 too, and then 'view' and 'error' anew from the bars of events that aren't divisible by three ('error' from none).
+_AGAIN = "in_session AS" + CTE.split("in_session AS")[1].split("watermarks AS")[0].replace("FROM bars b JOIN", "FROM (SELECT * FROM bars WHERE instrument_key = 'view' AND last_event % 3 <> 0) b JOIN")
+for _name in ("in_session", "aligned", "eligible", "bars_4h", "bars_1d"):
+    _AGAIN = re.sub(rf"\b{_name}\b", f"{_name}_again", _AGAIN)
+_VERSIONS = f"WITH {_AGAIN.strip().rstrip(',')}, v4 AS (SELECT 'v1' AS version, * FROM bars_4h UNION ALL SELECT 'v2', * FROM bars_4h WHERE instrument_key NOT IN ('view', 'error') UNION ALL SELECT 'v2', * FROM bars_4h_again)"
+
+
+def _derivations(spark, folder):
+    """A folder with both versions of four-hour bars."""
+    path, rows, times = b.fresh_folder(spark, "derivations"), b.bars(spark, folder), b.sessions(spark, folder)
+    for version in ("v1", "v2"):
+        der.write_derivation(der.derive_4h(rows, times), path, version)
+    scope = spark.createDataFrame([("view",), ("error",)], "instrument_key string")
+    der.write_derivation(der.derive_4h(rows.where("instrument_key = 'view' and last_event % 3 <> 0"), times, ["view", "error"]), path, "v2", scope)
+    return path
+
+
+@query("a04_derivation_versions", sql(_VERSIONS + " SELECT * FROM v4"), shared=True)
+def a04_versions(spark, folder):
+    path = _derivations(spark, folder)
+    both = [der.read_derivation(spark, path, v).withColumn("version", F.lit(v)) for v in ("v1", "v2")]
+    return both[0].unionByName(both[1])
+
+
+@query("a26_pinned_rollup", sql(_VERSIONS + ", one AS (SELECT * FROM v4 WHERE version = 'v2') SELECT 'v2' AS version, (SELECT count(*) FROM bars) AS rows_1h, count(*) AS rows_4h, count(*) FILTER (quality_status = 'FAIL') AS fail_rows, count(*) FILTER (is_complete AND quality_status = 'PASS') AS eligible_rows FROM one"), shared=True)
+def a26_pinned(spark, folder):
+    """Layer counts and eligibility of one derivation version."""
+    bars_4h = der.read_derivation(spark, _derivations(spark, folder), "v2")
+    counts = rep.layer_counts(b.bars(spark, folder), bars_4h, bars_4h.limit(0)).where("layer <> '1d'").groupBy(F.lit("v2").alias("version")).agg(F.max(F.when(F.col("layer") == "1h", F.col("rows"))).alias("rows_1h"), F.max(F.when(F.col("layer") == "4h", F.col("rows"))).alias("rows_4h"))
+    rolled = rep.derived_rollup(bars_4h, bars_4h.limit(0)).where("layer = '4h'").select(F.lit("v2").alias("version"), "fail_rows", "eligible_rows")
+    return counts.join(rolled, "version")
+
+
 def _raw(spark, folder):
     """Both versions of the bars as raw revisions; a run is (version, day)."""
     both = b.bars(spark, folder, 1).unionByName(b.bars(spark, folder, 2))

@@ -233,3 +233,14 @@ def sql(text: str) -> str:
     """A query over the bindings' names."""
     text = text.strip()
     return f"WITH {CTE.strip()}{', ' + text[5:] if text.upper().startswith('WITH ') else ' ' + text}"
+
+
+def tree_hash(rows: str, group: str, order: str, row: str, each: int, fanout: int, levels: int = 4) -> str:
+    """CTEs whose last, ``tree``, has the group, its rows and the root of its tree of hashes (``operators.digests``)."""
+    out = [f"""ordered_rows AS (SELECT {group} AS g, {row} AS j, row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS n FROM {rows})""",
+           f"""level0 AS (SELECT g, n // {each} AS place, sha256('[' || string_agg(j, ',' ORDER BY n) || ']') AS d FROM ordered_rows GROUP BY 1, 2)"""]
+    for k in range(1, levels + 1):
+        out.append(f"level{k} AS (SELECT g, place // {fanout} AS place, sha256(string_agg(d, ',' ORDER BY place)) AS d FROM level{k - 1} GROUP BY 1, 2)")
+    alone = " UNION ALL ".join(f"SELECT g, {k} AS level, any_value(d) AS d FROM level{k} GROUP BY g HAVING count(*) = 1" for k in range(1, levels + 1))
+    out.append(f"tree AS (SELECT g AS {group}, rows, d AS content_sha256 FROM (SELECT g, arg_min(d, level) AS d FROM ({alone}) GROUP BY g) JOIN (SELECT g, count(*) AS rows FROM ordered_rows GROUP BY g) USING (g))")
+    return ", ".join(out)

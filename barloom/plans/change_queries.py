@@ -281,11 +281,35 @@ def m13(spark, folder):
     return m.quarantine_admission(accepted, rejected)
 
 
-@query("m14_quarantine_events", sql(f"WITH {_Q} SELECT instrument_key, time_utc, 'WARN' AS severity, 'RESOLVED' AS status, 'bounded' AS policy, rtrim({_CROSSED}, ',') AS fields FROM quotes WHERE (bid_high > ask_high OR bid_low > ask_low) AND NOT (bid_open > ask_open OR bid_close > ask_close)"))
+_HIGH_LOW = f"WITH {_Q}, rej AS (SELECT * FROM quotes WHERE (bid_high > ask_high OR bid_low > ask_low) AND NOT (bid_open > ask_open OR bid_close > ask_close)), " + (
+    "viol AS (SELECT instrument_key, time_utc, 'high' AS field, bid_high AS bid, ask_high AS ask FROM rej WHERE bid_high > ask_high UNION ALL SELECT instrument_key, time_utc, 'low', bid_low, ask_low FROM rej WHERE bid_low > ask_low)")
+_VIOLATIONS = """string_agg('{"ask":"' || ask || '","bid":"' || bid || '","field":"' || field || '"}', ',' ORDER BY field)"""
+
+
+@query("m14_quarantine_events", sql(f"""{_HIGH_LOW}
+SELECT instrument_key, time_utc, 'WARN' AS severity, 'RESOLVED' AS status, 'bounded' AS policy, string_agg(field, ',' ORDER BY field) AS fields, '[' || {_VIOLATIONS} || ']' AS violations, sha256('[' || {_VIOLATIONS} || ']') AS content_sha256
+FROM viol GROUP BY instrument_key, time_utc"""))
 def m14(spark, folder):
     return m.quarantine_events(nz.split_quarantine(_quotes(spark, folder))[1], "bounded")
 
 
+# The multiset digest: rows, and the sums of the quarters of each one's SHA-256.
+_QUARTERS = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(h, {16 * k + 1}, 16) AS UBIGINT)) AS VARCHAR)" for k in range(4))
+
+
+@query("m13_approved_exceptions", sql(f"""{_HIGH_LOW},
+hashed AS (SELECT *, sha256('{{"ask":"' || ask || '","bid":"' || bid || '","field":"' || field || '","time_utc":"' || strftime(time_utc, '%Y-%m-%d %H:%M:%S') || '"}}') AS h FROM viol),
+told AS (SELECT instrument_key, count(DISTINCT time_utc) AS rejected_times, string_agg(DISTINCT field, ',' ORDER BY field) AS fields, min(time_utc) AS first_utc, max(time_utc) AS last_utc, count(*) || ':' || {_QUARTERS} AS content_digest FROM hashed GROUP BY 1)
+SELECT *, CASE WHEN instrument_key = 'click' THEN NULL ELSE 'QUARANTINE_EXCEPTION_MISMATCH' END AS error_code FROM told"""))
+def m13_exceptions(spark, folder):
+    """Exceptions with the exact evidence of one instrument, and with one row too many of the others; the newest sample is left out of the rows."""
+    rows = nz.fx_mid(_quotes(spark, folder))
+    rejected = nz.split_quarantine(rows)[1]
+    told = m.quarantine_digest(rejected)
+    approved = told.select("instrument_key", (F.col("rejected_times") + F.when(F.col("instrument_key") == "click", 0).otherwise(1)).alias("unique_rows"), F.array(F.lit("high"), F.lit("low")).alias("allowed_fields"), "first_utc", "last_utc", "content_digest")
+    return m.approved_exceptions(told, approved)
+
+
 def _requests(spark, folder):
     e = b.table(spark, folder, "events").groupBy(F.dayofmonth("ts").cast("long").alias("run_id")).agg(F.array_sort(F.collect_set("event_type")).alias("keys"))
     one = lambda k: F.struct(k.alias("instrument_key"), F.when(k == "view", F.lit(60)).alias("horizon"), F.when(k == "click", F.lit("bid_ask_mid")).alias("price_basis"))
@@ -379,10 +403,15 @@ def g05(spark, folder):
     return g.curated_present(_missing(spark, folder), b.bars(spark, folder))
 
 
+# Beside the fixed days of large moves, some of the time that the given events cover.
+_EVENTS = [*g.MARKET_EVENTS, ("LONG_WEEKEND", "2024-01-13", "2024-01-15"), ("THIRD_WEEK", "2024-01-15", "2024-01-19")]
 _GAPS = f"""{_MISSING}, {_COVER}, ev AS (SELECT m.*, (SELECT max(run_id) FROM revisions r WHERE r.instrument_key = m.instrument_key AND r.time_utc = m.slot_utc) AS raw_run_id, (SELECT max(event_id) FROM errs e WHERE e.instrument_key = m.instrument_key AND e.time_utc = m.slot_utc) AS quarantine_event_id,
   (SELECT max(run_id) FROM bounds r WHERE r.instrument_key = m.instrument_key AND m.slot_utc BETWEEN a AND z) AS covering_run_id FROM miss m),
 gaps AS (SELECT *, CASE WHEN quarantine_event_id IS NOT NULL THEN 'QUARANTINED_VALUE_ANOMALY' WHEN raw_run_id IS NOT NULL AND (covering_run_id IS NULL OR raw_run_id >= covering_run_id) THEN 'RAW_PRESENT_CURATED_REJECTED' WHEN covering_run_id IS NOT NULL THEN 'PROVIDER_RAW_NO_SAMPLE' ELSE 'ACQUISITION_RUN_MISSED' END AS cause FROM ev),
-rich AS (SELECT instrument_key, session_date, slot_utc, cause, slot_utc - INTERVAL 5 HOUR AS ny_time, year(slot_utc) AS year, month(slot_utc) AS month, isodow(slot_utc) - 1 AS weekday, hour(slot_utc) AS utc_hour, hour(slot_utc - INTERVAL 5 HOUR) AS ny_hour, cause IN ('ACQUISITION_RUN_MISSED', 'RAW_PRESENT_CURATED_REJECTED') AS blocking FROM gaps)"""
+rich AS (SELECT instrument_key, session_date, slot_utc, cause, slot_utc - INTERVAL 5 HOUR AS ny_time, year(slot_utc) AS year, month(slot_utc) AS month, isodow(slot_utc) - 1 AS weekday, hour(slot_utc) AS utc_hour, hour(slot_utc - INTERVAL 5 HOUR) AS ny_hour, cause IN ('ACQUISITION_RUN_MISSED', 'RAW_PRESENT_CURATED_REJECTED') AS blocking,
+  CASE WHEN cause IN ('ACQUISITION_RUN_MISSED', 'RAW_PRESENT_CURATED_REJECTED') THEN 'ENGINE' ELSE 'PROVIDER' END AS owner, CASE WHEN cause = 'ACQUISITION_RUN_MISSED' THEN 'PROVIDER_RESPONSE_OR_RUN_OVER_SLOT' END AS required_evidence,
+  CASE WHEN raw_run_id < covering_run_id THEN covering_run_id END AS superseding_run_id,
+  (SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM (VALUES {", ".join(f"('{n}', DATE '{a}', DATE '{z}')" for n, a, z in _EVENTS)}) v(label, a, z) WHERE CAST(slot_utc - INTERVAL 5 HOUR AS DATE) BETWEEN a AND z) AS market_event FROM gaps)"""
 
 
 def _gaps(spark, folder):
@@ -398,7 +427,8 @@ def g06(spark, folder):
 
 
 def _rich(spark, folder):
-    return g.enrich_gaps(_gaps(spark, folder)).drop("raw_run_id", "quarantine_event_id", "covering_run_id", "curated_rejected")
+    events = spark.createDataFrame(_EVENTS, "label string, first_day string, last_day string").select("label", F.col("first_day").cast("date").alias("first_day"), F.col("last_day").cast("date").alias("last_day"))
+    return g.enrich_gaps(_gaps(spark, folder), events).drop("raw_run_id", "quarantine_event_id", "covering_run_id", "curated_rejected")
 
 
 @query("g07_enrich_gaps", sql(f"WITH {_GAPS} SELECT * FROM rich"), shared=True)
@@ -406,7 +436,8 @@ def g07(spark, folder):
     return _rich(spark, folder)
 
 
-@query("g08_gap_histograms", sql(f"WITH {_GAPS} SELECT instrument_key, dimension, value, count(*) AS gaps FROM (" + " UNION ALL ".join(f"SELECT instrument_key, '{d}' AS dimension, CAST({d} AS VARCHAR) AS value FROM rich" for d in ("cause", "year", "month", "weekday", "utc_hour", "ny_hour")) + ") GROUP BY ALL"), shared=True)
+@query("g08_gap_histograms", sql(f"WITH {_GAPS} SELECT instrument_key, dimension, value, count(*) AS gaps FROM (" + " UNION ALL ".join(f"SELECT instrument_key, '{d}' AS dimension, CAST({d} AS VARCHAR) AS value FROM rich" for d in g.DIMENSIONS) + ") WHERE dimension <> 'market_event' OR value IS NOT NULL GROUP BY ALL"
+  " UNION ALL SELECT instrument_key, 'total', 'missing_rows', count(*) FROM rich GROUP BY 1 UNION ALL SELECT instrument_key, 'total', 'blocking_rows', count(*) FILTER (blocking) FROM rich GROUP BY 1 UNION ALL SELECT instrument_key, 'total', 'unclassified_rows', 0 FROM rich GROUP BY 1"), shared=True)
 def g08(spark, folder):
     return g.gap_histograms(_rich(spark, folder))
 

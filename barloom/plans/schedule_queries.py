@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barloom.functions.times import ntz
 from barloom.operators import calendar as cal, events as ev, impute as im, merge as m, revisions as rv, schedule as sc, total_return as tr
 from barloom.plans import bindings as b
-from barloom.plans.bindings import sql
+from barloom.plans.bindings import sql, tree_hash
 from barloom.plans.change_queries import _PAGES, _PAIRS, _revision_sides
 from barloom.plans.registry import query
 from barloom.plans.source_queries import _json_pages
@@ -141,10 +141,18 @@ def r13(spark, folder):
     return rv.audit_recorded(recorded, computed)
 
 
-@query("t10_full_history", f"WITH {_TR}, w AS (SELECT ticker, date, quality_status FROM trr WHERE date >= (SELECT min(date) FROM trr t WHERE t.ticker = trr.ticker) + 30) SELECT ticker, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date, count(*) FILTER (quality_status = 'WARN') AS warn_rows, CASE WHEN ticker = '2-HIGH' THEN 'COVERAGE_FAILED' WHEN min(date) <> (SELECT min(date) FROM trr t WHERE t.ticker = w.ticker) + 30 THEN 'COVERAGE_FAILED' WHEN ticker = '5-LOW' THEN 'QUALITY_FAILED' ELSE 'PASS' END AS history_status FROM w GROUP BY 1")
+_TR_JSON = """'{"adjusted_close":"' || adjusted_close || '","date":"' || date || '","quality_status":"' || quality_status || '"}'"""
+_T10 = f"""WITH {_TR}, w AS (SELECT ticker, date, quality_status, adjusted_close FROM trr WHERE date >= (SELECT min(date) FROM trr t WHERE t.ticker = trr.ticker) + 30),
+{tree_hash("w", "ticker", "date", _TR_JSON, 1024, 256, 2)}
+SELECT ticker, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date, count(*) FILTER (quality_status = 'WARN') AS warn_rows,
+  CASE WHEN ticker = '2-HIGH' THEN 'COVERAGE_FAILED' WHEN min(date) <> (SELECT min(date) FROM trr t WHERE t.ticker = w.ticker) + 30 THEN 'COVERAGE_FAILED' WHEN ticker = '5-LOW' THEN 'QUALITY_FAILED' ELSE 'PASS' END AS history_status,
+  any_value(content_sha256) AS content_sha256 FROM w JOIN tree USING (ticker) GROUP BY 1"""
+
+
+@query("t10_full_history", _T10)
 def t10(spark, folder):
     rows = _tr(spark, folder)
     start = rows.groupBy("ticker").agg(F.date_add(F.min("date"), 30).alias("window_start"), F.max("date").alias("window_end"))
     inside = rows.join(start, "ticker").where("date >= window_start").groupBy("ticker", "window_start", "window_end").agg(F.count("*").alias("n"), F.count_if(F.col("quality_status") == "WARN").alias("w"))
     contract = inside.select("ticker", "window_start", "window_end", (F.col("n") + F.when(F.col("ticker") == "2-HIGH", 1).otherwise(0)).alias("expected_rows"), (F.col("w") + F.when(F.col("ticker") == "5-LOW", 1).otherwise(0)).alias("expected_warn"))
-    return tr.full_history(rows, contract).drop("content_sha256")
+    return tr.full_history(rows, contract)

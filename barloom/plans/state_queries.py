@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from barloom.functions.times import ntz
-from barloom.operators import bars as der, calendar as cal, events as ev, impute as im, normalize as nz, publish as pu, reads as rd, receipts as rc, reports as rep, total_return as tr
+from barloom.operators import digests as dg, bars as der, calendar as cal, events as ev, impute as im, normalize as nz, publish as pu, reads as rd, receipts as rc, reports as rep, total_return as tr
 from barloom.plans import bindings as b
 from barloom.plans.bar_queries import _DUE, _INVENTORY, _SERIES, COVERAGE, FRESHNESS, _series, a14, a15
-from barloom.plans.bindings import NOW, sql
+from barloom.plans.bindings import NOW, sql, tree_hash
 from barloom.plans.change_queries import _AVAIL, _MID, _availability, _quotes
 from barloom.plans.registry import query
 
@@ -397,10 +397,17 @@ def t07(spark, folder):
     return tr.candidates(mappings, datasets)
 
 
-@query("t08_rows_page", f"WITH {_TR} SELECT ticker, date, adjusted_close FROM trr WHERE ticker = '1-URGENT' AND date >= DATE '1996-01-01' AND date < DATE '1998-01-01' AND quality_status = 'PASS' AND date > DATE '1996-02-01' ORDER BY date LIMIT 41")
+_T08 = f"""WITH {_TR}, page AS (
+  SELECT ticker, date, adjusted_close, row_number() OVER (ORDER BY date) AS n FROM trr WHERE ticker = '1-URGENT' AND date >= DATE '1996-01-01' AND date < DATE '1998-01-01' AND quality_status = 'PASS' AND date > DATE '1996-02-01'
+  ORDER BY date LIMIT 41)
+SELECT ticker, date, adjusted_close, (SELECT count(*) > 40 FROM page) AS truncated, CASE WHEN (SELECT count(*) > 40 FROM page) THEN (SELECT CAST(max(date) AS VARCHAR) FROM page WHERE n <= 40) END AS next_key FROM page WHERE n <= 40"""
+
+
+@query("t08_rows_page", _T08)
 def t08(spark, folder):
     day = lambda d: F.lit(d).cast("date")
-    return tr.rows_page(_tr(spark, folder), "1-URGENT", day("1996-01-01"), day("1998-01-01"), True, day("1996-02-01"), 40).select("ticker", "date", "adjusted_close")
+    page = tr.rows_page(_tr(spark, folder), "1-URGENT", day("1996-01-01"), day("1998-01-01"), True, ("1996-02-01",), 40)
+    return page.select("ticker", "date", "adjusted_close", "truncated", F.col("next_key.date").cast("string").alias("next_key"))
 
 
 _TRP = f"{_TR}, prof AS (SELECT ticker, count(*) AS rows, min(date) AS first_date, max(date) AS last_date, count(*) - count(DISTINCT date) AS duplicate_rows, count(*) FILTER (adjusted_close IS NULL OR adjusted_close <= 0) AS bad_prices, count(*) FILTER (quality_status = 'PASS') AS pass_rows, count(*) FILTER (quality_status = 'WARN') AS warn_rows, count(*) FILTER (quality_status = 'FAIL') AS fail_rows FROM trr GROUP BY 1)"
@@ -449,10 +456,31 @@ def b01(spark, folder):
     return rd.bar_range(b.bars(spark, folder), _publication(spark, folder), "view", _t("2024-01-05"), _t("2024-01-25"), 100).select("instrument_key", "time_utc", "open", "close")
 
 
-@query("b02_keyset_page", sql("SELECT time_utc, instrument_key, price_basis, close FROM bars WHERE (time_utc, instrument_key, price_basis) > (TIMESTAMP '2024-01-10 12:00:00', 'error', 'native_ohlc') ORDER BY time_utc, instrument_key, price_basis LIMIT 51"))
+_KEYS = ["time_utc", "instrument_key", "price_basis"]
+_B02 = """WITH page AS (
+  SELECT time_utc, instrument_key, price_basis, close, row_number() OVER (ORDER BY time_utc, instrument_key, price_basis) AS n FROM bars
+  WHERE (time_utc, instrument_key, price_basis) > (TIMESTAMP '2024-01-10 12:00:00', 'error', 'native_ohlc') ORDER BY time_utc, instrument_key, price_basis LIMIT 51)
+SELECT time_utc, instrument_key, price_basis, close, (SELECT count(*) > 50 FROM page) AS truncated,
+  (SELECT strftime(time_utc, '%Y-%m-%d %H:%M:%S') || '|' || instrument_key || '|' || price_basis FROM page WHERE n = 50 AND (SELECT count(*) > 50 FROM page)) AS next_key FROM page WHERE n <= 50"""
+
+
+def _next_key(page):
+    return page.withColumn("next_key", F.concat_ws("|", F.date_format("next_key.time_utc", "yyyy-MM-dd HH:mm:ss"), "next_key.instrument_key", "next_key.price_basis")).withColumn("next_key", F.when(F.col("truncated"), F.col("next_key")))
+
+
+@query("b02_keyset_page", sql(_B02))
 def b02(spark, folder):
-    rows = b.bars(spark, folder).select("time_utc", "instrument_key", "price_basis", "close")
-    return rd.keyset_page(rows, ["time_utc", "instrument_key", "price_basis"], ("2024-01-10 12:00:00", "error", "native_ohlc"), 50)
+    rows = b.bars(spark, folder).select(*_KEYS, "close")
+    return _next_key(rd.paged(rows, _KEYS, ("2024-01-10 12:00:00", "error", "native_ohlc"), 50))
+
+
+@query("b02_clustered_page", sql(_B02))
+def b02_clustered(spark, folder):
+    """The same page from a table in ranges of its keys, of which it reads those that it reaches into."""
+    rows = b.bars(spark, folder).select(*_KEYS, "close")
+    path = b.fresh_folder(spark, "clustered")
+    rd.write_clustered(rows, path, _KEYS, 200)
+    return _next_key(rd.clustered_page(spark, path, rows.schema, _KEYS, ("2024-01-10 12:00:00", "error", "native_ohlc"), 50))
 
 
 def _snapshots(spark, folder):
@@ -470,13 +498,13 @@ def b04(spark, folder):
     return rd.snapshot_integrity(rows, _t("2024-01-30"), rows.agg(F.count("*").alias("rows"), F.min("time_utc").alias("min_time_utc"), F.max("time_utc").alias("max_time_utc")))
 
 
-_DAY_ROW = "'{' || " + " || ',' || ".join(f"'\"{c}\":\"' || CAST({c} AS VARCHAR) || '\"'" for c in ("close", "high", "low", "open", "volume")) + " || '}'"
+_HASHED = ("close", "high", "low", "open", "volume")
+_BAR_JSON = "'{' || " + " || ',' || ".join(f"'\"{c}\":\"' || CAST({c} AS VARCHAR) || '\"'" for c in _HASHED) + " || '}'"
 
 
-@query("b05_ordered_hash", sql(f"""SELECT instrument_key, CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(digest, ',' ORDER BY day)) AS content_sha256
-  FROM (SELECT instrument_key, CAST(time_utc AS DATE) AS day, count(*) AS n, sha256('[' || string_agg({_DAY_ROW}, ',' ORDER BY time_utc) || ']') AS digest FROM bars GROUP BY 1, 2) GROUP BY 1"""))
+@query("b05_ordered_hash", sql("WITH " + tree_hash("bars", "instrument_key", "time_utc", _BAR_JSON, 64, 4) + " SELECT * FROM tree"))
 def b05(spark, folder):
-    return rd.ordered_hash(b.bars(spark, folder), "instrument_key", ["time_utc"], ["open", "high", "low", "close", "volume"], F.to_date("time_utc"))
+    return dg.ordered_hash(b.bars(spark, folder), "instrument_key", ["time_utc"], list(_HASHED), 64, 4)
 
 
 @query("b06_chart_rows", sql("SELECT time_utc, close FROM bars WHERE instrument_key = 'click' AND time_utc >= TIMESTAMP '2024-01-05' AND time_utc < TIMESTAMP '2024-01-25' ORDER BY time_utc DESC LIMIT 60"))

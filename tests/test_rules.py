@@ -271,3 +271,75 @@ def test_days_of_a_table_keep_their_newest_version(spark, tmp_path):
     assert got(1, days(second)) == [("b", 2), ("b", 3)]
     st.write_days(second.where("false"), folder, 2, days(second))  # days whose bars are gone
     assert sorted(got(2), key=str) == [("a", 1), ("late", None)]
+
+
+# --- pages, hashes, versions --------------------------------------------------------------------
+
+def test_pages_of_a_clustered_table_equal_it(spark, tmp_path):
+    from barloom.operators.reads import clustered_page, paged, write_clustered
+
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    path, keys = str(tmp_path / "table"), ["k", "g"]
+    write_clustered(rows, path, keys, 100)
+    after, seen, files = None, [], []
+    while True:
+        page = clustered_page(spark, path, rows.schema, keys, after, 64)
+        files.append(len({f.rsplit("/", 2)[1] for f in page.inputFiles()}))
+        got = page.collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in paged(rows, keys, after, 64).collect()]
+        seen += [(r.k, r.g, r.v) for r in got]
+        if not got[0].truncated:
+            break
+        after = tuple(got[0].next_key)
+    assert seen == sorted(tuple(r) for r in rows.collect()) and max(files) <= 3 < spark.read.parquet(f"{path}-bounds").count()
+    assert clustered_page(spark, path, rows.schema, keys, (5000, 0), 10).count() == 0
+
+
+def test_tree_hashes_of_any_length(spark):
+    import hashlib
+    import json
+
+    from barloom.operators.digests import ordered_hash
+
+    rows = [("a", n, f"é\"\\\n\x01{n}" if n % 5 else None) for n in range(700)] + [("b", 1, ""), ("c", 1, "x"), ("c", 2, "y")]
+
+    def root(items, each, fanout):
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        text = [json.dumps({"n": str(n), "t": t}, ensure_ascii=False, separators=(",", ":"), sort_keys=True) for n, t in items]
+        level = [sha("[" + ",".join(text[i : i + each]) + "]") for i in range(0, len(text), each)]
+        while True:
+            level = [sha(",".join(level[i : i + fanout])) for i in range(0, len(level), fanout)]
+            if len(level) == 1:
+                return level[0]
+
+    frame = spark.createDataFrame(rows, "g string, n int, t string").repartition(5)
+    for each, fanout in ((10, 3), (64, 4), (1024, 256)):
+        got = {r.g: (r["rows"], r.content_sha256) for r in ordered_hash(frame, "g", ["n"], ["n", "t"], each, fanout).collect()}
+        assert got == {g: (len(own), root(own, each, fanout)) for g in "abc" if (own := [(n, t) for k, n, t in rows if k == g])}
+
+
+@pytest.mark.parametrize("change,code", [(None, None), ("row", "QUARANTINE_EXCEPTION_MISMATCH"), ("value", "QUARANTINE_EXCEPTION_MISMATCH"), ("field", "QUARANTINE_EXCEPTION_MISMATCH"), ("none", "QUARANTINE_EXCEPTION_MISMATCH")])
+def test_approved_exceptions_match_exactly(spark, change, code):
+    kind = "instrument_key string, time_utc timestamp_ntz, violations array<struct<field:string,bid:decimal(24,12),ask:decimal(24,12)>>"
+    from decimal import Decimal
+
+    row = lambda day, field="high", bid="2": ("a", at(f"2024-01-{day:02} 10:00:00"), [(field, Decimal(bid), Decimal("1"))])
+    base = [row(1), row(2, "low"), row(3)]
+    told = merge.quarantine_digest(spark.createDataFrame(base, kind))
+    approved = told.select("instrument_key", F.col("rejected_times").alias("unique_rows"), F.array(F.lit("high"), F.lit("low")).alias("allowed_fields"), "first_utc", "last_utc", "content_digest")
+    seen = {None: base[::-1] + [row(1)], "row": [*base, row(2, "low"), row(4)], "value": [row(1), row(2, "low", "3"), row(3)], "field": [row(1), row(2, "open"), row(3)], "none": []}[change]
+    got = merge.approved_exceptions(merge.quarantine_digest(spark.createDataFrame(seen, kind)), approved).collect()
+    assert [r.error_code for r in got] == [code]
+
+
+def test_a_scoped_rebuild_replaces_its_own_partitions(spark, tmp_path):
+    from barloom.operators.bars import read_derivation, write_derivation
+
+    rows = lambda pairs: spark.createDataFrame(pairs, "instrument_key string, n int")
+    path = str(tmp_path / "derived")
+    write_derivation(rows([("a", 1), ("b", 1), ("c", 1)]), path, "v1")
+    write_derivation(rows([("a", 2), ("b", 2), ("c", 2)]), path, "v2")
+    write_derivation(rows([("a", 3), ("c", 9)]), path, "v2", rows([("a", 0), ("b", 0)]))  # c isn't in scope, of b nothing is left
+    write_derivation(rows([]), path, "v2", rows([]))
+    read = lambda v: sorted((r.instrument_key, r.n) for r in read_derivation(spark, path, v).collect())
+    assert read("v1") == [("a", 1), ("b", 1), ("c", 1)] and read("v2") == [("a", 3), ("c", 2)]
