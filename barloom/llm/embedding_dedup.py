@@ -229,7 +229,10 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY) -> DataF
     nodes = vectors.where("name is not null").groupBy("name", "other").agg(F.count("*").alias("copies"), first, F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     nodes = written(nodes.withColumn("size", F.size("embedding").cast("long")).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
     labels = nodes.groupBy("label").agg(F.count("*").alias("n")).withColumn("grid", grid_dims(F.col("n")).cast("long"))
-    placed = spread_join(nodes.select("label", "size", "node", "embedding"), labels, ["label"], F.col("n"), nodes.count())
+    if (labels.agg(F.max("n")).first()[0] or 0) > GRID_LABEL:
+        placed = spread_join(nodes.select("label", "size", "node", "embedding"), labels, ["label"], F.col("n"), nodes.count())
+    else:  # every label has the same grid
+        placed = nodes.withColumn("grid", F.lit(GRID_DIMS).cast("long"))
     cells = placed.select("label", "size", "node", "embedding", "grid").mapInArrow(_cells(similarity), "label long, size long, block long, cell long, home boolean, node long, place binary")
     cells = cells.withColumn("key", F.xxhash64("label", "size", "block", "cell"))
     pairs = blocked(cells, "key", "node", group_counts(cells, "key", "vector-cells"), CELL_ROWS)
