@@ -13,21 +13,37 @@ from barloom.sources import files as fs
 from barloom.streaming import bars as st
 
 def _csv(spark, folder):
-    """The bars as CSV text; one flag in 20 is spelled in a way that isn't allowed."""
-    rows = b.bars(spark, folder)
-    text = lambda c: F.col(c).cast("string").alias(c)
-    out = rows.select(
-        "instrument_key", F.col("instrument_id").cast("string").alias("uic"), "asset_type", F.when(F.col("last_event") % 2 == 0, "legacy_reference").otherwise(F.lower("asset_type")).alias("category"), F.date_format("time_utc", "yyyy-MM-dd HH:mm:ss").alias("time_utc"),
-        F.when(F.col("last_event") % 3 != 0, "60").alias("horizon_minutes"), "price_basis", text("open"), text("high"), text("low"), text("close"), text("volume"),
-        F.when(F.col("last_event") % 20 == 0, "yes").otherwise(F.col("is_complete").cast("string")).alias("is_complete"))
+    """The bars as CSV text; one flag in 20 is spelled in a way that isn't allowed, some are in upper case, some horizons and volumes are no numbers."""
+    rows, e = b.bars(spark, folder), F.col("last_event")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    given = {
+        "uic": F.col("instrument_id").cast("string"), "category": F.when(e % 2 == 0, "legacy_reference").otherwise(F.lower("asset_type")), "time_utc": F.date_format("time_utc", "yyyy-MM-dd HH:mm:ss"),
+        "horizon_minutes": F.when(e % 50 == 1, "abc").when(e % 3 != 0, "60").otherwise(""), "volume": F.when(e % 50 == 2, "many").when(e % 7 == 3, "").otherwise(F.col("volume").cast("string")),
+        "is_complete": F.when(e % 20 == 0, "yes").when(e % 20 == 5, F.concat(F.lit(" "), F.upper(F.col("is_complete").cast("string")))).otherwise(F.col("is_complete").cast("string")),
+        "delayed_by_minutes": F.when(e % 2 == 0, "15").otherwise(""), "retrieved_at_utc": F.lit("2024-02-01 00:00:00")}
     path = fresh_folder(spark, "bars-csv")
-    out.select(*fs.BAR_COLUMNS).write.option("header", True).option("emptyValue", "").csv(path)
+    rows.select(*[given[c].alias(c) if c in given else text(c) for c in fs.BAR_COLUMNS]).write.option("header", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).csv(path)
     return path
 
 
-@query("s01_read_bar_csv", sql("SELECT instrument_key, instrument_id AS uic, time_utc, CASE WHEN last_event % 3 <> 0 THEN 60 ELSE 1440 END AS horizon_minutes, open, high, low, close, CASE WHEN last_event % 20 <> 0 THEN is_complete ELSE false END AS is_complete, CASE WHEN last_event % 20 = 0 THEN 'INVALID_BOOLEAN' END AS error_code FROM bars"))
+_S01_GIVEN = {
+    "uic": "CAST(instrument_id AS VARCHAR)", "category": "CASE WHEN last_event % 2 = 0 THEN 'legacy_reference' ELSE lower(asset_type) END", "time_utc": "strftime(time_utc, '%Y-%m-%d %H:%M:%S')",
+    "horizon_minutes": "CASE WHEN last_event % 50 = 1 THEN 'abc' WHEN last_event % 3 <> 0 THEN '60' ELSE '' END", "volume": "CASE WHEN last_event % 50 = 2 THEN 'many' WHEN last_event % 7 = 3 THEN '' ELSE CAST(volume AS VARCHAR) END",
+    "is_complete": "CASE WHEN last_event % 20 = 0 THEN 'yes' WHEN last_event % 20 = 5 THEN ' ' || upper(CAST(is_complete AS VARCHAR)) ELSE CAST(is_complete AS VARCHAR) END",
+    "delayed_by_minutes": "CASE WHEN last_event % 2 = 0 THEN '15' ELSE '' END", "retrieved_at_utc": "'2024-02-01 00:00:00'"}
+_S01_TEXTS = ", ".join(f"{_S01_GIVEN[c]} AS {c}" if c in _S01_GIVEN else f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in fs.BAR_COLUMNS)
+_S01_TYPES = {"uic": "BIGINT", "time_utc": "TIMESTAMP", "retrieved_at_utc": "TIMESTAMP", "volume": "DECIMAL(30,8)", "data_version": "BIGINT", "delayed_by_minutes": "INTEGER"}
+_S01_PRICES = [c for c in fs.BAR_COLUMNS if c.split("_")[0] in ("open", "high", "low", "close")]
+_S01_TYPED = ", ".join(f"TRY_CAST(nullif({c}, '') AS {_S01_TYPES.get(c, 'DECIMAL(24,12)')}) AS {c}" if c in _S01_TYPES or c in _S01_PRICES else f"nullif({c}, '') AS {c}" for c in fs.BAR_COLUMNS if c not in ("horizon_minutes", "is_complete"))
+_S01_JSON = "'{' || " + " || ',' || ".join(f"'\"{c}\":\"' || {c} || '\"'" for c in sorted(fs.BAR_COLUMNS)) + " || '}'"
+
+
+@query("s01_read_bar_csv", sql(f"""WITH texts AS (SELECT {_S01_TEXTS} FROM bars)
+SELECT {_S01_TYPED}, CASE WHEN horizon_minutes = '' THEN 1440 ELSE TRY_CAST(horizon_minutes AS INTEGER) END AS horizon_minutes,
+  CASE lower(trim(is_complete)) WHEN 'true' THEN true WHEN 'false' THEN false END AS is_complete, sha256({_S01_JSON}) AS payload_sha256,
+  CASE WHEN horizon_minutes = 'abc' THEN 'INVALID_HORIZON_MINUTES' WHEN volume = 'many' THEN 'INVALID_VOLUME' WHEN is_complete = 'yes' THEN 'INVALID_BOOLEAN' END AS error_code FROM texts"""))
 def s01(spark, folder):
-    return fs.read_bar_csv(spark, _csv(spark, folder)).select("instrument_key", "uic", "time_utc", "horizon_minutes", "open", "high", "low", "close", "is_complete", "error_code")
+    return fs.read_bar_csv(spark, _csv(spark, folder))
 
 
 @query("s02_classify_files", "SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'curated_total_return' WHEN page_id % 3 = 0 AND page_id % 2 = 1 THEN 'raw_market_bar' ELSE 'reference_observation' END AS file_class FROM pages")
@@ -52,11 +68,19 @@ def s03(spark, folder):
     return fs.verify_inventory(files, inventory).join(inventory.select("name", F.col("own").alias("sha256")), "name")
 
 
-@query("s04_load_reference", "SELECT event_id AS row_number, CASE WHEN event_id % 3 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS reference_key, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS observed_utc, payload_json, sha256(payload_json) AS payload_sha256 FROM (SELECT *, '{\"date\":\"' || strftime(ts, '%Y-%m-%d') || '\",\"market_key\":\"' || CASE WHEN event_id % 3 = 0 THEN event_type ELSE '' END || '\",\"ticker\":\"' || user_id || '\"' || CASE WHEN event_id % 2 = 0 THEN ',\"time_utc\":\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '\"' ELSE '' END || '}' AS payload_json FROM events)")
+_S04_JSON = (
+    "'{\"date\":\"' || strftime(ts, '%Y-%m-%d') || '\",\"market_key\":\"' || CASE WHEN event_id % 3 = 0 THEN event_type ELSE '' END || '\",\"ticker\":\"' || user_id || "
+    "'\",\"time_utc\":' || CASE WHEN event_id % 2 = 0 THEN '\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '\"' ELSE 'null' END || '}'")
+
+
+@query("s04_load_reference", f"""SELECT event_id AS row_number, 'RA0_analysis_baseline' AS reference_kind, 'research_metadata' AS layer, CASE WHEN event_id % 3 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS reference_key,
+  CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS observed_utc, payload_json, sha256(payload_json) AS payload_sha256 FROM (SELECT *, {_S04_JSON} AS payload_json FROM events)""")
 def s04(spark, folder):
     i = F.col("event_id")
-    rows = b.table(spark, folder, "events").select("event_id", F.when(i % 3 == 0, F.col("event_type")).otherwise("").alias("market_key"), F.col("user_id").cast("string").alias("ticker"), F.when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("time_utc"), F.date_format("ts", "yyyy-MM-dd").alias("date"))
-    return fs.load_reference(rows, F.lit(1), i, ["market_key", "ticker", "time_utc", "date"]).select("row_number", "reference_key", "observed_utc", "payload_json", "payload_sha256")
+    rows = b.table(spark, folder, "events").select(
+        "event_id", F.when(i % 3 == 0, F.col("event_type")).otherwise("").alias("market_key"), F.col("user_id").cast("string").alias("ticker"), F.when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("time_utc"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    return fs.load_reference(rows, F.lit(1), i, ["market_key", "ticker", "time_utc", "date"], F.lit(fs.BASELINE)).drop("source_file_id")
 
 
 @query("s05_grade_total_return", """WITH r AS (SELECT o_orderpriority AS ticker, CAST(o_orderdate AS DATE) AS date, CAST(max(o_totalprice) AS DECIMAL(18,2)) AS a, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS lo, count(*) AS n FROM orders GROUP BY 1, 2)
@@ -137,11 +161,13 @@ def s11(spark, folder):
     return fs.freeze_snapshot({"bars": (b.bars(spark, folder), "time_utc"), "nation": (b.table(spark, folder, "nation"), None)}, F.lit("2024-01-20").cast("timestamp_ntz"), fresh_folder(spark, "snapshot"))
 
 
-@query("s13_redact_json", "SELECT event_id, '{\"user\":{\"id\":' || user_id || '},\"items\":[{\"kind\":\"' || event_type || '\"}]}' AS body FROM events")
+@query("s13_redact_json", "SELECT event_id, '{\"items\":[{\"kind\":\"' || event_type || '\",\"note\":null}],\"user\":{\"id\":' || user_id || ',\"k' || event_id % 5 || '\":[]}}' AS body FROM events")
 def s13(spark, folder):
-    body = F.to_json(F.struct(F.struct(F.col("user_id").alias("id"), F.lit("t").alias("Access_Token")).alias("user"), F.array(F.struct(F.col("event_type").alias("kind"), F.lit("s").alias("PASSWORD"))).alias("items"), F.lit("k").alias("apiKey")))
-    rows = b.table(spark, folder, "events").select("event_id", body.alias("body"))
-    return fs.redact_json(rows, "body", "struct<user:struct<id:bigint,Access_Token:string>,items:array<struct<kind:string,PASSWORD:string>>,apiKey:string>")
+    """Bodies with sensitive fields at several depths, and fields whose names differ from row to row."""
+    i = F.col("event_id").cast("string")
+    body = F.concat(
+        F.lit('{"user":{"id":'), F.col("user_id").cast("string"), F.lit(',"Access_Token":"t","k'), (F.col("event_id") % 5).cast("string"), F.lit('":[]},"apiKey":{"v":'), i, F.lit('},"items":[{"note":null,"PASSWORD":"s","kind":"'), F.col("event_type"), F.lit('"}]}'))
+    return fs.redact_json(b.table(spark, folder, "events").select("event_id", body.alias("body")), "body")
 
 
 @query("s14_run_manifest", """SELECT page_id % 10 AS run_id, count(*) AS artifacts, CAST(sum(length(html)) AS BIGINT) AS bytes, count(*) AS rows,

@@ -2,38 +2,59 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from barloom.functions.canonical import canonical_json
 from barloom.functions.times import new_york
 from barloom.operators.merge import numbered
 from barloom.operators.normalize import PRICE, valid_digest, valid_path
 
-BAR_COLUMNS = ["instrument_key", "uic", "asset_type", "category", "time_utc", "horizon_minutes", "price_basis", "open", "high", "low", "close", "volume", "is_complete"]
+# The columns of an archive of bars, in the order of its files.
+BAR_COLUMNS = [
+    "instrument_key", "uic", "asset_type", "category", "time_utc", "horizon_minutes", "price_basis", "open", "high", "low", "close", "open_bid", "high_bid", "low_bid", "close_bid",
+    "open_ask", "high_ask", "low_ask", "close_ask", "volume", "market_trading_state", "is_complete", "data_version", "delayed_by_minutes", "retrieved_at_utc"]
+# Fixed value: the group of files whose rows describe the analysis.
+BASELINE = "RA0_analysis_baseline"
 #: Names of fields that never leave the engine, in lower case without underscores.
 SENSITIVE = ("authorization", "accesstoken", "refreshtoken", "apikey", "password", "secret", "clientkey", "accountkey")
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV with header as text columns; empty fields are null, a byte order mark is ignored."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("nullValue", "").option("enforceSchema", True).csv(path)
+def row_digest(columns: list[str]) -> Column:
+    """SHA-256 of a row as canonical JSON of texts: empty fields are empty texts."""
+    return F.sha2(canonical_json(columns), 256)
 
 
-def row_digest(columns: list[str]) -> Column:
-    """SHA-256 of a row as JSON with names in order, nulls kept out."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+def flag_of(text: Column) -> Column:
+    """True and false in any case and with spaces around; null for everything else."""
+    word = F.lower(F.trim(text))
+    return F.when(word == "true", True).when(word == "false", False)
 
 
 def read_bar_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Typed bars with ``payload_sha256`` and ``error_code``: a boolean that isn't true or false, or a price that is no number, is an error; a blank horizon is 1440."""
-    raw = read_text_csv(spark, path, BAR_COLUMNS)
-    price = lambda c: F.col(c).try_cast(PRICE).alias(c)
-    flag = F.col("is_complete")
-    code = F.when(~F.coalesce(flag.isin("true", "false"), F.lit(False)), "INVALID_BOOLEAN").when(F.exists(F.array(*[F.col(c).try_cast(PRICE).isNull() for c in ("open", "high", "low", "close")]), lambda x: x), "INVALID_PRICE")
-    return raw.select(
-        "instrument_key", F.col("uic").try_cast("long").alias("uic"), "asset_type", "category", F.try_to_timestamp("time_utc").cast("timestamp_ntz").alias("time_utc"),
-        F.coalesce(F.col("horizon_minutes").try_cast("int"), F.lit(1440)).alias("horizon_minutes"), "price_basis", price("open"), price("high"), price("low"), price("close"),
-        F.col("volume").try_cast("decimal(30,8)").alias("volume"), (flag == "true").alias("is_complete"), row_digest(BAR_COLUMNS).alias("payload_sha256"), code.alias("error_code"))
+    """Typed bars with ``payload_sha256`` (of all fields as they stand in the file) and ``error_code``.
+
+    A blank horizon is 1440; blank quotes, volume, state, version and delay are null.  What can't be read is an error: INVALID_<COLUMN> of the first such column in the
+    order of the file, needed ones included where they are blank; an ``is_complete`` other than true or false (in any case) is INVALID_BOOLEAN, a price
+    INVALID_PRICE.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in BAR_COLUMNS])
+    raw = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("enforceSchema", True).csv(path)
+    raw = raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in BAR_COLUMNS])
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    prices, quotes = ("open", "high", "low", "close"), [f"{f}_{s}" for s in ("bid", "ask") for f in ("open", "high", "low", "close")]
+    needed = {"uic": "bigint", **dict.fromkeys(prices, PRICE)}
+    optional = {**dict.fromkeys(quotes, PRICE), "volume": "decimal(30,8)", "data_version": "bigint", "delayed_by_minutes": "int"}
+    typed = {c: F.col(c).try_cast(t) for c, t in needed.items()} | {c: blank(c).try_cast(t) for c, t in optional.items()}
+    typed |= {c: F.try_to_timestamp(c).cast("timestamp_ntz") for c in ("time_utc", "retrieved_at_utc")}
+    typed["horizon_minutes"] = F.when(blank("horizon_minutes").isNull(), 1440).otherwise(F.col("horizon_minutes").try_cast("int"))
+    typed["is_complete"] = flag_of(F.col("is_complete"))
+    names = {"is_complete": "INVALID_BOOLEAN", **dict.fromkeys((*prices, *quotes), "INVALID_PRICE")}
+    wrong = [F.when(typed[c].isNull() & (blank(c).isNotNull() if c in optional else F.lit(True)), names.get(c, f"INVALID_{c.upper()}")) for c in BAR_COLUMNS if c in typed]
+    columns = [typed.get(c, blank(c)).alias(c) for c in BAR_COLUMNS]
+    return raw.select(*columns, row_digest(BAR_COLUMNS).alias("payload_sha256"), F.coalesce(*wrong).alias("error_code"))
 
 
 def classify_files(inventory: DataFrame) -> DataFrame:
@@ -57,13 +78,17 @@ def verify_inventory(files: DataFrame, inventory: DataFrame) -> DataFrame:
     return joined.select(F.col("i.name").alias("name"), state.alias("file_state"))
 
 
-def load_reference(rows: DataFrame, file_id: Column, ordinal: Column, columns: list[str]) -> DataFrame:
-    """Reference rows with a key (the first of market_key, ticker, source_series, category, pair that isn't empty), a time (time_utc, else midnight of date), JSON and its digest."""
+def load_reference(rows: DataFrame, file_id: Column, ordinal: Column, columns: list[str], kind: Column) -> DataFrame:
+    """Reference rows with their kind (the file's group) and layer (research_metadata for the analysis baseline, else raw), a key (the first of market_key, ticker, source_series, category, pair that
+    isn't empty), a time (time_utc, else midnight of date), canonical JSON of all fields as texts (empty ones stay) and its digest."""
     has = lambda c: F.nullif(F.col(c), F.lit("")) if c in columns else F.lit(None).cast("string")
     key = F.coalesce(*[has(c) for c in ("market_key", "ticker", "source_series", "category", "pair")])
     time = F.coalesce(F.try_to_timestamp(has("time_utc")), F.try_to_timestamp(has("date"))).cast("timestamp_ntz")
-    payload = F.to_json(F.struct(*sorted(columns)))
-    return rows.select(file_id.alias("source_file_id"), ordinal.alias("row_number"), key.alias("reference_key"), time.alias("observed_utc"), payload.alias("payload_json"), F.sha2(payload, 256).alias("payload_sha256"))
+    payload = canonical_json(columns)
+    layer = F.when(kind == BASELINE, "research_metadata").otherwise("raw")
+    return rows.select(
+        file_id.alias("source_file_id"), ordinal.alias("row_number"), kind.alias("reference_kind"), key.alias("reference_key"), layer.alias("layer"), time.alias("observed_utc"), payload.alias("payload_json"),
+        F.sha2(payload, 256).alias("payload_sha256"))
 
 
 def grade_total_return(rows: DataFrame, dataset_id: str) -> DataFrame:
@@ -185,10 +210,26 @@ def redacted(column: Column, kind: T.DataType) -> Column:
     return column
 
 
-def redact_json(rows: DataFrame, column: str, schema: str) -> DataFrame:
-    """A JSON text column without sensitive fields (names count without case and underscores)."""
-    parsed = rows.withColumn(column, F.from_json(column, schema))
-    return parsed.withColumn(column, F.to_json(redacted(F.col(column), parsed.schema[column].dataType)))
+def _sanitized(value):
+    if isinstance(value, dict):
+        return {k: _sanitized(v) for k, v in value.items() if k.replace("_", "").lower() not in SENSITIVE}
+    return [_sanitized(v) for v in value] if isinstance(value, list) else value
+
+
+def redact_json(rows: DataFrame, column: str) -> DataFrame:
+    """A JSON text column without sensitive fields (names count without case and underscores) at any depth, as canonical JSON: all other fields stay, whatever
+    they are, nulls too.  A text that is no JSON becomes null.  A field's depth isn't known beforehand, which column expressions can't follow: a small function does, batch by batch."""
+    @F.pandas_udf("string")
+    def redact(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return json.dumps(_sanitized(json.loads(text)), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+            except (TypeError, ValueError, RecursionError):
+                return None
+
+        return texts.map(one)
+
+    return rows.withColumn(column, redact(F.col(column)))
 
 
 def run_manifest(artifacts: DataFrame) -> DataFrame:

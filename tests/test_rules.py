@@ -162,13 +162,28 @@ def test_bundle_is_blocked_by_one_role(spark):
     assert receipts.bundle_status(rows).first().overall == "BLOCKED_EXTERNAL_CONTRACT"
 
 
-def test_csv_booleans_and_byte_order_mark(spark, tmp_path):
+def test_archives_with_blank_fields_and_a_byte_order_mark(spark, tmp_path):
+    import hashlib
+    import json
+
     path = tmp_path / "bars.csv"
-    line = "a,1,Etf,x,2024-01-01 10:00:00,,native_ohlc,1,2,1,1.5,,{}"
-    path.write_bytes(("﻿" + ",".join(files.BAR_COLUMNS) + "\n" + line.format("true") + "\n" + line.format("TRUE") + "\n").encode())
-    rows = files.read_bar_csv(spark, str(path)).orderBy("error_code").collect()
-    assert [r.error_code for r in rows] == [None, "INVALID_BOOLEAN"] and rows[0].horizon_minutes == 1440 and rows[0].volume is None
-    assert rows[0].payload_sha256 != rows[1].payload_sha256
+    base = dict.fromkeys(files.BAR_COLUMNS, "") | {"instrument_key": "é", "uic": "1", "asset_type": "Etf", "time_utc": "2024-01-01 10:00:00", "open": "1", "high": "2", "low": "1", "close": "1.5", "retrieved_at_utc": "2024-01-02 00:00:00", "is_complete": "true"}
+    changes = [{}, {"is_complete": " TRUE"}, {"is_complete": "yes"}, {"uic": "x"}, {"horizon_minutes": "abc"}, {"time_utc": "soon"}, {"volume": "many"}, {"low_bid": "?"}, {"open": ""}, {"data_version": "1.5"}, {"horizon_minutes": "60", "volume": "3"}]
+    lines = [[(base | c)[n] for n in files.BAR_COLUMNS] for c in changes]
+    path.write_bytes(("\ufeff" + "\n".join(",".join(x) for x in [files.BAR_COLUMNS, *lines]) + "\n").encode())
+    got = {r.payload_sha256: r for r in files.read_bar_csv(spark, str(path)).collect()}
+    want = [None, None, "INVALID_BOOLEAN", "INVALID_UIC", "INVALID_HORIZON_MINUTES", "INVALID_TIME_UTC", "INVALID_VOLUME", "INVALID_PRICE", "INVALID_PRICE", "INVALID_DATA_VERSION", None]
+    for change, code in zip(changes, want):
+        digest = hashlib.sha256(json.dumps(base | change, ensure_ascii=False, separators=(",", ":"), sort_keys=True).encode()).hexdigest()
+        assert got[digest].error_code == code, change
+    plain = [r for r in got.values() if r.error_code is None]
+    assert sorted(r.horizon_minutes for r in plain) == [60, 1440, 1440] and all(r.is_complete for r in plain)
+
+
+@pytest.mark.parametrize("text,want", [
+    ('{"b":1,"API_KEY":2,"a":{"x":null,"refreshToken":[1],"é":"\u00e9"}}', '{"a":{"x":null,"é":"é"},"b":1}'), ('[{"Password":1},{"secret_":1,"secrets":2}]', '[{},{"secrets":2}]'), ("no json", None), (None, None), ("3", "3")])
+def test_redaction_keeps_all_other_fields(spark, text, want):
+    assert files.redact_json(spark.createDataFrame([(1, text)], "i int, body string"), "body").first().body == want
 
 
 def test_export_refuses_to_overwrite(spark, tmp_path):
