@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barloom.functions.times import seconds_between
-from barloom.operators.calendar import align_date, expected_rows, expected_slot_at
+from barloom.functions.times import plus_hours, seconds_between
+from barloom.operators.calendar import align_date, expected_rows, expected_slot_at, first_slot, last_slot, open_sessions
 
 STATUS_PRIORITY = {"FAIL": 5, "STALE": 4, "WARN": 3, "NOT_EVALUATED": 2, "PASS": 1}
 
@@ -58,10 +58,16 @@ def freshness(watermarks: DataFrame, instruments: DataFrame, sessions: DataFrame
         F.greatest(F.lit(0), seconds_between(latest, now)).alias("freshness_seconds"), "latest_expected_utc", "next_expected_utc", status.alias("freshness_status"))
 
 
-def freshness_grace(watermarks: DataFrame, slots: DataFrame, now: Column, grace_hours: int = 2) -> DataFrame:
-    """The rule with a grace time: PASS until two hours after the first slot later than the latest complete bar."""
-    later = watermarks.join(slots, "instrument_key", "left").groupBy("instrument_key", "price_basis", "latest_complete_utc", "data_status").agg(
-        F.min(F.when(F.col("slot_utc") > F.col("latest_complete_utc"), F.col("slot_utc"))).alias("next_slot_utc"))
+def freshness_grace(watermarks: DataFrame, instruments: DataFrame, sessions: DataFrame, now: Column, grace_hours: int = 2) -> DataFrame:
+    """The rule with a grace time: PASS until two hours after the first slot later than the latest complete bar.  The slot is computed from each session's
+    first and last one; slots aren't expanded."""
+    ends = open_sessions(sessions).where("close_utc is not null")
+    held = instruments.select("instrument_key", "asset_type", "calendar_id")
+    joined = watermarks.join(held, "instrument_key").join(ends, "calendar_id", "left").withColumn("a", first_slot()).withColumn("raw", last_slot())
+    a, c = F.col("a"), F.col("latest_complete_utc")
+    last = plus_hours(a, F.floor(seconds_between(a, F.col("raw")) / 3600))
+    following = F.when(F.col("raw") >= a, F.when(c < a, a).when(c < last, plus_hours(a, F.floor(seconds_between(a, c) / 3600) + 1)))
+    later = joined.groupBy("instrument_key", "price_basis", "latest_complete_utc", "data_status").agg(F.min(following).alias("next_slot_utc"))
     status = F.when(F.col("data_status") != "ACTIVE", "FAIL").when(F.col("next_slot_utc").isNull(), "NOT_EVALUATED").when(
         now <= F.timestamp_add("HOUR", F.lit(grace_hours), F.col("next_slot_utc")), "PASS").otherwise("STALE")
     return later.select("instrument_key", "price_basis", "latest_complete_utc", "next_slot_utc", status.alias("freshness_status"))

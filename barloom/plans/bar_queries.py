@@ -292,7 +292,7 @@ def a15(spark, folder):
 @query("a16_freshness_grace", sql(f"""WITH later AS (SELECT w.instrument_key, price_basis, latest_complete_utc, data_status, (SELECT min(slot_utc) FROM slots s WHERE s.instrument_key = w.instrument_key AND slot_utc > latest_complete_utc) AS next_slot_utc FROM watermarks w)
 SELECT instrument_key, price_basis, latest_complete_utc, next_slot_utc, CASE WHEN data_status <> 'ACTIVE' THEN 'FAIL' WHEN next_slot_utc IS NULL THEN 'NOT_EVALUATED' WHEN TIMESTAMP '{NOW}' <= next_slot_utc + INTERVAL 2 HOUR THEN 'PASS' ELSE 'STALE' END AS freshness_status FROM later"""))
 def a16(spark, folder):
-    return rep.freshness_grace(b.watermarks(spark, folder), cal.complete_slots(b.instruments(spark, folder), b.sessions(spark, folder)), b.now())
+    return rep.freshness_grace(b.watermarks(spark, folder), b.instruments(spark, folder), b.sessions(spark, folder), b.now())
 
 
 def _runs(spark, folder):

@@ -29,6 +29,7 @@ def now() -> Column:
 
 _OWN: list[str] = []
 _SHARED: ContextVar[dict | None] = ContextVar("shared", default=None)
+_ONLY: ContextVar[str | None] = ContextVar("only", default=None)
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -53,13 +54,23 @@ def shared_inputs() -> Iterator[None]:
         _SHARED.reset(token)
 
 
+@contextmanager
+def only(key: str) -> Iterator[None]:
+    """Within it bars are those of one instrument: the filter stands below everything that is made of them."""
+    token = _ONLY.set(key)
+    try:
+        yield
+    finally:
+        _ONLY.reset(token)
+
+
 def _once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     @functools.wraps(build)
     def rows(spark: SparkSession, folder: str, *args) -> DataFrame:
         written = _SHARED.get()
         if written is None:
             return build(spark, folder, *args)
-        key = (build.__name__, folder, *args)
+        key = (build.__name__, folder, _ONLY.get(), *args)
         if key not in written:
             frame, path = build(spark, folder, *args), fresh_folder(spark, build.__name__)
             frame.write.parquet(path)
@@ -94,6 +105,8 @@ def instruments(spark: SparkSession, folder: str) -> DataFrame:
 def _placed(spark: SparkSession, folder: str, version: int) -> DataFrame:
     """Events with the instrument and the hour of their bar.  Version 2 has changed values and lacks some events."""
     events = table(spark, folder, "events")
+    if (key := _ONLY.get()) is not None:
+        events = events.where(F.col("event_type") == key)
     value = F.col("value")
     if version == 2:
         events = events.where("event_id % 101 <> 0")

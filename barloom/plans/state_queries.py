@@ -541,7 +541,9 @@ def b11(spark, folder):
 
 @query("b12_series_detail", sql(FRESHNESS + f", {COVERAGE[5:]}, {_SERIES[5:].split(f'parts AS', 1)[0]}parts AS{_SERIES[5:].split('parts AS', 1)[1]} SELECT instrument_key, series_id, row_count, coverage_status, missing_rows, freshness_status, freshness_seconds FROM (SELECT instrument_key, series_id, row_count FROM series WHERE instrument_key = 'view') LEFT JOIN cov USING (instrument_key) LEFT JOIN (SELECT instrument_key, freshness_status, freshness_seconds FROM fresh) USING (instrument_key)"), shared=True)
 def b12(spark, folder):
-    return rd.series_detail(_series(spark, folder), a14(spark, folder), a15(spark, folder), "view").select("instrument_key", "series_id", "row_count", "coverage_status", "missing_rows", "freshness_status", "freshness_seconds")
+    with b.only("view"):
+        detail = rd.series_detail(_series(spark, folder), a14(spark, folder), a15(spark, folder), "view")
+    return detail.select("instrument_key", "series_id", "row_count", "coverage_status", "missing_rows", "freshness_status", "freshness_seconds")
 
 
 # --- receipts -----------------------------------------------------------------------------------

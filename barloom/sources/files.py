@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from barloom.functions.canonical import canonical_json
+from barloom.functions.package import send_package
 from barloom.functions.times import new_york
 from barloom.operators.merge import numbered
 from barloom.operators.normalize import PRICE, valid_digest, valid_path
@@ -219,6 +220,8 @@ def _sanitized(value):
 def redact_json(rows: DataFrame, column: str) -> DataFrame:
     """A JSON text column without sensitive fields (names count without case and underscores) at any depth, as canonical JSON: all other fields stay, whatever
     they are, nulls too.  A text that is no JSON becomes null.  A field's depth isn't known beforehand, which column expressions can't follow: a small function does, batch by batch."""
+    send_package(rows.sparkSession)
+
     @F.pandas_udf("string")
     def redact(texts: pd.Series) -> pd.Series:
         def one(text):

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from barloom.functions.package import send_package
 from barloom.functions.times import micros_of, time_of
 from barloom.streaming.bars import _run, last_batch, version_path
 
@@ -78,6 +79,7 @@ def _rocks(spark: SparkSession) -> Iterator[None]:
 def stream_states(stream: DataFrame, folder: str, checkpoint: str) -> None:
     """Take all rows that are there (instrument_key, price_basis, time_utc, is_complete, data_version, run_id, error_code) and log each touched series' state under ``folder``."""
     spark = stream.sparkSession
+    send_package(spark)
     rows = stream.select("instrument_key", "price_basis", micros_of(F.col("time_utc")).alias("micros"), "is_complete", F.col("data_version").cast("long").alias("data_version"), F.col("run_id").cast("long").alias("run_id"), "error_code")
     states = rows.groupBy("instrument_key", "price_basis").transformWithStateInPandas(_Series(), STATES, "Update", "None")
 
