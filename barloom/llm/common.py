@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barloom.functions.package import send_package
+
 _OWN_FOLDER: list[str] = []
-_SHIPPED: dict[str, bool] = {}
 
 
 #: Rows of an Arrow batch, unless the session has a value of its own: texts may be long.
@@ -21,15 +20,7 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors, whose Python may not have it on its path, and keep Arrow batches of texts small."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    if _SHIPPED.get(spark.sparkContext.applicationId):
-        return
-    root = Path(__file__).resolve().parents[2]
-    archive = Path(tempfile.mkdtemp(prefix="spark-package-")) / "barloom_package.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for path in sorted((root / "barloom").rglob("*.py")):
-            z.write(path, path.relative_to(root))
-    spark.sparkContext.addPyFile(str(archive))
-    _SHIPPED[spark.sparkContext.applicationId] = True
+    send_package(spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
