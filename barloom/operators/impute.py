@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from barloom.operators.calendar import terminal_slot
+from barloom.operators.normalize import valid_digest, valid_path
 
 MAX_CONSECUTIVE, MAX_PER_SESSION = 2, 2
 IMPUTED, ACCEPTED = "IMPUTED_PREVIOUS_VALID", "PROVIDER_ACCEPTED"  # fixed values
@@ -153,3 +154,63 @@ def provider_gap_warnings(approved: DataFrame, overlay: DataFrame, bars: DataFra
     accepted = bars.where("is_complete and quality_status = 'PASS'").select("instrument_key", F.col("time_utc").alias("slot_utc"), F.lit(True).alias("accepted"))
     joined = approved.join(overlay.select("instrument_key", "slot_utc", "source_utc", "reason"), ["instrument_key", "slot_utc"]).join(accepted, ["instrument_key", "slot_utc"], "left")
     return joined.select("instrument_key", "slot_utc", "source_utc", "reason", F.col("accepted").isNull().alias("active"))
+
+
+# The blockers of a session, in order.
+BLOCKERS = [
+    "BLOCKED_IMPUTATION_SCOPE", "BLOCKED_CALENDAR_NOT_VERIFIED", "BLOCKED_EXPECTED_SESSION_INVALID", "BLOCKED_EXPECTED_SESSION_DUPLICATE", "BLOCKED_ACTUAL_TIME_INVALID", "BLOCKED_ACTUAL_DUPLICATE", "BLOCKED_ACTUAL_QUALITY",
+    "BLOCKED_DAILY_CLOSE_SOURCE_MISSING", "BLOCKED_MISSING_PER_SESSION_LIMIT", "BLOCKED_CONSECUTIVE_MISSING_LIMIT", "BLOCKED_UNAPPROVED_IMPUTATION_SCOPE", "BLOCKED_DATA_VERSION_IDENTITY",
+    "BLOCKED_UNAPPROVED_IMPUTATION_DATA_VERSION", "BLOCKED_RIGHT_ACTUAL_ANCHOR_MISSING", "BLOCKED_SESSION_START_WITHOUT_PREVIOUS_ACTUAL", "BLOCKED_LEFT_ACTUAL_ANCHOR_MISSING", "BLOCKED_UNAPPROVED_IMPUTATION_SOURCE",
+    "BLOCKED_SOURCE_LINEAGE_MISSING"]
+
+
+def strict_plan(slots: DataFrame, bars: DataFrame, instruments: DataFrame, previous: DataFrame, approved: DataFrame) -> DataFrame:
+    """plan_status of each session by the whole list of blockers, for imputation that must be approved slot by slot.
+
+    ``slots``: instrument_key, session_date, slot_utc; ``bars``: instrument_key, session_date, time_utc, open, high, low, close, is_complete, data_version, payload_sha256,
+    artifact_relative_path; ``instruments``: instrument_key, in_scope, verification_status; ``previous``: instrument_key, session_date,
+    previous_utc (the terminal slot of the session before); ``approved``: instrument_key, session_date, slots (array, in order), data_version, source_utc.
+    Bars at other times than the expected ones don't count; an anchor at a session's open is the bar at previous_utc.
+    """
+    prices = [F.col(c) for c in ("open", "high", "low", "close")]
+    valid = F.col("is_complete") & (F.least(*prices) > 0) & (F.col("high") >= F.greatest(*prices)) & (F.col("low") <= F.least(*prices)) & ~F.exists(F.array(*prices), lambda x: x.isNull())
+    lineage = valid_digest(F.col("payload_sha256")) & valid_path(F.col("artifact_relative_path"))
+    facts = bars.select(
+        "instrument_key", "session_date", "time_utc", F.coalesce(valid, F.lit(False)).alias("valid"), F.coalesce(lineage, F.lit(False)).alias("lineage"), F.col("data_version").cast("long").alias("data_version"))
+    at = facts.groupBy("instrument_key", "time_utc").agg(F.count("*").alias("n"), F.bool_and("valid").alias("valid"), F.bool_and("lineage").alias("lineage"), F.max("data_version").alias("version"))
+    timeless = facts.where("time_utc is null").select(*SESSION).distinct().withColumn("timeless", F.lit(True))
+
+    told = slots.groupBy(*SESSION).agg(F.count("*").alias("told"), F.count_distinct("slot_utc").alias("expected"), F.count_if(F.col("slot_utc").isNull()).alias("unknown"))
+    each = slots.where("slot_utc is not null").select(*SESSION, "slot_utc").distinct().join(at.withColumnRenamed("time_utc", "slot_utc"), ["instrument_key", "slot_utc"], "left")
+    order = Window.partitionBy(*SESSION).orderBy("slot_utc")
+    each = each.withColumn("index", F.row_number().over(order)).withColumn("missing", F.col("n").isNull())
+    one = each.groupBy(*SESSION).agg(
+        F.count_if("missing").alias("missing"), F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.bool_and("valid"), F.lit(True)).alias("all_valid"), F.max_by("missing", "index").alias("open_end"),
+        F.count_distinct("version").alias("versions"), F.count_if(~F.col("missing") & F.col("version").isNull()).alias("unversioned"), F.max("version").alias("version"),
+        F.array_sort(F.collect_list(F.when(F.col("missing"), F.col("slot_utc")))).alias("gaps"))  # a session's slots at most
+    runs = each.where("missing").withColumn("run", F.col("index") - F.row_number().over(order)).groupBy(*SESSION, "run").agg(F.min("index").alias("first"), F.max("index").alias("last"), F.count("*").alias("length"))
+    longest = runs.groupBy(*SESSION).agg(F.max("length").alias("longest"))
+
+    there = each.where("not missing")
+    left = there.select(*SESSION, (F.col("index") + 1).alias("first"), F.col("slot_utc").alias("l_utc"), F.col("valid").alias("l_valid"), F.col("version").alias("l_version"), F.col("lineage").alias("l_lineage"))
+    right = there.select(*SESSION, (F.col("index") - 1).alias("last"), F.col("version").alias("r_version"), F.lit(True).alias("r_there"))
+    before = previous.select(*SESSION, "previous_utc").join(at.withColumnRenamed("time_utc", "previous_utc"), ["instrument_key", "previous_utc"])
+    before = before.select(*SESSION, F.col("previous_utc").alias("p_utc"), F.col("valid").alias("p_valid"), F.col("version").alias("p_version"), F.col("lineage").alias("p_lineage"))
+    a = approved.select(*SESSION, F.col("slots").alias("a_slots"), F.col("data_version").cast("long").alias("a_version"), F.col("source_utc").alias("a_source"))
+    ends = runs.join(left, [*SESSION, "first"], "left").join(right, [*SESSION, "last"], "left").join(before, SESSION, "left").join(a, SESSION, "left").join(one.select(*SESSION, "version"), SESSION)
+    opens = F.col("first") == 1
+    source = {c: F.when(opens, F.col(f"p_{c}")).otherwise(F.col(f"l_{c}")) for c in ("utc", "valid", "version", "lineage")}
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    code = (
+        F.when(F.col("r_there").isNull(), BLOCKERS[13]).when(no(F.col("r_version") == F.col("version")), BLOCKERS[11]).when(opens & no(source["valid"]), BLOCKERS[14]).when(no(source["valid"]), BLOCKERS[15])
+        .when(no(source["version"] == F.col("version")), BLOCKERS[11]).when(no(source["utc"] == F.col("a_source")), BLOCKERS[16]).when(no(source["lineage"]), BLOCKERS[17]))
+    anchors = ends.withColumn("code", code).where("code is not null").groupBy(*SESSION).agg(F.min_by("code", "first").alias("anchor_code"))
+
+    rows = told.join(one, SESSION, "left").join(longest, SESSION, "left").join(anchors, SESSION, "left").join(a, SESSION, "left").join(timeless, SESSION, "left").join(instruments.select("instrument_key", "in_scope", "verification_status"), "instrument_key", "left")
+    missing = F.coalesce("missing", F.lit(0))
+    status = (
+        F.when(no(F.col("in_scope")), BLOCKERS[0]).when(no(F.col("verification_status") == "VERIFIED"), BLOCKERS[1]).when((F.col("unknown") > 0) | (F.col("expected") == 0), BLOCKERS[2]).when(F.col("told") != F.col("expected"), BLOCKERS[3])
+        .when(F.col("timeless"), BLOCKERS[4]).when(F.col("most") > 1, BLOCKERS[5]).when(~F.col("all_valid"), BLOCKERS[6]).when(F.col("open_end"), BLOCKERS[7]).when(missing == 0, "PASS_NO_IMPUTATION").when(missing > MAX_PER_SESSION, BLOCKERS[8])
+        .when(F.col("longest") > MAX_CONSECUTIVE, BLOCKERS[9]).when(no(F.col("a_slots") == F.col("gaps")), BLOCKERS[10]).when((F.col("unversioned") > 0) | (F.col("versions") != 1), BLOCKERS[11]).when(no(F.col("version") == F.col("a_version")), BLOCKERS[12])
+        .when(F.col("anchor_code").isNotNull(), F.col("anchor_code")).otherwise("PASS_WITH_IMPUTATION_WARNING"))
+    return rows.select(*SESSION, F.col("told").alias("expected_slots"), (F.col("expected") - missing).alias("actual_slots"), missing.alias("missing_slots"), status.alias("plan_status"))

@@ -76,6 +76,46 @@ def i04(spark, folder):
     return im.imputation_plan(_states(spark, folder), _fills(spark, folder), b.instruments(spark, folder))
 
 
+# Approved are the missing slots of sessions on odd days; 'signup' isn't in scope; one bar in 40 is repeated, one in 30 has no valid high, one in 50 no digest.
+_STRICT = """marked AS (SELECT b.*, CASE WHEN last_event % 30 = 4 THEN low - 1 ELSE high END AS h, last_event % 40 = 3 AS twice, last_event % 50 <> 9 AS lineage FROM bars b),
+hit AS (SELECT s.instrument_key, s.session_date, s.slot_utc, m.time_utc IS NULL AS missing, coalesce(twice, false) AS twice, coalesce(m.is_complete AND h >= greatest(open, low, close), true) AS ok, lineage,
+  row_number() OVER (PARTITION BY s.instrument_key, s.session_date ORDER BY slot_utc) AS idx FROM slots s LEFT JOIN marked m ON m.instrument_key = s.instrument_key AND m.time_utc = s.slot_utc),
+gone AS (SELECT *, idx - row_number() OVER (PARTITION BY instrument_key, session_date ORDER BY idx) AS run FROM hit WHERE missing),
+srun AS (SELECT instrument_key, session_date, run, min(idx) AS a, count(*) AS n FROM gone GROUP BY 1, 2, 3),
+anchor AS (SELECT r.instrument_key, r.session_date, a, CASE WHEN a = 1 THEN (SELECT bool_and(p.is_complete AND p.h >= greatest(p.open, p.low, p.close)) FROM own_sessions o JOIN marked p ON p.instrument_key = o.instrument_key AND p.time_utc = o.previous_utc WHERE o.instrument_key = r.instrument_key AND o.session_date = r.session_date) ELSE l.ok END AS ok,
+  CASE WHEN a = 1 THEN (SELECT bool_and(p.lineage) FROM own_sessions o JOIN marked p ON p.instrument_key = o.instrument_key AND p.time_utc = o.previous_utc WHERE o.instrument_key = r.instrument_key AND o.session_date = r.session_date) ELSE l.lineage END AS lineage,
+  CASE WHEN a = 1 THEN (SELECT o.previous_utc FROM own_sessions o WHERE o.instrument_key = r.instrument_key AND o.session_date = r.session_date) ELSE l.slot_utc END AS source_utc
+  FROM srun r LEFT JOIN hit l ON l.instrument_key = r.instrument_key AND l.session_date = r.session_date AND l.idx = r.a - 1),
+firsts AS (SELECT instrument_key, session_date, arg_min(source_utc, a) AS first_source FROM anchor GROUP BY 1, 2),
+coded AS (SELECT instrument_key, session_date, arg_min(code, a) AS code FROM (SELECT instrument_key, session_date, a, CASE WHEN a = 1 AND NOT coalesce(ok, false) THEN 'BLOCKED_SESSION_START_WITHOUT_PREVIOUS_ACTUAL' WHEN source_utc <> first_source THEN 'BLOCKED_UNAPPROVED_IMPUTATION_SOURCE'
+    WHEN NOT lineage THEN 'BLOCKED_SOURCE_LINEAGE_MISSING' END AS code FROM anchor JOIN firsts USING (instrument_key, session_date)) WHERE code IS NOT NULL GROUP BY 1, 2),
+prof AS (SELECT instrument_key, session_date, count(*) AS expected_slots, count(*) FILTER (NOT missing) AS actual_slots, count(*) FILTER (missing) AS missing_slots, bool_or(twice) AS twice, bool_and(ok) AS ok, arg_max(missing, idx) AS open_end FROM hit GROUP BY 1, 2)
+SELECT instrument_key, session_date, expected_slots, actual_slots, missing_slots, CASE WHEN instrument_key = 'signup' THEN 'BLOCKED_IMPUTATION_SCOPE' WHEN twice THEN 'BLOCKED_ACTUAL_DUPLICATE' WHEN NOT ok THEN 'BLOCKED_ACTUAL_QUALITY' WHEN open_end THEN 'BLOCKED_DAILY_CLOSE_SOURCE_MISSING'
+  WHEN missing_slots = 0 THEN 'PASS_NO_IMPUTATION' WHEN missing_slots > 2 THEN 'BLOCKED_MISSING_PER_SESSION_LIMIT' WHEN day(session_date) % 2 = 0 THEN 'BLOCKED_UNAPPROVED_IMPUTATION_SCOPE' WHEN code IS NOT NULL THEN code ELSE 'PASS_WITH_IMPUTATION_WARNING' END AS plan_status
+FROM prof LEFT JOIN coded USING (instrument_key, session_date)"""
+
+
+@query("i04_strict_plan", sql(f"WITH {_STATES}, {_STRICT}"), shared=True)
+def i04_strict(spark, folder):
+    """The approved source of a session is that of its first missing run, so a second run isn't approved."""
+    e = F.col("last_event")
+    kinds = b.instruments(spark, folder).select("instrument_key", (F.col("instrument_key") != "signup").alias("in_scope"), "verification_status")
+    slots = cal.complete_slots(b.instruments(spark, folder), b.sessions(spark, folder))
+    bars = b.bars(spark, folder).withColumns({
+        "high": F.when(e % 30 == 4, F.col("low") - 1).otherwise(F.col("high")), "payload_sha256": F.when(e % 50 != 9, F.sha2(e.cast("string"), 256)).otherwise("none"), "artifact_relative_path": F.lit("raw/x.json"),
+        "session_date": cal.session_date_of(F.col("time_utc")), "copies": F.when(e % 40 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))})
+    bars = bars.withColumn("copy", F.explode("copies"))
+    own = _own_sessions(spark, folder)
+    previous = own.select("instrument_key", "session_date", F.lag(cal.terminal_slot()).over(Window.partitionBy("instrument_key").orderBy("close_utc")).alias("previous_utc"))
+    missing = slots.join(bars.select("instrument_key", F.col("time_utc").alias("slot_utc")).distinct(), ["instrument_key", "slot_utc"], "left_anti").where(F.dayofmonth("session_date") % 2 == 1)
+    gaps = missing.groupBy("instrument_key", "session_date").agg(F.array_sort(F.collect_list("slot_utc")).alias("slots"))
+    opening = slots.groupBy("instrument_key", "session_date").agg(F.min("slot_utc").alias("opening"))
+    gaps = gaps.join(opening, ["instrument_key", "session_date"]).join(previous, ["instrument_key", "session_date"], "left")
+    source = F.when(F.col("slots")[0] == F.col("opening"), F.col("previous_utc")).otherwise(F.col("slots")[0] - F.expr("interval 1 hour"))
+    approved = gaps.select("instrument_key", "session_date", "slots", F.lit(1).alias("data_version"), source.alias("source_utc"))
+    return im.strict_plan(slots, bars, kinds, previous, approved)
+
+
 @query("i05_approved_scope", sql(f"WITH {_STATES} SELECT instrument_key, session_date, CASE WHEN plan_status IN ('PASS_WITH_IMPUTATION_WARNING', 'BLOCKED_ACTUAL_ANCHOR_MISSING') AND EXISTS (SELECT 1 FROM islands i WHERE i.instrument_key = plan.instrument_key AND i.session_date = plan.session_date AND hour(i.slot_utc) >= 12) THEN 'BLOCKED_UNAPPROVED_IMPUTATION_SCOPE' ELSE plan_status END AS plan_status FROM plan"), shared=True)
 def i05(spark, folder):
     states = _states(spark, folder)

@@ -358,3 +358,62 @@ def test_a_scoped_rebuild_replaces_its_own_partitions(spark, tmp_path):
     write_derivation(rows([]), path, "v2", rows([]))
     read = lambda v: sorted((r.instrument_key, r.n) for r in read_derivation(spark, path, v).collect())
     assert read("v1") == [("a", 1), ("b", 1), ("c", 1)] and read("v2") == [("a", 3), ("c", 2)]
+
+
+CODES = [c for c in impute.BLOCKERS if c not in ("BLOCKED_RIGHT_ACTUAL_ANCHOR_MISSING", "BLOCKED_LEFT_ACTUAL_ANCHOR_MISSING")]  # the last slot is there and a run's left one too
+
+
+@pytest.mark.parametrize("code", [*CODES, "PASS_NO_IMPUTATION", "PASS_WITH_IMPUTATION_WARNING", "VERSIONS_OF_ANCHORS"])
+def test_every_blocker_of_a_session(spark, code):
+    day, hours = dt.date(2024, 1, 10), [at(f"2024-01-10 {h:02}:00:00") for h in range(10, 17)]
+    before = at("2024-01-09 16:00:00")
+    gone, slots, versions = {2}, list(hours), {}
+    scope, verified, approved_version, source = True, "VERIFIED", 1, hours[1]
+    extra, wrong, digest, no_time = [], set(), "a" * 64, False
+    if code == "BLOCKED_IMPUTATION_SCOPE":
+        scope = False
+    elif code == "BLOCKED_CALENDAR_NOT_VERIFIED":
+        verified = "PENDING"
+    elif code == "BLOCKED_EXPECTED_SESSION_INVALID":
+        slots.append(None)
+    elif code == "BLOCKED_EXPECTED_SESSION_DUPLICATE":
+        slots.append(hours[0])
+    elif code == "BLOCKED_ACTUAL_TIME_INVALID":
+        no_time = True
+    elif code == "BLOCKED_ACTUAL_DUPLICATE":
+        extra = [hours[0]]
+    elif code == "BLOCKED_ACTUAL_QUALITY":
+        wrong = {4}
+    elif code == "BLOCKED_DAILY_CLOSE_SOURCE_MISSING":
+        gone = {6}
+    elif code == "BLOCKED_MISSING_PER_SESSION_LIMIT":
+        gone = {1, 3, 5}
+    elif code == "BLOCKED_CONSECUTIVE_MISSING_LIMIT":
+        gone = {1, 2, 3}
+    elif code == "BLOCKED_UNAPPROVED_IMPUTATION_SCOPE":
+        gone = {3}
+    elif code == "BLOCKED_DATA_VERSION_IDENTITY":
+        versions = {5: 2}
+    elif code == "BLOCKED_UNAPPROVED_IMPUTATION_DATA_VERSION":
+        approved_version = 2
+    elif code == "BLOCKED_SESSION_START_WITHOUT_PREVIOUS_ACTUAL":
+        gone, before = {0}, at("2024-01-09 15:00:00")
+    elif code == "BLOCKED_UNAPPROVED_IMPUTATION_SOURCE":
+        source = hours[0]
+    elif code == "BLOCKED_SOURCE_LINEAGE_MISSING":
+        digest = "none"
+    elif code == "PASS_NO_IMPUTATION":
+        gone = set()
+    elif code == "VERSIONS_OF_ANCHORS":  # the bar of the session before has another version
+        gone, source, versions = {0}, before, {-1: 2}
+    kind = "instrument_key string, session_date date, time_utc timestamp_ntz, open int, high int, low int, close int, is_complete boolean, data_version int, payload_sha256 string, artifact_relative_path string"
+    bar = lambda t, k, bad=False: ("a", t.date() if t else day, t, 2, 1 if bad else 3, 1, 2, True, versions.get(k, 1), digest, "raw/x")
+    bars = [bar(t, k, k in wrong) for k, t in enumerate(hours) if k not in gone] + [bar(t, 0) for t in extra] + [bar(at("2024-01-09 16:00:00"), -1)] + ([bar(None, 0)] if no_time else [])
+    listed = sorted(gone - {3} | {2} if code == "BLOCKED_UNAPPROVED_IMPUTATION_SCOPE" else gone)
+    if code in ("BLOCKED_CONSECUTIVE_MISSING_LIMIT",):  # two limits of the same size: the first one in order speaks
+        code = "BLOCKED_MISSING_PER_SESSION_LIMIT"
+    got = impute.strict_plan(
+        spark.createDataFrame([("a", day, t) for t in slots], "instrument_key string, session_date date, slot_utc timestamp_ntz"), spark.createDataFrame(bars, kind), spark.createDataFrame([("a", scope, verified)], "instrument_key string, in_scope boolean, verification_status string"),
+        spark.createDataFrame([("a", day, before)], "instrument_key string, session_date date, previous_utc timestamp_ntz"),
+        spark.createDataFrame([("a", day, [hours[k] for k in listed], approved_version, source)], "instrument_key string, session_date date, slots array<timestamp_ntz>, data_version int, source_utc timestamp_ntz")).collect()
+    assert [r.plan_status for r in got] == ["BLOCKED_DATA_VERSION_IDENTITY" if code == "VERSIONS_OF_ANCHORS" else code]
