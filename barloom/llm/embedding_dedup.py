@@ -36,7 +36,7 @@ BLOCK_DIMS, GRID_DIMS, MOST_GRID_DIMS = 8, 3, 5
 #: Vectors of a label beyond which its grid has one coordinate more, and another for each time that it is four times as large.
 GRID_LABEL = 65_536
 #: Coordinates of a block that meet in one task; in larger cells blocks of them meet in pairs.
-CELL_ROWS = 8192
+CELL_ROWS = 32_768
 #: Width of a cell in radii of a block's range.
 CELL = 2.5
 
@@ -135,8 +135,9 @@ def _company(similarity: float):
             z = np.frombuffer(b"".join(places[x:y]), "<f4").reshape(y - x, -1).astype(np.float64)
             budget = (2 - 2 * similarity) * z.shape[1] / size[x] + 1e-5
             sq, here = (z * z).sum(1), np.zeros(y - x, bool)
-            for at in range(0, y - x, 256):
-                s = slice(at, at + 256)
+            step = max(16, min(256, (1 << 22) // (y - x)))
+            for at in range(0, y - x, step):
+                s = slice(at, at + step)
                 near = (sq[s, None] + sq[None, :] - 2 * (z[s] @ z.T) <= budget) & (home[x:y][s, None] | home[x:y][None, :])
                 near &= _same(s, cell[x:y], block[x:y], label[x:y])
                 near[np.arange(near.shape[0]), at + np.arange(near.shape[0])] = False
