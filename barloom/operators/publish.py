@@ -18,7 +18,7 @@ def candidate_profile(quotes: DataFrame, now) -> DataFrame:
     return quotes.groupBy("instrument_key").agg(
         F.count("*").alias("rows"), F.count_if(any_of([s.isNull() for s in sides])).alias("null_rows"), F.count_if(F.least(*sides) <= 0).alias("nonpositive_rows"),
         F.count_if(any_of([F.col(f"bid_{f}") > F.col(f"ask_{f}") for f in FIELDS])).alias("crossed_rows"), F.count_if(bad("bid_") | bad("ask_")).alias("side_violations"), F.count_if(bad("")).alias("mid_violations"),
-        F.count_if(F.col("is_complete") & (F.col("time_utc") > now)).alias("future_rows"), (F.count("*") - F.count_distinct("time_utc")).alias("duplicate_rows"), F.count_distinct("data_version").alias("versions"),
+        F.count_if(F.col("is_complete") & (F.col("time_utc") > now)).alias("future_rows"), (F.count("*") - F.count_distinct("time_utc")).alias("duplicate_rows"), F.count_distinct("data_version").alias("versions"), F.count_if(F.col("data_version").isNull()).alias("null_version_rows"),
         F.min("time_utc").alias("first_utc"), F.max("time_utc").alias("latest_seen_utc"), F.max(F.when(F.col("is_complete"), F.col("time_utc"))).alias("latest_complete_utc"))
 
 
@@ -39,6 +39,34 @@ def standard_checks(start) -> dict[str, object]:
     }
 
 
+def whole_profile(profile: DataFrame, coverage: DataFrame, freshness: DataFrame, runs: DataFrame, watermarks: DataFrame, blockers: DataFrame, gaps: DataFrame, audit: DataFrame) -> DataFrame:
+    """A candidate's profile with what else its gate looks at; what a table lacks is null, which fails.
+
+    ``coverage``: coverage_status; ``freshness``: freshness_status; ``runs``: run_id, run_status of the last run; ``watermarks``: data_status; ``blockers``: current_blockers, unknown_blockers;
+    ``gaps``: gap_verdict, gap_blocking, gap_unclassified; ``audit``: inclusive_boundary_duplicates, conflicting_boundary_rows; each by instrument_key.
+    """
+    parts = [
+        (coverage, ["coverage_status"]), (freshness, ["freshness_status"]), (runs, ["run_id", "run_status"]), (watermarks, ["data_status"]), (blockers, ["current_blockers", "unknown_blockers"]),
+        (gaps, ["gap_verdict", "gap_blocking", "gap_unclassified"]), (audit, ["inclusive_boundary_duplicates", "conflicting_boundary_rows"])]
+    for rows, columns in parts:
+        profile = profile.join(rows.select("instrument_key", *columns), "instrument_key", "left")
+    return profile
+
+
+def whole_checks(start, run_id) -> dict[str, object]:
+    """All checks of a ``whole_profile`` by name, in order.  ``run_id``: the run that asks for the gate; a profile without ``null_version_rows`` fails data_version_single."""
+    some = standard_checks(start)
+    zero = lambda c: F.col(c) == 0
+    twice, differing = F.col("inclusive_boundary_duplicates"), F.col("conflicting_boundary_rows")
+    return {
+        "run_pass": (F.col("run_status") == "PASS") & (F.col("run_id") == run_id), "watermark_active": F.col("data_status") == "ACTIVE", "data_version_single": some["data_version_single"] & zero("null_version_rows"),
+        "coverage_accounted": F.col("coverage_status").isin("PASS", "WARN") & (F.col("gap_verdict") == "PASS") & zero("gap_blocking") & zero("gap_unclassified"),
+        "effective_coverage_start_reached": some["effective_coverage_start_reached"], "freshness_pass": F.col("freshness_status") == "PASS", "curated_duplicate_zero": some["curated_duplicate_zero"],
+        "page_boundary_duplicates_audited": (twice >= 0) & (differing >= 0) & (differing <= twice), "null_zero": some["null_zero"], "nonpositive_zero": some["nonpositive_zero"], "side_ohlc_valid": some["side_ohlc_valid"],
+        "midpoint_ohlc_valid": some["midpoint_ohlc_valid"], "bid_ask_valid": some["bid_ask_valid"], "future_complete_zero": some["future_complete_zero"], "current_blockers_zero": zero("current_blockers"),
+        "unknown_blockers_zero": zero("unknown_blockers"), "latest_sample_forming": some["latest_sample_forming"]}
+
+
 def history_boundary(observed: DataFrame, contract: DataFrame) -> DataFrame:
     """Whether the advertised start is the contract's and the observed start is not later than the effective one."""
     joined = observed.join(contract, "instrument_key")

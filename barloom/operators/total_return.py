@@ -27,6 +27,31 @@ def validate_batch(rows: DataFrame, tickers: list[str]) -> DataFrame:
     return rows.withColumn("before", before).select("arrival", "ticker", F.explode(codes).alias("error_code"))
 
 
+#: Values that a row of a publishable dataset must have, all positive.
+QUALITY_VALUES = ("open_unadjusted", "high_unadjusted", "low_unadjusted", "close_unadjusted", "adjusted_close", "total_return_index")
+
+
+def research_quality(rows: DataFrame, sessions: DataFrame, tickers: list[str]) -> DataFrame:
+    """Error rows (ticker, error_code, detail) of a dataset before it is published, each once: all of ``validate_batch``, required values that are null or not positive, negative volumes, highs
+    and lows that don't hold the other prices, missing revisions, sessions without a row, and tickers without any."""
+    base = validate_batch(rows, tickers).select("ticker", "error_code", F.col("arrival").cast("string").alias("detail"))
+    value = lambda c: F.col(c)
+    o, h, l, c = (value(f"{f}_unadjusted") for f in ("open", "high", "low", "close"))  # noqa: E741
+    code = lambda name, field=None: F.struct(F.lit(name).alias("error_code"), (F.lit(field) if field else F.col("arrival").cast("string")).alias("detail"))
+    whole = o.isNotNull() & h.isNotNull() & l.isNotNull() & c.isNotNull()
+    found = [F.when(value(f).isNull(), code("NULL_REQUIRED_VALUE", f)).when(value(f) <= 0, code("NONPOSITIVE_VALUE", f)) for f in QUALITY_VALUES]
+    found += [
+        F.when(F.col("volume") < 0, code("NEGATIVE_VOLUME")), F.when(whole & (h < F.greatest(o, l, c)), code("OHLC_HIGH_INCONSISTENT")), F.when(whole & (l > F.least(o, h, c)), code("OHLC_LOW_INCONSISTENT")),
+        F.when(F.coalesce(F.trim("provider_revision"), F.lit("")) == "", code("PROVIDER_REVISION_MISSING"))]
+    own = rows.select("ticker", F.explode(F.array_compact(F.array(*found))).alias("e"), "arrival").select("ticker", "e.error_code", F.when(F.col("e.error_code").isin("NULL_REQUIRED_VALUE", "NONPOSITIVE_VALUE"), F.concat_ws(":", "e.detail", F.col("arrival").cast("string"))).otherwise(F.col("e.detail")).alias("detail"))
+    asked = rows.sparkSession.createDataFrame([(t,) for t in tickers], "ticker string")
+    held = rows.where("date is not null").select("ticker", F.col("date").alias("session_date")).distinct()
+    expected = asked.crossJoin(F.broadcast(sessions.select("session_date").distinct()))  # the tickers asked for; a calendar's sessions are few
+    missing = expected.join(held, ["ticker", "session_date"], "left_anti").select("ticker", F.lit("MISSING_EXPECTED_SESSION").alias("error_code"), F.col("session_date").cast("string").alias("detail"))
+    none = asked.join(held, "ticker", "left_anti").select("ticker", F.lit("TICKER_MISSING").alias("error_code"), F.lit("").alias("detail"))
+    return base.unionByName(own).unionByName(missing).unionByName(none).distinct()
+
+
 def batch_content(rows: DataFrame) -> DataFrame:
     """rows and content_sha256 of a whole batch, in order of ticker, date and arrival."""
     columns = [c for c in ("ticker", "date", *VALUES) if c in rows.columns]

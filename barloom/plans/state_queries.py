@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from barloom.functions.times import ntz
-from barloom.operators import digests as dg, bars as der, calendar as cal, events as ev, impute as im, normalize as nz, publish as pu, reads as rd, receipts as rc, reports as rep, total_return as tr
+from barloom.operators import digests as dg, bars as der, calendar as cal, events as ev, impute as im, merge as mg, normalize as nz, publish as pu, reads as rd, receipts as rc, reports as rep, total_return as tr
 from barloom.plans import bindings as b
 from barloom.plans.bar_queries import _DUE, _INVENTORY, _SERIES, COVERAGE, FRESHNESS, _series, a14, a15
 from barloom.plans.bindings import NOW, sql, tree_hash
-from barloom.plans.change_queries import _AVAIL, _MID, _availability, _quotes
+from barloom.plans.change_queries import _AVAIL, _MID, _PAGES, _availability, _pages, _quotes
 from barloom.plans.registry import query
 
 # --- imputation ---------------------------------------------------------------------------------
@@ -304,7 +304,7 @@ def q12(spark, folder):
 
 # --- publication --------------------------------------------------------------------------------
 
-_PROFILE = f"""{_MID}, prof AS (SELECT instrument_key, count(*) AS rows, CAST(0 AS BIGINT) AS null_rows, count(*) FILTER (least(bid_open, bid_high, bid_low, bid_close, ask_open, ask_high, ask_low, ask_close) <= 0) AS nonpositive_rows, count(*) FILTER (bid_open > ask_open OR bid_high > ask_high OR bid_low > ask_low OR bid_close > ask_close) AS crossed_rows,
+_PROFILE = f"""{_MID}, prof AS (SELECT instrument_key, count(*) AS rows, CAST(0 AS BIGINT) AS null_rows, CAST(0 AS BIGINT) AS null_version_rows, count(*) FILTER (least(bid_open, bid_high, bid_low, bid_close, ask_open, ask_high, ask_low, ask_close) <= 0) AS nonpositive_rows, count(*) FILTER (bid_open > ask_open OR bid_high > ask_high OR bid_low > ask_low OR bid_close > ask_close) AS crossed_rows,
   count(*) FILTER (bid_high < greatest(bid_open, bid_low, bid_close) OR bid_low > least(bid_open, bid_high, bid_close) OR ask_high < greatest(ask_open, ask_low, ask_close) OR ask_low > least(ask_open, ask_high, ask_close)) AS side_violations, count(*) FILTER (high < greatest(open, low, close) OR low > least(open, high, close)) AS mid_violations,
   count(*) FILTER (is_complete AND time_utc > TIMESTAMP '2024-01-28') AS future_rows, count(*) - count(DISTINCT time_utc) AS duplicate_rows, CAST(1 AS BIGINT) AS versions, min(time_utc) AS first_utc, max(time_utc) AS latest_seen_utc, max(time_utc) FILTER (is_complete) AS latest_complete_utc FROM mids GROUP BY 1)"""
 
@@ -318,6 +318,30 @@ def u01(spark, folder):
     return _profile(spark, folder)
 
 
+# The whole gate: the run is that of day 30; 'click' has blockers, the gaps' verdict is that of blocking gaps by the bar's hour.
+_CHECKS_SQL = {
+    "run_pass": "instrument_key = 'view'", "watermark_active": "true", "data_version_single": "versions = 1 AND null_version_rows = 0", "coverage_accounted": "instrument_key = 'click'", "effective_coverage_start_reached": "first_utc <= TIMESTAMP '2024-01-02'",
+    "freshness_pass": "freshness_status = 'PASS'", "curated_duplicate_zero": "duplicate_rows = 0", "page_boundary_duplicates_audited": "repeats >= differing", "null_zero": "null_rows = 0", "nonpositive_zero": "nonpositive_rows = 0",
+    "side_ohlc_valid": "side_violations = 0", "midpoint_ohlc_valid": "mid_violations = 0", "bid_ask_valid": "crossed_rows = 0", "future_complete_zero": "future_rows = 0", "current_blockers_zero": "instrument_key <> 'click'", "unknown_blockers_zero": "true",
+    "latest_sample_forming": "latest_complete_utc < latest_seen_utc"}
+_FAILED = " || ".join(f"CASE WHEN coalesce({ok}, false) THEN '' ELSE '{name},' END" for name, ok in _CHECKS_SQL.items())
+_WHOLE = f"""{FRESHNESS}, {_PROFILE}, {_PAGES},
+audit AS (SELECT instrument_key, count(*) - count(DISTINCT time_utc) AS repeats, count(*) FILTER (close <> c) AS differing FROM (SELECT *, first_value(close) OVER (PARTITION BY instrument_key, time_utc ORDER BY page_number, position) AS c FROM paged) GROUP BY 1),
+g AS (SELECT instrument_key, rtrim({_FAILED}, ',') AS failed_checks FROM prof LEFT JOIN (SELECT instrument_key, freshness_status FROM fresh) USING (instrument_key) LEFT JOIN audit USING (instrument_key))
+SELECT *, CASE WHEN failed_checks = '' THEN 'PASS' ELSE 'BLOCKED' END AS gate_status FROM g"""
+
+
+@query("u02_whole_gate", sql(_WHOLE), shared=True)
+def u02_whole(spark, folder):
+    key = F.col("instrument_key")
+    keys = b.instruments(spark, folder).where("asset_type = 'FxSpot'").select("instrument_key")
+    profile = pu.whole_profile(
+        _profile(spark, folder), keys.withColumn("coverage_status", F.lit("WARN")), a15(spark, folder), keys.select("*", F.lit(30).alias("run_id"), F.when(key == "view", "PASS").otherwise("FAILED").alias("run_status")), b.watermarks(spark, folder),
+        keys.select("*", F.when(key == "click", 2).otherwise(0).alias("current_blockers"), F.lit(0).alias("unknown_blockers")), keys.select("*", F.when(key == "click", "PASS").otherwise("BLOCKED").alias("gap_verdict"), F.lit(0).alias("gap_blocking"), F.lit(0).alias("gap_unclassified")),
+        mg.duplicate_audit(_pages(spark, folder), ["close"]))
+    return pu.candidate_gate(profile, pu.whole_checks(_t("2024-01-02"), F.lit(30)))
+
+
 @query("u02_candidate_gate", sql(f"""WITH {_PROFILE}, g AS (SELECT instrument_key, rtrim(CASE WHEN versions <> 1 THEN 'data_version_single,' ELSE '' END || CASE WHEN first_utc > TIMESTAMP '2024-01-02' THEN 'effective_coverage_start_reached,' ELSE '' END || CASE WHEN duplicate_rows > 0 THEN 'curated_duplicate_zero,' ELSE '' END || CASE WHEN nonpositive_rows > 0 THEN 'nonpositive_zero,' ELSE '' END || CASE WHEN side_violations > 0 THEN 'side_ohlc_valid,' ELSE '' END || CASE WHEN mid_violations > 0 THEN 'midpoint_ohlc_valid,' ELSE '' END || CASE WHEN crossed_rows > 0 THEN 'bid_ask_valid,' ELSE '' END || CASE WHEN future_rows > 0 THEN 'future_complete_zero,' ELSE '' END || CASE WHEN latest_complete_utc >= latest_seen_utc THEN 'latest_sample_forming,' ELSE '' END, ',') AS failed_checks FROM prof)
 SELECT *, CASE WHEN failed_checks = '' THEN 'PASS' ELSE 'BLOCKED' END AS gate_status FROM g"""))
 def u02(spark, folder):
@@ -397,6 +421,30 @@ def t02(spark, folder):
     return tr.completeness(rows, rows.select(F.col("date").alias("session_date")).distinct())
 
 
+_QUALITY = f"""WITH {_TR}, q AS (
+  SELECT ticker, date, adjusted_close, close_unadjusted, dividend_cash, CAST(CASE WHEN day(date) % 11 = 3 THEN NULL ELSE close_unadjusted END AS DECIMAL(24,6)) AS o, CAST(adjusted_close - CASE WHEN day(date) % 13 = 5 THEN adjusted_close ELSE 0 END AS DECIMAL(24,6)) AS h,
+    CAST(close_unadjusted + CASE WHEN day(date) % 17 = 6 THEN 1 ELSE 0 END AS DECIMAL(24,6)) AS l, day(date) % 7 - 1 AS volume, CASE WHEN day(date) % 19 = 8 THEN ' ' ELSE 'r1' END AS revision FROM trr WHERE day(date) <> 9 OR ticker <> '2-HIGH')
+SELECT ticker, error_code, count(*) AS n FROM (
+  SELECT ticker, date, 'NULL_REQUIRED_VALUE' AS error_code FROM q WHERE o IS NULL UNION ALL SELECT ticker, date, 'NONPOSITIVE_VALUE' FROM q WHERE h <= 0 UNION ALL SELECT ticker, date, 'NEGATIVE_VOLUME' FROM q WHERE volume < 0
+  UNION ALL SELECT ticker, date, 'OHLC_HIGH_INCONSISTENT' FROM q WHERE o IS NOT NULL AND h < greatest(o, l, close_unadjusted) UNION ALL SELECT ticker, date, 'OHLC_LOW_INCONSISTENT' FROM q WHERE o IS NOT NULL AND l > least(o, h, close_unadjusted)
+  UNION ALL SELECT ticker, date, 'PROVIDER_REVISION_MISSING' FROM q WHERE trim(revision) = ''
+  UNION ALL SELECT t.ticker, s.date, 'MISSING_EXPECTED_SESSION' FROM (SELECT DISTINCT ticker FROM trr UNION SELECT 'NONE') t, (SELECT DISTINCT date FROM trr) s WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.ticker = t.ticker AND q.date = s.date)
+  UNION ALL SELECT 'NONE', NULL, 'TICKER_MISSING') GROUP BY 1, 2"""
+
+
+@query("t02_research_quality", _QUALITY)
+def t02_quality(spark, folder):
+    """Total-return rows with some values taken away or changed by their day, and one ticker that has none."""
+    rows, d = _tr(spark, folder), F.dayofmonth("date")
+    price = lambda c: c.cast("decimal(24,6)")
+    sessions = rows.select(F.col("date").alias("session_date")).distinct()
+    changed = rows.where("dayofmonth(date) <> 9 or ticker <> '2-HIGH'").withColumns({
+        "open_unadjusted": F.when(d % 11 != 3, F.col("close_unadjusted")), "high_unadjusted": price(F.col("adjusted_close") - F.when(d % 13 == 5, F.col("adjusted_close")).otherwise(0)),
+        "low_unadjusted": price(F.col("close_unadjusted") + F.when(d % 17 == 6, 1).otherwise(0)), "total_return_index": F.lit(100), "volume": d % 7 - 1, "provider_revision": F.when(d % 19 == 8, " ").otherwise("r1"), "split_factor": F.lit(1), "arrival": F.unix_date("date")})
+    tickers = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "NONE"]
+    return tr.research_quality(changed, sessions, tickers).groupBy("ticker", "error_code").agg(F.count("*").alias("n"))
+
+
 @query("t03_revision_keys", f"WITH {_TR} SELECT ticker || ':' || CAST(date AS VARCHAR) AS revision_key FROM trr WHERE day(date) % 9 = 0")
 def t03(spark, folder):
     rows = _tr(spark, folder)

@@ -417,3 +417,27 @@ def test_every_blocker_of_a_session(spark, code):
         spark.createDataFrame([("a", day, before)], "instrument_key string, session_date date, previous_utc timestamp_ntz"),
         spark.createDataFrame([("a", day, [hours[k] for k in listed], approved_version, source)], "instrument_key string, session_date date, slots array<timestamp_ntz>, data_version int, source_utc timestamp_ntz")).collect()
     assert [r.plan_status for r in got] == ["BLOCKED_DATA_VERSION_IDENTITY" if code == "VERSIONS_OF_ANCHORS" else code]
+
+
+GATE = {
+    "run_pass": {"run_id": 8}, "watermark_active": {"data_status": "STALE_DATA_VERSION"}, "data_version_single": {"null_version_rows": 1}, "coverage_accounted": {"gap_unclassified": 1}, "effective_coverage_start_reached": {"first_utc": at("2024-02-01 00:00:00")},
+    "freshness_pass": {"freshness_status": "STALE"}, "curated_duplicate_zero": {"duplicate_rows": 1}, "page_boundary_duplicates_audited": {"conflicting_boundary_rows": 4}, "null_zero": {"null_rows": None}, "nonpositive_zero": {"nonpositive_rows": 1},
+    "side_ohlc_valid": {"side_violations": 1}, "midpoint_ohlc_valid": {"mid_violations": 2}, "bid_ask_valid": {"crossed_rows": 1}, "future_complete_zero": {"future_rows": 1}, "current_blockers_zero": {"current_blockers": 1}, "unknown_blockers_zero": {"unknown_blockers": None},
+    "latest_sample_forming": {"latest_complete_utc": at("2024-01-20 00:00:00")}}
+
+
+def test_each_check_of_the_gate_by_itself(spark):
+    good = {
+        "run_id": 7, "run_status": "PASS", "data_status": "ACTIVE", "versions": 1, "null_version_rows": 0, "coverage_status": "WARN", "gap_verdict": "PASS", "gap_blocking": 0, "gap_unclassified": 0, "first_utc": at("2024-01-01 00:00:00"), "freshness_status": "PASS",
+        "duplicate_rows": 0, "inclusive_boundary_duplicates": 3, "conflicting_boundary_rows": 3, "null_rows": 0, "nonpositive_rows": 0, "side_violations": 0, "mid_violations": 0, "crossed_rows": 0, "future_rows": 0, "current_blockers": 0, "unknown_blockers": 0,
+        "latest_complete_utc": at("2024-01-19 23:00:00"), "latest_seen_utc": at("2024-01-20 00:00:00")}
+    kind = ", ".join(f"{c} {'string' if isinstance(v, str) else 'int' if isinstance(v, int) else 'timestamp_ntz'}" for c, v in good.items())
+    rows = [("good", *good.values())] + [(name, *(good | change).values()) for name, change in GATE.items()]
+    checks = publish.whole_checks(F.lit("2024-01-05").cast("timestamp_ntz"), F.lit(7))
+    assert list(checks) == list(GATE)
+    got = {r.instrument_key: (r.failed_checks, r.gate_status) for r in publish.candidate_gate(spark.createDataFrame(rows, "instrument_key string, " + kind), checks).collect()}
+    assert got == {"good": ("", "PASS")} | {name: (name, "BLOCKED") for name in GATE}
+    keys = spark.createDataFrame([("a",)], "instrument_key string")
+    with_ = lambda *c: keys.select("*", *[F.lit(None).cast("int").alias(x) for x in c])
+    whole = publish.whole_profile(keys, with_("coverage_status"), with_("freshness_status"), with_("run_id", "run_status"), with_("data_status"), with_("current_blockers", "unknown_blockers"), with_("gap_verdict", "gap_blocking", "gap_unclassified"), with_("inclusive_boundary_duplicates", "conflicting_boundary_rows"))
+    assert whole.count() == 1 and len(whole.columns) == 13
