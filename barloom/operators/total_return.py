@@ -13,11 +13,13 @@ VALUES = ("close_unadjusted", "adjusted_close", "dividend_cash", "split_factor")
 def validate_batch(rows: DataFrame, tickers: list[str]) -> DataFrame:
     """Error rows (arrival, error_code) of a batch with an arrival order.
 
-    A date reversal compares with the row before of the same ticker that has a valid date and is not a duplicate.
+    A date reversal compares with the row before of the same ticker that has a valid date and is not a duplicate.  Of a ticker only these rows,
+    one for each date, stand in one order; all others are dealt out by a hash of their arrival.
     """
-    first = F.row_number().over(Window.partitionBy("ticker", "date").orderBy("arrival")) == 1
-    rows = rows.withColumn("valid", F.col("date").isNotNull()).withColumn("first", F.col("date").isNotNull() & first)
-    before = F.last(F.when(F.col("first"), F.col("date")), ignorenulls=True).over(Window.partitionBy("ticker").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1))
+    apart, dated = F.xxhash64("arrival"), F.col("date").isNotNull()
+    first = F.row_number().over(Window.partitionBy("ticker", "date", F.when(~dated, apart)).orderBy("arrival")) == 1
+    rows = rows.withColumn("valid", dated).withColumn("first", dated & first)
+    before = F.lag("date").over(Window.partitionBy("ticker", F.when(~F.col("first"), apart)).orderBy("arrival"))  # read for first rows alone
     bad = lambda c, ok: ~F.coalesce(ok, F.lit(False))
     codes = F.array_compact(F.array(
         F.when(~F.col("ticker").isin(tickers), "UNSUPPORTED_TICKER"), F.when(~F.col("valid"), "INVALID_DATE"), F.when(F.col("valid") & ~F.col("first"), "DUPLICATE_DATE"),
