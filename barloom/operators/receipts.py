@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# Contracts are a registry of a few rows, each with any number of receipts: they are broadcast, so that receipts don't meet by contract in one task.
+
 GOOD = ("AVAILABLE", "AVAILABLE_WITH_WARNINGS")
 STATES = ("AVAILABLE", "AVAILABLE_WITH_WARNINGS", "BLOCKED")
 
@@ -19,7 +21,7 @@ def contract_status(contracts: DataFrame, receipts: DataFrame) -> DataFrame:
 
 def validate_receipts(receipts: DataFrame, contracts: DataFrame) -> DataFrame:
     """The first rule that each receipt breaks, or null."""
-    joined = receipts.join(contracts.select("contract_id", F.lit(True).alias("known")), "contract_id", "left")
+    joined = receipts.join(F.broadcast(contracts.select("contract_id", F.lit(True).alias("known"))), "contract_id", "left")
     unique = lambda c: F.size(F.array_distinct(c)) == F.size(c)
     good = F.col("availability_state").isin(*GOOD)
     code = (
@@ -30,7 +32,7 @@ def validate_receipts(receipts: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def list_receipts(receipts: DataFrame, contracts: DataFrame, role: str | None, limit: int) -> DataFrame:
-    rows = receipts.join(contracts.select("contract_id", "dataset_role"), "contract_id")
+    rows = receipts.join(F.broadcast(contracts.select("contract_id", "dataset_role")), "contract_id")
     if role is not None:
         rows = rows.where(F.col("dataset_role") == role)
     return rows.orderBy(F.col("created_utc").desc(), F.col("receipt_id").desc()).limit(limit)
