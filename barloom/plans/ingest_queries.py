@@ -201,7 +201,7 @@ SELECT instrument_key, slot_utc, CASE WHEN timely AND run_status = 'PASS' THEN '
   NOT ready AND ready_utc < now AS not_ready_in_time, CASE WHEN timely THEN arrived_utc END AS arrived_utc FROM met"""
 
 
-@query("x06_slot_sla", sql(_X06))
+@query("x06_slot_sla", sql(_X06), shared=True)
 def x06_sla(spark, folder):
     """Slots with their limits, and bars that arrive after 2, 31 or 241 minutes, some days at a time; the last run has ticks alone."""
     delay = F.when(F.col("asset_type") == "FxSpot", 60 * cal.FX_DELAY_MINUTES).otherwise(60 * cal.EQUITY_DELAY_MINUTES)
@@ -215,13 +215,14 @@ def x06_sla(spark, folder):
     due.write.parquet(f"{base}/due")
     rows.write.parquet(f"{base}/all")
     rows = spark.read.schema(rows.schema).parquet(f"{base}/all")
+    partitions = sl.partitions_for(rows.count() + spark.read.schema(due.schema).parquet(f"{base}/due").count())
     time, clock = lambda text: F.lit(text).cast("timestamp_ntz"), F.lit(sl.TICK).alias("instrument_key")
     for before, now in zip([None, *TICKS], [*TICKS, TICKS[-1]]):
         arrived = rows.where((F.col("arrived_utc") < time(now)) & (F.lit(True) if before is None else F.col("arrived_utc") >= time(before)))
         tick = spark.range(1)
         arrived.unionByName(tick.select(clock, time(now).alias("time_utc"), time(now).alias("arrived_utc"), F.lit("PASS").alias("run_status"))).write.mode("append").parquet(f"{base}/in")
         tick.select(clock, time(now).alias("slot_utc"), time(now).alias("ready_utc"), time(now).alias("deadline_utc")).write.mode("append").parquet(f"{base}/due")
-        sl.stream_slot_events(spark.readStream.schema(due.schema).parquet(f"{base}/due"), spark.readStream.schema(rows.schema).parquet(f"{base}/in"), f"{base}/events")
+        sl.stream_slot_events(spark.readStream.schema(due.schema).parquet(f"{base}/due"), spark.readStream.schema(rows.schema).parquet(f"{base}/in"), f"{base}/events", partitions=partitions)
     return sl.slot_states(spark.read.schema(due.schema).parquet(f"{base}/due").where(F.col("instrument_key") != sl.TICK), sl.slot_events(spark, f"{base}/events"))
 
 

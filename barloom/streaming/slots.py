@@ -10,6 +10,9 @@ The clock is the slower one of both streams, and a stream that has had no row si
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.functions.times import micros_of
@@ -18,6 +21,8 @@ EVENTS = "instrument_key string, slot_utc timestamp_ntz, event string, arrived_u
 TICK = ""
 #: The longest time from a slot's start to its limit: how far arrivals are kept.
 REACH = "1 day"
+#: Slots and arrivals for each partition of the state.
+ROWS_EACH = 100_000
 
 
 def _against(slots: DataFrame, arrivals: DataFrame, limit: str, lateness: str) -> DataFrame:
@@ -29,17 +34,36 @@ def _against(slots: DataFrame, arrivals: DataFrame, limit: str, lateness: str) -
     return s.join(a, same & timely, "left").select("s.instrument_key", "s.slot_utc", "a.arrived_utc", "a.run_status")
 
 
-def stream_slot_events(slots: DataFrame, arrivals: DataFrame, folder: str, lateness: str = "0 seconds") -> None:
+@contextmanager
+def _stores(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Within it a stream that starts for the first time has that many partitions of its state, at most the session's; later its checkpoint names them."""
+    name = "spark.sql.shuffle.partitions"
+    most = spark.conf.get(name)
+    if partitions is not None:
+        spark.conf.set(name, str(max(1, min(partitions, int(most)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, most)
+
+
+def partitions_for(rows: int) -> int:
+    return -(-rows // ROWS_EACH)
+
+
+def stream_slot_events(slots: DataFrame, arrivals: DataFrame, folder: str, lateness: str = "0 seconds", partitions: int | None = None) -> None:
     """Take what is there of slots (instrument_key, slot_utc, ready_utc, deadline_utc) and arrivals (instrument_key, time_utc, arrived_utc, run_status); events are appended under ``folder``.
 
-    Arrivals may be late by ``lateness`` against the newest one or the newest tick.
+    Arrivals may be late by ``lateness`` against the newest one or the newest tick.  ``partitions``: those of the joins' state, fixed by the first run (None: the session's);
+    each has four stores in each of both streams, which are written in every batch whatever they hold.
     """
     here = F.col("arrived_utc").isNotNull()
     ready = _against(slots, arrivals, "ready_utc", lateness).where(~here).withColumn("event", F.lit("DATA_NOT_READY"))
     due = _against(slots, arrivals, "deadline_utc", lateness).withColumn("event", F.when(~here, "MISS").when(F.col("run_status") == "PASS", "PASS").otherwise("BLOCKED"))
     for name, rows in (("ready", ready), ("deadline", due)):
         out = rows.select("instrument_key", "slot_utc", "event", "arrived_utc")
-        query = out.writeStream.format("parquet").option("path", f"{folder}/{name}").option("checkpointLocation", f"{folder}/checkpoint-{name}").outputMode("append").trigger(availableNow=True).start()
+        with _stores(slots.sparkSession, partitions):
+            query = out.writeStream.format("parquet").option("path", f"{folder}/{name}").option("checkpointLocation", f"{folder}/checkpoint-{name}").outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
 
 
